@@ -61,9 +61,8 @@ def range_buckets(df: DataFrame, keys: list[str], buckets: int | None = None) ->
 
 def hex_buckets(digest: str, buckets: int | None = None) -> Column:
     """Ranges of an evenly spread hex digest column; needs no sample."""
-    return F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") * F.lit(
-        min(buckets or 1024, MAX_BUCKETS)
-    ) / F.lit(65536)
+    ranges = min(buckets or 1024, MAX_BUCKETS)
+    return F.floor(F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") * ranges / 65536)
 
 
 def running_before(
@@ -87,7 +86,9 @@ def running_before(
     if bucket is None:
         bucket = range_buckets(df, within + order_by, buckets)
     fold = F.sum if how == "sum" else F.max
-    rows = df.withColumn("_bucket", F.floor(bucket).cast("int")).withColumn("_value", value)
+    # Never null, so the join below adds no second look at the bucket.
+    bucket = F.coalesce(bucket.cast("int"), F.lit(0))
+    rows = df.withColumn("_bucket", bucket).withColumn("_value", value)
     group = within + ["_bucket"]
     folded = rows.groupBy(*group).agg(fold("_value").alias("_fold"))
     order = W.partitionBy(*within).orderBy("_bucket")  # at most MAX_BUCKETS rows a group

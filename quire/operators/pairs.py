@@ -5,7 +5,11 @@ each between two marks, so joining a pair is a plain text `replace`, exact and
 leftmost first, and the whole round stays inside Spark expressions.
 """
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import heapq
+import json
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx
 from ..session import cut_lineage
@@ -18,7 +22,8 @@ from .vocab import (
 # longest piece learned.
 OPEN, CLOSE = "\ufdd0", "\ufdd1"
 MAX_PIECE_CHARS = 16
-CHECKPOINT_MERGES = 60
+CHECKPOINT_MERGES = 24
+WATCHED_PAIRS = 20_000
 
 # Scripts whose letters never share a piece. Han and kana count as one.
 SCRIPTS = [
@@ -65,30 +70,67 @@ def start_symbols(words: DataFrame, split_scripts: bool = True) -> DataFrame:
     )
 
 
+# Neighbouring symbols of an array column, as (left, right).
+_NEIGHBOURS = (
+    "zip_with(slice({0}, 1, greatest(size({0}) - 1, 0)), slice({0}, 2, size({0})), "
+    "(l, r) -> struct(l AS left, r AS right))"
+)
+
+
+def _split_symbols(symbols) -> Column:
+    return F.split(F.trim(symbols, F.lit(OPEN + CLOSE)), CLOSE + OPEN)
+
+
 def pair_counts(words: DataFrame) -> DataFrame:
     """(left, right, pair_count) of neighbouring symbols over (symbols, count)."""
-    parts = words.select(
-        F.split(F.trim("symbols", F.lit(OPEN + CLOSE)), CLOSE + OPEN).alias("parts"), "count"
-    ).where(F.size("parts") > 1)
-    lefts = F.slice("parts", 1, F.size("parts") - 1)
-    rights = F.slice("parts", 2, F.size("parts"))
-    pairs = F.arrays_zip(lefts.alias("left"), rights.alias("right"))
+    parts = words.select(_split_symbols(F.col("symbols")).alias("parts"), "count")
     return (
-        parts.select(F.explode(pairs).alias("pair"), "count")
+        parts.select(F.expr(f"explode({_NEIGHBOURS.format('parts')}) AS pair"), "count")
         .groupBy("pair.left", "pair.right")
         .agg(F.sum("count").alias("pair_count"))
     )
 
 
+def pair_changes(words: DataFrame, merges: list[tuple[str, str]], floor: int) -> DataFrame:
+    """How pair counts change when `merges` are made, leaving out new counts <= floor.
+
+    Only words holding one of the pairs are looked into.
+    """
+    after = join_pairs(F.col("symbols"), merges)
+    parts = words.select("symbols", after.alias("joined"), "count").where("symbols <> joined")
+    sides = [
+        f"transform({_NEIGHBOURS.format(side)}, p -> struct(p.left, p.right, {sign}count AS n))"
+        for side, sign in (("before", "-"), ("after", ""))
+    ]
+    return (
+        parts.select(
+            _split_symbols(F.col("symbols")).alias("before"),
+            _split_symbols(F.col("joined")).alias("after"),
+            "count",
+        )
+        .selectExpr(f"explode(concat({', '.join(sides)})) AS pair")
+        .groupBy("pair.left", "pair.right")
+        .agg(F.expr("sum(pair.n) AS pair_count"))
+        .where(f"pair_count < 0 OR pair_count > {floor}")
+    )
+
+
+def _order(pair):
+    """Best pair first: count, then shorter piece, then its text, then shorter left."""
+    (left, right), count = pair
+    return -count, len(left + right), left + right, len(left)
+
+
 def ranked(pairs: DataFrame, limit: int, max_piece_chars: int = MAX_PIECE_CHARS) -> list:
-    """Best pairs: count, then shorter piece, then piece text, then shorter left."""
+    """The best `limit` pairs as ((left, right), count)."""
     piece = F.concat("left", "right")
-    return (
+    rows = (
         pairs.where(F.length(piece) <= max_piece_chars)
         .orderBy(F.desc("pair_count"), F.length(piece), piece, F.length("left"))
         .limit(limit)
         .collect()
     )
+    return [((r.left, r.right), r.pair_count) for r in rows]
 
 
 def safe_merges(best: list, made: set, room: int) -> list:
@@ -97,36 +139,36 @@ def safe_merges(best: list, made: set, room: int) -> list:
     Joining (a, b) changes only counts of pairs that end in a or start with b,
     and a new pair is never commoner than one of those. So as long as chosen
     pairs are not neighbours of one another, and are strictly commoner than the
-    first pair left out, taking them together changes nothing.
+    first pair left out, taking them together changes nothing. Pairs whose
+    piece exists already are never taken, but count as neighbours.
     """
     chosen, barred, floor = [], [], 0
-    for pair in best:
-        piece = pair.left + pair.right
-        taken = piece in made or any(piece == c.left + c.right for c in chosen)
-        touching = any(
-            c.left == pair.right or c.right == pair.left for c in chosen
-        ) or (not taken and any(b.right == pair.left or b.left == pair.right for b in barred))
-        if taken and not touching:
-            barred.append(pair)
-        elif touching or len(chosen) == room:
-            floor = pair.pair_count
+    for (left, right), count in best:
+        taken = left + right in made or any(left + right == a + b for (a, b), _ in chosen)
+        near = chosen if taken else chosen + barred
+        if any(a == right or b == left for (a, b), _ in near) or len(chosen) == room:
+            floor = count
+            break
+        if taken:
+            barred.append(((left, right), count))
+            continue
+        chosen.append(((left, right), count))
+        if left == right:  # its own neighbour: nothing may follow
+            floor = count
             break
-        else:
-            chosen.append(pair)
-            if pair.left == pair.right:  # its own neighbour: nothing may follow
-                floor = pair.pair_count
-                break
     else:
-        floor = best[-1].pair_count if best else 0
-    return [c for i, c in enumerate(chosen) if i == 0 or c.pair_count > floor]
+        floor = best[-1][1] if best else 0
+    return [c for i, c in enumerate(chosen) if i == 0 or c[1] > floor]
 
 
-def join_pair(symbols: Column, left: str, right: str) -> Column:
-    return F.replace(
-        symbols,
-        F.lit(f"{OPEN}{left}{CLOSE}{OPEN}{right}{CLOSE}"),
-        F.lit(f"{OPEN}{left}{right}{CLOSE}"),
-    )
+def join_pairs(symbols: Column, merges: list[tuple[str, str]]) -> Column:
+    """Make the merges in order. They travel as one array, so the expression has
+    the same shape, and the same compiled code, in every round."""
+    found = [f"{OPEN}{left}{CLOSE}{OPEN}{right}{CLOSE}" for left, right in merges]
+    joined = [f"{OPEN}{left}{right}{CLOSE}" for left, right in merges]
+    pairs = json.dumps([{"f": f, "j": j} for f, j in zip(found, joined)])
+    table = F.from_json(F.lit(pairs), "array<struct<f:string,j:string>>")
+    return F.aggregate(table, symbols, lambda s, m: F.replace(s, m["f"], m["j"]))
 
 
 def cover_words(words: DataFrame, chars: DataFrame) -> DataFrame:
@@ -144,39 +186,57 @@ def learn_merges(
     made: set = frozenset(),
     max_piece_chars: int = MAX_PIECE_CHARS,
     per_round: int = 64,
-) -> list[tuple[str, str, int]]:
-    """Up to `merges` (left, right, count), in the order they are learned.
+    watched: int = WATCHED_PAIRS,
+) -> list[tuple[tuple[str, str], int]]:
+    """Up to `merges` of ((left, right), count), in the order they are learned.
 
-    A round is one job over distinct words: count pairs, take the leading safe
-    ones, rewrite. Fully merged words leave the table. The table is stored in
-    the shared folder every `CHECKPOINT_MERGES` merges, which also lets a lost
-    executor's part be read again instead of replayed.
+    The driver watches the commonest pairs only. A pair's count never grows
+    after the round that creates it, so pairs outside the watched ones stay at
+    or below `floor`, and watching is exact until the best one sinks to it.
+    Each round is one job over the words that hold a chosen pair; its result is
+    as small as the vocabulary. The word table is stored in the shared folder
+    every `CHECKPOINT_MERGES` merges.
     """
-    made, learned, pending = set(made), [], 0
-    table = cut_lineage(words)
+    spark = words.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = cut_lineage(words.repartition(max(width, spark.sparkContext.defaultParallelism)))
+    made, learned, pending, counts, floor = set(made), [], [], {}, 0
     while len(learned) < merges:
-        # Pieces already made can never be learned twice, so look past them.
-        best = ranked(pair_counts(table), per_round * 4, max_piece_chars)
-        if not best:
-            break
-        fresh = safe_merges(best, made, min(per_round, merges - len(learned)))
+        room = min(per_round, merges - len(learned))
+        above = [p for p in counts.items() if p[1] > floor]
+        fresh = safe_merges(heapq.nsmallest(per_round * 4, above, key=_order), made, room)
         if not fresh:
+            table, pending = cut_lineage(_apply(table, pending)), []
+            best = ranked(pair_counts(table), watched, max_piece_chars)
+            counts, floor = dict(best), best[-1][1] if len(best) == watched else 0
+            fresh = safe_merges(best[: per_round * 4], made, room)
+        if not fresh:  # everything watched is a piece already
             fresh = ranked(_without(pair_counts(table), made), 1, max_piece_chars)
-            if not fresh:
-                break
-        symbols = F.col("symbols")
-        for pair in fresh:
-            symbols = join_pair(symbols, pair.left, pair.right)
-            learned.append((pair.left, pair.right, pair.pair_count))
-            made.add(pair.left + pair.right)
-        table = table.select(symbols.alias("symbols"), "count")
-        pending += len(fresh)
-        if pending >= CHECKPOINT_MERGES:
-            joinable = F.instr("symbols", CLOSE + OPEN) > 0
-            table, pending = cut_lineage(table.where(joinable)), 0
+        if not fresh:
+            break
+        chosen = [pair for pair, _ in fresh]
+        learned += fresh
+        made.update(left + right for left, right in chosen)
+        changes = pair_changes(_apply(table, pending), chosen, floor).collect()
+        for r in changes:
+            if r.pair_count > 0 and len(r.left + r.right) <= max_piece_chars:
+                counts[r.left, r.right] = r.pair_count
+            elif (r.left, r.right) in counts:
+                counts[r.left, r.right] += r.pair_count
+        pending += chosen
+        if len(pending) >= CHECKPOINT_MERGES:
+            table, pending = cut_lineage(_apply(table, pending)), []
     return learned
 
 
+def _apply(table: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """Words after the merges; words with nothing left to join are done."""
+    if not merges:
+        return table
+    joined = table.select(join_pairs(F.col("symbols"), merges).alias("symbols"), "count")
+    return joined.where(F.instr("symbols", CLOSE + OPEN) > 0)
+
+
 def _without(pairs: DataFrame, made: set) -> DataFrame:
     spark = pairs.sparkSession
     known = spark.createDataFrame([(p,) for p in made], "piece string")  # at most vocab_size
@@ -210,7 +270,7 @@ def train_bpe(
     merges = max(0, vocab_size - head - len(alphabet))
     table = start_symbols(cover_words(words, chars), split_scripts)
     learned = learn_merges(table, merges, set(alphabet), max_piece_chars)
-    pieces = [left + right for left, right, _ in learned] + alphabet
+    pieces = [left + right for (left, right), _ in learned] + alphabet
     rows = [(head + i, p, -float(i), "trained") for i, p in enumerate(pieces)]
     trained = spark.createDataFrame(rows, "id int, piece string, score double, origin string")
     return reserved_pieces(spark).unionByName(trained) if reserved else trained

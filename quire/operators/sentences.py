@@ -46,19 +46,22 @@ def sample_every(
     """Every n-th kept sentence of the whole table, in key order.
 
     Positions come from a running count per text, so one text holding most of
-    the sentences is still a single row while positions are worked out, and
-    only the picked sentences are ever expanded.
+    the sentences is a single row there. Only keys and counts move for that;
+    texts are joined back for the few keys that hold a picked position.
     """
     others = [c for c in df.columns if c != text]
-    sentences = df.select(*others, kept_sentences(text, **sentence_options).alias("_sentences"))
-    numbered = running_before(sentences, order_by, F.size("_sentences"), "_before")
+    cut = kept_sentences(text, **sentence_options)
+    counts = df.select(*order_by, F.size(cut).cast("bigint").alias("_n"))
+    numbered = running_before(counts, order_by, F.col("_n"), "_before")
     first = F.pmod(-F.col("_before"), F.lit(n))
-    picks = F.when(
-        first < F.size("_sentences"),
-        F.sequence(first, F.size("_sentences").cast("bigint") - 1, F.lit(n).cast("bigint")),
+    picks = numbered.where(first < F.col("_n")).select(
+        *order_by, "_before", F.sequence(first, F.col("_n") - 1, F.lit(n).cast("bigint")).alias("_at")
     )
-    return numbered.withColumn("_pick", F.explode(picks)).select(
-        *others,
-        (F.col("_before") + F.col("_pick")).alias("position"),
-        F.get("_sentences", F.col("_pick").cast("int")).alias("sentence"),
+    found = df.join(picks, order_by).withColumn("_cut", cut)
+    picked = F.transform(
+        "_at",
+        lambda i: F.struct(
+            (F.col("_before") + i).alias("position"), F.get("_cut", i.cast("int")).alias("sentence")
+        ),
     )
+    return found.select(*others, F.inline(picked))

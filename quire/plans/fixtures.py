@@ -3,26 +3,48 @@
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..operators.vocab import top_word_vocab, word_counts
-from ..session import cut_lineage
+from ..session import shared_folder
+from ..sources.processed import reuse_or_compute
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark, sf_dir, *columns, name="documents") -> DataFrame:
+    """Text columns, dealt out over the cores when the table has fewer files
+    than that. Tables of many files stay as they lie and move nothing."""
+    rows = table(spark, sf_dir, name).select(*columns)
+    width = spark.sparkContext.defaultParallelism
+    return rows.repartition(width) if len(rows.inputFiles()) < width else rows
+
+
 def split_of(key):
     digit = F.pmod(key, F.lit(10))
     return F.when(digit == 0, "validation").when(digit == 1, "test").otherwise("train")
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", "text", split_of(F.col("doc_id")).alias("split"))
+    docs = texts(spark, sf_dir, "doc_id", "text")
+    return docs.withColumn("split", split_of(F.col("doc_id")))
+
+
+def stored_vocabulary(spark, name, settings, compute) -> DataFrame:
+    """A vocabulary computed once per application and read again afterwards."""
+    context = spark.sparkContext
+    folder = f"{shared_folder(spark)}/quire/{context.applicationId}/{name}"
+    stored = reuse_or_compute(
+        spark, folder, settings, lambda: compute().withColumn("split", F.lit("all"))
+    )
+    return stored.drop("split")
 
 
 def word_vocabulary(spark, sf_dir, vocab_size=30000) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return cut_lineage(top_word_vocab(word_counts(docs, "text"), vocab_size))
+    def compute():
+        return top_word_vocab(word_counts(texts(spark, sf_dir, "text"), "text"), vocab_size)
+
+    settings = {"sf_dir": sf_dir, "vocab_size": vocab_size}
+    return stored_vocabulary(spark, "words", settings, compute)
 
 
 def instruction_records(spark, sf_dir) -> DataFrame:
@@ -58,7 +80,7 @@ def batch_losses(spark, sf_dir) -> DataFrame:
 
 def predictions(spark, sf_dir) -> DataFrame:
     """Document characters as labels, a mixed copy as predictions, 8 rows a batch."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "doc_id", "text")
     true = F.transform(F.split(F.col("text"), ""), lambda c: F.ascii(c))
     true = F.filter(true, lambda c: c > 0)
     rows = docs.select(

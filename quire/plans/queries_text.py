@@ -7,7 +7,7 @@ from ..operators import pairs, sentences as sn, subsets, vocab as vb
 from ..session import cut_lineage, new_path
 from ..sources import files, processed, vocab_file
 from . import sql_parts as q
-from .fixtures import documents, table, word_vocabulary
+from .fixtures import documents, stored_vocabulary, table, texts, word_vocabulary
 from .registry import query
 
 MARKS = tx.DELIMITERS + "."
@@ -157,7 +157,7 @@ numbered AS (
   SELECT row_number() OVER (ORDER BY doc_id, pos) - 1 AS position, doc_id, sentence FROM sentences)
 SELECT doc_id, position, sentence FROM numbered WHERE position % 1000 = 0""")
 def sample_every(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "doc_id", "text")
     return sn.sample_every(docs, ["doc_id"], 1000, delimiters=MARKS)
 
 
@@ -196,7 +196,7 @@ def split_counts(spark, sf_dir):
 
 @query(f"WITH {q.word_counts()} SELECT word, cnt AS count FROM wc")
 def word_counts(spark, sf_dir):
-    return vb.word_counts(table(spark, sf_dir, "documents"), "text")
+    return vb.word_counts(texts(spark, sf_dir, "text"), "text")
 
 
 @query(f"""WITH {q.word_counts()},
@@ -205,7 +205,7 @@ SELECT c AS char, n AS count,
   coalesce(sum(n) OVER (ORDER BY n DESC, c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
     < 0.9995 * sum(n) OVER () AS kept FROM cc""")
 def char_coverage(spark, sf_dir):
-    words = vb.word_counts(table(spark, sf_dir, "documents"), "text")
+    words = vb.word_counts(texts(spark, sf_dir, "text"), "text")
     return vb.char_coverage(vb.char_counts(words))
 
 
@@ -224,7 +224,7 @@ p AS (SELECT {q.chars("'▁' || word")} AS p, cnt FROM wc),
 pairs AS (SELECT unnest(p[:len(p) - 1]) AS l, unnest(p[2:]) AS r, cnt FROM p WHERE len(p) > 1)
 SELECT l AS "left", r AS "right", sum(cnt)::BIGINT AS pair_count FROM pairs GROUP BY l, r""")
 def pair_counts(spark, sf_dir):
-    words = vb.word_counts(table(spark, sf_dir, "documents"), "text")
+    words = vb.word_counts(texts(spark, sf_dir, "text"), "text")
     return pairs.pair_counts(pairs.start_symbols(words, split_scripts=False))
 
 
@@ -232,8 +232,11 @@ TRAINED_SIZE = 420
 
 
 def sentence_vocabulary(spark, sf_dir, size=TRAINED_SIZE):
-    cut = sn.split_sentences(documents(spark, sf_dir), delimiters=MARKS)
-    return cut_lineage(pairs.train_bpe(cut, size))
+    def compute():
+        cut = sn.split_sentences(documents(spark, sf_dir), delimiters=MARKS)
+        return pairs.train_bpe(cut, size)
+
+    return stored_vocabulary(spark, "pieces", {"sf_dir": sf_dir, "size": size}, compute)
 
 
 @query(f"""WITH RECURSIVE {q.DOCS}, {q.sentences()}, {q.trained(TRAINED_SIZE)}

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as ar, text as tx
 from ..operators import instructions as ins, packing as pk, tokenize as tk, vocab as vb
-from ..session import cut_lineage
 from . import preparation, sql_parts as q
-from .fixtures import documents, instruction_records, table, word_vocabulary
+from .fixtures import (
+    documents, instruction_records, stored_vocabulary, table, texts, word_vocabulary,
+)
 from .queries_text import TRAINED_SIZE, merged_vocabulary, sentence_vocabulary, _merge_sql
 from .registry import query
 
@@ -35,7 +36,7 @@ def tokenize_whitespace(spark, sf_dir):
 def tokenize_by_join(spark, sf_dir):
     """The same ids for a vocabulary of any size."""
     vocab = word_vocabulary(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "doc_id", "text")
     return _ids(tk.tokenize_by_join(docs, vocab, ["doc_id"], hot_units=200), "doc_id")
 
 
@@ -49,9 +50,12 @@ vocab AS (
 
 
 def char_vocabulary(spark, sf_dir):
-    words = vb.word_counts(table(spark, sf_dir, "documents"), "text")
-    kept = vb.char_coverage(vb.char_counts(words, mark_start=False), 0.98).where("kept")
-    return cut_lineage(vb.top_word_vocab(kept.select(F.col("char").alias("word"), "count")))
+    def compute():
+        words = vb.word_counts(texts(spark, sf_dir, "text"), "text")
+        kept = vb.char_coverage(vb.char_counts(words, mark_start=False), 0.98).where("kept")
+        return vb.top_word_vocab(kept.select(F.col("char").alias("word"), "count"))
+
+    return stored_vocabulary(spark, "characters", {"sf_dir": sf_dir}, compute)
 
 
 @query(f"""WITH {q.DOCS}, {q.word_counts()}, {CHAR_VOCAB}, {q.BYTES},
@@ -59,7 +63,7 @@ def char_vocabulary(spark, sf_dir):
 SELECT doc_id, len(ids)::INT AS n_tokens, md5({q.joined('ids')}) AS ids_md5 FROM tok""")
 def tokenize_char(spark, sf_dir):
     vocab = char_vocabulary(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "doc_id", "text")
     tokens = _ids(tk.tokenize(docs, vocab, mode="char"), "doc_id", )
     return tokens.select("doc_id", "n_tokens", F.md5("ids").alias("ids_md5"))
 
@@ -95,7 +99,7 @@ BPE = f"{q.DOCS}, {q.sentences()}, {q.trained(TRAINED_SIZE)}, {q.BYTES}"
 SELECT doc_id, {IDS} FROM tok_lists""")
 def tokenize_bpe(spark, sf_dir):
     vocab = sentence_vocabulary(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "doc_id", "text")
     return _ids(tk.tokenize(docs, vocab), "doc_id")
 
 
@@ -103,7 +107,7 @@ def tokenize_bpe(spark, sf_dir):
 SELECT char, array_to_string([printf('<0x%s>', h) FOR h IN
   regexp_extract_all(hex(encode(char)), '..')], ' ') AS pieces FROM cs""")
 def byte_fallback(spark, sf_dir):
-    words = vb.word_counts(table(spark, sf_dir, "documents"), "text")
+    words = vb.word_counts(texts(spark, sf_dir, "text"), "text")
     return vb.char_counts(words, mark_start=False).select(
         "char", F.array_join(tx.byte_pieces(F.col("char")), " ").alias("pieces")
     )
@@ -145,7 +149,7 @@ FROM sizes GROUP BY lang"""
 def compare_tokenizers(spark, sf_dir):
     base = vb.top_word_vocab(vb.word_counts(table(spark, sf_dir, "benchmark"), "text"))
     merged = merged_vocabulary(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = texts(spark, sf_dir, "doc_id", "text", "lang")
     result = tk.compare_tokenizers(docs, base, merged, mode="whitespace", by=["lang"])
     for name, digits in (("base_mean", 6), ("merged_mean", 6),
                          ("base_byte_share", 9), ("merged_byte_share", 9)):
@@ -215,9 +219,14 @@ def pack_report(spark, sf_dir):
     return pk.pack_report(pk.assign_batches(tokens, ["doc_id"], batch_rows=40))
 
 
-@query(f"""WITH {TOKENS}, {q.packed(512, 'tok', 'split')}
-SELECT split, block::INT AS block, len(input_ids)::INT AS n_tokens,
-  {q.joined('input_ids')} AS ids FROM blocks""")
+@query(f"""WITH {TOKENS}, flat AS (
+  SELECT split, doc_id, unnest(ids) AS id, unnest(range(len(ids))) AS k FROM tok),
+placed AS (
+  SELECT split, id, row_number() OVER (PARTITION BY split ORDER BY doc_id, k) - 1 AS at_token,
+    count(*) OVER (PARTITION BY split) AS n FROM flat)
+SELECT split, (at_token // 512)::INT AS block, count(*)::INT AS n_tokens,
+  string_agg(id, ' ' ORDER BY at_token) AS ids
+FROM placed WHERE at_token // 512 < greatest(n // 512, 1) GROUP BY split, at_token // 512""")
 def packed_global(spark, sf_dir):
     tokens = word_tokens(spark, sf_dir).select("split", "doc_id", "input_ids")
     return _blocks(pk.pack_global(tokens, ["doc_id"]), "split")

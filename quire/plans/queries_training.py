@@ -7,7 +7,7 @@ from ..operators import batches as bt, metrics as mt, userfn
 from ..session import new_path
 from ..streaming import streams
 from . import preparation, sql_parts as q
-from .fixtures import batch_losses, documents, predictions, table
+from .fixtures import batch_losses, documents, predictions, table, texts
 from .queries_tokens import TOKENS, _encoded_sql, encoded, word_tokens
 from .registry import query
 
@@ -247,7 +247,7 @@ def map_batches(spark, sf_dir):
         frame = frame.assign(word=frame["text"].str.split()).explode("word")
         return frame[frame["word"].str.len() > 20]
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "doc_id", "text")
     return userfn.map_batches(docs, long_words, "doc_id bigint, word string", drop=["text"])
 
 

@@ -151,10 +151,10 @@ cover AS (
                                      AND 1 PRECEDING), 0) < {coverage} * sum(n) OVER () AS kept
   FROM cc),
 known AS (
-  SELECT unnest(regexp_extract_all(unnest(string_split_regex(
+  SELECT unnest(flatten([regexp_extract_all(p, '{_RUNS}') FOR p IN string_split_regex(
            translate('▁' || word, (SELECT coalesce(string_agg(c, ''), '') FROM cover WHERE NOT kept),
-                     (SELECT coalesce(string_agg('▅', ''), '') FROM cover WHERE NOT kept)), '▅+')),
-         '{_RUNS}')) AS part, cnt FROM wc),
+                     (SELECT coalesce(string_agg('▅', ''), '') FROM cover WHERE NOT kept)), '▅+')]
+         )) AS part, cnt FROM wc),
 start AS (
   SELECT regexp_replace(part, '(?s)(.)', '{OPEN}\\1{CLOSE}', 'g') AS symbols, sum(cnt)::BIGINT AS cnt
   FROM known WHERE length(part) > 1 GROUP BY part),
@@ -197,10 +197,10 @@ def merged_units(units, vocab="bpe", name="joinable"):
   SELECT unit, [c FOR c IN string_split(replace(unit, ' ', '▁'), '') IF c <> ''] AS parts, true AS open
   FROM {units}
   UNION ALL
-  (WITH at AS (SELECT unit, parts, unnest(range(1, len(parts))) AS i FROM {name} WHERE open),
+  (WITH spots AS (SELECT unit, parts, unnest(range(1, len(parts))) AS i FROM {name} WHERE open),
    found AS (
      SELECT unit, any_value(parts) AS parts, min_by(i, (-score, i)) AS i
-     FROM at JOIN {vocab} ON parts[i] || parts[i + 1] = piece GROUP BY unit)
+     FROM spots JOIN {vocab} ON parts[i] || parts[i + 1] = piece GROUP BY unit)
    SELECT unit, parts[:i - 1] || [parts[i] || parts[i + 1]] || parts[i + 2:], true FROM found
    UNION ALL
    SELECT unit, parts, false FROM {name} WHERE open AND unit NOT IN (SELECT unit FROM found)
