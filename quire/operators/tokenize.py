@@ -86,10 +86,9 @@ class Vocabulary:
         return [t for p in parts if p for t in self.lookup(p)]
 
 
-def encoder(vocabulary: Vocabulary, mode: str):
+def encoder(spark: SparkSession, vocabulary: Vocabulary, mode: str):
     """Arrow function from arrays of units to arrays of ids."""
-    context = SparkSession.getActiveSession().sparkContext
-    sent = context.broadcast(vocabulary.entries)  # size checked when it was loaded
+    sent = spark.sparkContext.broadcast(vocabulary.entries)  # size checked on loading
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = Vocabulary(sent.value)
@@ -153,7 +152,8 @@ def tokenize_with(
         cut = F.filter(F.split(spaced, rf"(?<={_SPECIAL})|(?={_SPECIAL})"), lambda u: u != "")
     else:
         cut = units(text, mode)
-    ids = encoder(vocabulary, mode)(cut)
+    none = F.array().cast("array<string>")  # a missing text has no units
+    ids = encoder(df.sparkSession, vocabulary, mode)(F.coalesce(cut, none))
     result = df.withColumn(out, ar.with_special(ids, bos, eos))
     return result.withColumn("attention_mask", ar.ones_mask(F.col(out))) if mask else result
 
