@@ -36,8 +36,8 @@ def sentence_array(text: Column, delimiters: str = DELIMITERS, keep_tail: bool =
 
 
 def words(text: Column) -> Column:
-    """Pieces between runs of white space."""
-    return F.filter(F.split(text, char_class(WHITESPACE) + "+"), lambda w: w != "")
+    """Pieces between runs of white space (the characters of `WHITESPACE`)."""
+    return F.filter(F.split(text, r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
 
 
 def characters(text: Column) -> Column:

@@ -199,14 +199,14 @@ def learn_merges(
     """
     spark = words.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = cut_lineage(words.repartition(max(width, spark.sparkContext.defaultParallelism)))
+    table = _keep(words.repartition(max(width, spark.sparkContext.defaultParallelism)))
     made, learned, pending, counts, floor = set(made), [], [], {}, 0
     while len(learned) < merges:
         room = min(per_round, merges - len(learned))
         above = [p for p in counts.items() if p[1] > floor]
         fresh = safe_merges(heapq.nsmallest(per_round * 4, above, key=_order), made, room)
         if not fresh:
-            table, pending = cut_lineage(_apply(table, pending)), []
+            table, pending = _keep(_apply(table, pending), table), []
             best = ranked(pair_counts(table), watched, max_piece_chars)
             counts, floor = dict(best), best[-1][1] if len(best) == watched else 0
             fresh = safe_merges(best[: per_round * 4], made, room)
@@ -225,10 +225,19 @@ def learn_merges(
                 counts[r.left, r.right] += r.pair_count
         pending += chosen
         if len(pending) >= CHECKPOINT_MERGES:
-            table, pending = cut_lineage(_apply(table, pending)), []
+            table, pending = _keep(_apply(table, pending), table), []
+    table.unpersist()
     return learned
 
 
+def _keep(table: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Stored in the shared folder, and cached so rounds need not read it there."""
+    stored = cut_lineage(table).persist()
+    if before is not None:
+        before.unpersist()
+    return stored
+
+
 def _apply(table: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     """Words after the merges; words with nothing left to join are done."""
     if not merges:

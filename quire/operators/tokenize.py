@@ -8,14 +8,15 @@ to send around are joined instead (`tokenize_by_join`).
 
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import arrays as ar, text as tx
-from .vocab import FIRST_BYTE_ID, MAX_PIECES, SPECIAL_PIECES, check_bounded
+from ..session import cut_lineage
+from .vocab import FIRST_BYTE_ID, MAX_PIECES, SPECIAL_PIECES, check_bounded, most_common
 
 MODES = ("bpe", "char", "whitespace")
 _SPECIAL = "|".join(SPECIAL_PIECES)
@@ -32,8 +33,25 @@ def units(text: Column, mode: str) -> Column:
         return tx.words(text)
     if mode == "char":
         return tx.characters(text)
-    spaced = F.regexp_replace(text, rf"(?:^|(?<={_SPECIAL}))(?!{_SPECIAL}|\z)", " ")
-    return F.filter(F.split(spaced, rf"(?<=[^ ])(?= )|(?={_SPECIAL})"), lambda u: u != "")
+    plain = F.split(F.concat(F.lit(" "), text), r"(?= )(?<! )")
+    cut = F.split(_spaced(text), rf"(?= )(?<! )|(?={_SPECIAL})")
+    return F.filter(F.when(_has_special(text), cut).when(text != "", plain), lambda u: u != "")
+
+
+def stretches(text: Column) -> Column:
+    """The text cut at special pieces only."""
+    cut = F.split(_spaced(text), rf"(?<={_SPECIAL})|(?={_SPECIAL})")
+    return F.filter(cut, lambda u: u != "")
+
+
+def _has_special(text: Column) -> Column:
+    return reduce(Column.__or__, [F.contains(text, F.lit(p)) for p in SPECIAL_PIECES])
+
+
+def _spaced(text: Column) -> Column:
+    """One space added at the start and after each special piece, unless
+    another special piece or the end follows."""
+    return F.regexp_replace(text, rf"(?:^|(?<={_SPECIAL}))(?!{_SPECIAL}|\z)", " ")
 
 
 class Vocabulary:
@@ -54,17 +72,33 @@ class Vocabulary:
 
     def merge(self, unit: str) -> list[int]:
         """Join the adjacent pair with the best score, leftmost first, until no
-        pair forms a piece. A queue of candidates keeps long units near linear."""
+        pair forms a piece."""
         if unit in self.special:
             return [self.special[unit]]
         parts = list(unit.replace(" ", tx.SPACE_MARK))
+        joined = self._join_short(parts) if len(parts) <= 40 else self._join_long(parts)
+        return [t for p in joined for t in self.lookup(p)]
+
+    def _join_short(self, parts):
+        get, none = self.scores.get, float("-inf")
+        scores = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) != none:
+            i = scores.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i < len(scores):
+                scores[i] = get(parts[i] + parts[i + 1], none)
+            if i:
+                scores[i - 1] = get(parts[i - 1] + parts[i], none)
+        return parts
+
+    def _join_long(self, parts):
+        """The same with a queue of candidates, near linear for long units."""
         count = len(parts)
-        after = list(range(1, count + 1))
-        ahead = list(range(-1, count - 1))
-        queue = []
+        after, ahead, queue = list(range(1, count + 1)), list(range(-1, count - 1)), []
 
         def offer(i):
-            j = after[i] if 0 <= i < count else count
+            j = after[i] if i >= 0 else count
             if j < count:
                 score = self.scores.get(parts[i] + parts[j])
                 if score is not None:
@@ -83,7 +117,7 @@ class Vocabulary:
                 ahead[after[i]] = i
             offer(ahead[i])
             offer(i)
-        return [t for p in parts if p for t in self.lookup(p)]
+        return [p for p in parts if p]
 
 
 def encoder(spark: SparkSession, vocabulary: Vocabulary, mode: str):
@@ -147,9 +181,7 @@ def tokenize_with(
 ) -> DataFrame:
     text = tx.as_text(col)
     if mode == "bpe" and not vocabulary.cuttable:
-        # A piece spans words, so the text may only be cut at special pieces.
-        spaced = F.regexp_replace(text, rf"(?:^|(?<={_SPECIAL}))(?!{_SPECIAL}|\z)", " ")
-        cut = F.filter(F.split(spaced, rf"(?<={_SPECIAL})|(?={_SPECIAL})"), lambda u: u != "")
+        cut = stretches(text)  # a piece spans words
     else:
         cut = units(text, mode)
     none = F.array().cast("array<string>")  # a missing text has no units
@@ -171,16 +203,17 @@ def tokenize_by_join(
 ) -> DataFrame:
     """`char` and `whitespace` tokenizing against a vocabulary of any size.
 
-    Distinct units are coded once. The commonest `hot_units` are sent to all
-    tasks and the rest are joined by shuffle, so no unit is hot there. A unit's
-    positions in one text travel as one row. `key` must be unique.
+    Distinct units are counted and coded once. The commonest `hot_units` are
+    sent to all tasks and the rest are joined by shuffle, so no short unit is
+    hot there. A unit's positions in one text travel as one row. `key` must be
+    unique.
     """
     if mode == "bpe":
         raise ValueError("bpe merging needs the vocabulary in memory")
     cut = df.select(*key, F.posexplode(units(tx.as_text(col), mode)).alias("_pos", "unit"))
     per_row = cut.groupBy(*key, "unit").agg(F.collect_list("_pos").alias("_at"))
     ids = vocab.select(F.col("piece").alias("unit"), "id")
-    seen = cut.groupBy("unit").agg(F.count("*").alias("_n"))
+    seen = cut_lineage(cut.groupBy("unit").agg(F.count("*").alias("_n")))
     code = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(
         F.transform(
             F.regexp_extract_all(F.hex(F.encode("unit", "UTF-8")), F.lit("(..)"), F.lit(1)),
@@ -188,8 +221,9 @@ def tokenize_by_join(
         )
     )
     coded = seen.join(ids, "unit", "left").select("unit", "_n", code.alias("_ids"))
-    hot = coded.orderBy(F.desc("_n"), "unit").limit(hot_units).select("unit", F.col("_ids").alias("_hot"))
-    first = per_row.join(F.broadcast(hot), "unit", "left")  # hot_units rows
+    short = coded.where(F.octet_length("unit") <= 64)
+    hot = most_common(short, hot_units, "_n", "unit").select("unit", F.col("_ids").alias("_hot"))
+    first = per_row.join(F.broadcast(hot), "unit", "left")  # hot_units short rows
     common = first.where(F.col("_hot").isNotNull()).withColumnRenamed("_hot", "_ids")
     rare = first.where(F.col("_hot").isNull()).drop("_hot").join(coded.drop("_n"), "unit")
     parts = common.unionByName(rare).groupBy(*key).agg(

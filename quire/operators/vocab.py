@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from ..functions import text as tx
 
-MAX_PIECES = 2_000_000
+MAX_PIECES = 1_000_000
+MAX_PIECE_BYTES = 64_000_000
 UNKNOWN_CHAR = "▅"  # Fixed value: stands for characters outside the coverage
 SPECIAL_PIECES = ["<unk>", "<s>", "</s>"]  # Fixed values, ids 0 to 2
 FIRST_BYTE_ID = 3  # Fixed value: id of <0x00>; the 256 byte pieces are consecutive
@@ -18,10 +19,32 @@ FIRST_WORD_ID = FIRST_BYTE_ID + 256
 
 def check_bounded(vocab: DataFrame, limit: int = MAX_PIECES) -> list:
     """The vocabulary's rows, or ValueError when it is too large to hold."""
-    rows = vocab.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"vocabulary has more than {limit} pieces")
-    return rows
+    size = vocab.agg(F.count("*").alias("n"), F.sum(F.octet_length("piece")).alias("bytes")).first()
+    if size.n > limit or (size.bytes or 0) > MAX_PIECE_BYTES:
+        raise ValueError(f"vocabulary of {size.n} pieces, {size.bytes} bytes is too large to hold")
+    return vocab.collect()
+
+
+def most_common(counts: DataFrame, k: int, count: str = "count", name: str = "word") -> DataFrame:
+    """The `k` rows with the highest counts, ties by name.
+
+    Sorting would bring the best k of every partition to one task. How often
+    each count occurs gives the k-th count first, so only rows that can be among
+    the k best are sorted. `counts` is read twice; store it before.
+    """
+    if k <= 0:
+        return counts.limit(0)
+    how_often = counts.groupBy(count).agg(F.count("*").alias("_rows"))
+    through = F.sum("_rows").over(W.orderBy(F.desc(count)))  # distinct counts, few
+    last = (
+        how_often.orderBy(F.desc(count)).limit(k)
+        .select(count, (through - F.col("_rows")).alias("_above"))
+        .where(F.col("_above") < k)
+        .agg(F.min(count)).first()[0]
+    )
+    if last is None:
+        return counts.limit(0)
+    return counts.where(F.col(count) >= last).orderBy(F.desc(count), name).limit(k)
 
 
 def reserved_pieces(spark: SparkSession) -> DataFrame:
@@ -73,10 +96,13 @@ def char_coverage(chars: DataFrame, coverage: float = 0.9995) -> DataFrame:
 
 
 def top_word_vocab(counts: DataFrame, vocab_size: int = 30000) -> DataFrame:
-    """Reserved pieces, then the most frequent words up to `vocab_size` pieces."""
+    """Reserved pieces, then the most frequent words up to `vocab_size` pieces.
+
+    `counts` (word, count) is read twice; store it before.
+    """
     reserved = F.col("word").isin(SPECIAL_PIECES) | F.col("word").rlike("^<0x[0-9A-F]{2}>$")
     fresh = counts.where(~reserved)
-    top = fresh.orderBy(F.desc("count"), "word").limit(vocab_size - FIRST_WORD_ID)
+    top = most_common(fresh, vocab_size - FIRST_WORD_ID)
     rank = F.row_number().over(W.orderBy(F.desc("count"), "word"))  # at most vocab_size rows
     ranked = top.select(
         (rank + FIRST_WORD_ID - 1).cast("int").alias("id"),

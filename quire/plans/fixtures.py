@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..operators.vocab import top_word_vocab, word_counts
-from ..session import shared_folder
+from ..session import cut_lineage, shared_folder
 from ..sources.processed import reuse_or_compute
 
 
@@ -41,7 +41,8 @@ def stored_vocabulary(spark, name, settings, compute) -> DataFrame:
 
 def word_vocabulary(spark, sf_dir, vocab_size=30000) -> DataFrame:
     def compute():
-        return top_word_vocab(word_counts(texts(spark, sf_dir, "text"), "text"), vocab_size)
+        counts = cut_lineage(word_counts(texts(spark, sf_dir, "text"), "text"))
+        return top_word_vocab(counts, vocab_size)
 
     settings = {"sf_dir": sf_dir, "vocab_size": vocab_size}
     return stored_vocabulary(spark, "words", settings, compute)

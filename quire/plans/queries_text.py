@@ -264,9 +264,16 @@ merged AS (
 {tail}"""
 
 
+def benchmark_vocabulary(spark, sf_dir):
+    def compute():
+        counts = vb.word_counts(table(spark, sf_dir, "benchmark"), "text")
+        return vb.top_word_vocab(cut_lineage(counts))
+
+    return stored_vocabulary(spark, "benchmark", {"sf_dir": sf_dir}, compute)
+
+
 def merged_vocabulary(spark, sf_dir):
-    base = cut_lineage(vb.top_word_vocab(vb.word_counts(table(spark, sf_dir, "benchmark"), "text")))
-    return vb.merge_vocab(base, word_vocabulary(spark, sf_dir))
+    return vb.merge_vocab(benchmark_vocabulary(spark, sf_dir), word_vocabulary(spark, sf_dir))
 
 
 @query(_merge_sql("SELECT id, piece, score, origin FROM merged"))

@@ -4,11 +4,14 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as ar, text as tx
 from ..operators import instructions as ins, packing as pk, tokenize as tk, vocab as vb
+from ..session import cut_lineage
 from . import preparation, sql_parts as q
 from .fixtures import (
     documents, instruction_records, stored_vocabulary, table, texts, word_vocabulary,
 )
-from .queries_text import TRAINED_SIZE, merged_vocabulary, sentence_vocabulary, _merge_sql
+from .queries_text import (
+    TRAINED_SIZE, _merge_sql, benchmark_vocabulary, merged_vocabulary, sentence_vocabulary,
+)
 from .registry import query
 
 WORDS = f"{q.word_counts()}, {q.vocab()}, {q.BYTES}"
@@ -53,7 +56,7 @@ def char_vocabulary(spark, sf_dir):
     def compute():
         words = vb.word_counts(texts(spark, sf_dir, "text"), "text")
         kept = vb.char_coverage(vb.char_counts(words, mark_start=False), 0.98).where("kept")
-        return vb.top_word_vocab(kept.select(F.col("char").alias("word"), "count"))
+        return vb.top_word_vocab(cut_lineage(kept.select(F.col("char").alias("word"), "count")))
 
     return stored_vocabulary(spark, "characters", {"sf_dir": sf_dir}, compute)
 
@@ -147,7 +150,7 @@ FROM sizes GROUP BY lang"""
 
 @query(_compare_sql())
 def compare_tokenizers(spark, sf_dir):
-    base = vb.top_word_vocab(vb.word_counts(table(spark, sf_dir, "benchmark"), "text"))
+    base = benchmark_vocabulary(spark, sf_dir)
     merged = merged_vocabulary(spark, sf_dir)
     docs = texts(spark, sf_dir, "doc_id", "text", "lang")
     result = tk.compare_tokenizers(docs, base, merged, mode="whitespace", by=["lang"])
