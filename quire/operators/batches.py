@@ -4,10 +4,11 @@ Every rule is arithmetic on a row's position in the epoch's order, so ranks and
 batches need no grouping until the rows of a batch are finally put together.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions import arrays as ar
-from .ordering import hex_buckets, with_global_index
+from .ordering import (
+    MAX_BUCKETS, bucket_count, hex_buckets, lookup, place_in_runs, with_global_index,
+)
 
 
 def expand_epochs(df: DataFrame, epochs: float) -> DataFrame:
@@ -16,6 +17,14 @@ def expand_epochs(df: DataFrame, epochs: float) -> DataFrame:
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
 
 
+def _mixed(df: DataFrame, key: list[str], seed: int, epoch) -> DataFrame:
+    """Add `epoch` if it is fixed here, and the digest that orders the rows."""
+    if epoch is not None:
+        df = df.withColumn("epoch", F.lit(epoch) if isinstance(epoch, int) else epoch)
+    text = F.concat_ws(":", F.lit(seed), "epoch", *key)
+    return df.withColumn("_digest", F.md5(text))
+
+
 def epoch_shuffle(
     df: DataFrame, key: list[str], seed: int = 0, epoch: Column | int | None = None,
     within: list[str] = ("epoch",), buckets: int | None = None,
@@ -26,11 +35,8 @@ def epoch_shuffle(
     so their leading digits split the order into equal ranges with no sampling.
     An evaluation table passes `epoch=0` to keep one order.
     """
-    turn = F.col("epoch") if epoch is None else F.lit(epoch) if isinstance(epoch, int) else epoch
-    text = F.concat_ws(":", F.lit(seed), turn, *[F.col(k) for k in key])
-    if epoch is not None and "epoch" not in df.columns:
-        df = df.withColumn("epoch", turn)
-    mixed = df.withColumn("_digest", F.md5(text))
+    mixed = _mixed(df, key, seed, epoch)
+    buckets = buckets or bucket_count(mixed.select("epoch").count(), df)
     return with_global_index(
         mixed, ["_digest", *key], list(within), "position", "total",
         bucket=hex_buckets("_digest", buckets),
@@ -64,6 +70,63 @@ def make_batches(df: DataFrame, batch_size: int, drop_last: bool) -> DataFrame:
 BATCH_GROUP = ("epoch", "rank", "batch")
 
 
+def place_batches(
+    df: DataFrame, key: list[str], world_size: int, batch_size: int, drop_last: bool,
+    seed: int = 0, epoch: Column | int | None = None, max_chunks: int = MAX_BUCKETS,
+) -> DataFrame:
+    """Epoch order, ranks and batches in one move of the full rows.
+
+    The same rows as `make_batches(shard_ranks(epoch_shuffle(...)))`. Batches of
+    all ranks with the same number come from one stretch of the epoch's order.
+    A pass over the keys finds where runs of such stretches ("chunks") begin;
+    rows then go straight to their chunk and are numbered there. Collating by
+    `CHUNK_GROUP` needs no second move.
+    """
+    mixed = _mixed(df, key, seed, epoch)
+    rows = mixed.select("epoch").count()
+    stretch = world_size * batch_size
+    run = stretch * max(1, -(-rows // (stretch * max_chunks)))
+    order, buckets = ["_digest", *key], bucket_count(rows, df)
+    # Ranks get equally many rows: the first `short` rows of an epoch are used
+    # once more than the others.
+    short = lambda total: F.pmod(F.ceil(total / world_size) * world_size, total)
+    starts_run = lambda p, n: (F.pmod(p, F.lit(run)) == 0) | (p == short(n))
+    chunk, starts = place_in_runs(
+        mixed, order, ["epoch"], starts_run, {"epoch": F.col("epoch")},
+        bucket=hex_buckets("_digest", buckets),
+    )
+    position = [s["_position"] for s in starts]
+    total = [s["_total"] for s in starts]
+    slots = [-(-n // world_size) * world_size for n in total]
+    uses = [m // n + (p < m % n) for m, n, p in zip(slots, total, position)]
+    # A start that is no multiple of `run` splits a chunk only to count uses.
+    first = [i if p % run == 0 else i - 1 for i, p in enumerate(position)]
+    last = {s["epoch"]: first[i] for i, s in enumerate(starts)}
+    ends = [last[s["epoch"]] for s in starts]
+    at = F.col("_start")
+    used = (
+        mixed.withColumn("_start", chunk)
+        .withColumn("_use", F.explode(F.sequence(F.lit(0).cast("bigint"), lookup(uses, at) - 1)))
+        .withColumn(
+            "chunk", F.when(F.col("_use") == 0, lookup(first, at)).otherwise(lookup(ends, at))
+        )
+    )
+    # Rows used again follow the last row of the epoch, in order.
+    in_chunk = F.row_number().over(W.partitionBy("chunk").orderBy("_use", *order)) - 1
+    slot = lookup(position, F.col("chunk")) + in_chunk
+    placed = (
+        used.withColumn("_slot", slot)
+        .withColumn("rank_rows", lookup([m // world_size for m in slots], F.col("chunk")))
+        .withColumn("rank", F.pmod("_slot", F.lit(world_size)).cast("int"))
+        .withColumn("rank_position", F.floor(F.col("_slot") / world_size))
+        .drop("_start", "_use", "_slot", "_digest")
+    )
+    return make_batches(placed, batch_size, drop_last)
+
+
+CHUNK_GROUP = ("chunk", *BATCH_GROUP)
+
+
 def collate_fixed(
     df: DataFrame, columns=("input_ids", "attention_mask", "label"), group=BATCH_GROUP
 ) -> DataFrame:

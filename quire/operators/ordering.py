@@ -33,6 +33,11 @@ def search_bounds(bounds: list, keys: list[str], fields: list[T.StructField]) ->
     )
 
 
+def bucket_count(rows: int, df: DataFrame) -> int:
+    width = df.sparkSession.sparkContext.defaultParallelism
+    return min(MAX_BUCKETS, max(width, -(-rows // ROWS_PER_BUCKET)))
+
+
 def range_buckets(df: DataFrame, keys: list[str], buckets: int | None = None) -> Column:
     """Key ranges of similar size, from a small sample of the key columns.
 
@@ -42,8 +47,7 @@ def range_buckets(df: DataFrame, keys: list[str], buckets: int | None = None) ->
     only = df.select(*keys)
     rows = only.count()
     if buckets is None:
-        width = df.sparkSession.sparkContext.defaultParallelism
-        buckets = min(MAX_BUCKETS, max(width, -(-rows // ROWS_PER_BUCKET)))
+        buckets = bucket_count(rows, df)
     if buckets <= 1 or rows <= 1:
         return F.lit(0)
     fraction = min(1.0, SAMPLES_PER_BUCKET * buckets / rows)
@@ -59,9 +63,9 @@ def range_buckets(df: DataFrame, keys: list[str], buckets: int | None = None) ->
     return search_bounds(bounds, keys, only.schema.fields)
 
 
-def hex_buckets(digest: str, buckets: int | None = None) -> Column:
+def hex_buckets(digest: str, buckets: int) -> Column:
     """Ranges of an evenly spread hex digest column; needs no sample."""
-    ranges = min(buckets or 1024, MAX_BUCKETS)
+    ranges = min(buckets, MAX_BUCKETS)
     return F.floor(F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") * ranges / 65536)
 
 
@@ -120,3 +124,41 @@ def with_global_index(
 ) -> DataFrame:
     """Add the row's 0-based position in key order, per group if `within` is given."""
     return running_before(df, order_by, F.lit(1), name, within, total=total, **options)
+
+
+def place_in_runs(
+    df: DataFrame,
+    order_by: list[str],
+    within: list[str],
+    starts_run,
+    marks: dict[str, Column] | None = None,
+    **options,
+) -> tuple[Column, list]:
+    """Key ranges that begin exactly where `starts_run(position, total)` holds.
+
+    Works on the key columns alone. Returns the row's range number ("chunk") as
+    a column, and the collected starts: (position, total, and each of `marks`)
+    per range, in key order. Rows grouped by chunk can then be numbered in
+    place, so a table is put in order with one move of its full rows.
+    """
+    keys = [*within, *order_by]
+    only = df.select(*keys)
+    placed = with_global_index(only, order_by, within, "_position", "_total", **options)
+    position, total = F.col("_position"), F.col("_total")
+    extra = [column.alias(name) for name, column in (marks or {}).items()]
+    starts = (
+        placed.where(starts_run(position, total))
+        .select(F.struct(*keys).alias("_key"), position, total, *extra)
+        .orderBy("_key")
+        .withColumn("_key", F.to_json("_key"))
+        .collect()  # one row per range: callers choose runs so these stay few
+    )
+    bounds = [json.loads(r["_key"]) for r in starts]
+    return search_bounds(bounds, keys, only.schema.fields) - 1, starts
+
+
+def lookup(values: list, index: Column) -> Column:
+    """The value of a bigint list at a row's index."""
+    if not values:
+        return F.lit(None).cast("bigint")
+    return F.get(F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>"), index)

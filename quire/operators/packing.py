@@ -6,12 +6,10 @@ batch all sequences are joined and cut; the rest of the batch is dropped, but a
 batch shorter than one block stays as one short block.
 """
 
-import json
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import arrays as ar
-from .ordering import MAX_BUCKETS, running_before, search_bounds, with_global_index
+from .ordering import MAX_BUCKETS, lookup, place_in_runs, running_before
 
 NUM_SHARDS, BATCH_ROWS, BLOCK_SIZE = 5, 1000, 512  # Fixed values: default sizes
 
@@ -45,27 +43,26 @@ def assign_batches(
     batches of a chunk are numbered in place. Grouping by `BATCH_KEYS`
     afterwards needs no further shuffle.
     """
-    keys = [within, *order_by]
-    only = df.select(*keys)
-    positions = with_global_index(only, order_by, [within], "_position", "_total")
-    shard, row = _shard_of(F.col("_position"), F.col("_total"), num_shards)
-    placed = positions.select(*keys, "_total", shard.alias("shard"), row.alias("row"))
-    run = batch_rows * max(1, -(-only.count() // (batch_rows * max_chunks)))
-    starts = (
-        placed.where(F.pmod("row", F.lit(run)) == 0)
-        .select(F.struct(*keys).alias("key"), "shard", "row")
-        .orderBy("key")
-        .select(F.to_json("key").alias("key"), "shard", "row")
-        .collect()  # one per chunk, at most max_chunks + shards
+    rows = df.select(within).count()
+    run = batch_rows * max(1, -(-rows // (batch_rows * max_chunks)))
+
+    def shard(position, total):
+        return _shard_of(position, total, num_shards)[0]
+
+    def row(position, total):
+        return _shard_of(position, total, num_shards)[1]
+
+    place = F.col("_position"), F.col("_total")
+    chunk, starts = place_in_runs(
+        df, order_by, [within], lambda p, n: F.pmod(row(p, n), F.lit(run)) == 0,
+        {"shard": shard(*place), "row": row(*place)},
     )
-    chunk = search_bounds([json.loads(s.key) for s in starts], keys, only.schema.fields) - 1
-    shards = F.split(F.lit(",".join(str(s.shard) for s in starts)), ",").cast("array<int>")
-    firsts = F.split(F.lit(",".join(str(s.row) for s in starts)), ",").cast("array<bigint>")
+    at = F.col("chunk")
     in_chunk = F.row_number().over(W.partitionBy("chunk").orderBy(*order_by)) - 1
     return (
         df.withColumn("chunk", chunk.cast("int"))
-        .withColumn("row_in_shard", F.get(firsts, F.col("chunk")) + in_chunk)
-        .withColumn("shard", F.get(shards, F.col("chunk")))
+        .withColumn("row_in_shard", lookup([s["row"] for s in starts], at) + in_chunk)
+        .withColumn("shard", lookup([s["shard"] for s in starts], at).cast("int"))
         .withColumn("batch", F.floor(F.col("row_in_shard") / batch_rows).cast("int"))
     )
 

@@ -44,11 +44,12 @@ def epoch_batches(
     seed: int = 0, drop_last: bool = True, pad_id: int | None = None, ignore: int = -100,
 ) -> DataFrame:
     """Prepared rows to batches per epoch and rank, padded when `pad_id` is given."""
-    order = bt.epoch_shuffle(bt.expand_epochs(rows, epochs), key, seed)
-    placed = bt.make_batches(bt.shard_ranks(order, world_size), batch_size, drop_last)
+    placed = bt.place_batches(
+        bt.expand_epochs(rows, epochs), key, world_size, batch_size, drop_last, seed
+    )
     if pad_id is None:
-        return bt.collate_fixed(placed)
-    return bt.collate_padded(placed, pad_id, ignore)
+        return bt.collate_fixed(placed, group=bt.CHUNK_GROUP).drop("chunk")
+    return bt.collate_padded(placed, pad_id, ignore, group=bt.CHUNK_GROUP).drop("chunk")
 
 
 def evaluation(predictions: DataFrame, ignore_index=None) -> DataFrame:

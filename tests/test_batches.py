@@ -36,6 +36,22 @@ def test_order_ranks_and_batches(spark, rows, world, size):
             assert len(kept) == len(ids) // size * size
 
 
+@pytest.mark.parametrize(
+    "rows,world,size,chunks", [(10, 4, 2, 9), (3, 8, 1, 9), (97, 3, 4, 2), (64, 4, 4, 99), (1, 5, 2, 1), (0, 2, 2, 9)]
+)
+@pytest.mark.parametrize("drop_last", [True, False])
+def test_one_move_gives_the_same_batches(spark, rows, world, size, chunks, drop_last):
+    df = bt.expand_epochs(spark.range(rows).repartition(3), 2)
+    steps = bt.make_batches(
+        bt.shard_ranks(bt.epoch_shuffle(df, ["id"], 5), world), size, drop_last
+    )
+    once = bt.place_batches(df, ["id"], world, size, drop_last, 5, max_chunks=chunks)
+    columns = ["epoch", "rank", "batch", "slot", "id", "rank_rows", "rank_position"]
+    assert sorted(steps.select(columns).collect()) == sorted(once.select(columns).collect())
+    spread = once.groupBy("epoch", "rank", "batch").agg(F.count_distinct("chunk").alias("n"))
+    assert not spread.where("n > 1").count()
+
+
 def test_wrapped_rows_and_fixed_eval_order(spark):
     one = bt.epoch_shuffle(spark.range(10), ["id"], 3, epoch=0)
     two = bt.epoch_shuffle(spark.range(10), ["id"], 3, epoch=0)

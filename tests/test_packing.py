@@ -42,7 +42,7 @@ def test_remainder_short_block_and_two_batches(spark):
     assert run(spark, [("a", [7, 8, 9])], 4, 1, 1000) == {("a", 0, 0): [[7, 8, 9]]}
     two = run(spark, five, 4, 1, 3)
     assert sum(len(b) for b in two.values()) == 3 and sum(len(x) for b in two.values() for x in b) == 12
-    assert run(spark, [("a", [])], 4, 1, 3) == {}
+    assert run(spark, [("a", [])], 4, 1, 3) == {} == run(spark, [], 4, 1, 3)
 
 
 def test_three_rows_five_shards(spark):
