@@ -86,14 +86,13 @@ def place_batches(
     rows = mixed.select("epoch").count()
     stretch = world_size * batch_size
     run = stretch * max(1, -(-rows // (stretch * max_chunks)))
-    order, buckets = ["_digest", *key], bucket_count(rows, df)
+    order = ["_digest", *key]
     # Ranks get equally many rows: the first `short` rows of an epoch are used
     # once more than the others.
     short = lambda total: F.pmod(F.ceil(total / world_size) * world_size, total)
     starts_run = lambda p, n: (F.pmod(p, F.lit(run)) == 0) | (p == short(n))
     chunk, starts = place_in_runs(
-        mixed, order, ["epoch"], starts_run, {"epoch": F.col("epoch")},
-        bucket=hex_buckets("_digest", buckets),
+        mixed, order, ["epoch"], starts_run, rows, {"epoch": F.col("epoch")}, "_digest"
     )
     position = [s["_position"] for s in starts]
     total = [s["_total"] for s in starts]

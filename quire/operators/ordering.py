@@ -38,14 +38,16 @@ def bucket_count(rows: int, df: DataFrame) -> int:
     return min(MAX_BUCKETS, max(width, -(-rows // ROWS_PER_BUCKET)))
 
 
-def range_buckets(df: DataFrame, keys: list[str], buckets: int | None = None) -> Column:
+def range_buckets(
+    df: DataFrame, keys: list[str], buckets: int | None = None, rows: int | None = None
+) -> Column:
     """Key ranges of similar size, from a small sample of the key columns.
 
     Reads only the key columns, twice. The bounds become literals, so any later
     job (or a recomputed task) puts a row in the same bucket.
     """
     only = df.select(*keys)
-    rows = only.count()
+    rows = only.count() if rows is None else rows
     if buckets is None:
         buckets = bucket_count(rows, df)
     if buckets <= 1 or rows <= 1:
@@ -79,6 +81,7 @@ def running_before(
     total: str | None = None,
     bucket: Column | None = None,
     buckets: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add `name`: the sum (or max) of `value` over all earlier rows of the group.
 
@@ -88,13 +91,13 @@ def running_before(
     """
     within, order_by = list(within), list(order_by)
     if bucket is None:
-        bucket = range_buckets(df, within + order_by, buckets)
+        bucket = range_buckets(df, within + order_by, buckets, rows)
     fold = F.sum if how == "sum" else F.max
     # Never null, so the join below adds no second look at the bucket.
     bucket = F.coalesce(bucket.cast("int"), F.lit(0))
-    rows = df.withColumn("_bucket", bucket).withColumn("_value", value)
+    marked = df.withColumn("_bucket", bucket).withColumn("_value", value)
     group = within + ["_bucket"]
-    folded = rows.groupBy(*group).agg(fold("_value").alias("_fold"))
+    folded = marked.groupBy(*group).agg(fold("_value").alias("_fold"))
     order = W.partitionBy(*within).orderBy("_bucket")  # at most MAX_BUCKETS rows a group
     offsets = folded.select(
         *group,
@@ -111,7 +114,7 @@ def running_before(
     columns = [F.col(c) for c in df.columns] + [result.alias(name)]
     if total:
         columns.append(F.col("_total").alias(total))
-    return rows.join(offsets, group).select(*columns)
+    return marked.join(offsets, group).select(*columns)
 
 
 def with_global_index(
@@ -131,19 +134,25 @@ def place_in_runs(
     order_by: list[str],
     within: list[str],
     starts_run,
+    rows: int,
     marks: dict[str, Column] | None = None,
-    **options,
+    digest: str | None = None,
 ) -> tuple[Column, list]:
     """Key ranges that begin exactly where `starts_run(position, total)` holds.
 
-    Works on the key columns alone. Returns the row's range number ("chunk") as
+    Works on the key columns alone; `rows` is the table's size. `digest` names a
+    leading key that spreads evenly and so needs no sample. Returns the row's range number ("chunk") as
     a column, and the collected starts: (position, total, and each of `marks`)
     per range, in key order. Rows grouped by chunk can then be numbered in
     place, so a table is put in order with one move of its full rows.
     """
     keys = [*within, *order_by]
     only = df.select(*keys)
-    placed = with_global_index(only, order_by, within, "_position", "_total", **options)
+    buckets = min(MAX_BUCKETS, -(-rows // ROWS_PER_BUCKET))  # keys are narrow: no minimum
+    bucket = hex_buckets(digest, buckets) if digest else None
+    placed = with_global_index(
+        only, order_by, within, "_position", "_total", bucket=bucket, buckets=buckets, rows=rows
+    )
     position, total = F.col("_position"), F.col("_total")
     extra = [column.alias(name) for name, column in (marks or {}).items()]
     starts = (

@@ -54,7 +54,7 @@ def assign_batches(
 
     place = F.col("_position"), F.col("_total")
     chunk, starts = place_in_runs(
-        df, order_by, [within], lambda p, n: F.pmod(row(p, n), F.lit(run)) == 0,
+        df, order_by, [within], lambda p, n: F.pmod(row(p, n), F.lit(run)) == 0, rows,
         {"shard": shard(*place), "row": row(*place)},
     )
     at = F.col("chunk")

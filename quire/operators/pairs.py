@@ -1,14 +1,14 @@
 """Subword training by repeated pair merging (byte-pair encoding).
 
-Only the table of distinct words is iterated. A word is held as its symbols,
-each between two marks, so joining a pair is a plain text `replace`, exact and
-leftmost first, and the whole round stays inside Spark expressions.
+Only the table of distinct words is iterated, each word an array of symbol
+numbers. Spark partitions, counts and stores it; within a task a batch of words
+is one flat array, so a merge is a comparison and a shift.
 """
 
 import heapq
-import json
-from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx
@@ -18,12 +18,11 @@ from .vocab import (
     word_counts,
 )
 
-# Marks around a symbol (code points no text may use), and the
-# longest piece learned.
-OPEN, CLOSE = "\ufdd0", "\ufdd1"
+# Fixed value: the longest piece learned.
 MAX_PIECE_CHARS = 16
-CHECKPOINT_MERGES = 24
+CHECKPOINT_MERGES = 64
 WATCHED_PAIRS = 20_000
+FIRST_MADE = 0x110000  # numbers below are code points, from here on made pieces
 
 # Scripts whose letters never share a piece. Han and kana count as one.
 SCRIPTS = [
@@ -51,11 +50,9 @@ def start_symbols(words: DataFrame, split_scripts: bool = True) -> DataFrame:
     Words are cut at unknown characters, which never join anything, and equal
     stretches are folded together.
     """
-    plain = F.translate("word", OPEN + CLOSE, UNKNOWN_CHAR * 2)
-    marked = F.concat(F.lit(tx.SPACE_MARK), plain)
     known = F.flatten(
         F.transform(
-            F.split(marked, UNKNOWN_CHAR + "+"),
+            F.split(F.concat(F.lit(tx.SPACE_MARK), "word"), UNKNOWN_CHAR + "+"),
             lambda part: script_runs(part) if split_scripts else F.array(part),
         )
     )
@@ -64,57 +61,109 @@ def start_symbols(words: DataFrame, split_scripts: bool = True) -> DataFrame:
         .where(F.length("part") > 1)
         .groupBy("part")
         .agg(F.sum("count").alias("count"))
-        .select(
-            F.regexp_replace("part", "(?s)(.)", f"{OPEN}$1{CLOSE}").alias("symbols"), "count"
-        )
+        .select(tx.characters(F.col("part")).alias("symbols"), "count")
     )
 
 
-# Neighbouring symbols of an array column, as (left, right).
-_NEIGHBOURS = (
-    "zip_with(slice({0}, 1, greatest(size({0}) - 1, 0)), slice({0}, 2, size({0})), "
-    "(l, r) -> struct(l AS left, r AS right))"
-)
-
-
-def _split_symbols(symbols) -> Column:
-    return F.split(F.trim(symbols, F.lit(OPEN + CLOSE)), CLOSE + OPEN)
-
-
 def pair_counts(words: DataFrame) -> DataFrame:
     """(left, right, pair_count) of neighbouring symbols over (symbols, count)."""
-    parts = words.select(_split_symbols(F.col("symbols")).alias("parts"), "count")
+    lefts = F.slice("symbols", 1, F.greatest(F.size("symbols") - 1, F.lit(0)))
+    rights = F.slice("symbols", 2, F.size("symbols"))
+    pairs = F.arrays_zip(lefts.alias("left"), rights.alias("right"))
     return (
-        parts.select(F.expr(f"explode({_NEIGHBOURS.format('parts')}) AS pair"), "count")
+        words.select(F.explode(pairs).alias("pair"), "count")
         .groupBy("pair.left", "pair.right")
         .agg(F.sum("count").alias("pair_count"))
     )
 
 
-def pair_changes(words: DataFrame, merges: list[tuple[str, str]], floor: int) -> DataFrame:
-    """How pair counts change when `merges` are made, leaving out new counts <= floor.
+def _flat(symbols: pa.ListArray) -> np.ndarray:
+    """All words of a batch in one array, -1 after each word."""
+    values = symbols.flatten().to_numpy(zero_copy_only=False)
+    sizes = symbols.value_lengths().to_numpy(zero_copy_only=False)
+    flat = np.full(len(values) + len(sizes), -1, np.int32)
+    flat[np.arange(len(values)) + np.repeat(np.arange(len(sizes)), sizes)] = values
+    return flat
+
+
+def _join(flat: np.ndarray, merges: list[tuple[int, int, int]]) -> np.ndarray:
+    """Make (left, right, made) merges in order, leftmost first."""
+    flat = flat.copy()
+    for left, right, made in merges:
+        hit = np.flatnonzero((flat[:-1] == left) & (flat[1:] == right))
+        if left == right and len(hit):  # of overlapping hits take every other one
+            first = np.flatnonzero(np.diff(hit, prepend=-9) != 1)
+            run = np.repeat(first, np.diff(first, append=len(hit)))
+            hit = hit[(np.arange(len(hit)) - run) % 2 == 0]
+        if len(hit):
+            flat[hit] = made
+            flat = np.delete(flat, hit + 1)
+    return flat
+
+
+def _sizes(flat: np.ndarray) -> np.ndarray:
+    return np.diff(np.flatnonzero(flat == -1), prepend=-1) - 1
+
+
+def _weighted_pairs(flat: np.ndarray, counts: np.ndarray):
+    """Pairs as left * 2^32 + right, and the count of the word each is in."""
+    left, right = flat[:-1], flat[1:]
+    inside = (left >= 0) & (right >= 0)
+    word = np.repeat(np.arange(len(counts)), _sizes(flat) + 1)[:-1]
+    return (left[inside].astype(np.int64) << 32) | right[inside], counts[word[inside]]
+
+
+def pair_changes(words: DataFrame, done: list, merges: list, floor: int) -> DataFrame:
+    """How counts change when `merges` are made after `done`, leaving out new
+    counts up to `floor`. Only words holding one of the pairs are counted."""
+
+    def run(batches):
+        for batch in batches:
+            counts = batch.column(1).to_numpy(zero_copy_only=False)
+            before = _join(_flat(batch.column(0)), done)
+            after = _join(before, merges)
+            hit = _sizes(before) != _sizes(after)
+            keys, weights = [], []
+            for flat, sign in ((before, -1), (after, 1)):
+                kept = flat[np.repeat(hit, _sizes(flat) + 1)]
+                pairs, count = _weighted_pairs(kept, counts[hit])
+                keys.append(pairs)
+                weights.append(sign * count)
+            keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+            change = np.zeros(len(keys), np.int64)
+            np.add.at(change, at, np.concatenate(weights))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((keys >> 32).astype(np.int32)),
+                 pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(change)],
+                names=["left", "right", "n"],
+            )
 
-    Only words holding one of the pairs are looked into.
-    """
-    after = join_pairs(F.col("symbols"), merges)
-    parts = words.select("symbols", after.alias("joined"), "count").where("symbols <> joined")
-    sides = [
-        f"transform({_NEIGHBOURS.format(side)}, p -> struct(p.left, p.right, {sign}count AS n))"
-        for side, sign in (("before", "-"), ("after", ""))
-    ]
     return (
-        parts.select(
-            _split_symbols(F.col("symbols")).alias("before"),
-            _split_symbols(F.col("joined")).alias("after"),
-            "count",
-        )
-        .selectExpr(f"explode(concat({', '.join(sides)})) AS pair")
-        .groupBy("pair.left", "pair.right")
-        .agg(F.expr("sum(pair.n) AS pair_count"))
-        .where(f"pair_count < 0 OR pair_count > {floor}")
+        words.select("symbols", "count")
+        .mapInArrow(run, "left int, right int, n bigint")
+        .groupBy("left", "right")
+        .agg(F.sum("n").alias("pair_count"))
+        .where((F.col("pair_count") < 0) | (F.col("pair_count") > floor))
     )
 
 
+def join_symbols(words: DataFrame, merges: list) -> DataFrame:
+    """Words after the merges; words with nothing left to join are done."""
+    if not merges:
+        return words
+
+    def run(batches):
+        for batch in batches:
+            flat = _join(_flat(batch.column(0)), merges)
+            sizes = _sizes(flat)
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            symbols = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[flat >= 0]))
+            out = pa.RecordBatch.from_arrays([symbols, batch.column(1)], names=["symbols", "count"])
+            yield out.filter(pa.array(sizes > 1))
+
+    return words.select("symbols", "count").mapInArrow(run, "symbols array<int>, count bigint")
+
+
 def _order(pair):
     """Best pair first: count, then shorter piece, then its text, then shorter left."""
     (left, right), count = pair
@@ -161,16 +210,6 @@ def safe_merges(best: list, made: set, room: int) -> list:
     return [c for i, c in enumerate(chosen) if i == 0 or c[1] > floor]
 
 
-def join_pairs(symbols: Column, merges: list[tuple[str, str]]) -> Column:
-    """Make the merges in order. They travel as one array, so the expression has
-    the same shape, and the same compiled code, in every round."""
-    found = [f"{OPEN}{left}{CLOSE}{OPEN}{right}{CLOSE}" for left, right in merges]
-    joined = [f"{OPEN}{left}{right}{CLOSE}" for left, right in merges]
-    pairs = json.dumps([{"f": f, "j": j} for f, j in zip(found, joined)])
-    table = F.from_json(F.lit(pairs), "array<struct<f:string,j:string>>")
-    return F.aggregate(table, symbols, lambda s, m: F.replace(s, m["f"], m["j"]))
-
-
 def cover_words(words: DataFrame, chars: DataFrame) -> DataFrame:
     """Put the unknown mark in place of characters outside the coverage."""
     rare = [r.char for r in chars.where(~F.col("kept")).select("char").collect()]  # <= Unicode
@@ -190,42 +229,64 @@ def learn_merges(
 ) -> list[tuple[tuple[str, str], int]]:
     """Up to `merges` of ((left, right), count), in the order they are learned.
 
-    The driver watches the commonest pairs only. A pair's count never grows
-    after the round that creates it, so pairs outside the watched ones stay at
-    or below `floor`, and watching is exact until the best one sinks to it.
-    Each round is one job over the words that hold a chosen pair; its result is
-    as small as the vocabulary. The word table is stored in the shared folder
-    every `CHECKPOINT_MERGES` merges.
+    Takes (symbols, count) with single characters as symbols. The driver watches
+    the commonest pairs only. A pair's count never grows after the round that
+    creates it, so pairs outside the watched ones stay at or below `floor`, and
+    watching is exact until the best one sinks to it. Each round is one job over
+    the words that hold a chosen pair; its result is as small as the vocabulary.
+    The word table is stored in the shared folder every `CHECKPOINT_MERGES`
+    merges.
     """
     spark = words.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = _keep(words.repartition(max(width, spark.sparkContext.defaultParallelism)))
-    made, learned, pending, counts, floor = set(made), [], [], {}, 0
+    numbers = F.transform("symbols", lambda c: F.ascii(c))  # code point
+    table = words.select(numbers.alias("symbols"), F.col("count").cast("bigint").alias("count"))
+    table = _keep(table.repartition(max(width, spark.sparkContext.defaultParallelism)))
+    letters = table.select(F.explode("symbols").alias("n")).distinct().collect()  # <= Unicode
+    names = {r.n: chr(r.n) for r in letters}
+    number = {piece: n for n, piece in names.items()}
+    made, learned, pending, counts, floor = set(made) | set(number), [], [], {}, 0
+
+    def all_pairs():
+        known = spark.createDataFrame(list(names.items()), "n int, piece string")
+        known = F.broadcast(known)  # letters and made pieces: Unicode and vocabulary size
+        pairs = pair_counts(table)
+        for side in ("left", "right"):
+            pairs = pairs.join(known.withColumnsRenamed({"n": side, "piece": f"{side}_piece"}), side)
+        return pairs.select(
+            F.col("left_piece").alias("left"), F.col("right_piece").alias("right"), "pair_count"
+        )
+
     while len(learned) < merges:
         room = min(per_round, merges - len(learned))
         above = [p for p in counts.items() if p[1] > floor]
         fresh = safe_merges(heapq.nsmallest(per_round * 4, above, key=_order), made, room)
         if not fresh:
-            table, pending = _keep(_apply(table, pending), table), []
-            best = ranked(pair_counts(table), watched, max_piece_chars)
+            table, pending = _keep(join_symbols(table, pending), table), []
+            best = ranked(all_pairs(), watched, max_piece_chars)
             counts, floor = dict(best), best[-1][1] if len(best) == watched else 0
             fresh = safe_merges(best[: per_round * 4], made, room)
         if not fresh:  # everything watched is a piece already
-            fresh = ranked(_without(pair_counts(table), made), 1, max_piece_chars)
+            fresh = ranked(_without(all_pairs(), made), 1, max_piece_chars)
         if not fresh:
             break
-        chosen = [pair for pair, _ in fresh]
+        chosen = []
+        for (left, right), _ in fresh:
+            piece = left + right
+            number[piece] = FIRST_MADE + len(learned) + len(chosen)
+            names[number[piece]] = piece
+            chosen.append((number[left], number[right], number[piece]))
         learned += fresh
-        made.update(left + right for left, right in chosen)
-        changes = pair_changes(_apply(table, pending), chosen, floor).collect()
-        for r in changes:
-            if r.pair_count > 0 and len(r.left + r.right) <= max_piece_chars:
-                counts[r.left, r.right] = r.pair_count
-            elif (r.left, r.right) in counts:
-                counts[r.left, r.right] += r.pair_count
+        made.update(left + right for (left, right), _ in fresh)
+        for r in pair_changes(table, pending, chosen, floor).collect():
+            pair = names[r.left], names[r.right]
+            if r.pair_count > 0 and len(pair[0] + pair[1]) <= max_piece_chars:
+                counts[pair] = r.pair_count
+            elif pair in counts:
+                counts[pair] += r.pair_count
         pending += chosen
         if len(pending) >= CHECKPOINT_MERGES:
-            table, pending = _keep(_apply(table, pending), table), []
+            table, pending = _keep(join_symbols(table, pending), table), []
     table.unpersist()
     return learned
 
@@ -238,14 +299,6 @@ def _keep(table: DataFrame, before: DataFrame | None = None) -> DataFrame:
     return stored
 
 
-def _apply(table: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
-    """Words after the merges; words with nothing left to join are done."""
-    if not merges:
-        return table
-    joined = table.select(join_pairs(F.col("symbols"), merges).alias("symbols"), "count")
-    return joined.where(F.instr("symbols", CLOSE + OPEN) > 0)
-
-
 def _without(pairs: DataFrame, made: set) -> DataFrame:
     spark = pairs.sparkSession
     known = spark.createDataFrame([(p,) for p in made], "piece string")  # at most vocab_size

@@ -2,7 +2,6 @@
 
 from ..functions.text import DELIMITERS, WHITESPACE
 from ..operators.instructions import PROMPT
-from ..operators.pairs import CLOSE, OPEN
 
 SPACES = "[" + "".join("\\x{%x}" % ord(c) for c in WHITESPACE) + "]"
 SPLIT = (
@@ -134,6 +133,9 @@ rendered AS (
   FROM records WHERE instruction IS NOT NULL)"""
 
 
+# Marks around a symbol in the word table below.
+OPEN, CLOSE = chr(0xFDD0), chr(0xFDD1)
+
 # Letters of one script, or a stretch of anything else; enough for these texts.
 _RUNS = "▁?(?:[\\p{Latin}\\p{Inherited}]+|[^\\p{Latin}▁]+)|▁"
 
