@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import pairs, sentences as sn, subsets, vocab as vb
+from ..operators.ordering import with_global_index
 from ..session import cut_lineage, new_path
 from ..sources import files, processed, vocab_file
-from . import sql_parts as q
+from . import preparation, sql_parts as q
 from .fixtures import documents, stored_vocabulary, table, texts, word_vocabulary
 from .registry import query
 
@@ -170,10 +171,7 @@ def concat_splits(spark, sf_dir):
     """Train, then validation, then test, numbered through."""
     docs = documents(spark, sf_dir)
     parts = {s: docs.where(F.col("split") == s).select("doc_id") for s in sn.SPLIT_ORDER}
-    joined = sn.concat_splits(parts)
-    from ..operators.ordering import with_global_index
-
-    return with_global_index(joined, ["split_ord", "doc_id"])
+    return with_global_index(sn.concat_splits(parts), ["split_ord", "doc_id"])
 
 
 @query(f"WITH {q.DOCS} SELECT doc_id, split FROM docs")
@@ -287,3 +285,21 @@ UNION ALL SELECT 'added pieces', count(*) FILTER (origin = 'extra') FROM merged
 UNION ALL SELECT piece, id FROM merged WHERE piece IN ('<unk>', '<s>', '</s>')"""))
 def vocab_report(spark, sf_dir):
     return vb.vocab_report(merged_vocabulary(spark, sf_dir))
+
+
+@query(f"""WITH RECURSIVE {q.word_counts(name='dw')}, {q.vocab(counts='dw')},
+{q.sentences('benchmark', 'item_id')}, {q.trained(TRAINED_SIZE)},
+reserved AS (
+  SELECT i::INT AS id, ['<unk>', '<s>', '</s>'][i + 1] AS piece FROM range(3) t(i)
+  UNION ALL SELECT (3 + b)::INT, printf('<0x%02X>', b) FROM range(256) t(b)),
+base AS (SELECT id, piece, 'base' AS origin FROM reserved UNION ALL SELECT id, piece, 'base' FROM vocab)
+SELECT * FROM base UNION ALL
+SELECT ((SELECT count(*) FROM base) + row_number() OVER (ORDER BY id) - 1)::INT, piece, 'extra'
+FROM bpe WHERE piece NOT IN (SELECT piece FROM base)""")
+def extended_vocabulary(spark, sf_dir):
+    """Sentences of the second corpus, pieces learned on them, appended to the
+    first corpus' vocabulary."""
+    base = word_vocabulary(spark, sf_dir)
+    items = table(spark, sf_dir, "benchmark")
+    grown = preparation.extended_vocabulary(items, base, TRAINED_SIZE, MARKS)
+    return grown.select("id", "piece", "origin")

@@ -3,11 +3,15 @@
 from pyspark.sql import functions as F
 
 from ..functions import arrays as ar, text as tx
-from ..operators import batches as bt, metrics as mt, userfn
+from ..operators import batches as bt, metrics as mt, packing as pk, userfn
+from ..operators.tokenize import tokenize
 from ..session import new_path
+from ..sources import processed
 from ..streaming import streams
 from . import preparation, sql_parts as q
-from .fixtures import batch_losses, documents, predictions, table, texts
+from .fixtures import (
+    batch_losses, documents, predictions, split_of, table, texts, word_vocabulary,
+)
 from .queries_tokens import TOKENS, _encoded_sql, encoded, word_tokens
 from .registry import query
 
@@ -71,6 +75,12 @@ def eval_batches(spark, sf_dir):
     return placed.drop("rank_position", "rank_rows")
 
 
+def stored(spark, rows):
+    path = new_path(spark, "prepared")
+    processed.write_processed(rows, path)
+    return processed.read_processed(spark, path)
+
+
 def stacked(column):
     rows = f"[array_to_string(r, ' ') FOR r IN {column}]"
     return f"array_to_string({rows}, '|')"
@@ -88,11 +98,10 @@ placed AS (SELECT * EXCLUDE (batch), rank_position // 4 AS batch FROM ranked
 SELECT epoch, rank, batch, {stacked('list(input_ids ORDER BY rank_position)')} AS ids,
   list_sum(flatten(list([1 FOR i IN input_ids])))::BIGINT AS mask_sum FROM placed GROUP BY ALL""")
 def collate_fixed(spark, sf_dir):
-    from ..operators import packing as pk
-
     tokens = word_tokens(spark, sf_dir).select("split", "doc_id", "input_ids")
-    blocks = pk.pack_blocks(pk.assign_batches(tokens, ["doc_id"]), ["doc_id"])
-    whole = blocks.where(F.size("input_ids") == 512)
+    packed = pk.pack_blocks(pk.assign_batches(tokens, ["doc_id"]), ["doc_id"])
+    # Batches are cut from the stored blocks, as a trainer would read them.
+    whole = stored(spark, packed).where(F.size("input_ids") == 512)
     named = whole.select(
         F.concat_ws("-", "split", "shard", "batch", "block").alias("name"),
         "input_ids", "attention_mask", "label",
@@ -119,7 +128,8 @@ SELECT epoch, rank, batch, {stacked('list(input_ids ORDER BY rank_position)')} A
   {stacked('list(labels ORDER BY rank_position)')} AS labels,
   sum(len([x FOR x IN input_ids IF x <> 0]))::BIGINT AS mask_sum FROM padded GROUP BY ALL""".lstrip()))
 def collate_padded(spark, sf_dir):
-    rows = encoded(spark, sf_dir).withColumn("k", F.col("conv_id") * 1000 + F.col("turn"))
+    rows = stored(spark, encoded(spark, sf_dir).withColumn("split", F.lit("train")))
+    rows = rows.drop("split").withColumn("k", F.col("conv_id") * 1000 + F.col("turn"))
     batches = preparation.epoch_batches(
         rows.drop("conv_id", "turn"), ["k"], 3, 4, EPOCHS, SEED, drop_last=False, pad_id=0
     )
@@ -289,9 +299,6 @@ def stream_word_counts(spark, sf_dir):
 SELECT split, shard::INT AS shard, batch::INT AS batch, block::INT AS block,
   {q.joined('input_ids')} AS ids FROM blocks""")
 def stream_blocks(spark, sf_dir):
-    from ..operators.tokenize import tokenize
-    from .fixtures import split_of, word_vocabulary
-
     vocab = word_vocabulary(spark, sf_dir)
     rows = _stream(spark, sf_dir).select("doc_id", "text", split_of(F.col("doc_id")).alias("split"))
     tokens = tokenize(rows, vocab, mode="whitespace").select("split", "doc_id", "input_ids")

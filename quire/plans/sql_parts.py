@@ -38,9 +38,9 @@ sentences AS (
   FROM kept)"""
 
 
-def word_counts(source="documents", text="text"):
+def word_counts(source="documents", text="text", name="wc"):
     return f"""
-wc AS (
+{name} AS (
   SELECT word, count(*) AS cnt
   FROM (SELECT unnest({words(text)}) AS word FROM {source}) GROUP BY word)"""
 
@@ -48,11 +48,11 @@ wc AS (
 BYTES = "bytes AS (SELECT printf('%02X', b) AS h, (b + 3)::INT AS id FROM range(256) t(b))"
 
 
-def vocab(size=30000):
+def vocab(size=30000, counts="wc"):
     return f"""
 vocab AS (
   SELECT (258 + row_number() OVER (ORDER BY cnt DESC, word))::INT AS id, word AS piece
-  FROM wc ORDER BY cnt DESC, word LIMIT {size - 259})"""
+  FROM {counts} ORDER BY cnt DESC, word LIMIT {size - 259})"""
 
 
 def coded(units, vocab="vocab", name="coded"):
