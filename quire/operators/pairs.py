@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_stored, store
 from .vocab import (
     FIRST_WORD_ID, UNKNOWN_CHAR, char_counts, char_coverage, reserved_pieces, within_bytes,
     word_counts,
@@ -241,7 +241,8 @@ def learn_merges(
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     numbers = F.transform("symbols", lambda c: F.ascii(c))  # code point
     table = words.select(numbers.alias("symbols"), F.col("count").cast("bigint").alias("count"))
-    table = _keep(table.repartition(max(width, spark.sparkContext.defaultParallelism)))
+    table = table.repartition(max(width, spark.sparkContext.defaultParallelism))
+    table, path = _keep(table)
     letters = table.select(F.explode("symbols").alias("n")).distinct().collect()  # <= Unicode
     names = {r.n: chr(r.n) for r in letters}
     number = {piece: n for n, piece in names.items()}
@@ -262,7 +263,7 @@ def learn_merges(
         above = [p for p in counts.items() if p[1] > floor]
         fresh = safe_merges(heapq.nsmallest(per_round * 4, above, key=_order), made, room)
         if not fresh:
-            table, pending = _keep(join_symbols(table, pending), table), []
+            (table, path), pending = _keep(join_symbols(table, pending), table, path), []
             best = ranked(all_pairs(), watched, max_piece_chars)
             counts, floor = dict(best), best[-1][1] if len(best) == watched else 0
             fresh = safe_merges(best[: per_round * 4], made, room)
@@ -286,17 +287,20 @@ def learn_merges(
                 counts[pair] += r.pair_count
         pending += chosen
         if len(pending) >= CHECKPOINT_MERGES:
-            table, pending = _keep(join_symbols(table, pending), table), []
+            (table, path), pending = _keep(join_symbols(table, pending), table, path), []
     table.unpersist()
+    drop_stored(spark, path)
     return learned
 
 
-def _keep(table: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """Stored in the shared folder, and cached so rounds need not read it there."""
-    stored = cut_lineage(table).persist()
+def _keep(table: DataFrame, before: DataFrame | None = None, path: str | None = None):
+    """Store the table in the shared folder in place of the one before, and
+    cache it: rounds read memory, and a lost executor's part is read again."""
+    stored, new = store(table, "words")
     if before is not None:
         before.unpersist()
-    return stored
+        drop_stored(table.sparkSession, path)
+    return stored.persist(), new
 
 
 def _without(pairs: DataFrame, made: set) -> DataFrame:

@@ -64,6 +64,8 @@ class Vocabulary:
         self.bytes = [self.ids.get(f"<0x{b:02X}>", ar.UNK) for b in range(256)]
         self.special = {p: self.ids[p] for p in SPECIAL_PIECES if p in self.ids}
         self.scores = {piece: score for _, piece, score in entries if piece not in reserved}
+        self.bigrams = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
+        self.segment = lru_cache(maxsize=1 << 18)(self._segment)
         self.cuttable = not any(tx.SPACE_MARK in p.lstrip(tx.SPACE_MARK) for p in self.scores)
 
     def lookup(self, unit: str) -> list[int]:
@@ -71,11 +73,22 @@ class Vocabulary:
         return [self.bytes[b] for b in unit.encode()] if found is None else [found]
 
     def merge(self, unit: str) -> list[int]:
-        """Join the adjacent pair with the best score, leftmost first, until no
-        pair forms a piece."""
+        """Ids of one unit. Two characters that stand side by side in no piece
+        can never end up in one, so the unit is cut there and repeated segments
+        are looked up; this is what keeps text without spaces fast."""
         if unit in self.special:
             return [self.special[unit]]
-        parts = list(unit.replace(" ", tx.SPACE_MARK))
+        text, ids, start = unit.replace(" ", tx.SPACE_MARK), [], 0
+        for i in range(1, len(text)):
+            if text[i - 1 : i + 1] not in self.bigrams:
+                ids += self.segment(text[start:i])
+                start = i
+        return ids + self.segment(text[start:])
+
+    def _segment(self, text: str) -> list[int]:
+        """Join the adjacent pair with the best score, leftmost first, until no
+        pair forms a piece."""
+        parts = list(text)
         joined = self._join_short(parts) if len(parts) <= 40 else self._join_long(parts)
         return [t for p in joined for t in self.lookup(p)]
 

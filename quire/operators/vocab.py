@@ -17,12 +17,16 @@ FIRST_BYTE_ID = 3  # Fixed value: id of <0x00>; the 256 byte pieces are consecut
 FIRST_WORD_ID = FIRST_BYTE_ID + 256
 
 
-def check_bounded(vocab: DataFrame, limit: int = MAX_PIECES) -> list:
-    """The vocabulary's rows, or ValueError when it is too large to hold."""
+def check_size(vocab: DataFrame, limit: int = MAX_PIECES) -> DataFrame:
+    """The vocabulary, or ValueError when it is too large to hold."""
     size = vocab.agg(F.count("*").alias("n"), F.sum(F.octet_length("piece")).alias("bytes")).first()
     if size.n > limit or (size.bytes or 0) > MAX_PIECE_BYTES:
         raise ValueError(f"vocabulary of {size.n} pieces, {size.bytes} bytes is too large to hold")
-    return vocab.collect()
+    return vocab
+
+
+def check_bounded(vocab: DataFrame, limit: int = MAX_PIECES) -> list:
+    return check_size(vocab, limit).collect()
 
 
 def most_common(counts: DataFrame, k: int, count: str = "count", name: str = "word") -> DataFrame:

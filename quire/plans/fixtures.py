@@ -1,6 +1,6 @@
 """How the given tables stand in for corpora, records, losses and predictions."""
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.vocab import top_word_vocab, word_counts
 from ..session import cut_lineage, shared_folder
@@ -50,21 +50,22 @@ def word_vocabulary(spark, sf_dir, vocab_size=30000) -> DataFrame:
 
 def instruction_records(spark, sf_dir) -> DataFrame:
     """User turn and the assistant turn after it; a system turn just before is
-    the input."""
+    the input.
+
+    Each turn is sent to the number of the user turn it can belong to, so the
+    groups are single records even when one conversation holds most turns.
+    """
     turns = table(spark, sf_dir, "conversations")
-    order = W.partitionBy("conv_id").orderBy("turn")
-    seen = turns.select(
-        "conv_id", "turn", "role", "text",
-        F.lag("role").over(order).alias("role_before"),
-        F.lag("text").over(order).alias("text_before"),
-        F.lead("role").over(order).alias("role_after"),
-        F.lead("text").over(order).alias("text_after"),
-    )
-    return seen.where((F.col("role") == "user") & (F.col("role_after") == "assistant")).select(
-        "conv_id", "turn",
-        F.col("text").alias("instruction"),
-        F.when(F.col("role_before") == "system", F.col("text_before")).alias("input"),
-        F.col("text_after").alias("output"),
+    role, text = F.col("role"), F.col("text")
+    shift = F.when(role == "assistant", -1).when(role == "system", 1).otherwise(0)
+    return (
+        turns.groupBy("conv_id", (F.col("turn") + shift).alias("turn"))
+        .agg(
+            F.max(F.when(role == "user", text)).alias("instruction"),
+            F.max(F.when(role == "system", text)).alias("input"),
+            F.max(F.when(role == "assistant", text)).alias("output"),
+        )
+        .where(F.col("instruction").isNotNull() & F.col("output").isNotNull())
     )
 
 

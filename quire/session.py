@@ -14,6 +14,7 @@ def build_session(app="quire", master=None, shuffle_partitions=None, **conf):
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Token arrays are wide rows: smaller Arrow batches bound Python memory.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         **conf,
@@ -53,3 +54,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write `df` as a table in the shared folder; the table and its path."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.vocab import check_size
+
 
 
 def read_vocab(spark: SparkSession, path: str, origin: str = "base") -> DataFrame:
@@ -11,6 +13,8 @@ def read_vocab(spark: SparkSession, path: str, origin: str = "base") -> DataFram
     whatever the split size.
     """
     text = spark.read.text(path, wholetext=True)
+    if len(text.inputFiles()) != 1:
+        raise ValueError("a vocabulary is one file: line numbers are its ids")
     body = F.regexp_replace("value", "\n\\z", "")
     lines = text.select(F.posexplode(F.split(body, "\n")).alias("id", "line"))
     return lines.select(
@@ -24,4 +28,4 @@ def read_vocab(spark: SparkSession, path: str, origin: str = "base") -> DataFram
 def write_vocab(vocab: DataFrame, path: str) -> None:
     """Write in id order as one file, the form other tools read."""
     line = F.concat_ws("\t", "piece", F.col("score").cast("string"))
-    vocab.coalesce(1).sortWithinPartitions("id").select(line).write.text(path)
+    check_size(vocab).coalesce(1).sortWithinPartitions("id").select(line).write.text(path)

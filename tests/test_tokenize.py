@@ -46,7 +46,7 @@ def test_extended_vocabulary_gives_nine_pieces(spark):
 
 def plain_bpe(text, scores):
     """Best-scored neighbours first, leftmost on ties, over the whole text."""
-    parts = list(" ".replace(" ", "▁") + text.replace(" ", "▁")) if text else []
+    parts = list("▁" + text.replace(" ", "▁")) if text else []
     while True:
         best = None
         for i in range(len(parts) - 1):
@@ -71,6 +71,7 @@ def test_merging_equals_the_plain_rule(spark, seed):
         rng.choice(["", "▁"]) + word(4) for _ in range(40)]))
     scores = [float(rng.choice([0, -1, -2, -3, -50])) for _ in pieces]
     texts = ["  ".join(word(9) for _ in range(rng.randint(0, 6))) for _ in range(30)]
+    texts += [word(9) * 30 + "卵" + word(9) * 30 for _ in range(5)]
     texts += [" lead", "trail  ", "   ", "", "a\nb\tc", "abcabc" * 200]
     table = dict(zip(pieces, scores))
     assert run(spark, texts, make(spark, pieces, scores)) == [plain_bpe(t, table) for t in texts]

@@ -154,3 +154,9 @@ def test_vocabulary_size_and_long_lines(spark):
     vocab = pairs.train_bpe(df, 259 + 5 + 2, coverage=1.0, max_bytes=20)
     assert vocab.count() == 266
     assert not vocab.where("piece like '%x%' and id >= 259").count()
+
+
+def test_characters_beyond_the_first_plane(spark):
+    df = spark.createDataFrame([("\U00020000\U00020001 " * 3,)], "sentence string")
+    pieces = {r.piece for r in pairs.train_bpe(df, 300, coverage=1.0).collect() if r.id >= 259}
+    assert "\U00020000" in pieces and "▁\U00020000\U00020001" in pieces
