@@ -33,17 +33,16 @@ def assign_batches(
     order_by: list[str],
     num_shards: int = NUM_SHARDS,
     batch_rows: int = BATCH_ROWS,
-    within: str = "split",
     max_chunks: int = MAX_BUCKETS,
 ) -> DataFrame:
-    """Add `chunk`, `shard`, `batch` (per shard) and `row_in_shard`.
+    """Add `chunk`, `shard`, `batch` (per shard) and `row_in_shard`, by `split`.
 
     A first pass over the key columns alone finds the keys where runs of whole
     batches ("chunks") begin. Full rows are then moved once, by chunk, and the
     batches of a chunk are numbered in place. Grouping by `BATCH_KEYS`
     afterwards needs no further shuffle.
     """
-    rows = df.select(within).count()
+    rows = df.select("split").count()
     run = batch_rows * max(1, -(-rows // (batch_rows * max_chunks)))
 
     def shard(position, total):
@@ -54,7 +53,7 @@ def assign_batches(
 
     place = F.col("_position"), F.col("_total")
     chunk, starts = place_in_runs(
-        df, order_by, [within], lambda p, n: F.pmod(row(p, n), F.lit(run)) == 0, rows,
+        df, order_by, ["split"], lambda p, n: F.pmod(row(p, n), F.lit(run)) == 0, rows,
         {"shard": shard(*place), "row": row(*place)},
     )
     at = F.col("chunk")

@@ -15,8 +15,6 @@ def build_session(app="quire", master=None, shuffle_partitions=None, **conf):
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-        # Token arrays are wide rows: smaller Arrow batches bound Python memory.
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         **conf,
     }
     if shuffle_partitions:
@@ -32,8 +30,10 @@ def shared_folder(spark: SparkSession) -> str:
     Where the setting is missing a local session makes its own temporary
     folder; on a cluster that would not be shared, so it is an error there.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "quire.shared.folder", None
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("quire.shared.folder", None)
     )
     if not folder:
         if not spark.sparkContext.master.startswith("local"):

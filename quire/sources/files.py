@@ -19,35 +19,40 @@ def check_source(dataset_dir=None, train_file=None, eval_file=None, file_type=No
 
 
 def read_splits(
-    spark: SparkSession, files: dict[str, str | list[str]], fmt: str, schema=None
+    spark: SparkSession, files: dict[str, str | list[str]], fmt: str, schema=None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Files of one format, one entry per split, as one table with `split`.
 
     Give a `schema` for large inputs: without one, json and csv are read twice.
+    A csv file whose values may hold line breaks is read by one task; pass
+    `multi_line=False` where they hold none, so that large files are cut up.
     """
     if fmt not in FORMATS:
         raise ValueError(f"file type must be one of {sorted(FORMATS)}")
-    parts = [_read(spark, path, FORMATS[fmt], schema).withColumn("split", F.lit(name))
-             for name, path in files.items()]
+    parts = [
+        _read(spark, path, FORMATS[fmt], schema, multi_line).withColumn("split", F.lit(name))
+        for name, path in files.items()
+    ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _read(spark, path, source, schema):
+def _read(spark, path, source, schema, multi_line):
     reader = spark.read.schema(schema) if schema and source != "text" else spark.read
     if source == "text":
         return reader.text(path).withColumnRenamed("value", "text")
     if source == "csv":
-        return reader.csv(path, header=True, multiLine=True, escape='"')
+        return reader.csv(path, header=True, multiLine=multi_line, escape='"')
     return reader.json(path)
 
 
-def read_dataset(spark: SparkSession, directory: str, subset: str, fmt: str = "json",
+def read_dataset(spark: SparkSession, directory: str, subset: str | None, fmt: str = "json",
                  splits=("train", "validation", "test"), schema=None) -> DataFrame:
-    """A named subset of a dataset directory: every split file it holds.
+    """A dataset directory, or a named subset of it: every split file it holds.
 
     Files are `directory/subset/<split>*`; a split without files is left out.
     """
-    base = f"{directory}/{subset}"
+    base = f"{directory}/{subset}" if subset else directory
     files = {s: f"{base}/{s}*" for s in splits if _exists(spark, f"{base}/{s}*")}
     if not files:
         raise ValueError(f"no split files under {base}")
