@@ -95,15 +95,17 @@ def symbol_table(spark, words):
     return spark.createDataFrame(rows, "symbols array<string>, count long").repartition(3)
 
 
-@pytest.mark.parametrize("seed,watched,longest", [(0, 20000, 16), (1, 12, 16), (2, 3, 4), (3, 1, 16)])
-def test_rounds_equal_one_merge_at_a_time(spark, seed, watched, longest):
+@pytest.mark.parametrize(
+    "seed,watched,longest,merges", [(0, 20000, 16, 25), (1, 12, 16, 20), (2, 3, 4, 8), (3, 1, 16, 6)]
+)
+def test_rounds_equal_one_merge_at_a_time(spark, seed, watched, longest, merges):
     """Few letters make ties, repeats and equal pieces from different pairs."""
     rng = random.Random(seed)
     words = Counter()
     for _ in range(60):
         words["".join(rng.choice("abc") for _ in range(rng.randint(2, 9)))] += rng.randint(1, 4)
-    want = plain_merges({tuple(w): n for w, n in words.items()}, 25, "abc", longest)
-    got = pairs.learn_merges(symbol_table(spark, words), 25, set("abc"), longest, watched=watched)
+    want = plain_merges({tuple(w): n for w, n in words.items()}, merges, "abc", longest)
+    got = pairs.learn_merges(symbol_table(spark, words), merges, set("abc"), longest, watched=watched)
     assert got == want
 
 
