@@ -24,7 +24,7 @@ def database():
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_equals_its_sql(spark, database, name):
     got = entry.queries()[name](spark, DATA).toPandas()
     want = database.execute(entry.oracle_sql()[name]).fetchdf()
