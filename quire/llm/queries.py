@@ -1,6 +1,6 @@
 """One query for each operator, over its whole table."""
 
-from . import decontamination
+from . import decontamination, substrings
 
 QUERIES, SQL = {}, {}
 
@@ -47,3 +47,17 @@ FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)""")
 def op4_decontamination(spark, sf_dir):
     return decontamination.contamination_report(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(f"""WITH d AS (SELECT doc_id, coalesce({SPACED.format(text='text')}, []) AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) AS p FROM (
+  SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+least_doc AS (SELECT p, min(doc_id) AS m FROM win GROUP BY p),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM win JOIN least_doc USING (p) WHERE doc_id > m),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+each_word AS (SELECT doc_id, generate_subscripts(w, 1) AS k, unnest(w) AS word FROM d),
+rest AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t FROM each_word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN rest USING (doc_id)""")
+def op10_substring_dedup(spark, sf_dir):
+    return substrings.substring_report(table(spark, sf_dir, "documents"))
