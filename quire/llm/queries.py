@@ -1,6 +1,6 @@
 """One query for each operator, over its whole table."""
 
-from . import decontamination, substrings
+from . import decontamination, near_duplicates, substrings
 
 QUERIES, SQL = {}, {}
 
@@ -61,3 +61,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, s
 FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN rest USING (doc_id)""")
 def op10_substring_dedup(spark, sf_dir):
     return substrings.substring_report(table(spark, sf_dir, "documents"))
+
+
+@query(f"""WITH RECURSIVE d AS (SELECT doc_id, coalesce({SPACED.format(text=LOWERED)}, []) AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 2 THEN [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]
+    WHEN len(w) = 1 THEN w ELSE [] END) AS s FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)""")
+def op1_near_duplicates(spark, sf_dir):
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
