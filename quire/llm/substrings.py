@@ -44,12 +44,13 @@ WIDTH = 13
 #: Text bytes whose anchors share a bucket; some 1.3 million anchors.
 BUCKET_BYTES = 20 << 20
 #: Anchors or windows that a task holds before it sends them on.
-HELD = 1 << 20
+HELD = 1 << 19
 #: Bits of the filter over shared anchors: 16 MB.
 FILTER_BITS = 1 << 27
 
 _ANCHORS = "bucket bigint, docs binary, owners binary, keys binary"
 _WINDOWS = "bucket bigint, docs binary, owners binary, places binary, keys binary, rest binary"
+_FOUND = "part bigint, docs binary, sizes binary, starts binary"
 _HITS = "doc_id bigint, starts binary"
 
 
@@ -263,34 +264,56 @@ def _starts(doc, place):
         yield d, np.unique(place[rows]).astype("<i4").tobytes()
 
 
-def _name_repeats(key, packed):
-    """One bucket's windows to (document, window starts)."""
-    columns = [packed.column(c).to_pylist() for c in ("docs", "owners", "places", "keys", "rest")]
-    docs, starts = [], []
-    if key[0].as_py() < 0:
-        for d, sizes, data, *_ in zip(*columns):
-            docs.extend(np.frombuffer(d, "<i8").tolist())
-            ends = np.cumsum(np.frombuffer(sizes, "<i8")).tolist()
-            starts.extend(data[i:j] for i, j in zip([0, *ends], ends))
-    else:
-        parts = [(np.frombuffer(d, "<i8")[_undeltas(o)], _undeltas(p), _unplanes(k, 8), _unplanes(r, 2))
-                 for d, o, p, k, r in zip(*columns)]
-        doc, place, a, b = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((b, a))
-        doc, place, a, b = doc[order], place[order], a[order], b[order]
-        head = _heads(a, b)
-        late = doc > np.repeat(np.minimum.reduceat(doc, head), np.diff(np.append(head, len(doc))))
-        for d, data in _starts(doc[late], place[late]):
-            docs.append(d)
-            starts.append(data)
-    return pa.table({"doc_id": pa.array(docs, pa.int64()), "starts": pa.array(starts, pa.binary())})
+def _name_repeats(n_parts):
+    """One bucket's windows to repeats, packed by part of the documents."""
+
+    def run(key, packed):
+        columns = [packed.column(c).to_pylist() for c in ("docs", "owners", "places", "keys", "rest")]
+        docs, starts = [], []
+        if key[0].as_py() < 0:
+            for d, sizes, data, *_ in zip(*columns):
+                docs.extend(np.frombuffer(d, "<i8").tolist())
+                starts.extend(_cut(sizes, data))
+        else:
+            parts = [(np.frombuffer(d, "<i8")[_undeltas(o)], _undeltas(p), _unplanes(k, 8), _unplanes(r, 2))
+                     for d, o, p, k, r in zip(*columns)]
+            doc, place, a, b = (np.concatenate(c) for c in zip(*parts))
+            order = np.lexsort((b, a))
+            doc, place, a, b = doc[order], place[order], a[order], b[order]
+            head = _heads(a, b)
+            late = doc > np.repeat(np.minimum.reduceat(doc, head), np.diff(np.append(head, len(doc)))) if len(doc) else []
+            for d, data in _starts(doc[late], place[late]):
+                docs.append(d)
+                starts.append(data)
+        docs = np.array(docs, np.int64)
+        rows = []
+        for part, at in _by((mix(docs.view(np.uint64)) % np.uint64(n_parts)).astype(np.int64)):
+            mine = [starts[i] for i in at]
+            rows.append((part, docs[at].astype("<i8").tobytes(), np.array([len(x) for x in mine], "<i8").tobytes(), b"".join(mine)))
+        return pa.Table.from_batches([_batch(rows, _FOUND)])
+
+    return run
+
+
+def _cut(sizes: bytes, data: bytes):
+    ends = np.cumsum(np.frombuffer(sizes, "<i8")).tolist()
+    return [data[i:j] for i, j in zip([0, *ends], ends)]
+
+
+def _by_document(key, found):
+    """All repeats of one part of the documents, a row for each document."""
+    docs = [np.frombuffer(d, "<i8") for d in found.column("docs").to_pylist()]
+    starts = [x for s, d in zip(found.column("sizes").to_pylist(), found.column("starts").to_pylist()) for x in _cut(s, d)]
+    docs = np.concatenate(docs)
+    out = [(d, b"".join(starts[i] for i in at)) for d, at in _by(docs)]
+    return pa.table({"doc_id": pa.array([d for d, _ in out], pa.int64()), "starts": pa.array([s for _, s in out], pa.binary())})
 
 
 def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH,
                      filter_bits: int = FILTER_BITS) -> DataFrame:
-    """doc_id and `starts`: arrays of little-endian int32 places, each the first
-    word of a window that also lies in a document with a smaller id. One row
-    for each document that has any."""
+    """doc_id and `starts`: little-endian int32 places, each the first word of a
+    window that also lies in a document with a smaller id. One row for each
+    document that has any."""
     spark, scheme = docs.sparkSession, Scheme(width)
     n = buckets_for(spark, text_bytes(docs, text), BUCKET_BYTES)
     size = max(64, filter_bits // n // 8 * 8)
@@ -302,17 +325,17 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", wi
         shared[at : at + size // 8] = np.frombuffer(row["bits"], np.uint8)
     sent = spark.sparkContext.broadcast(shared)
     found = slim.mapInArrow(_deal_windows(scheme, n, sent, size, "doc_id", "text"), _WINDOWS)
-    found = found.groupBy("bucket").applyInArrow(_name_repeats, _HITS)
-    return found.groupBy("doc_id").agg(F.collect_list("starts").alias("starts"))
+    found = found.groupBy("bucket").applyInArrow(_name_repeats(n), _FOUND)
+    return found.groupBy("part").applyInArrow(_by_document, _HITS)
 
 
 def _removed(words: Words, starts: list, width: int) -> np.ndarray:
     """Words of a slice that a repeated window covers. `starts`: for each text
-    the list of packed places, or None."""
+    the packed places, or None."""
     change = np.zeros(len(words) + width + 1, np.int32)
-    for t, blobs in enumerate(starts):
-        if blobs:
-            at = words.first[t] + np.unique(np.concatenate([np.frombuffer(b, "<i4") for b in blobs]))
+    for t, places in enumerate(starts):
+        if places:
+            at = words.first[t] + np.unique(np.frombuffer(places, "<i4"))
             np.add.at(change, at, 1)
             np.add.at(change, at + width, -1)
     return np.cumsum(change)[: len(words)] > 0
