@@ -1,6 +1,6 @@
 """One query for each operator, over its whole table."""
 
-from . import decontamination, near_duplicates, substrings
+from . import decontamination, mixing, near_duplicates, quality_rules, substrings
 
 QUERIES, SQL = {}, {}
 
@@ -76,3 +76,29 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)""")
 def op1_near_duplicates(spark, sf_dir):
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+@query(f"""WITH d AS (SELECT doc_id, source, len(coalesce({SPACED.format(text='text')}, []))::BIGINT AS size,
+  ('0x' || substr(md5('17 ' || coalesce(doc_id::VARCHAR, 'text ' || coalesce(text, ''))), 1, 15))::BIGINT AS place FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+k AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight,
+  source_size * 2.0::DOUBLE AS cap, sum(source_size) OVER () * 1.5::DOUBLE AS total FROM s),
+l AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+  / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM k),
+lowest AS (SELECT arg_min(level, cap / weight) AS open FROM l WHERE level < cap / weight),
+t AS (SELECT source, source_size, coalesce(least(cap, weight * open), cap) AS target FROM l LEFT JOIN lowest ON true),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
+c AS (SELECT doc_id, d.source, size, source_size, target, whole, place, target - whole * source_size AS more
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+g AS (SELECT source, place, sum(size) AS words FROM c GROUP BY source, place),
+h AS (SELECT source, place, words, coalesce(sum(words) OVER (PARTITION BY source ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g)
+SELECT doc_id, size, source_size, target,
+  size * (whole + CASE WHEN before + words / 2 <= more AND words > 0 THEN 1 ELSE 0 END)::BIGINT AS taken
+FROM c JOIN h ON c.source IS NOT DISTINCT FROM h.source AND c.place = h.place""")
+def op2_mixing(spark, sf_dir):
+    return mixing.mixing_report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_quality_rules(spark, sf_dir):
+    return quality_rules.quality_report(table(spark, sf_dir, "documents"))
