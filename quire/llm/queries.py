@@ -1,6 +1,6 @@
 """One query for each operator, over its whole table."""
 
-from . import decontamination, mixing, near_duplicates, quality_rules, substrings
+from . import decontamination, language_model, mixing, near_duplicates, quality_rules, substrings
 
 QUERIES, SQL = {}, {}
 
@@ -102,3 +102,8 @@ def op2_mixing(spark, sf_dir):
 @query()
 def op7_quality_rules(spark, sf_dir):
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_language_model(spark, sf_dir):
+    return language_model.score_texts(table(spark, sf_dir, "documents"))
