@@ -133,9 +133,3 @@ def mixing_report(docs: DataFrame) -> DataFrame:
     rows = mix(docs.select("doc_id", "text", "source"), "mix")
     return rows.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
-
-def mixed(docs: DataFrame) -> DataFrame:
-    """`docs` that the mix takes at all, with the mix's columns in a struct."""
-    out = fresh(docs, "mix")
-    rows = mix(docs, out)
-    return rows.where(F.col(f"{out}.repeats") > 0)

@@ -341,6 +341,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """`docs` with one document of each component: the least doc_id."""
-    gone = near_duplicates(docs, shingle=shingle, percent=percent).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """`docs` with one document of each component: the least doc_id. Rows that
+    share that id stay together."""
+    gone = near_duplicates(docs, shingle=shingle, percent=percent).where(~F.col("kept")).select(
+        F.col("doc_id").alias("gone")).distinct()
+    few = gone.limit(SENT_IDS + 1).count() <= SENT_IDS
+    return docs.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col("gone"), "left_anti")

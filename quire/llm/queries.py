@@ -1,6 +1,9 @@
 """One query for each operator, over its whole table."""
 
-from . import decontamination, language_model, mixing, near_duplicates, quality_rules, substrings
+from . import (
+    decontamination, importance, language_model, languages, licences, mixing, near_duplicates,
+    quality_rules, substrings, toxicity,
+)
 
 QUERIES, SQL = {}, {}
 
@@ -107,3 +110,38 @@ def op7_quality_rules(spark, sf_dir):
 @query()
 def op6_language_model(spark, sf_dir):
     return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_importance(spark, sf_dir):
+    return importance.quality_selection(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op9_language_id(spark, sf_dir):
+    return languages.language_report(table(spark, sf_dir, "documents"))
+
+
+def _template_rows():
+    pairs = {k: licences.template_pairs(v) for k, v in licences.TEMPLATES.items()}
+    listed = lambda v: "[" + ", ".join(f"'{x}'" for x in v) + "]"
+    return ", ".join(f"('{k}', {listed(v)})" for k, v in pairs.items())
+
+
+@query(f"""WITH t(licence, p) AS (VALUES {_template_rows()}),
+seg AS (SELECT DISTINCT doc_id, unnest(list_concat(string_split(text, chr(10)),
+  regexp_split_to_array(text, '\\n[\\x20\\x09-\\x0D]*\\n'), [text])) AS s FROM documents),
+w AS (SELECT doc_id, string_split(trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM seg),
+g AS (SELECT doc_id, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM w WHERE len(w) > 1),
+m AS (SELECT doc_id, licence, max(2.0::DOUBLE * len(list_intersect(g, p)) / (len(g) + len(p))) AS dice FROM g, t
+  WHERE 10 * len(g) >= 6 * len(p) AND 10 * len(p) >= 6 * len(g) GROUP BY ALL),
+r AS (SELECT doc_id, count(*) AS n, string_agg(licence, ',' ORDER BY licence) AS l, max(dice) AS dice FROM m WHERE dice >= 0.8 GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_licences, coalesce(l, '') AS licences, coalesce(dice, 0.0)::DOUBLE AS dice
+FROM documents LEFT JOIN r USING (doc_id)""")
+def op3_licences(spark, sf_dir):
+    return licences.licence_report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_toxicity(spark, sf_dir):
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
