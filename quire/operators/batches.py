@@ -7,13 +7,17 @@ batches need no grouping until the rows of a batch are finally put together.
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .ordering import (
-    MAX_BUCKETS, bucket_count, hex_buckets, lookup, place_in_runs, with_global_index,
+    MAX_BUCKETS, bucket_count, hex_buckets, lookup, place_in_runs, run_rows, with_global_index,
 )
 
 
 def expand_epochs(df: DataFrame, epochs: float) -> DataFrame:
-    """Repeat the table once per started epoch."""
+    """Repeat the table once per started epoch; no epochs leave no rows."""
+    if epochs < 0:
+        raise ValueError("epochs must not be negative")
     passes = -int(-epochs // 1)
+    if not passes:
+        return df.withColumn("epoch", F.lit(0)).where(F.lit(False))
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
 
 
@@ -85,7 +89,7 @@ def place_batches(
     mixed = _mixed(df, key, seed, epoch)
     rows = mixed.select("epoch").count()
     stretch = world_size * batch_size
-    run = stretch * max(1, -(-rows // (stretch * max_chunks)))
+    run = run_rows(rows, stretch, df, max_chunks)
     order = ["_digest", *key]
     # Ranks get equally many rows: the first `short` rows of an epoch are used
     # once more than the others.

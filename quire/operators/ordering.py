@@ -2,11 +2,10 @@
 the table into a single partition.
 
 Spark rows have no order, so every ordered operator names its key. The key
-must be unique inside a group, otherwise ties fall in any order.
+must be unique inside a group, otherwise ties fall in any order; placing rows
+in runs refuses a key that repeats.
 """
 
-import json
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 ROWS_PER_BUCKET = 200_000
@@ -14,17 +13,46 @@ SAMPLES_PER_BUCKET = 10
 MAX_BUCKETS = 65_536
 
 
-def search_bounds(bounds: list, keys: list[str], fields: list[T.StructField]) -> Column:
-    """How many of the sorted `bounds` (dicts by column name) are <= the row's key.
+#: Key types whose text form reads back as the same value.
+_EXACT_TEXT = (
+    T.StringType, T.IntegralType, T.BooleanType, T.DateType, T.DecimalType, T.FloatType, T.DoubleType,
+    T.TimestampNTZType,
+)
+
+
+def _comparable(column: Column, kind: T.DataType) -> tuple[Column, T.DataType]:
+    """A key column as one of the same order whose text form is exact."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column), T.LongType()
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column), T.StringType()
+    if isinstance(kind, _EXACT_TEXT):
+        return column, kind
+    raise TypeError(f"rows can't be ordered by a key of type {kind.simpleString()}")
+
+
+def _key_parts(keys: list[str], fields: list[T.StructField]):
+    return [(f.name, *_comparable(F.col(k), f.dataType)) for k, f in zip(keys, fields)]
+
+
+def key_text(keys: list[str], fields: list[T.StructField]) -> Column:
+    """A key as JSON of its columns' exact text forms."""
+    return F.to_json(F.struct(*(c.cast("string").alias(n) for n, c, _ in _key_parts(keys, fields))))
+
+
+def search_bounds(bounds: list[str], keys: list[str], fields: list[T.StructField]) -> Column:
+    """How many of the sorted `bounds` (texts of `key_text`) are <= the row's key.
 
     The bounds travel as one folded array literal and are searched by halving,
     so a row costs log2(len(bounds)) comparisons.
     """
     if not bounds:
         return F.lit(0)
-    item = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-    array = F.from_json(F.lit(json.dumps(bounds)), T.ArrayType(item))
-    key = F.struct(*keys)
+    parts = _key_parts(keys, fields)
+    text = T.StructType([T.StructField(n, T.StringType()) for n, _, _ in parts])
+    typed = T.StructType([T.StructField(n, kind) for n, _, kind in parts])
+    array = F.from_json(F.lit(f"[{','.join(bounds)}]"), T.ArrayType(text)).cast(T.ArrayType(typed))
+    key = F.struct(*(c.alias(n) for n, c, _ in parts))
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
     return F.aggregate(
         steps,
@@ -57,12 +85,21 @@ def range_buckets(
         only.sample(fraction, seed=17)
         .select(F.struct(*keys).alias("key"))
         .orderBy("key")
-        .select(F.to_json("key").alias("key"))
+        .select(key_text([f"key.{k}" for k in keys], only.schema.fields).alias("key"))
         .collect()  # about SAMPLES_PER_BUCKET * buckets keys
     )
     picked = [sample[i * len(sample) // buckets].key for i in range(1, buckets)] if sample else []
-    bounds = [json.loads(k) for k in dict.fromkeys(picked)]
-    return search_bounds(bounds, keys, only.schema.fields)
+    return search_bounds(list(dict.fromkeys(picked)), keys, only.schema.fields)
+
+
+def run_rows(rows: int, unit: int, df: DataFrame, max_chunks: int = MAX_BUCKETS) -> int:
+    """Rows of one run: whole units, sized for a task rather than by the unit.
+
+    A few runs for each core as long as a run stays under ROWS_PER_BUCKET.
+    """
+    width = df.sparkSession.sparkContext.defaultParallelism
+    wanted = max(min(ROWS_PER_BUCKET, rows // (4 * width)), -(-rows // max_chunks))
+    return unit * max(1, -(-wanted // unit))
 
 
 def hex_buckets(digest: str, buckets: int) -> Column:
@@ -82,12 +119,15 @@ def running_before(
     bucket: Column | None = None,
     buckets: int | None = None,
     rows: int | None = None,
+    repeats: bool = False,
 ) -> DataFrame:
     """Add `name`: the sum (or max) of `value` over all earlier rows of the group.
 
     Buckets cover consecutive key ranges. Each bucket is reduced to one number,
     those numbers are scanned, and rows are scanned inside their bucket only.
     The whole row moves once; joining the bucket offsets uses the same keys.
+    With `repeats`, `_repeated` marks rows whose key an earlier row has, and
+    `_repeats` counts them within their bucket.
     """
     within, order_by = list(within), list(order_by)
     if bucket is None:
@@ -114,7 +154,16 @@ def running_before(
     columns = [F.col(c) for c in df.columns] + [result.alias(name)]
     if total:
         columns.append(F.col("_total").alias(total))
-    return marked.join(offsets, group).select(*columns)
+    joined = marked.join(offsets, group)
+    if not repeats:
+        return joined.select(*columns)
+    in_order = W.partitionBy(*group).orderBy(*order_by)
+    key = F.struct(*order_by)
+    same = F.coalesce(F.lag(key).over(in_order).eqNullSafe(key) & (F.row_number().over(in_order) > 1), F.lit(False))
+    upto = in_order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    return joined.select(*columns, *group, same.alias("_repeated")).withColumn(
+        "_repeats", F.sum(F.col("_repeated").cast("int")).over(upto)
+    )
 
 
 def with_global_index(
@@ -151,19 +200,21 @@ def place_in_runs(
     buckets = min(MAX_BUCKETS, -(-rows // ROWS_PER_BUCKET))  # keys are narrow: no minimum
     bucket = hex_buckets(digest, buckets) if digest else None
     placed = with_global_index(
-        only, order_by, within, "_position", "_total", bucket=bucket, buckets=buckets, rows=rows
+        only, order_by, within, "_position", "_total", bucket=bucket, buckets=buckets, rows=rows,
+        repeats=True,
     )
     position, total = F.col("_position"), F.col("_total")
     extra = [column.alias(name) for name, column in (marks or {}).items()]
     starts = (
-        placed.where(starts_run(position, total))
-        .select(F.struct(*keys).alias("_key"), position, total, *extra)
+        placed.where(starts_run(position, total) | (F.col("_repeats") == 1) & F.col("_repeated"))
+        .select(F.struct(*keys).alias("_key"), position, total, "_repeated", *extra)
         .orderBy("_key")
-        .withColumn("_key", F.to_json("_key"))
+        .withColumn("_key", key_text([f"_key.{k}" for k in keys], only.schema.fields))
         .collect()  # one row per range: callers choose runs so these stay few
     )
-    bounds = [json.loads(r["_key"]) for r in starts]
-    return search_bounds(bounds, keys, only.schema.fields) - 1, starts
+    if any(r["_repeated"] for r in starts):
+        raise ValueError(f"keys must be unique: {keys} repeats")
+    return search_bounds([r["_key"] for r in starts], keys, only.schema.fields) - 1, starts
 
 
 def lookup(values: list, index: Column) -> Column:

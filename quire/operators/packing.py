@@ -9,7 +9,7 @@ batch shorter than one block stays as one short block.
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import arrays as ar
-from .ordering import MAX_BUCKETS, lookup, place_in_runs, running_before
+from .ordering import MAX_BUCKETS, lookup, place_in_runs, run_rows, running_before
 
 NUM_SHARDS, BATCH_ROWS, BLOCK_SIZE = 5, 1000, 512  # Fixed values: default sizes
 
@@ -43,7 +43,7 @@ def assign_batches(
     afterwards needs no further shuffle.
     """
     rows = df.select("split").count()
-    run = batch_rows * max(1, -(-rows // (batch_rows * max_chunks)))
+    run = run_rows(rows, batch_rows, df, max_chunks)
 
     def shard(position, total):
         return _shard_of(position, total, num_shards)[0]

@@ -95,3 +95,11 @@ def test_step_plan(spark):
     assert capped.total_steps == 7
     later = {r.split: r for r in bt.step_plan(df, 2, 3, 4, 2.5, False, epochs_done=1).collect()}
     assert later["train"].total_steps == 6 and later["validation"].batches == 1
+
+
+def test_no_epochs_leave_no_rows(spark):
+    df = spark.range(3)
+    assert bt.expand_epochs(df, 0).count() == 0 and bt.expand_epochs(df, 0).columns == ["id", "epoch"]
+    assert bt.expand_epochs(df, 0.1).count() == 3
+    with pytest.raises(ValueError):
+        bt.expand_epochs(df, -1)
