@@ -102,7 +102,8 @@ def _plan(docs, id, text, source, weight, share, most_epochs, seed):
         F.min(F.when(F.col("late"), F.col("place"))).alias("cut"), F.max("place").alias("last"))
     cuts = cuts.select(F.col("source").alias("cut_source"), F.coalesce("cut", F.col("last") + 1).alias("cut"))
     whole = plan.join(cuts, plan["source"].eqNullSafe(cuts["cut_source"]), "left")
-    return cut_lineage(whole.select("source", "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("cut")))
+    cut = F.when(F.col("more") > 0, F.col("cut"))
+    return cut_lineage(whole.select("source", "source_size", "target", "whole", F.coalesce(cut, F.lit(0)).alias("cut")))
 
 
 def _few(plan: DataFrame) -> bool:
