@@ -13,8 +13,9 @@
 4. Confirm. A star's link counts if the full sets agree.
 5. Rest. Where a bucket's members still lie in different components, those
    outside its largest component are compared with all members of other
-   components by their signatures; likely pairs are confirmed on full sets.
-   So no pair that shares a bucket is left unjudged, however large the bucket.
+   components by their signatures; likely pairs are confirmed on full sets,
+   in blocks that get each set once. So no pair that shares a bucket is left
+   unjudged, however large the bucket, and pairs never become rows.
 
 With 51 bands of 5 bins a pair at similarity 0.8 shares no bucket with a chance
 of 2e-9. The signature test in step 5 (and 4) drops a pair at 0.8 with a chance
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import cut_lineage, drop_stored, store
 from .components import components
 from .substrings import _by, _heads, _planes, _unplanes
-from .tables import buckets_for
+from .tables import buckets_for, fresh
 from .words import NON_SPACE, Words, combine, mix, slices, windows
 
 BINS, BANDS, ROWS = 256, 51, 5
@@ -47,6 +48,8 @@ HELD = 1 << 21
 PER_BUCKET = 1 << 20
 #: Ids that may travel to every task; more are joined by a shuffle.
 SENT_IDS = 500_000
+#: Members of a bucket beyond which its pairs are confirmed in several blocks.
+BLOCK_DOCS = 2000
 #: Signature bytes compared at once.
 AT_ONCE = 64 << 20
 
@@ -224,18 +227,22 @@ def _likely(one: str, two: str):
     return run
 
 
+def _reach(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def _alike(percent: int):
     """Pairs whose full sets reach the similarity."""
 
     def run(batches):
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                ok.append(100 * common >= percent * (len(both) - common))
+            ok = [_reach(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                  for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     return run
@@ -264,31 +271,62 @@ def _set_rows(size):
 
 
 def _likely_rest(key, rows):
-    """Pairs of one bucket of band keys that lie in different components: each
-    member outside its band's largest component against all others."""
+    """Pairs of a bucket that lie in different components and have like
+    signatures: each member outside its band key's largest component against
+    all others. Packed in rows by the block that is going to confirm them: one
+    for each largest component, several where it is large."""
     order = np.lexsort((rows.column("component").to_numpy(), rows.column("key").to_numpy()))
     rows = rows.take(pa.array(order))
     keys, parts, docs = (rows.column(c).to_numpy() for c in ("key", "component", "doc_id"))
     signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(-1, BINS)
-    found = []
+    found = {}
     head = _heads(keys)
     for i, j in zip(head.tolist(), [*head[1:].tolist(), len(keys)]):
         part = parts[i:j]
         runs = _heads(part)
-        size = np.diff(np.append(runs, j - i))
         if len(runs) < 2:
             continue
-        largest = part[runs[np.argmax(size)]]
+        largest = part[runs[np.argmax(np.diff(np.append(runs, j - i)))]]
         out = np.flatnonzero(part != largest)
+        blocks = 1 + (j - i) // BLOCK_DOCS
         step = max(1, AT_ONCE // (BINS * (j - i)))
         for k in range(0, len(out), step):
             mine = out[k : k + step]
             same = (signs[i + mine][:, None, :] == signs[None, i:j, :]).sum(2) >= LIKELY * BINS
             x, y = np.nonzero(same & (part[mine][:, None] != part[None, :]))
-            found.append(np.stack([docs[i + mine[x]], docs[i + y]], 1))
-    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-    pairs = np.unique(np.sort(pairs, 1), axis=0)
-    return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+            x, y = docs[i + mine[x]], docs[i + y]
+            for number, at in _by((mix(x.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)):
+                found.setdefault((int(largest), blocks, number), []).append(np.stack([x[at], y[at]], 1))
+    out = []
+    for name, pairs in found.items():
+        pairs = np.unique(np.concatenate(pairs), axis=0)
+        label = mix(np.array([name[0]], np.int64).view(np.uint64) + np.uint64(name[1] << 20) + np.uint64(name[2]))
+        out.append((int(label.view(np.int64)[0]), pairs.astype("<i8").tobytes()))
+    return pa.table({"block": pa.array([b for b, _ in out], pa.int64()), "pairs": pa.array([p for _, p in out], pa.binary())})
+
+
+def _block_docs(batches):
+    """The documents that each block's pairs name."""
+    for batch in batches:
+        blocks, docs = [], []
+        for block, pairs in zip(batch.column("block").to_pylist(), batch.column("pairs").to_pylist()):
+            names = np.unique(np.frombuffer(pairs, "<i8"))
+            blocks.append(np.full(len(names), block))
+            docs.append(names)
+        if docs:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (blocks, docs)], ["block", "doc_id"])
+
+
+def _confirm_block(percent):
+    """The pairs of a block whose full sets reach the similarity."""
+
+    def run(key, rows, sets):
+        pairs = np.unique(np.frombuffer(b"".join(rows.column("pairs").to_pylist()), "<i8").reshape(-1, 2), axis=0)
+        full = {d: np.frombuffer(s, np.uint64) for d, s in zip(sets.column("doc_id").to_pylist(), sets.column("shingles").to_pylist())}
+        links = [(a, b) for a, b in pairs.tolist() if _reach(full[a], full[b], percent)]
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5,
@@ -327,15 +365,18 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
         "key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     rest = members.join(mixed, "key").join(signs, "doc_id").withColumn("bucket", F.pmod("key", F.lit(n)))
-    more = rest.groupBy("bucket").applyInArrow(_likely_rest, "a bigint, b bigint").distinct()
-    all_links, all_path = store(links.union(_confirm(more, sets, percent)), "links")
+    pairs, pairs_path = store(rest.groupBy("bucket").applyInArrow(_likely_rest, "block bigint, pairs binary"), "pairs")
+    needed = pairs.mapInArrow(_block_docs, "block bigint, doc_id bigint").distinct().join(sets.drop("n"), "doc_id")
+    more = pairs.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(_confirm_block(percent), "a bigint, b bigint")
+    all_links, all_path = store(links.union(more), "links")
     final, final_path = components(all_links)
     rows = signed.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2"], "left")
     rows = rows.join(final.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     result = cut_lineage(rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
-    for path in (signed_path, classes_path, stars_path, involved_path, sets_path, links_path, found_path, all_path, final_path):
+    for path in (signed_path, classes_path, stars_path, involved_path, sets_path, links_path, found_path, pairs_path, all_path,
+                 final_path):
         drop_stored(spark, path)
     return result
 
@@ -343,7 +384,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """`docs` with one document of each component: the least doc_id. Rows that
     share that id stay together."""
+    name = fresh(docs, "gone")
     gone = near_duplicates(docs, shingle=shingle, percent=percent).where(~F.col("kept")).select(
-        F.col("doc_id").alias("gone")).distinct()
+        F.col("doc_id").alias(name)).distinct()
     few = gone.limit(SENT_IDS + 1).count() <= SENT_IDS
-    return docs.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone[name], "left_anti")
