@@ -315,7 +315,9 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", wi
     window that also lies in a document with a smaller id. One row for each
     document that has any."""
     spark, scheme = docs.sparkSession, Scheme(width)
-    n = buckets_for(spark, text_bytes(docs, text), BUCKET_BYTES)
+    text_size = text_bytes(docs, text)
+    n = buckets_for(spark, text_size, BUCKET_BYTES)
+    parts = buckets_for(spark, text_size, BUCKET_BYTES, 1)
     size = max(64, filter_bits // n // 8 * 8)
     slim = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     anchors = slim.mapInArrow(_deal_anchors(scheme, n, "doc_id", "text"), _ANCHORS)
@@ -325,7 +327,7 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", wi
         shared[at : at + size // 8] = np.frombuffer(row["bits"], np.uint8)
     sent = spark.sparkContext.broadcast(shared)
     found = slim.mapInArrow(_deal_windows(scheme, n, sent, size, "doc_id", "text"), _WINDOWS)
-    found = found.groupBy("bucket").applyInArrow(_name_repeats(n), _FOUND)
+    found = found.groupBy("bucket").applyInArrow(_name_repeats(parts), _FOUND)
     return found.groupBy("part").applyInArrow(_by_document, _HITS)
 
 

@@ -18,7 +18,7 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def buckets_for(spark: SparkSession, size: int, per_bucket: int) -> int:
-    """Hash buckets of at most about `per_bucket` each, several for each task."""
+def buckets_for(spark: SparkSession, size: int, per_bucket: int, per_task: int = 2) -> int:
+    """Hash buckets of at most about `per_bucket` each, some for each task."""
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(4 * tasks, -(-size // per_bucket))
+    return max(per_task * tasks, -(-size // per_bucket))
