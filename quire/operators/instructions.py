@@ -13,19 +13,25 @@ PARITY_IGNORE_ID = 100
 MAX_SEQ_LENGTH = 512
 
 
+def _has_input() -> Column:
+    return F.col("input").isNotNull() & (F.col("input") != "")
+
+
+def _renders() -> Column:
+    return F.col("instruction").isNotNull() | ~_has_input()
+
+
 def render_prompt(df: DataFrame, template: str = PROMPT) -> DataFrame:
-    """Add `source`. Rows without an instruction are left out.
+    """Add `source`. A null instruction reads as the word None; with an input
+    there is nothing to put it after, and the row is left out.
 
     Only the placeholder itself is replaced; braces inside the data stay.
     """
     head, tail = template.split("{instruction}")
-    asked = F.when(
-        F.col("input").isNotNull() & (F.col("input") != ""),
-        F.concat("instruction", F.lit("\n"), "input"),
-    ).otherwise(F.col("instruction"))
-    return df.where(F.col("instruction").isNotNull()).withColumn(
-        "source", F.concat(F.lit(head), asked, F.lit(tail))
+    asked = F.when(_has_input(), F.concat("instruction", F.lit("\n"), "input")).otherwise(
+        F.coalesce("instruction", F.lit("None"))
     )
+    return df.where(_renders()).withColumn("source", F.concat(F.lit(head), asked, F.lit(tail)))
 
 
 def render_target(df: DataFrame, eos_text: str = EOS_TEXT, drop_null_output=False) -> DataFrame:
@@ -40,7 +46,7 @@ def render_target(df: DataFrame, eos_text: str = EOS_TEXT, drop_null_output=Fals
 def dropped_records(df: DataFrame) -> DataFrame:
     """How many records `render_prompt` leaves out."""
     return df.agg(
-        F.count_if(F.col("instruction").isNull()).alias("dropped"), F.count("*").alias("records")
+        F.count_if(~_renders()).alias("dropped"), F.count("*").alias("records")
     )
 
 

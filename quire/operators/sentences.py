@@ -5,8 +5,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as tx
+from ..session import cut_lineage
 from .ordering import running_before
 
+#: Keys of picked sentences that may travel to every task.
+SENT_PICKS = 100_000
 SPLIT_ORDER = ("train", "validation", "test")  # Fixed values: order of concatenation
 
 
@@ -46,8 +49,9 @@ def sample_every(
     """Every n-th kept sentence of the whole table, in key order.
 
     Positions come from a running count per text, so one text holding most of
-    the sentences is a single row there. Only keys and counts move for that;
-    texts are joined back for the few keys that hold a picked position.
+    the sentences is a single row there. Only keys and counts move for that.
+    The keys that hold a picked position go to the texts if they are counted
+    few, so no text moves; else both are joined by a shuffle.
     """
     others = [c for c in df.columns if c != text]
     cut = kept_sentences(text, **sentence_options)
@@ -57,7 +61,9 @@ def sample_every(
     picks = numbered.where(first < F.col("_n")).select(
         *order_by, "_before", F.sequence(first, F.col("_n") - 1, F.lit(n).cast("bigint")).alias("_at")
     )
-    found = df.join(picks, order_by).withColumn("_cut", cut)
+    picks = cut_lineage(picks)
+    few = picks.limit(SENT_PICKS + 1).count() <= SENT_PICKS
+    found = df.join(F.broadcast(picks) if few else picks.hint("shuffle_merge"), order_by).withColumn("_cut", cut)
     picked = F.transform(
         "_at",
         lambda i: F.struct(

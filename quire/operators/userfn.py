@@ -1,5 +1,6 @@
 """Caller-supplied functions over batches."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,7 +26,7 @@ def map_batches(df: DataFrame, fn, schema, drop: list[str] = (), batch_rows: int
 def evaluate(df: DataFrame, metric_fn, metrics: list[str], by=("rank", "batch_id")) -> DataFrame:
     """One row per batch from `metric_fn(pred, true) -> dict`.
 
-    `pred` and `true` are flat lists, already shifted by one. A group is one
+    `pred` and `true` are flat numpy arrays, already shifted by one. A group is one
     batch, so it stays small.
     """
     by = list(by)
@@ -38,9 +39,7 @@ def evaluate(df: DataFrame, metric_fn, metrics: list[str], by=("rank", "batch_id
     schema = ", ".join(fields + [f"{m} double" for m in metrics])
 
     def run(key, frame):
-        scores = metric_fn(
-            [x for row in frame["p"] for x in row], [x for row in frame["t"] for x in row]
-        )
+        scores = metric_fn(np.concatenate(frame["p"].to_list()), np.concatenate(frame["t"].to_list()))
         return pd.DataFrame([dict(zip(by, key)) | {m: float(scores[m]) for m in metrics}])
 
     return kept.groupBy(*by).applyInPandas(run, schema)

@@ -50,7 +50,8 @@ def read_splits_json(spark, sf_dir):
 @query(READ_BACK)
 def read_splits_csv(spark, sf_dir):
     paths = _split_files(spark, sf_dir, "csv")
-    table = files.read_splits(spark, paths, "csv", "doc_id bigint, text string")
+    # Texts hold line breaks.
+    table = files.read_splits(spark, paths, "csv", "doc_id bigint, text string", multi_line=True)
     return table.groupBy("split").agg(*_STATS())
 
 

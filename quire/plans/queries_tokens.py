@@ -74,7 +74,7 @@ def tokenize_char(spark, sf_dir):
 BPE_UNITS = """regexp_extract_all(' ' || text, ' *[^ ]+| +$')"""
 
 
-def bpe_tokens(source, key, name, unit_list=BPE_UNITS, bos=True, text="text"):
+def bpe_tokens(source, key, name, unit_list=BPE_UNITS, bos=True, vocab="bpe"):
     """Ids of texts without special pieces inside, by the learned pieces."""
     head = "[1]" if bos else "[]::INT[]"
     return f"""
@@ -82,11 +82,11 @@ def bpe_tokens(source, key, name, unit_list=BPE_UNITS, bos=True, text="text"):
   SELECT {key}, unnest(us) AS unit, unnest(range(len(us))) AS pos
   FROM (SELECT {key}, {unit_list} AS us FROM {source})),
 {name}_distinct AS (SELECT DISTINCT unit FROM {name}_units),
-{q.merged_units(name + "_distinct", name=name + "_open")},
+{q.merged_units(name + "_distinct", vocab, name + "_open")},
 {name}_flat AS (
   SELECT unit AS word, unnest(parts) AS unit, unnest(range(len(parts))) AS k FROM {name}_open_done),
 {name}_pieces AS (SELECT DISTINCT unit FROM {name}_flat),
-{q.coded(name + "_pieces", "bpe", name + "_coded")},
+{q.coded(name + "_pieces", vocab, name + "_coded")},
 {name}_word AS (
   SELECT word, flatten(list(ids ORDER BY k)) AS ids
   FROM {name}_flat JOIN {name}_coded USING (unit) GROUP BY word),
@@ -106,6 +106,48 @@ def tokenize_bpe(spark, sf_dir):
     return _ids(tk.tokenize(docs, vocab), "doc_id")
 
 
+COMMON_WORDS = 300
+
+
+def _compare_bpe_sql():
+    byte = lambda c: f"len([i FOR i IN {c} IF i >= 3 AND i < 259])"
+    return f"""WITH RECURSIVE {BPE},
+bw AS (SELECT word, count(*) AS n FROM (SELECT unnest({q.words('text')}) AS word FROM benchmark) GROUP BY word),
+extra AS (SELECT '▁' || word AS piece, row_number() OVER (ORDER BY n DESC, word) AS k
+  FROM bw QUALIFY k <= {COMMON_WORDS}),
+grown AS (
+  SELECT id, piece, score FROM bpe
+  UNION ALL
+  SELECT (SELECT count(*) + 259 FROM bpe)::INT + (row_number() OVER (ORDER BY k) - 1)::INT, piece, 0.0
+  FROM extra ANTI JOIN bpe USING (piece)),
+{bpe_tokens('docs', 'doc_id', 'b', bos=False)}, {bpe_tokens('docs', 'doc_id', 'm', bos=False, vocab='grown')},
+sizes AS (
+  SELECT lang, len(b.ids) AS b, len(m.ids) AS m, {byte('b.ids')} AS bb, {byte('m.ids')} AS mb
+  FROM docs JOIN b_lists b USING (doc_id) JOIN m_lists m USING (doc_id))
+SELECT lang, count(*) AS texts, sum(b)::BIGINT AS base_tokens, sum(m)::BIGINT AS merged_tokens,
+  round(avg(b), 6) AS base_mean, round(avg(m), 6) AS merged_mean,
+  round(sum(bb) / sum(b), 9) AS base_byte_share, round(sum(mb) / sum(m), 9) AS merged_byte_share
+FROM sizes GROUP BY lang"""
+
+
+@query(_compare_bpe_sql())
+def compare_tokenizers_bpe(spark, sf_dir):
+    """Learned pieces before and after a second corpus' commonest words."""
+    base = sentence_vocabulary(spark, sf_dir)
+    counts = cut_lineage(vb.word_counts(table(spark, sf_dir, "benchmark"), "text"))
+    words = vb.top_word_vocab(counts, vb.FIRST_WORD_ID + COMMON_WORDS).where("origin = 'word'")
+    grown = vb.merge_vocab(base, words.withColumn("piece", F.concat(F.lit(tx.SPACE_MARK), "piece")))
+    docs = texts(spark, sf_dir, "doc_id", "text", "lang")
+    return _rounded(tk.compare_tokenizers(docs, base, grown, by=["lang"]))
+
+
+def _rounded(result):
+    for name, digits in (("base_mean", 6), ("merged_mean", 6),
+                         ("base_byte_share", 9), ("merged_byte_share", 9)):
+        result = result.withColumn(name, F.round(name, digits))
+    return result
+
+
 @query(f"""WITH {q.word_counts()}, cs AS (SELECT DISTINCT unnest({q.chars('word')}) AS char FROM wc)
 SELECT char, array_to_string([printf('<0x%s>', h) FOR h IN
   regexp_extract_all(hex(encode(char)), '..')], ' ') AS pieces FROM cs""")
@@ -153,11 +195,7 @@ def compare_tokenizers(spark, sf_dir):
     base = benchmark_vocabulary(spark, sf_dir)
     merged = merged_vocabulary(spark, sf_dir)
     docs = texts(spark, sf_dir, "doc_id", "text", "lang")
-    result = tk.compare_tokenizers(docs, base, merged, mode="whitespace", by=["lang"])
-    for name, digits in (("base_mean", 6), ("merged_mean", 6),
-                         ("base_byte_share", 9), ("merged_byte_share", 9)):
-        result = result.withColumn(name, F.round(name, digits))
-    return result
+    return _rounded(tk.compare_tokenizers(docs, base, merged, mode="whitespace", by=["lang"]))
 
 
 BLOCKS = f"""split, shard::INT AS shard, batch::INT AS batch, block::INT AS block,
@@ -170,7 +208,7 @@ def _blocks(df, *keys):
 
 @query(f"WITH {TOKENS}, {q.batches()}, {q.packed(512)} SELECT {BLOCKS} FROM blocks")
 def packed_blocks(spark, sf_dir):
-    """Flagship: documents to 512-token blocks with the default batch sizes."""
+    """Documents to 512-token blocks with the default batch sizes."""
     vocab = word_vocabulary(spark, sf_dir)
     blocks = preparation.packed_blocks(
         documents(spark, sf_dir), vocab, ["doc_id"], 512, mode="whitespace"
@@ -178,6 +216,16 @@ def packed_blocks(spark, sf_dir):
     return _blocks(blocks, "split", "shard", "batch")
 
 
+@query(f"""WITH RECURSIVE {BPE}, {bpe_tokens('docs', 'doc_id', 'learned_tok')},
+tok AS (SELECT doc_id, split, ids FROM docs JOIN learned_tok_lists USING (doc_id)),
+{q.batches()}, {q.packed(512)} SELECT {BLOCKS} FROM blocks""")
+def packed_blocks_bpe(spark, sf_dir):
+    """Flagship: documents to 512-token blocks by learned pieces."""
+    vocab = sentence_vocabulary(spark, sf_dir)
+    blocks = preparation.packed_blocks(documents(spark, sf_dir), vocab, ["doc_id"], 512)
+    return _blocks(blocks, "split", "shard", "batch")
+
+
 @query(f"WITH {TOKENS}, {q.batches(rows=7)}, {q.packed(2048)} SELECT {BLOCKS} FROM blocks")
 def packed_blocks_small_batches(spark, sf_dir):
     """Many batches, some of them shorter than a block."""
@@ -187,6 +235,18 @@ def packed_blocks_small_batches(spark, sf_dir):
     return _blocks(pk.pack_blocks(placed, ["doc_id"], 2048), "split", "shard", "batch")
 
 
+BY_TIME = q.batches("timed", rows=50).replace("ORDER BY doc_id", "ORDER BY ts, event_id")
+
+
+@query(f"""WITH timed AS (SELECT event_id, ts, event_type AS split FROM events), {BY_TIME}
+SELECT event_id, split, shard::INT AS shard, batch::INT AS batch, row_in_shard FROM batched""")
+def assign_batches_by_time(spark, sf_dir):
+    """Rows in the order of a timestamp and an id."""
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", F.col("event_type").alias("split"))
+    placed = pk.assign_batches(rows, ["ts", "event_id"], batch_rows=50)
+    return placed.drop("chunk", "ts")
+
+
 @query(f"""WITH {q.DOCS}, {q.batches('docs', rows=50)}
 SELECT doc_id, split, shard::INT AS shard, batch::INT AS batch, row_in_shard FROM batched""")
 def assign_batches(spark, sf_dir):
@@ -246,7 +306,38 @@ def render_target(spark, sf_dir):
     return ins.render_target(instruction_records(spark, sf_dir)).select("conv_id", "turn", "target")
 
 
-def _encoded_sql(tail, max_len=200, ignore=-100):
+GAPS = """
+full_records AS (SELECT * FROM records),
+gaps AS (
+  SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN NULL ELSE instruction END AS instruction,
+    CASE WHEN conv_id % 2 = 0 THEN input END AS input,
+    CASE WHEN conv_id % 5 <> 0 THEN output END AS output FROM full_records)"""
+
+
+def records_with_gaps(spark, sf_dir):
+    """The records with some of their parts missing."""
+    rows = instruction_records(spark, sf_dir)
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("turn") % 3 != 0, F.col("instruction")).alias("instruction"),
+        F.when(F.col("conv_id") % 2 == 0, F.col("input")).alias("input"),
+        F.when(F.col("conv_id") % 5 != 0, F.col("output")).alias("output"),
+    )
+
+
+@query(f"""WITH {q.RECORDS}, {GAPS}, {q.RENDERED.replace('FROM records', 'FROM gaps')}
+SELECT conv_id, turn, source, target FROM rendered""")
+def render_with_gaps(spark, sf_dir):
+    rows = ins.render_target(ins.render_prompt(records_with_gaps(spark, sf_dir)))
+    return rows.select("conv_id", "turn", "source", "target")
+
+
+@query(f"""WITH {q.RECORDS}, {GAPS}
+SELECT count(*) FILTER (instruction IS NULL AND input <> '') AS dropped, count(*) AS records FROM gaps""")
+def dropped_records(spark, sf_dir):
+    return ins.dropped_records(records_with_gaps(spark, sf_dir))
+
+
+def _encoded_sql(tail, max_len=512, ignore=-100):
     """Character mode: the end text is left empty and its id is added."""
     return f"""WITH {q.RECORDS}, {q.RENDERED}, {q.word_counts()}, {CHAR_VOCAB}, {q.BYTES},
 src AS (SELECT conv_id * 1000 + turn AS k, conv_id, turn, source FROM rendered),
@@ -260,7 +351,7 @@ seq AS (
 {tail}"""
 
 
-def encoded(spark, sf_dir, max_len=200, ignore=ins.IGNORE_ID):
+def encoded(spark, sf_dir, max_len=512, ignore=ins.IGNORE_ID):
     return preparation.masked_sequences(
         instruction_records(spark, sf_dir), char_vocabulary(spark, sf_dir), max_len,
         mode="char", eos_text="", eos_id=True, ignore=ignore,

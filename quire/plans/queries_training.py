@@ -91,22 +91,21 @@ def _stacked(column):
 
 
 @query(f"""WITH {TOKENS}, {q.batches()}, {q.packed(512)},
-rows AS (SELECT *, concat_ws('-', split, shard, batch, block) AS name FROM blocks WHERE len(input_ids) = 512),
+rows AS (SELECT *, concat_ws('-', split, shard, batch, block) AS name FROM blocks),
 {shuffled_sql('rows', 'name', 1, 'epoch')}, {ranked_sql(2)},
-placed AS (SELECT * EXCLUDE (batch), rank_position // 4 AS batch FROM ranked
-           WHERE (rank_position // 4 + 1) * 4 <= rank_rows)
+placed AS (SELECT * EXCLUDE (batch), rank_position AS batch FROM ranked)
 SELECT epoch, rank, batch, {stacked('list(input_ids ORDER BY rank_position)')} AS ids,
   list_sum(flatten(list([1 FOR i IN input_ids])))::BIGINT AS mask_sum FROM placed GROUP BY ALL""")
 def collate_fixed(spark, sf_dir):
     tokens = word_tokens(spark, sf_dir).select("split", "doc_id", "input_ids")
     packed = pk.pack_blocks(pk.assign_batches(tokens, ["doc_id"]), ["doc_id"])
-    # Batches are cut from the stored blocks, as a trainer would read them.
-    whole = stored(spark, packed).where(F.size("input_ids") == 512)
-    named = whole.select(
+    # Batches of one, as short blocks count too and only equal lengths stack.
+    # They are cut from the stored blocks, as a trainer would read them.
+    named = stored(spark, packed).select(
         F.concat_ws("-", "split", "shard", "batch", "block").alias("name"),
         "input_ids", "attention_mask", "label",
     )
-    batches = preparation.epoch_batches(named, ["name"], 2, 4, seed=SEED)
+    batches = preparation.epoch_batches(named, ["name"], 2, 1, seed=SEED)
     return batches.select(
         "epoch", "rank", "batch", _stacked("input_ids").alias("ids"),
         F.aggregate(

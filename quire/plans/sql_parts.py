@@ -127,10 +127,10 @@ _HEAD, _TAIL = PROMPT.replace("\n", "' || chr(10) || '").split("{instruction}")
 RENDERED = f"""
 rendered AS (
   SELECT conv_id, turn, instruction, input, output,
-         '{_HEAD}' || instruction || CASE WHEN input IS NOT NULL AND input <> ''
-           THEN chr(10) || input ELSE '' END || '{_TAIL}' AS source,
+         '{_HEAD}' || CASE WHEN input IS NOT NULL AND input <> ''
+           THEN instruction || chr(10) || input ELSE coalesce(instruction, 'None') END || '{_TAIL}' AS source,
          coalesce(output, 'None') || '</s>' AS target
-  FROM records WHERE instruction IS NOT NULL)"""
+  FROM records WHERE instruction IS NOT NULL OR input IS NULL OR input = '')"""
 
 
 # Marks around a symbol in the word table below.

@@ -5,7 +5,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .files import _exists
+from .files import _exists, file_state
 
 FINGERPRINT = "quire.fingerprint"
 
@@ -29,13 +29,18 @@ def fingerprint(parameters: dict) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
-def reuse_or_compute(spark: SparkSession, path: str, parameters: dict, compute) -> DataFrame:
+def reuse_or_compute(
+    spark: SparkSession, path: str, parameters: dict, compute, inputs: list[str] = ()
+) -> DataFrame:
     """The stored result for these parameters, computing it when missing.
 
-    Each parameter set has its own folder. The success marker is written last,
-    so a run that died half way is computed again.
+    `inputs` names the files and folders that `compute` reads: their names,
+    sizes and times of change count as parameters, so changed input is computed
+    anew. Each set has its own folder. The success marker is written last, so a
+    run that died half way is computed again.
     """
-    folder = f"{path}/{fingerprint(parameters)}"
+    settings = {**parameters, "inputs": file_state(spark, list(inputs))} if inputs else parameters
+    folder = f"{path}/{fingerprint(settings)}"
     if not _exists(spark, f"{folder}/_SUCCESS"):
         write_processed(compute(), folder, overwrite=True)
     return read_processed(spark, folder)

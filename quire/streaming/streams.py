@@ -2,6 +2,10 @@
 
 Sentence cutting, rendering and tokenizing are row-wise and accept a stream as
 they are. Counts keep state; packing works on each micro-batch.
+
+What a stream has read is noted in its checkpoint folder. It belongs to the
+output: by default it lies beside it, as `<path>.checkpoint`, so a second start
+goes on where the first one ended.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.packing import assign_batches, pack_blocks
 from ..operators.sentences import split_sentences
 from ..operators.vocab import word_counts
-from ..session import new_path
+from ..sources.files import _exists
 
 
 def read_stream(spark: SparkSession, folder: str, schema, fmt="parquet", pattern="*") -> DataFrame:
@@ -19,12 +23,22 @@ def read_stream(spark: SparkSession, folder: str, schema, fmt="parquet", pattern
     )
 
 
-def stream_sentences(stream: DataFrame, path: str, **options):
+def _beside(path: str, checkpoint: str | None) -> str:
+    return checkpoint or f"{path.rstrip('/')}.checkpoint"
+
+
+def stream_sentences(stream: DataFrame, path: str, checkpoint: str | None = None, **options):
     """Append sentences of arriving texts to `path`; ends when all is read."""
-    return _append(split_sentences(stream, **options), path)
+    return (
+        split_sentences(stream, **options)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", _beside(path, checkpoint))
+        .trigger(availableNow=True)
+        .start(path)
+    )
 
 
-def stream_word_counts(stream: DataFrame, path: str, col="sentence"):
+def stream_word_counts(stream: DataFrame, path: str, col="sentence", checkpoint: str | None = None):
     """Running word counts; each trigger replaces the table at `path`."""
 
     def save(table, batch_id):
@@ -33,18 +47,26 @@ def stream_word_counts(stream: DataFrame, path: str, col="sentence"):
     return (
         word_counts(stream, col)
         .writeStream.outputMode("complete")
-        .option("checkpointLocation", new_path(stream.sparkSession, "stream"))
+        .option("checkpointLocation", _beside(path, checkpoint))
         .trigger(availableNow=True)
         .foreachBatch(save)
         .start()
     )
 
 
-def stream_blocks(stream: DataFrame, path: str, order_by: list[str], block_size: int, **batches):
+def stream_blocks(
+    stream: DataFrame, path: str, order_by: list[str], block_size: int,
+    checkpoint: str | None = None, **batches,
+):
     """Pack each micro-batch of token rows on its own and append its blocks.
 
-    A micro-batch writes its own folder, so a repeated one replaces itself.
+    A micro-batch writes its own folder, so one that is repeated after a failure
+    replaces itself. Blocks without the checkpoint they were written under are
+    another run's, and an error.
     """
+    noted = _beside(path, checkpoint)
+    if _exists(stream.sparkSession, f"{path}/micro_batch=*") and not _exists(stream.sparkSession, f"{noted}/*"):
+        raise ValueError(f"{path} holds blocks that were not written under {noted}")
 
     def save(rows, batch_id):
         # The micro-batch is read by several jobs, so it is stored while they run.
@@ -55,19 +77,8 @@ def stream_blocks(stream: DataFrame, path: str, order_by: list[str], block_size:
         stored.unpersist()
 
     return (
-        stream.writeStream.option(
-            "checkpointLocation", new_path(stream.sparkSession, "stream")
-        )
+        stream.writeStream.option("checkpointLocation", noted)
         .trigger(availableNow=True)
         .foreachBatch(save)
         .start()
     )
-
-
-def _append(stream: DataFrame, path: str):
-    return (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", new_path(stream.sparkSession, "stream"))
-        .trigger(availableNow=True)
-        .start(path)
-    )

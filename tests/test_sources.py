@@ -19,7 +19,8 @@ def test_files_per_split(spark, fmt):
         else:
             writer.json(f"{folder}/{split}")
     table = files.load_source(
-        spark, train_file=f"{folder}/train", eval_file=f"{folder}/validation", file_type=fmt
+        spark, train_file=f"{folder}/train", eval_file=f"{folder}/validation", file_type=fmt,
+        multi_line=True,
     )
     got = table.groupBy("split").agg(F.sort_array(F.collect_list("text")).alias("t")).collect()
     assert {r.split: r.t for r in got} == {s: sorted(TEXTS) for s in ("train", "validation")}
@@ -90,3 +91,59 @@ def test_lines(spark):
     df = spark.createDataFrame([("a b",), ("卵。",)], "sentence string")
     files.write_lines(df, path)
     assert sorted(r[0] for r in spark.read.text(path).collect()) == ["a b", "卵。"]
+
+
+def write_lines_of(spark, path, texts):
+    spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1).write.json(path)
+
+
+def test_split_names(spark):
+    folder = new_path(spark, "t")
+    for name, text in (("train_notes.json", "a"), ("valid_notes.json", "b"), ("test_notes.json", "c"), ("training-2.json", "d")):
+        write_lines_of(spark, f"{folder}/{name}", [text])
+    got = files.read_dataset(spark, folder, None).collect()
+    assert sorted((r.split, r.text) for r in got) == [("test", "c"), ("train", "a"), ("train", "d"), ("validation", "b")]
+    for name in ("val.json", "dev-00001.json"):
+        other = new_path(spark, "t")
+        write_lines_of(spark, f"{other}/{name}", ["x"])
+        assert files.read_dataset(spark, other, None).first().split == "validation"
+
+
+def test_files_of_no_split_are_an_error_unless_named(spark):
+    folder = new_path(spark, "t")
+    write_lines_of(spark, f"{folder}/train.json", ["a"])
+    write_lines_of(spark, f"{folder}/trainer_log.json", ["z"])
+    with pytest.raises(ValueError, match="trainer_log"):
+        files.read_dataset(spark, folder, None)
+    got = files.read_dataset(spark, folder, None, splits={"train": "train.json", "extra": ["trainer*"]}).collect()
+    assert sorted((r.split, r.text) for r in got) == [("extra", "z"), ("train", "a")]
+    with pytest.raises(ValueError, match="no files"):
+        files.read_dataset(spark, folder, None, splits={"validation": "valid*"})
+
+
+def test_rows_are_numbered_in_file_order(spark):
+    folder = new_path(spark, "t")
+    texts = {"train_1": [f"a{i}" for i in range(300)], "train_2": [f"b{i}" for i in range(50)], "valid": ["v0", "v1"]}
+    for name in ("train_2", "valid", "train_1"):
+        write_lines_of(spark, f"{folder}/{name}.json", texts[name])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        table = files.read_dataset(spark, folder, None, schema="text string", file_order=True)
+        got = files.with_row_ids(table).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = texts["train_1"] + texts["train_2"] + texts["valid"]
+    assert [r.text for r in sorted(got, key=lambda r: r.row_id)] == want
+    assert set(got[0].asDict()) == {"text", "split", "row_id"}
+
+
+def test_changed_input_is_computed_again(spark):
+    source, path = new_path(spark, "t"), new_path(spark, "t")
+    df = lambda n: spark.range(n).withColumn("split", F.lit("train"))
+    count = lambda: processed.reuse_or_compute(spark, path, {}, lambda: spark.read.parquet(source), [source]).count()
+    df(3).write.parquet(source)
+    assert count() == 3
+    df(10).write.mode("overwrite").parquet(source)
+    assert count() == 10
+    df(5).write.mode("append").parquet(source)
+    assert count() == 15 == count()
