@@ -54,6 +54,11 @@ def _spaced(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?:^|(?<={_SPECIAL}))(?!{_SPECIAL}|\z)", " ")
 
 
+#: Units and segments that a worker remembers, and how long they may be: at most
+#: some 100 MB together, whatever the texts are like.
+CACHED_UNITS, CACHED_CHARS = 1 << 16, 64
+
+
 class Vocabulary:
     """Piece lookup and score-ordered merging for one unit at a time."""
 
@@ -65,9 +70,17 @@ class Vocabulary:
         self.special = {p: self.ids[p] for p in SPECIAL_PIECES if p in self.ids}
         self.scores = {piece: score for _, piece, score in entries if piece not in reserved}
         self.bigrams = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
-        self.segment = lru_cache(maxsize=1 << 18)(self._segment)
+        self._cached = lru_cache(maxsize=CACHED_UNITS)(self._segment)
         self.cuttable = not any(tx.SPACE_MARK in p.lstrip(tx.SPACE_MARK) for p in self.scores)
 
+    def __reduce__(self):
+        """Travels as its entries; a worker builds it once for each broadcast."""
+        return Vocabulary, (self.entries,)
+
+    def segment(self, text: str) -> list[int]:
+        """Short segments are remembered; long ones hardly come again."""
+        return self._cached(text) if len(text) <= CACHED_CHARS else self._segment(text)
+
     def lookup(self, unit: str) -> list[int]:
         found = self.ids.get(unit)
         return [self.bytes[b] for b in unit.encode()] if found is None else [found]
@@ -133,31 +146,57 @@ class Vocabulary:
         return [p for p in parts if p]
 
 
-def encoder(spark: SparkSession, vocabulary: Vocabulary, mode: str):
+def encoder(sent, mode: str):
     """Arrow function from arrays of units to arrays of ids."""
-    sent = spark.sparkContext.broadcast(vocabulary.entries)  # size checked on loading
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocab = Vocabulary(sent.value)
-        one = lru_cache(maxsize=1 << 18)(vocab.merge if mode == "bpe" else vocab.lookup)
+        vocab = sent.value
+        code = vocab.merge if mode == "bpe" else vocab.lookup
+        short = lru_cache(maxsize=CACHED_UNITS)(code)
         for batch in batches:
             coded = batch.flatten().dictionary_encode()
-            lists = [one(u) for u in coded.dictionary.to_pylist()]
+            lists = [short(u) if len(u) <= CACHED_CHARS else code(u) for u in coded.dictionary.to_pylist()]
             sizes = np.fromiter((len(x) for x in lists), np.int64, len(lists))
             flat = np.fromiter((t for x in lists for t in x), np.int32, int(sizes.sum()))
             unit = coded.indices.to_numpy(zero_copy_only=False)
-            unit_sizes = sizes[unit] if len(unit) else np.zeros(0, np.int64)
-            ends = np.cumsum(unit_sizes)
-            # Where each output id sits in `flat`: its unit's start plus its rank there.
-            starts = (np.cumsum(sizes) - sizes)[unit] if len(unit) else unit_sizes
-            shift = np.repeat(starts - (ends - unit_sizes), unit_sizes)
-            ids = flat[shift + np.arange(len(shift))]
             row_units = np.zeros(len(batch) + 1, np.int64)
             lengths = pa.compute.fill_null(pa.compute.list_value_length(batch), 0)
             np.cumsum(lengths.to_numpy(zero_copy_only=False), out=row_units[1:])
-            offsets = np.concatenate([[0], ends])[row_units].astype(np.int32)
-            mask = batch.is_null() if batch.null_count else None
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()), mask=mask)
+            yield _spread(flat, sizes, unit, row_units, batch)
+
+    return F.arrow_udf(encode, "array<int>")
+
+
+def _spread(flat, sizes, unit, row_units, batch) -> pa.ListArray:
+    """Ids of each row: `flat` holds the ids of distinct units one after the
+    other, `sizes` how many each has, `unit` the units in the rows' order, and
+    `row_units` where each row's begin."""
+    unit_sizes = sizes[unit] if len(unit) else np.zeros(0, np.int64)
+    ends = np.cumsum(unit_sizes)
+    # Where each output id sits in `flat`: its unit's start plus its rank there.
+    starts = (np.cumsum(sizes) - sizes)[unit] if len(unit) else unit_sizes
+    shift = np.repeat(starts - (ends - unit_sizes), unit_sizes)
+    ids = flat[shift + np.arange(len(shift))]
+    offsets = np.concatenate([[0], ends])[row_units].astype(np.int32)
+    mask = batch.is_null() if batch.null_count else None
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()), mask=mask)
+
+
+def char_encoder(sent):
+    """Arrow function from texts to arrays of ids, a unit for each character.
+    Texts come whole: their code points are looked up as one array."""
+
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vocab = sent.value
+        for batch in batches:
+            texts = [t or "" for t in batch.to_pylist()]
+            points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+            known, unit = np.unique(points, return_inverse=True)
+            lists = [vocab.lookup(chr(c)) for c in known.tolist()]
+            sizes = np.fromiter((len(x) for x in lists), np.int64, len(lists))
+            flat = np.fromiter((t for x in lists for t in x), np.int32, int(sizes.sum()))
+            row_units = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+            yield _spread(flat, sizes, unit, row_units, batch)
 
     return F.arrow_udf(encode, "array<int>")
 
@@ -197,8 +236,12 @@ def tokenize_with(
         cut = stretches(text)  # a piece spans words
     else:
         cut = units(text, mode)
-    none = F.array().cast("array<string>")  # a missing text has no units
-    ids = encoder(df.sparkSession, vocabulary, mode)(F.coalesce(cut, none))
+    sent = df.sparkSession.sparkContext.broadcast(vocabulary)  # size checked on loading
+    if mode == "char":
+        ids = char_encoder(sent)(F.coalesce(text, F.lit("")))
+    else:
+        none = F.array().cast("array<string>")  # a missing text has no units
+        ids = encoder(sent, mode)(F.coalesce(cut, none))
     result = df.withColumn(out, ar.with_special(ids, bos, eos))
     return result.withColumn("attention_mask", ar.ones_mask(F.col(out))) if mask else result
 

@@ -138,3 +138,30 @@ def test_comparison_counts(spark):
     row = tk.compare_tokenizers(df, base, merged, mode="whitespace", by=["lang"]).first()
     assert (row.texts, row.base_tokens, row.merged_tokens) == (2, 4, 3)
     assert row.base_byte_share == 0.5 and row.merged_byte_share == 0.0
+
+
+def test_texts_without_spaces_stay_out_of_the_cache(spark):
+    """Long units are coded each time; what a worker keeps stays small."""
+    vocab = tk.Vocabulary([(i, p, -float(i)) for i, p in enumerate("ab")] + [(2, "ab", -0.0)])
+    for i in range(200):
+        vocab.merge("ab" * 3000 + "a" * i)
+    info = vocab._cached.cache_info()
+    assert info.maxsize == tk.CACHED_UNITS and info.currsize <= 2
+    assert vocab.merge("abab" * 20) == [2] * 40
+
+
+def test_a_worker_gets_a_vocabulary_by_its_entries():
+    import pickle
+
+    vocab = tk.Vocabulary([(0, "x", 0.0), (1, "y", -1.0)])
+    again = pickle.loads(pickle.dumps(vocab))
+    assert again.entries == vocab.entries and again.merge("xy") == [0, 1]
+
+
+def test_char_mode_codes_any_character(spark):
+    rows = [(1, "ab\U0001f600é b"), (2, ""), (3, None)]
+    df = spark.createDataFrame(rows, "k int, text string")
+    got = {r.k: r.input_ids for r in tk.tokenize(df, make(spark, ["a", "é"]), mode="char", bos=False).collect()}
+    byte = lambda c: [3 + b for b in c.encode()]
+    assert got[1] == [259] + byte("b") + byte("\U0001f600") + [260] + byte(" ") + byte("b")
+    assert got[2] == []
