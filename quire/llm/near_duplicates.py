@@ -14,7 +14,8 @@
 5. Rest. Where a bucket's members still lie in different components, those
    outside its largest component are compared with all members of other
    components by their signatures; likely pairs are confirmed on full sets,
-   in blocks that get each set once. So no pair that shares a bucket is left
+   in blocks that get each set once; of the bands that a pair shares only the
+   first one looks at it. So no pair that shares a bucket is left
    unjudged, however large the bucket, and pairs never become rows.
 
 With 51 bands of 5 bins a pair at similarity 0.8 shares no bucket with a chance
@@ -129,7 +130,7 @@ def _sign(size):
                     for k in range(band * ROWS, band * ROWS + ROWS):
                         key = combine(key, bins[:, k])
                     keys[:, band] = key
-                short = mix(bins).astype(np.uint8)
+                short = np.concatenate([mix(bins).astype(np.uint8), keys.astype("<u4").view(np.uint8)], 1)
                 total = lambda v: np.diff(np.concatenate([np.zeros(1, np.uint64), np.cumsum(v)])[first]).view(np.int64)
                 some = n > 0
                 blob = lambda rows: pa.array([r.tobytes() if s else None for r, s in zip(rows, some)], pa.binary())
@@ -215,12 +216,18 @@ def _to_reps(links, classes):
     return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _marks(column):
+    """A byte of each bin, and 32 bits of each band's key, of stored signatures."""
+    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS + 4 * BANDS)
+    return rows[:, :BINS], np.ascontiguousarray(rows[:, BINS:]).view("<u4")
+
+
 def _likely(one: str, two: str):
     """Pairs whose signatures agree often enough, row by row."""
 
     def run(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in (one, two))
+            x, y = (_marks(batch.column(c))[0] for c in (one, two))
             ok = (x == y).sum(1) >= LIKELY * BINS
             yield batch.filter(pa.array(ok)).select(["a", "b"])
 
@@ -278,7 +285,7 @@ def _likely_rest(key, rows):
     order = np.lexsort((rows.column("component").to_numpy(), rows.column("key").to_numpy()))
     rows = rows.take(pa.array(order))
     keys, parts, docs = (rows.column(c).to_numpy() for c in ("key", "component", "doc_id"))
-    signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(-1, BINS)
+    signs, bands = _marks(rows.column("signature"))
     found = {}
     head = _heads(keys)
     for i, j in zip(head.tolist(), [*head[1:].tolist(), len(keys)]):
@@ -288,13 +295,19 @@ def _likely_rest(key, rows):
             continue
         largest = part[runs[np.argmax(np.diff(np.append(runs, j - i)))]]
         out = np.flatnonzero(part != largest)
+        this = int(np.flatnonzero(bands[i] == np.uint32(int(keys[i]) & 0xFFFFFFFF))[0])
         blocks = 1 + (j - i) // BLOCK_DOCS
         step = max(1, AT_ONCE // (BINS * (j - i)))
         for k in range(0, len(out), step):
             mine = out[k : k + step]
             same = (signs[i + mine][:, None, :] == signs[None, i:j, :]).sum(2) >= LIKELY * BINS
             x, y = np.nonzero(same & (part[mine][:, None] != part[None, :]))
-            x, y = docs[i + mine[x]], docs[i + y]
+            x, y = i + mine[x], i + y
+            # The first band that a pair shares speaks for it, the others don't.
+            own = bands[x, this] == bands[y, this]
+            for earlier in range(this):
+                own &= bands[x, earlier] != bands[y, earlier]
+            x, y = docs[x[own]], docs[y[own]]
             for number, at in _by((mix(x.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)):
                 found.setdefault((int(largest), blocks, number), []).append(np.stack([x[at], y[at]], 1))
     out = []
