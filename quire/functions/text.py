@@ -1,5 +1,7 @@
 """Column expressions on text. All are stateless, so they work on streams too."""
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 # The characters str.strip() removes, and the sentence delimiters.
@@ -26,6 +28,17 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(WHITESPACE))
 
 
+def compatible(text: Column) -> Column:
+    """Full-width and other compatibility forms as plain ones (NFKC), a batch at
+    a time, and runs of white space as one space."""
+
+    def normalized(texts: pa.Array) -> pa.Array:
+        return pc.utf8_normalize(texts, form="NFKC")
+
+    plain = F.arrow_udf(normalized, "string")(text)
+    return strip(F.regexp_replace(plain, char_class(WHITESPACE) + "+", " "))
+
+
 def sentence_array(text: Column, delimiters: str = DELIMITERS, keep_tail: bool = False) -> Column:
     """Cut after each delimiter. What follows the last one is dropped unless
     `keep_tail`; a zero-width cut keeps this linear in the text length."""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import text as tx
 from ..session import cut_lineage, drop_stored, store
 from .vocab import (
-    FIRST_WORD_ID, UNKNOWN_CHAR, char_counts, char_coverage, reserved_pieces, within_bytes,
+    FIRST_WORD_ID, SPECIAL_PIECES, UNKNOWN_CHAR, char_counts, char_coverage, reserved_pieces, within_bytes,
     word_counts,
 )
 
@@ -22,6 +22,8 @@ from .vocab import (
 MAX_PIECE_CHARS = 16
 CHECKPOINT_MERGES = 64
 WATCHED_PAIRS = 20_000
+# How many reserved pieces come before the learned ones.
+LAYOUTS = {"none": 0, "special": len(SPECIAL_PIECES), "bytes": FIRST_WORD_ID}
 FIRST_MADE = 0x110000  # numbers below are code points, from here on made pieces
 
 # Scripts whose letters never share a piece. Han and kana count as one.
@@ -113,9 +115,14 @@ def _weighted_pairs(flat: np.ndarray, counts: np.ndarray):
     return (left[inside].astype(np.int64) << 32) | right[inside], counts[word[inside]]
 
 
-def pair_changes(words: DataFrame, done: list, merges: list, floor: int) -> DataFrame:
-    """How counts change when `merges` are made after `done`, leaving out new
-    counts up to `floor`. Only words holding one of the pairs are counted."""
+def pair_changes(words: DataFrame, done: list, merges: list, floor: int, watched: np.ndarray) -> DataFrame:
+    """How counts change when `merges` are made after `done`: of the `watched`
+    pairs (left * 2^32 + right, sorted), and of new ones that exceed `floor`.
+
+    The whole table is read and the merges not stored yet are made again; pairs
+    are counted in the words that hold one of `merges` only.
+    """
+    newest = min(made for _, _, made in merges)
 
     def run(batches):
         for batch in batches:
@@ -129,9 +136,13 @@ def pair_changes(words: DataFrame, done: list, merges: list, floor: int) -> Data
                 pairs, count = _weighted_pairs(kept, counts[hit])
                 keys.append(pairs)
                 weights.append(sign * count)
-            keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+            keys, weights = np.concatenate(keys), np.concatenate(weights)
+            at = np.minimum(np.searchsorted(watched, keys), max(len(watched) - 1, 0))
+            asked = (watched[at] == keys) if len(watched) else np.zeros(len(keys), bool)
+            asked |= ((keys >> 32) >= newest) | ((keys & 0xFFFFFFFF) >= newest)
+            keys, at = np.unique(keys[asked], return_inverse=True)
             change = np.zeros(len(keys), np.int64)
-            np.add.at(change, at, np.concatenate(weights))
+            np.add.at(change, at, weights[asked])
             yield pa.RecordBatch.from_arrays(
                 [pa.array((keys >> 32).astype(np.int32)),
                  pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(change)],
@@ -233,8 +244,7 @@ def learn_merges(
     the commonest pairs only. A pair's count never grows after the round that
     creates it, so pairs outside the watched ones stay at or below `floor`, and
     watching is exact until the best one sinks to it. Each round is one job over
-    the words that hold a chosen pair; its result is as small as the vocabulary.
-    The word table is stored in the shared folder every `CHECKPOINT_MERGES`
+    the word table that returns the changes of watched and new pairs. The word table is stored in the shared folder every `CHECKPOINT_MERGES`
     merges.
     """
     spark = words.sparkSession
@@ -279,7 +289,9 @@ def learn_merges(
             chosen.append((number[left], number[right], number[piece]))
         learned += fresh
         made.update(left + right for (left, right), _ in fresh)
-        for r in pair_changes(table, pending, chosen, floor).collect():
+        asked = np.sort(np.array([(number[a] << 32) | number[b] for a, b in counts], np.int64))
+        # Watched pairs and new ones above the floor: some WATCHED_PAIRS rows.
+        for r in pair_changes(table, pending, chosen, floor, asked).collect():
             pair = names[r.left], names[r.right]
             if r.pair_count > 0 and len(pair[0] + pair[1]) <= max_piece_chars:
                 counts[pair] = r.pair_count
@@ -319,24 +331,33 @@ def train_bpe(
     col: str = "sentence",
     split_scripts: bool = True,
     max_piece_chars: int = MAX_PIECE_CHARS,
-    reserved: bool = True,
+    layout: str = "special",
+    normalize: bool = True,
 ) -> DataFrame:
     """Learn a vocabulary: reserved pieces, merges in order, then characters.
 
-    Scores are minus the rank among learned pieces.
+    `layout` says which pieces come first: `special` the three special ones,
+    `bytes` these and the 256 byte pieces, `none` no others. Texts are brought to
+    compatible forms first unless `normalize` is off. Scores are minus the rank
+    among learned pieces. No piece is longer than `max_piece_chars`, which is
+    also the usual trainer's limit.
     """
     spark = sentences.sparkSession
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {sorted(LAYOUTS)}")
+    if normalize:
+        sentences = sentences.withColumn(col, tx.compatible(F.col(col)))
     words = cut_lineage(word_counts(within_bytes(sentences, max_bytes, col), col))
     chars = char_coverage(char_counts(words), coverage)
     alphabet = [
         r.char
         for r in chars.where("kept").orderBy(F.desc("count"), "char").collect()  # <= Unicode
     ]
-    head = FIRST_WORD_ID if reserved else 0
+    head = LAYOUTS[layout]
     merges = max(0, vocab_size - head - len(alphabet))
     table = start_symbols(cover_words(words, chars), split_scripts)
     learned = learn_merges(table, merges, set(alphabet), max_piece_chars)
     pieces = [left + right for (left, right), _ in learned] + alphabet
     rows = [(head + i, p, -float(i), "trained") for i, p in enumerate(pieces)]
     trained = spark.createDataFrame(rows, "id int, piece string, score double, origin string")
-    return reserved_pieces(spark).unionByName(trained) if reserved else trained
+    return reserved_pieces(spark).where(F.col("id") < head).unionByName(trained)

@@ -233,7 +233,7 @@ TRAINED_SIZE = 420
 def sentence_vocabulary(spark, sf_dir, size=TRAINED_SIZE):
     def compute():
         cut = sn.split_sentences(documents(spark, sf_dir), delimiters=MARKS)
-        return pairs.train_bpe(cut, size)
+        return pairs.train_bpe(cut, size, layout="bytes", normalize=False)
 
     return stored_vocabulary(spark, "pieces", {"sf_dir": sf_dir, "size": size}, compute)
 
@@ -302,5 +302,7 @@ def extended_vocabulary(spark, sf_dir):
     first corpus' vocabulary."""
     base = word_vocabulary(spark, sf_dir)
     items = table(spark, sf_dir, "benchmark")
-    grown = preparation.extended_vocabulary(items, base, TRAINED_SIZE, MARKS)
+    grown = preparation.extended_vocabulary(
+        items, base, TRAINED_SIZE, MARKS, layout="bytes", normalize=False
+    )
     return grown.select("id", "piece", "origin")

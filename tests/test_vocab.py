@@ -140,11 +140,11 @@ def test_safe_merges_agree_with_single_steps(words):
 def test_training_cuts_at_scripts_and_rare_characters(spark):
     lines = ["ab12ab 卵巢ab。"] * 30 + ["aЖb"] * 5 + ["zzq"]
     df = spark.createDataFrame([(t,) for t in lines], "sentence string")
-    vocab = pairs.train_bpe(df, 400, coverage=0.9999).collect()
+    vocab = pairs.train_bpe(df, 400, coverage=0.9999, layout="bytes", normalize=False).collect()
     pieces = {r.piece for r in vocab if r.id >= 259}
     assert "ab" in pieces and "▁ab" in pieces and "12" in pieces and "▁卵巢" in pieces
     assert not pieces & {"b1", "巢a", "b。", "aЖ"}
-    few = {r.piece for r in pairs.train_bpe(df, 400, coverage=0.97).collect() if r.id >= 259}
+    few = {r.piece for r in pairs.train_bpe(df, 400, coverage=0.97, layout="bytes").collect() if r.id >= 259}
     assert "q" not in few and "zz" not in few
     ids = sorted(r.id for r in vocab)
     assert ids == list(range(len(vocab)))
@@ -153,12 +153,40 @@ def test_training_cuts_at_scripts_and_rare_characters(spark):
 
 def test_vocabulary_size_and_long_lines(spark):
     df = spark.createDataFrame([("abab abab cd",), ("x" * 50,)], "sentence string")
-    vocab = pairs.train_bpe(df, 259 + 5 + 2, coverage=1.0, max_bytes=20)
+    vocab = pairs.train_bpe(df, 259 + 5 + 2, coverage=1.0, max_bytes=20, layout="bytes")
     assert vocab.count() == 266
     assert not vocab.where("piece like '%x%' and id >= 259").count()
 
 
 def test_characters_beyond_the_first_plane(spark):
     df = spark.createDataFrame([("\U00020000\U00020001 " * 3,)], "sentence string")
-    pieces = {r.piece for r in pairs.train_bpe(df, 300, coverage=1.0).collect() if r.id >= 259}
+    pieces = {r.piece for r in pairs.train_bpe(df, 300, coverage=1.0, layout="bytes").collect() if r.id >= 259}
     assert "\U00020000" in pieces and "▁\U00020000\U00020001" in pieces
+
+
+def test_layouts_and_sizes(spark):
+    df = spark.createDataFrame([("abab abab cd ef ghgh",)], "sentence string")
+    for layout, head in (("none", 0), ("special", 3), ("bytes", 259)):
+        rows = pairs.train_bpe(df, head + 12, coverage=1.0, layout=layout).orderBy("id").collect()
+        assert [r.id for r in rows] == list(range(head + 12))
+        assert [r.piece for r in rows[:3]] == (["<unk>", "<s>", "</s>"] if head else [r.piece for r in rows[:3]])
+        assert rows[head].score == 0.0
+    with pytest.raises(ValueError):
+        pairs.train_bpe(df, 20, layout="all")
+
+
+def test_training_sees_compatible_forms(spark):
+    df = spark.createDataFrame([("ＡＢ１２ ＡＢ１２　AB12",)] * 3, "sentence string")
+    pieces = {r.piece for r in pairs.train_bpe(df, 20, coverage=1.0).collect()}
+    assert "AB" in pieces or "▁AB" in pieces
+    assert not any("Ａ" in p or "１" in p for p in pieces)
+    raw = {r.piece for r in pairs.train_bpe(df, 20, coverage=1.0, normalize=False).collect()}
+    assert any("Ａ" in p for p in raw)
+
+
+def test_a_trained_vocabulary_appended_to_a_base(spark):
+    """Size after merging: base + trained - pieces that both have."""
+    base = pairs.train_bpe(spark.createDataFrame([("one two three",)], "sentence string"), 300, coverage=1.0, layout="bytes")
+    extra = pairs.train_bpe(spark.createDataFrame([("two three four",)], "sentence string"), 30, coverage=1.0)
+    both = base.join(extra.select("piece"), "piece").count()
+    assert vb.merge_vocab(base, extra).count() == base.count() + extra.count() - both
