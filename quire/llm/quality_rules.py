@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
 from .native import let, words
-from .tables import fresh
 
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -40,14 +39,16 @@ MOST_FALSE = 0.001
 #: Words of a window that may repeat.
 WINDOW = 3
 
-#: name: (bad when, good when); a rule abstains when neither holds.
+#: name: (bad when, good when), of a struct of counts; a rule abstains when
+#: neither holds.
 RULES = {
-    "repeats": ("100 * n_repeat_words > 40 * n_words", "100 * n_repeat_words < 20 * n_words"),
-    "lines": ("n_dup_lines >= 3", "n_dup_lines = 0"),
-    "symbols": ("10 * n_symbols > n_words", "50 * n_symbols < n_words"),
-    "capitals": ("3 * n_upper > word_chars", "5 * n_upper < word_chars"),
-    "word_length": ("word_chars < 2 * n_words or word_chars > 20 * n_words",
-                    "word_chars >= 3 * n_words and word_chars <= 12 * n_words"),
+    "repeats": (lambda c: 100 * c["n_repeat_words"] > 40 * c["n_words"],
+                lambda c: 100 * c["n_repeat_words"] < 20 * c["n_words"]),
+    "lines": (lambda c: c["n_dup_lines"] >= 3, lambda c: c["n_dup_lines"] == 0),
+    "symbols": (lambda c: 10 * c["n_symbols"] > c["n_words"], lambda c: 50 * c["n_symbols"] < c["n_words"]),
+    "capitals": (lambda c: 3 * c["n_upper"] > c["word_chars"], lambda c: 5 * c["n_upper"] < c["word_chars"]),
+    "word_length": (lambda c: ~c["word_chars"].between(2 * c["n_words"], 20 * c["n_words"]),
+                    lambda c: c["word_chars"].between(3 * c["n_words"], 12 * c["n_words"])),
 }
 
 
@@ -99,19 +100,9 @@ def counts(text: Column) -> Column:
     return let(pair, of)
 
 
-def _votes(stats: str) -> list[Column]:
-    """1, -1 or 0 of each rule."""
-    out = []
-    for name, (bad, good) in RULES.items():
-        bad, good = (_on(stats, rule) for rule in (bad, good))
-        out.append(F.when(bad, -1).when(good, 1).otherwise(0).alias(name))
-    return out
-
-
-def _on(stats: str, rule: str) -> Column:
-    for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper"):
-        rule = rule.replace(name, f"`{stats}`.`{name}`")
-    return F.expr(rule)
+def _votes(c: Column) -> list[Column]:
+    """1, -1 or 0 of each rule for a struct of counts."""
+    return [F.when(bad(c), -1).when(good(c), 1).otherwise(0).alias(name) for name, (bad, good) in RULES.items()]
 
 
 def _log_odds(votes: list[Column], model) -> Column:
@@ -154,36 +145,37 @@ def fit(patterns: DataFrame, rounds: int = ROUNDS):
     return model
 
 
-def _failed(stats: str) -> Column:
-    n, repeated = F.col(stats)["n_words"], F.col(stats)["n_repeat_words"]
-    return (n < MIN_WORDS) | (100 * repeated > MOST_REPEATED * n)
+def _failed(c: Column) -> Column:
+    return (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MOST_REPEATED * c["n_words"])
 
 
-def _judged(rows: DataFrame, stats: str, model) -> DataFrame:
-    """`rows` with the counts `stats` extended by base_failed, probability and kept."""
-    failed = _failed(stats)
-    p = 1 / (1 + F.exp(-_log_odds(_votes(stats), model)))
-    return rows.withColumn(stats, F.col(stats).withField("base_failed", failed).withField("probability", p)
-                           .withField("kept", ~failed & (p > 0.5)))
+def _probability(c: Column, model) -> Column:
+    return 1 / (1 + F.exp(-_log_odds(_votes(c), model)))
 
 
-def _learned(rows: DataFrame, stats: str):
-    patterns = rows.where(~_failed(stats)).select(*_votes(stats)).groupBy(*RULES).agg(F.count("*").alias("n"))
-    return fit(cut_lineage(patterns))
+def _learned(rows: DataFrame, counted: Column):
+    """The model of a table whose struct of counts is `counted`."""
+    # One struct for each row, so that the counts are made once for each row.
+    ballots = rows.select(let(counted, lambda c: F.struct(_failed(c).alias("failed"), *_votes(c))).alias("ballot"))
+    patterns = cut_lineage(ballots.groupBy("ballot").agg(F.count("*").alias("n")))
+    return fit(patterns.where("not ballot.failed").select("ballot.*", "n"))
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
     """One row for each document: its counts, base_failed, kept, and the
     posterior probability that it is good."""
     rows = cut_lineage(docs.select("doc_id", counts(F.col("text")).alias("stats")))
-    judged = _judged(rows, "stats", _learned(rows, "stats"))
-    return judged.select("doc_id", *(f"stats.{c}" for c in (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability")))
+    c = F.col("stats")
+    model = _learned(rows, c)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return rows.select(
+        "doc_id", *(c[n].alias(n) for n in names), _failed(c).alias("base_failed"),
+        (~_failed(c) & (_probability(c, model) > 0.5)).alias("kept"), _probability(c, model).alias("probability"))
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` without those that the rules reject. Counted twice, once to learn
     and once to decide, so that no text has to be stored or moved."""
-    name = fresh(docs, "stats")
-    rows = docs.withColumn(name, counts(F.col(text)))
-    return _judged(rows, name, _learned(rows, name)).where(F.col(name)["kept"]).drop(name)
+    counted = counts(F.col(text))
+    model = _learned(docs, counted)
+    return docs.where(let(counted, lambda c: ~_failed(c) & (_probability(c, model) > 0.5)))
