@@ -1,18 +1,18 @@
 """Toxicity categories by a chain of linear classifiers.
 
 Categories are predicted one after the other. Each is a logistic model over
-hashed words and word pairs of the text, and over the probabilities of the
+hashed words of the text and their first letters, and over the probabilities of the
 categories before it. In training those earlier probabilities come from models
 that haven't seen the row: rows are dealt to folds by hash, each category is
 trained once without each fold and once on all rows, and a training row gets
 its earlier probabilities from the models of its own fold.
 
-Training takes at most `most_rows` labelled rows, picked by hash; their features
-are stored once, and every training step is a Spark job that adds up gradients
-of all folds at once. The first step only counts: features that go with the
-category by less than `APART` deviations get no weight, so a long clean text
-gathers no score by its length. Besides words and word pairs there are the
-words' first letters, for stems with many endings.
+Training takes at most `most_rows` labelled rows, picked by hash, and one of
+each set of near copies among them; their features are stored once, and every training step is a Spark job that adds up gradients
+of all folds at once. The first step only counts, over the features that occur
+in rows of a category: those that don't go with it by `APART` deviations get no
+weight, so a long clean text gathers no score by its length. First letters are for stems with many endings.
+Features are told apart by 32 bits of hash.
 
 Scoring is a map over all texts and moves nothing.
 
@@ -31,13 +31,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import drop_stored, store
 from .words import ALNUM, Words, combine, mix, slices, within
 
-SLOTS = 1 << 17
+#: Hashes of features.
+SLOTS = 1 << 32
 MOST_ROWS = 12_000
 FOLDS = 3
 ROUNDS = 12
-#: Deviations by which a feature's share of a category must differ, and rows
-#: that it must be in, to get a weight.
-APART, LEAST_ROWS = 5.0, 8
+#: Deviations by which a feature must be more common in a category than by
+#: chance, rows that it must be in, and their least share in the category, to
+#: get a weight.
+APART, LEAST_ROWS, PURE = 5.0, 6, 0.88
 #: Precision of the Gaussian prior on each weight.
 PRIOR = 0.3
 #: Letters (bytes) of a word's beginning that are features.
@@ -54,10 +56,9 @@ CATEGORY_WORDS = {
 
 
 def text_features(words: Words):
-    """Distinct slots of each text, as slots and the texts they belong to."""
+    """Distinct features of each text, as hashes and the texts they belong to."""
     h, owner = words.hashes(), words.owners()
-    pair = within(words.first, 2)
-    kinds, owners = [mix(h), combine(h[pair], h[pair + 1])], [owner, owner[pair]]
+    kinds, owners = [mix(h)], [owner]
     eight = np.ndarray(len(words.data) + 1, "<u8", np.concatenate([words.data, np.zeros(8, np.uint8)]), 0, (1,))
     for size in STEMS:
         at = np.flatnonzero(words.ends - words.starts >= size)
@@ -69,40 +70,67 @@ def text_features(words: Words):
     return both % SLOTS, both // SLOTS
 
 
-def _featurize(n_labels):
-    def run(batches):
-        for batch in batches:
-            column = batch.column("text")
-            for start, stop in slices(column):
-                n = stop - start
-                slot, owner = text_features(Words(column.slice(start, n), ALNUM, lower=True))
-                size = np.bincount(owner, minlength=n)
-                cut = np.split(slot.astype("<i4"), np.cumsum(size)[:-1])
-                part = batch.slice(start, n)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("fold"), part.column("labels"), pa.array([c.tobytes() for c in cut], pa.binary())],
-                    ["fold", "labels", "slots"])
-
-    return run
+def twins(words: Words) -> np.ndarray:
+    """A number for each text that near copies mostly share and others don't:
+    the least hash of its word pairs (of its words, if it has no pair)."""
+    h, owner = words.hashes(), words.owners()
+    pair = within(words.first, 2)
+    least = np.full(len(words.first) - 1, np.iinfo(np.uint64).max)
+    np.minimum.at(least, owner, mix(h) | np.uint64(1 << 63))
+    np.minimum.at(least, owner[pair], combine(h[pair], h[pair + 1]) >> np.uint64(1))
+    return least.view(np.int64)
+
+
+def _featurize(batches):
+    for batch in batches:
+        column = batch.column("text")
+        for start, stop in slices(column):
+            n = stop - start
+            words = Words(column.slice(start, n), ALNUM, lower=True)
+            slot, owner = text_features(words)
+            cut = np.split(slot.astype("<u4"), np.cumsum(np.bincount(owner, minlength=n))[:-1])
+            part = batch.slice(start, n)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("fold"), part.column("labels"), pa.array([c.tobytes() for c in cut], pa.binary()),
+                 pa.array(twins(words))], ["fold", "labels", "slots", "twin"])
 
 
 def _rows(batch):
-    """Slots, owners, folds and labels of stored feature rows."""
+    """Features, owners, folds and labels of stored rows."""
     blobs = batch.column("slots").to_pylist()
     size = np.array([len(b) // 4 for b in blobs], np.int64)
-    slot = np.frombuffer(b"".join(blobs), "<i4").astype(np.int64)
+    slot = np.frombuffer(b"".join(blobs), "<u4").astype(np.int64)
     labels = np.array(batch.column("labels").to_pylist(), float).reshape(len(blobs), -1)
     return slot, np.repeat(np.arange(len(blobs)), size), batch.column("fold").to_numpy(), labels
 
 
+def _known(ids, slot, owner):
+    """Numbers of the features that are in the sorted `ids`, and their owners."""
+    if not len(ids):
+        return slot[:0], owner[:0]
+    at = np.minimum(np.searchsorted(ids, slot), len(ids) - 1)
+    known = ids[at] == slot
+    return at[known], owner[known]
+
+
+def _of_category(batches):
+    """How many rows of any category each feature is in."""
+    held = [np.zeros(0, np.int64)]
+    for batch in batches:
+        slot, owner, _, labels = _rows(batch)
+        held.append(slot[(labels.max(1) > 0)[owner]])
+    slot, n = np.unique(np.concatenate(held), return_counts=True)
+    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n, pa.int64())], ["slot", "n"])
+
+
 class Model:
-    """Weights of one category: `words` (models x slots), and for each model a
+    """Weights of one category: `words` (models x features), and for each model a
     constant and weights of the earlier categories. Model FOLDS learned from all
     rows, model f from all but fold f."""
 
-    def __init__(self, earlier: int):
-        self.words = np.zeros((FOLDS + 1, SLOTS))
-        self.active = np.ones((FOLDS + 1, SLOTS), bool)
+    def __init__(self, earlier: int, features: int = 0):
+        self.words = np.zeros((FOLDS + 1, features))
+        self.active = np.ones((FOLDS + 1, features), bool)
         self.rest = np.zeros((FOLDS + 1, 1 + earlier))
 
     def odds(self, number, slot, owner, n, before):
@@ -129,71 +157,95 @@ def _before_out_of_fold(chain, slot, owner, fold):
 
 def _gradient(sent):
     def run(batches):
-        chain, model, category = sent.value
-        lean, bend = np.zeros((FOLDS + 1, SLOTS)), np.zeros((FOLDS + 1, SLOTS))
-        rest = np.zeros((2, *model.rest.shape))
+        ids, chain, model, category = sent.value
+        lean, bend = np.zeros(model.words.shape), np.zeros(model.words.shape)
+        rest, counting = np.zeros((2, *model.rest.shape)), not model.rest.any()
         for batch in batches:
             slot, owner, fold, labels = _rows(batch)
+            slot, owner = _known(ids, slot, owner)
             before = _before_out_of_fold(chain, slot, owner, fold)
             given = np.concatenate([np.ones((len(fold), 1)), before], 1)
             for number in range(FOLDS + 1):
                 # Features of a row share its step, so their number joins the curvature.
-                shared = np.ones(len(fold)) if model.active.all() else 1 + np.bincount(owner, model.active[number][slot], len(fold))
+                shared = np.ones(len(fold)) if counting else 1 + np.bincount(owner, model.active[number][slot], len(fold))
                 p = sigmoid(model.odds(number, slot, owner, len(fold), before))
                 mine = fold != number
                 off = np.where(mine, labels[:, category] - p, 0.0)
-                turn = np.where(mine, p * (1 - p), 0.0)
-                lean[number] += np.bincount(slot, off[owner], SLOTS)
-                bend[number] += np.bincount(slot, (turn * shared)[owner], SLOTS)
+                # At most a quarter for each row, whatever its probability.
+                turn = np.where(mine, 0.25 * shared, 0.0)
+                lean[number] += np.bincount(slot, off[owner], len(ids))
+                bend[number] += np.bincount(slot, turn[owner], len(ids))
                 rest[0, number] += off @ given
                 rest[1, number] += turn @ given**2
-        some = np.flatnonzero(bend.sum(0))
-        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (
-            some.astype("<i4"), lean[:, some].astype(np.float32), bend[:, some].astype(np.float32), rest)],
-            ["slots", "lean", "bend", "rest"])
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (lean, bend, rest)], ["lean", "bend", "rest"])
 
     return run
 
 
-def train(sample: DataFrame, n_labels: int, rounds: int = ROUNDS) -> list[Model]:
-    """One model for each category, in order, from stored feature rows."""
-    spark, chain = sample.sparkSession, []
+def _step(sample, ids, chain, model, category):
+    """Sums of one gradient job."""
+    sent = sample.sparkSession.sparkContext.broadcast((ids, chain, model, category))
+    lean, bend, rest = np.zeros(model.words.shape), np.zeros(model.words.shape), np.zeros((2, *model.rest.shape))
+    for row in sample.mapInArrow(_gradient(sent), "lean binary, bend binary, rest binary").toLocalIterator():
+        lean += np.frombuffer(row["lean"]).reshape(lean.shape)
+        bend += np.frombuffer(row["bend"]).reshape(bend.shape)
+        rest += np.frombuffer(row["rest"]).reshape(rest.shape)
+    sent.unpersist()
+    return lean, bend, rest
+
+
+def _screened(model, lean, bend, rest):
+    """Choose the features that get weights, from sums with all odds even: then
+    they are counts, and `lean` is half of how many more rows are of the
+    category than not."""
+    n, total = 4 * bend, 4 * rest[1, :, :1]
+    share = np.clip((rest[0, :, :1] + total / 2) / np.maximum(total, 1), 1e-6, 1 - 1e-6)
+    off = lean + n / 2 - n * share
+    model.active = (n >= LEAST_ROWS) & (lean >= (PURE - 0.5) * n) & (off >= APART * np.sqrt(n * share * (1 - share)))
+    model.rest[:, 0] = np.log(share / (1 - share))[:, 0]
+    # Start from each feature's own log odds; further steps settle who counts.
+    odds = np.log((n / 2 + lean + 1) / (n / 2 - lean + 1)) - model.rest[:, :1]
+    model.words = np.where(model.active, odds, 0.0)
+
+
+def train(sample: DataFrame, n_labels: int, rounds: int = ROUNDS) -> tuple[np.ndarray, list[Model]]:
+    """Features with weights, and one model for each category in order, from
+    stored feature rows."""
+    # The sample is bounded, and so are its features.
+    often = sample.mapInArrow(_of_category, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    ids = np.array(sorted(r[0] for r in often.where(F.col("n") >= LEAST_ROWS * PURE).select("slot").collect()), np.int64)
+    models = []
     for category in range(n_labels):
-        model = Model(category)
-        for step in range(rounds + 1):
-            sent = spark.sparkContext.broadcast((chain, model, category))
-            lean, bend, rest = np.zeros_like(model.words), np.zeros_like(model.words), np.zeros((2, *model.rest.shape))
-            for row in sample.mapInArrow(_gradient(sent), "slots binary, lean binary, bend binary, rest binary").toLocalIterator():
-                some = np.frombuffer(row["slots"], "<i4")
-                lean[:, some] += np.frombuffer(row["lean"], np.float32).reshape(FOLDS + 1, -1)
-                bend[:, some] += np.frombuffer(row["bend"], np.float32).reshape(FOLDS + 1, -1)
-                rest += np.frombuffer(row["rest"]).reshape(rest.shape)
-            sent.unpersist()
-            if step:
-                model.words += model.active * (lean - PRIOR * model.words) / (bend + PRIOR)
-                model.rest += np.clip(rest[0] / (4 * rest[1] + 1.0), -1, 1)
-                continue
-            # All odds are even in the first step, so its sums are counts.
-            n, total = 4 * bend, 4 * rest[1, :, :1]
-            share = np.clip((rest[0, :, :1] + total / 2) / np.maximum(total, 1), 1e-6, 1 - 1e-6)
-            off = lean + n / 2 - n * share
-            model.active = (n >= LEAST_ROWS) & (np.abs(off) >= APART * np.sqrt(n * share * (1 - share)))
-            model.rest[:, 0] = np.log(share / (1 - share))[:, 0]
+        model = Model(0, len(ids))
+        _screened(model, *_step(sample, ids, [], model, category))
+        models.append(model)
+    kept = np.flatnonzero(np.any([m.active.any(0) for m in models], 0)) if models else ids
+    chain = []
+    for category, found in enumerate(models):
+        model = Model(category, len(kept))
+        model.words, model.active = found.words[:, kept], found.active[:, kept]
+        model.rest[:, 0] = found.rest[:, 0]
+        for _ in range(rounds):
+            lean, bend, rest = _step(sample, ids[kept], chain, model, category)
+            # A step along the gradient over its curvature, and the prior's pull.
+            model.words += model.active * (lean - PRIOR * model.words) / (bend + PRIOR)
+            model.rest += np.clip(rest[0] / (rest[1] + 1.0), -1, 1)
         chain.append(model)
-    return chain
+    return ids[kept], chain
 
 
 def _score(sent, names):
     def run(batches):
         for batch in batches:
-            chain, seen = sent.value
+            ids, chain, seen = sent.value
             column, out = batch.column("text"), []
             for start, stop in slices(column):
-                slot, owner = text_features(Words(column.slice(start, stop - start), ALNUM, lower=True))
+                found = text_features(Words(column.slice(start, stop - start), ALNUM, lower=True))
+                slot, owner = _known(ids, *found)
                 p = np.zeros((stop - start, len(names)))
                 for c, model in enumerate(chain):
                     if seen[c]:
-                        p[:, c] = sigmoid(np.bincount(owner, model[0][slot], len(p)) + model[1][0] + p[:, :c] @ model[1][1:])
+                        p[:, c] = sigmoid(model.odds(FOLDS, slot, owner, len(p), p[:, :c]))
                 out.append(p)
             p = np.concatenate(out) if out else np.zeros((0, len(names)))
             yield pa.RecordBatch.from_arrays(
@@ -215,13 +267,13 @@ def score_chain(docs: DataFrame, labelled: DataFrame, categories: dict[str, Colu
     rows = docs.join(F.broadcast(picked), "doc_id").select(
         F.pmod(F.shiftright(draw, 32), F.lit(FOLDS)).cast("int").alias("fold"),
         F.array(*(c.cast("int") for c in categories.values())).alias("labels"), "text")
-    features = rows.mapInArrow(_featurize(len(names)), "fold int, labels array<int>, slots binary")
-    sample, path = store(features.repartition(SAMPLE_TASKS), "sample")
+    features = rows.mapInArrow(_featurize, "fold int, labels array<int>, slots binary, twin bigint")
+    # Copies of one text would make all its words look telling.
+    sample, path = store(features.dropDuplicates(["twin", "labels"]).drop("twin").repartition(SAMPLE_TASKS), "sample")
     seen = [n or 0 for n in sample.agg(*(F.sum(F.col("labels")[i]) for i in range(len(names)))).first()]
-    chain = train(sample, len(names), rounds) if any(seen) else [Model(c) for c in range(len(names))]
+    ids, chain = train(sample, len(names), rounds) if any(seen) else (np.zeros(0, np.int64), [])
     drop_stored(spark, path)
-    last = [(m.words[FOLDS].astype(np.float32), m.rest[FOLDS]) for m in chain]
-    sent = spark.sparkContext.broadcast((last, seen))
+    sent = spark.sparkContext.broadcast((ids, chain, seen))
     return docs.select("doc_id", "text").mapInArrow(
         _score(sent, names), ", ".join(["doc_id bigint", *(f"{n} double" for n in names)]))
 
