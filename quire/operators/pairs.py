@@ -6,6 +6,7 @@ is one flat array, so a merge is a comparison and a shift.
 """
 
 import heapq
+import logging
 
 import numpy as np
 import pyarrow as pa
@@ -257,6 +258,7 @@ def learn_merges(
     names = {r.n: chr(r.n) for r in letters}
     number = {piece: n for n, piece in names.items()}
     made, learned, pending, counts, floor = set(made) | set(number), [], [], {}, 0
+    rounds = 0
 
     def all_pairs():
         known = spark.createDataFrame(list(names.items()), "n int, piece string")
@@ -289,6 +291,7 @@ def learn_merges(
             chosen.append((number[left], number[right], number[piece]))
         learned += fresh
         made.update(left + right for (left, right), _ in fresh)
+        rounds += 1
         asked = np.sort(np.array([(number[a] << 32) | number[b] for a, b in counts], np.int64))
         # Watched pairs and new ones above the floor: some WATCHED_PAIRS rows.
         for r in pair_changes(table, pending, chosen, floor, asked).collect():
@@ -302,6 +305,7 @@ def learn_merges(
             (table, path), pending = _keep(join_symbols(table, pending), table, path), []
     table.unpersist()
     drop_stored(spark, path)
+    logging.getLogger(__name__).info("%d merges in %d rounds", len(learned), rounds)
     return learned
 
 
