@@ -35,7 +35,7 @@ from .words import NON_SPACE, Words, combine, mix, slices
 
 SLOTS = 1 << 16
 ROWS_PER_LANGUAGE, WORDS_PER_ROW = 600, 400
-ROUNDS, RATE, PRIOR = 14, 0.35, 1e-3
+ROUNDS, RATE, PRIOR = 8, 0.5, 1e-3
 LANE, LAP = 192, 16
 SEQUENCE = 64
 #: Tasks of a training step.

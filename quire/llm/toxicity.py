@@ -35,7 +35,7 @@ from .words import ALNUM, Words, combine, mix, slices, within
 SLOTS = 1 << 32
 MOST_ROWS = 12_000
 FOLDS = 3
-ROUNDS = 12
+ROUNDS = 6
 #: Deviations by which a feature must be more common in a category than by
 #: chance, rows that it must be in, and their least share in the category, to
 #: get a weight.
