@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as ar, text as tx
 from ..operators import instructions as ins, packing as pk, tokenize as tk, vocab as vb
-from ..session import cut_lineage, store
+from ..session import cut_lineage
 from . import preparation, sql_parts as q
 from .fixtures import (
     documents, instruction_records, stored_vocabulary, table, texts, word_vocabulary,
@@ -293,7 +293,7 @@ FROM placed WHERE at_token // 512 < greatest(n // 512, 1) GROUP BY split, at_tok
 def packed_global(spark, sf_dir):
     tokens = word_tokens(spark, sf_dir).select("split", "doc_id", "input_ids")
     # Lengths are read before the blocks are cut: store the tokens, make them once.
-    return _blocks(pk.pack_global(store(tokens, "tokens")[0], ["doc_id"]), "split")
+    return _blocks(pk.pack_global(cut_lineage(tokens), ["doc_id"]), "split")
 
 
 @query(f"WITH {q.RECORDS}, {q.RENDERED} SELECT conv_id, turn, source FROM rendered")
