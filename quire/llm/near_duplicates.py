@@ -49,6 +49,8 @@ HELD = 1 << 21
 PER_BUCKET = 1 << 20
 #: Ids that may travel to every task; more are joined by a shuffle.
 SENT_IDS = 500_000
+#: Bytes of sets or signatures that may travel to every task.
+SENT_BYTES = 16 << 20
 #: Members of a bucket beyond which its pairs are confirmed in several blocks.
 BLOCK_DOCS = 2000
 #: Signature bytes compared at once.
@@ -359,12 +361,17 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
 
     involved, involved_path = store(
         stars.select(F.col("member").alias("s1")).distinct().join(classes, "s1").select(F.col("rep").alias("doc_id")), "involved")
-    few = involved.count() <= SENT_IDS
-    chosen = F.broadcast(involved) if few else involved
+    n_involved = involved.count()
+    chosen = F.broadcast(involved) if n_involved <= SENT_IDS else involved
     sets, sets_path = store(
         slim.join(chosen, "doc_id", "left_semi").mapInArrow(_set_rows(shingle), "doc_id bigint, n bigint, shingles binary"), "sets")
     sets = sets.dropDuplicates(["doc_id", "shingles"])
     signs = full.join(chosen, "doc_id", "left_semi").select("doc_id", "signature").dropDuplicates()
+    # Both go to every task where they are measured small; else they are shuffled.
+    if (sets.agg(F.sum("n")).first()[0] or 0) * 8 <= SENT_BYTES:
+        sets = F.broadcast(sets)
+    if n_involved * (BINS + 4 * BANDS) <= SENT_BYTES:
+        signs = F.broadcast(signs)
 
     edges = _to_reps(stars.where("hub <> member").select("hub", "member").distinct(), classes)
     signed_edges = edges.join(signs.select(F.col("doc_id").alias("a"), F.col("signature").alias("x")), "a").join(
