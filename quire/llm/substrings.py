@@ -23,7 +23,9 @@ copy of the rest.
 Defined cases: a null text has no words; shorter texts than a window are kept
 whole; rows of one doc_id never repeat each other and each lose what earlier
 documents hold; rows without doc_id stay whole and no document counts them as
-earlier. Windows are judged on the input, not on what is left.
+earlier. Windows are judged on the input, not on what is left. Places belong to
+a doc_id and a hash of the text, so rows that share an id but not a text keep
+theirs apart; which document is earlier is told by doc_id alone.
 """
 
 from __future__ import annotations
@@ -51,7 +53,7 @@ FILTER_BITS = 1 << 27
 _ANCHORS = "bucket bigint, docs binary, owners binary, keys binary"
 _WINDOWS = "bucket bigint, docs binary, owners binary, places binary, keys binary, rest binary"
 _FOUND = "part bigint, docs binary, sizes binary, starts binary"
-_HITS = "doc_id bigint, starts binary"
+_HITS = "doc_id bigint, text_key bigint, starts binary"
 
 
 def difference_cover(period: int) -> list[int]:
@@ -84,14 +86,16 @@ class Scheme:
         return at, windows(h, self.anchor)[at]
 
 
-def _pieces(batches, id, text):
-    """(ids, words, word hashes) of slices of the rows that have an id."""
+def _pieces(batches, *columns):
+    """(values of the first columns, words, word hashes) of slices of the rows
+    that have an id. `columns`: the id first, the text last."""
+    *numbers, text = columns
     for batch in batches:
-        known = batch.filter(pa.compute.is_valid(batch.column(id)))
-        ids = known.column(id).to_numpy(zero_copy_only=False).astype(np.int64)
+        known = batch.filter(pa.compute.is_valid(batch.column(numbers[0])))
+        values = [known.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in numbers]
         for start, stop in slices(known.column(text)):
             words = Words(known.column(text).slice(start, stop - start))
-            yield ids[start:stop], words, words.hashes()
+            yield *(v[start:stop] for v in values), words, words.hashes()
 
 
 def _by(key: np.ndarray):
@@ -140,6 +144,34 @@ def _owners(doc: np.ndarray):
     return docs.astype("<i8").tobytes(), _deltas(owner)
 
 
+def _by_row(doc: np.ndarray, text_key: np.ndarray):
+    """(doc, text key, row numbers in order) of each pair."""
+    order = np.lexsort((text_key, doc))
+    head = _heads(doc[order], text_key[order]).tolist()
+    for i, j in zip(head, [*head[1:], len(order)]):
+        yield int(doc[order[i]]), int(text_key[order[i]]), order[i:j]
+
+
+def _row_owners(doc: np.ndarray, text_key: np.ndarray):
+    """As `_owners`, for pairs that stand in order."""
+    head = _heads(doc, text_key)
+    owner = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(doc))))
+    return _row_bytes(doc[head], text_key[head]), _deltas(owner)
+
+
+def _row_bytes(doc, text_key) -> bytes:
+    return np.stack([doc, text_key], 1).astype("<i8").tobytes()
+
+
+def _rows_of(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<i8").reshape(-1, 2)
+
+
+def _spread(doc, text_key) -> np.ndarray:
+    """A hash of each pair: neither an id nor a text in many rows gathers."""
+    return combine(np.asarray(doc, np.int64).view(np.uint64), np.asarray(text_key, np.int64).view(np.uint64))
+
+
 def _batch(rows, schema):
     kinds = {"bigint": pa.int64(), "binary": pa.binary()}
     fields = [f.split() for f in schema.split(", ")]
@@ -204,34 +236,34 @@ def _note_shared(size):
     return run
 
 
-def _deal_windows(scheme, n_buckets, sent, size, id, text):
+def _deal_windows(scheme, n_buckets, sent, size, id, text_key, text):
     """Windows around shared anchors to buckets; in rows of a negative bucket,
     the repeats that this task has settled itself."""
 
     def send(held):
-        doc, place, a, b = (np.concatenate(c) for c in zip(*held))
-        order = np.lexsort((place, doc, b, a))
-        doc, place, a, b = doc[order], place[order], a[order], b[order]
+        doc, of, place, a, b = (np.concatenate(c) for c in zip(*held))
+        order = np.lexsort((doc, b, a))
+        doc, of, place, a, b = doc[order], of[order], place[order], a[order], b[order]
         head = _heads(a, b)
         least = np.repeat(doc[head], np.diff(np.append(head, len(doc))))
         late = doc > least
         rows = []
         if late.any():
-            docs, starts = zip(*_starts(doc[late], place[late]))
-            rows.append((-1 - docs[0] % n_buckets, np.array(docs, "<i8").tobytes(),
+            docs, keys, starts = zip(*_starts(doc[late], of[late], place[late]))
+            rows.append((-1 - int(_spread(docs[:1], keys[:1])[0]) % n_buckets, _row_bytes(docs, keys),
                          np.array([len(x) for x in starts], "<i8").tobytes(), b"".join(starts), b"", b""))
         # What is late is settled; the smallest document's copy goes on for all.
         keep = np.flatnonzero(~late)
-        keep = keep[np.lexsort((place[keep], doc[keep]))]
+        keep = keep[np.lexsort((place[keep], of[keep], doc[keep]))]
         for bucket, at in _by((mix(a[keep]) % np.uint64(n_buckets)).astype(np.int64)):
             at = keep[at]
-            rows.append((bucket, *_owners(doc[at]), _deltas(place[at]), _planes(a[at], 8), _planes(b[at], 2)))
+            rows.append((bucket, *_row_owners(doc[at], of[at]), _deltas(place[at]), _planes(a[at], 8), _planes(b[at], 2)))
         return _batch(rows, _WINDOWS)
 
     def run(batches):
         table = sent.value
         held, n = [], 0
-        for ids, words, h in _pieces(batches, id, text):
+        for ids, text_keys, words, h in _pieces(batches, id, text_key, text):
             at, anchors = scheme.anchors(words, h)
             slot = (mix(anchors) % np.uint64(n_buckets)) * np.uint64(size)
             known = np.ones(len(at), bool)
@@ -248,7 +280,7 @@ def _deal_windows(scheme, n_buckets, sent, size, id, text):
                 start = start[start + scheme.width <= words.first[owner[start] + 1]]
                 whole = windows(h, scheme.width)[start]
                 again = windows(combine(h, h), scheme.width)[start] & np.uint64(0xFFFF)
-                held.append((ids[owner[start]], start - words.first[owner[start]], whole, again))
+                held.append((ids[owner[start]], text_keys[owner[start]], start - words.first[owner[start]], whole, again))
                 n += len(start)
             if n >= HELD:
                 yield send(held)
@@ -259,9 +291,9 @@ def _deal_windows(scheme, n_buckets, sent, size, id, text):
     return run
 
 
-def _starts(doc, place):
-    for d, rows in _by(doc):
-        yield d, np.unique(place[rows]).astype("<i4").tobytes()
+def _starts(doc, text_key, place):
+    for d, k, rows in _by_row(doc, text_key):
+        yield d, k, np.unique(place[rows]).astype("<i4").tobytes()
 
 
 def _name_repeats(n_parts):
@@ -272,22 +304,22 @@ def _name_repeats(n_parts):
         docs, starts = [], []
         if key[0].as_py() < 0:
             for d, sizes, data, *_ in zip(*columns):
-                docs.extend(np.frombuffer(d, "<i8").tolist())
+                docs.extend(_rows_of(d).tolist())
                 starts.extend(_cut(sizes, data))
         else:
-            parts = [(np.frombuffer(d, "<i8")[_undeltas(o)], _undeltas(p), _unplanes(k, 8), _unplanes(r, 2))
+            parts = [(*_rows_of(d)[_undeltas(o)].T, _undeltas(p), _unplanes(k, 8), _unplanes(r, 2))
                      for d, o, p, k, r in zip(*columns)]
-            doc, place, a, b = (np.concatenate(c) for c in zip(*parts))
+            doc, of, place, a, b = (np.concatenate(c) for c in zip(*parts))
             order = np.lexsort((b, a))
-            doc, place, a, b = doc[order], place[order], a[order], b[order]
+            doc, of, place, a, b = doc[order], of[order], place[order], a[order], b[order]
             head = _heads(a, b)
             late = doc > np.repeat(np.minimum.reduceat(doc, head), np.diff(np.append(head, len(doc)))) if len(doc) else []
-            for d, data in _starts(doc[late], place[late]):
-                docs.append(d)
+            for d, k, data in _starts(doc[late], of[late], place[late]):
+                docs.append((d, k))
                 starts.append(data)
-        docs = np.array(docs, np.int64)
+        docs = np.array(docs, np.int64).reshape(-1, 2)
         rows = []
-        for part, at in _by((mix(docs.view(np.uint64)) % np.uint64(n_parts)).astype(np.int64)):
+        for part, at in _by((_spread(docs[:, 0].copy(), docs[:, 1].copy()) % np.uint64(n_parts)).astype(np.int64)):
             mine = [starts[i] for i in at]
             rows.append((part, docs[at].astype("<i8").tobytes(), np.array([len(x) for x in mine], "<i8").tobytes(), b"".join(mine)))
         return pa.Table.from_batches([_batch(rows, _FOUND)])
@@ -301,32 +333,38 @@ def _cut(sizes: bytes, data: bytes):
 
 
 def _by_document(key, found):
-    """All repeats of one part of the documents, a row for each document."""
-    docs = [np.frombuffer(d, "<i8") for d in found.column("docs").to_pylist()]
+    """All repeats of one part of the documents, a row for each document and text."""
+    docs = [_rows_of(d) for d in found.column("docs").to_pylist()]
     starts = [x for s, d in zip(found.column("sizes").to_pylist(), found.column("starts").to_pylist()) for x in _cut(s, d)]
     docs = np.concatenate(docs)
-    out = [(d, b"".join(starts[i] for i in at)) for d, at in _by(docs)]
-    return pa.table({"doc_id": pa.array([d for d, _ in out], pa.int64()), "starts": pa.array([s for _, s in out], pa.binary())})
+    once = lambda at: np.unique(np.frombuffer(b"".join(starts[i] for i in at), "<i4")).tobytes()
+    out = [(d, k, once(at)) for d, k, at in _by_row(docs[:, 0], docs[:, 1])]
+    return pa.Table.from_batches([_batch(out, _HITS)])
+
+
+def text_key(text: str):
+    """Tells the texts of one doc_id apart, by 64 bits."""
+    return F.xxhash64(F.col(text).cast("binary"))
 
 
 def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH,
                      filter_bits: int = FILTER_BITS) -> DataFrame:
-    """doc_id and `starts`: little-endian int32 places, each the first word of a
-    window that also lies in a document with a smaller id. One row for each
-    document that has any."""
+    """doc_id, text_key (`text_key` of the text) and `starts`: little-endian int32
+    places, each the first word of a window that also lies in a document with a
+    smaller id. One row for each document and text that has any."""
     spark, scheme = docs.sparkSession, Scheme(width)
     text_size = text_bytes(docs, text)
     n = buckets_for(spark, text_size, BUCKET_BYTES)
     parts = buckets_for(spark, text_size, BUCKET_BYTES, 1)
     size = max(64, filter_bits // n // 8 * 8)
-    slim = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    anchors = slim.mapInArrow(_deal_anchors(scheme, n, "doc_id", "text"), _ANCHORS)
+    slim = docs.select(F.col(id).cast("bigint").alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
+    anchors = slim.drop("text_key").mapInArrow(_deal_anchors(scheme, n, "doc_id", "text"), _ANCHORS)
     shared = np.zeros(n * size // 8, np.uint8)
     for row in anchors.groupBy("bucket").applyInArrow(_note_shared(size), "bucket bigint, bits binary").collect():
         at = row["bucket"] * size // 8
         shared[at : at + size // 8] = np.frombuffer(row["bits"], np.uint8)
     sent = spark.sparkContext.broadcast(shared)
-    found = slim.mapInArrow(_deal_windows(scheme, n, sent, size, "doc_id", "text"), _WINDOWS)
+    found = slim.mapInArrow(_deal_windows(scheme, n, sent, size, "doc_id", "text_key", "text"), _WINDOWS)
     found = found.groupBy("bucket").applyInArrow(_name_repeats(parts), _FOUND)
     return found.groupBy("part").applyInArrow(_by_document, _HITS)
 
@@ -338,6 +376,8 @@ def _removed(words: Words, starts: list, width: int) -> np.ndarray:
     for t, places in enumerate(starts):
         if places:
             at = words.first[t] + np.unique(np.frombuffer(places, "<i4"))
+            # Were two texts of an id to share a key, no other text loses words.
+            at = at[at + width <= words.first[t + 1]]
             np.add.at(change, at, 1)
             np.add.at(change, at + width, -1)
     return np.cumsum(change)[: len(words)] > 0
@@ -373,8 +413,10 @@ def _apply(text, starts, width, finish):
 
 
 def _with_starts(docs: DataFrame, id: str, text: str, width: int, name: str) -> DataFrame:
-    hits = repeated_windows(docs, id, text, width).select(F.col("doc_id").alias(f"{name}_id"), F.col("starts").alias(name))
-    return docs.join(hits, F.col(id).cast("bigint") == F.col(f"{name}_id"), "left").drop(f"{name}_id")
+    hits = repeated_windows(docs, id, text, width).select(
+        F.col("doc_id").alias(f"{name}_id"), F.col("text_key").alias(f"{name}_key"), F.col("starts").alias(name))
+    same = (F.col(id).cast("bigint") == F.col(f"{name}_id")) & (text_key(text) == F.col(f"{name}_key"))
+    return docs.join(hits, same, "left").drop(f"{name}_id", f"{name}_key")
 
 
 def substring_report(docs: DataFrame, width: int = WIDTH) -> DataFrame:

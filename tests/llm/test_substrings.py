@@ -66,3 +66,20 @@ def test_texts_keep_their_other_columns(odd):
     want = {i: " ".join(k) if len(k) < len(w) else None for i, w, k in without_repeats([r[:2] for r in odd_rows()]) if i is not None}
     originals = {r[0]: r[1] for r in odd_rows()}
     assert kept == {i: originals[i] if want[i] is None else want[i] for i in originals if i is not None}
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_one_id_with_two_texts(spark, parts):
+    """A long and a short text, and a clean one behind them in the same slice."""
+    some = vocabulary(400)
+    rng = random.Random(3)
+    make = lambda n: [rng.choice(some) for _ in range(n)]
+    passage, other = make(20), make(30)
+    texts = [(1, passage + make(10) + other), (5, make(60) + passage + make(5)), (5, other + make(3)), (5, make(14)),
+             (6, make(40)), (7, passage + make(2)), (7, make(30) + passage), (7, make(30) + passage), (8, make(13)), (9, make(20))]
+    rows = [(i, " ".join(t)) for i, t in texts]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+    got = sorted((tuple(r) for r in sb.substring_report(df).collect()), key=key)
+    assert got == expected(rows)
+    kept = sorted((r.doc_id, len(r.text.split())) for r in sb.drop_repeats(df).collect())
+    assert kept == sorted((i, len(k)) for i, _, k in without_repeats(rows, 13))
