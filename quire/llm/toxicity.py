@@ -8,8 +8,11 @@ trained once without each fold and once on all rows, and a training row gets
 its earlier probabilities from the models of its own fold.
 
 Training takes at most `most_rows` labelled rows, picked by hash, and one of
-each set of near copies among them; their features are stored once, and every training step is a Spark job that adds up gradients
-of all folds at once. The first step only counts, over the features that occur
+each set of copies among them: rows of equal labels with the same features, or
+with the same least word pair and `LIKE` of their `SIGNS` minima in common. The
+pair alone says little, as unrelated texts share common pairs. Features are
+stored once, and every training step is a Spark job that adds up gradients of
+all folds at once. The first step only counts, over the features that occur
 in rows of a category: those that don't go with it by `APART` deviations get no
 weight, so a long clean text gathers no score by its length. First letters are for stems with many endings.
 Features are told apart by 32 bits of hash.
@@ -46,6 +49,9 @@ PRIOR = 0.3
 STEMS = (4, 5, 6)
 #: Tasks of a training step.
 SAMPLE_TASKS = 8
+#: Minima of a text's word pairs, and their least common share in near copies.
+SIGNS, LIKE = 64, 0.8
+_EMPTY = np.uint32(0xFFFFFFFF)
 
 #: Words that place a toxic document in a category, for labels that only say
 #: whether it is toxic. Fixed values.
@@ -71,8 +77,8 @@ def text_features(words: Words):
 
 
 def twins(words: Words) -> np.ndarray:
-    """A number for each text that near copies mostly share and others don't:
-    the least hash of its word pairs (of its words, if it has no pair)."""
+    """A number for each text that near copies mostly share: the least hash of
+    its word pairs (of its words, if it has no pair)."""
     h, owner = words.hashes(), words.owners()
     pair = within(words.first, 2)
     least = np.full(len(words.first) - 1, np.iinfo(np.uint64).max)
@@ -81,6 +87,37 @@ def twins(words: Words) -> np.ndarray:
     return least.view(np.int64)
 
 
+def signatures(words: Words) -> np.ndarray:
+    """The least word pair of each of `SIGNS` bins of each text (of its words,
+    if it has no pair); `_EMPTY` where a bin has none."""
+    h, owner, n = words.hashes(), words.owners(), len(words.first) - 1
+    pair, alone = within(words.first, 2), np.flatnonzero(words.counts()[owner] < 2)
+    value = np.concatenate([combine(h[pair], h[pair + 1]), mix(h[alone])])
+    at = np.concatenate([owner[pair], owner[alone]]) * SIGNS + (value % np.uint64(SIGNS)).astype(np.int64)
+    least = np.full(n * SIGNS, _EMPTY)
+    np.minimum.at(least, at, (value >> np.uint64(32)).astype(np.uint32))
+    return least.reshape(n, SIGNS)
+
+
+def near_copies(groups, signs: np.ndarray) -> list[int]:
+    """Numbers of the rows that have a near copy before them in their group
+    that stays. `groups`: a key for each row; only rows of one are compared."""
+    mine, gone = {}, []
+    for i, group in enumerate(groups):
+        mine.setdefault(group, []).append(i)
+    for rows in mine.values():
+        kept, n = np.empty((len(rows), SIGNS), np.uint32), 0
+        for i in rows:
+            used = (kept[:n] != _EMPTY) | (signs[i] != _EMPTY)
+            same = (kept[:n] == signs[i]) & used
+            if (same.sum(1) >= LIKE * np.maximum(used.sum(1), 1)).any():
+                gone.append(i)
+            else:
+                kept[n] = signs[i]
+                n += 1
+    return gone
+
+
 def _featurize(batches):
     for batch in batches:
         column = batch.column("text")
@@ -92,7 +129,25 @@ def _featurize(batches):
             part = batch.slice(start, n)
             yield pa.RecordBatch.from_arrays(
                 [part.column("fold"), part.column("labels"), pa.array([c.tobytes() for c in cut], pa.binary()),
-                 pa.array(twins(words))], ["fold", "labels", "slots", "twin"])
+                 pa.array(twins(words)), pa.array([x.tobytes() for x in signatures(words)], pa.binary())],
+                ["fold", "labels", "slots", "twin", "signs"])
+
+
+def _one_of_copies(features: DataFrame):
+    """The sample's rows, stored, without copies, and where they are. The
+    sample is bounded, and so are the minima that the driver compares."""
+    spark = features.sparkSession
+    single, path = store(features.withColumn("key", F.xxhash64("slots", "labels")).dropDuplicates(["slots", "labels"]), "single")
+    marks = single.select("twin", "labels", "key", "signs").orderBy("twin", "key").collect()
+    signs = np.frombuffer(b"".join(r["signs"] for r in marks), np.uint32).reshape(-1, SIGNS)
+    gone = near_copies([(r["twin"], tuple(r["labels"])) for r in marks], signs)
+    rows = single
+    if gone:
+        keys = spark.createDataFrame([(marks[i]["key"],) for i in gone], "key bigint")
+        rows = single.join(F.broadcast(keys), "key", "left_anti")
+    sample, sample_path = store(rows.select("fold", "labels", "slots").repartition(SAMPLE_TASKS), "sample")
+    drop_stored(spark, path)
+    return sample, sample_path
 
 
 def _rows(batch):
@@ -267,9 +322,9 @@ def score_chain(docs: DataFrame, labelled: DataFrame, categories: dict[str, Colu
     rows = docs.join(F.broadcast(picked), "doc_id").select(
         F.pmod(F.shiftright(draw, 32), F.lit(FOLDS)).cast("int").alias("fold"),
         F.array(*(c.cast("int") for c in categories.values())).alias("labels"), "text")
-    features = rows.mapInArrow(_featurize, "fold int, labels array<int>, slots binary, twin bigint")
+    features = rows.mapInArrow(_featurize, "fold int, labels array<int>, slots binary, twin bigint, signs binary")
     # Copies of one text would make all its words look telling.
-    sample, path = store(features.dropDuplicates(["twin", "labels"]).drop("twin").repartition(SAMPLE_TASKS), "sample")
+    sample, path = _one_of_copies(features)
     seen = [n or 0 for n in sample.agg(*(F.sum(F.col("labels")[i]) for i in range(len(names)))).first()]
     ids, chain = train(sample, len(names), rounds) if any(seen) else (np.zeros(0, np.int64), [])
     drop_stored(spark, path)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +98,35 @@ def test_earlier_probabilities_of_training_rows_are_out_of_fold():
     assert np.allclose(before[:, 0], toxicity.sigmoid(np.array([-3.0, 0.0, 3.0, -3.0])))
 
 
+def test_unrelated_texts_with_a_common_word_pair_are_no_copies(spark):
+    """All texts begin with one pair whose hash is less than any other's."""
+    rng = random.Random(11)
+    some, bad = vocabulary(3000, "word"), ["idiot", "moron", "worthless", "stupid", "pathetic"]
+    pairs = [f"pair{i} common" for i in range(200000)]
+    pair = pairs[int(np.argmin(toxicity.twins(toxicity.Words(pa.array(pairs), toxicity.ALNUM, lower=True))))]
+    rows = []
+    for i in range(600):
+        text = [rng.choice(some) for _ in range(30)] + ([rng.choice(bad) for _ in range(3)] if i % 4 == 0 else [])
+        rng.shuffle(text)
+        rows.append((i, " ".join([pair, *text])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(600) if i % 3], "doc_id bigint, toxic int")
+    got = [r for r in toxicity.toxicity_report(docs, labels).collect() if r.doc_id % 3 == 0]
+    assert np.mean([r.toxic for r in got if r.doc_id % 4 == 0]) > 0.9
+    assert np.mean([r.toxic for r in got if r.doc_id % 4]) < 0.02
+
+
+def test_near_copies_are_told_from_texts_with_common_pairs():
+    rng = random.Random(2)
+    some = vocabulary(500, "word")
+    text = [rng.choice(some) for _ in range(400)]
+    close, other = [*text[:200], "new", *text[200:]], text[:100] + [rng.choice(some) for _ in range(300)]
+    column = pa.array([" ".join(t) for t in (text, other, close, text)] + ["", "one", "two"])
+    signs = toxicity.signatures(toxicity.Words(column, toxicity.ALNUM, lower=True))
+    assert sorted(toxicity.near_copies([0] * 7, signs)) == [2, 3]
+    assert toxicity.near_copies([0, 1, 2, 3, 0, 0, 0], signs) == []
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(6, 1), (8, 0), (None, 1), (999, 0), (9, None)], "doc_id bigint, toxic int")
     assert toxicity.toxicity_report(odd, labels).count() == len(odd_rows())
