@@ -9,8 +9,8 @@ languages; the text's language has the largest mean share.
 Training texts are labelled as a whole. To learn when to switch, short runs of
 words from different texts are strung together by a seeded order. At most
 `rows_per_language` labelled texts of each language are used, picked by hash,
-and of each at most `words_per_row` consecutive words; both are parameters. The
-gradient of the log likelihood is computed by tasks over the stored sample and
+and of each at most `words_per_row` words, in seeded runs from anywhere in its
+text; both are parameters. The gradient of the log likelihood is computed by tasks over the stored sample and
 added up; every step is a Spark job.
 
 Prediction is a map over all texts and moves nothing. Texts of any length are
@@ -31,10 +31,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import drop_stored, store
+from .substrings import kept_texts
 from .words import NON_SPACE, Words, combine, mix, slices
 
 SLOTS = 1 << 16
 ROWS_PER_LANGUAGE, WORDS_PER_ROW = 600, 400
+#: Neighbouring words of a long training text that are drawn together.
+RUN = 16
 ROUNDS, RATE, PRIOR = 8, 0.5, 1e-3
 LANE, LAP = 192, 16
 SEQUENCE = 64
@@ -109,13 +112,44 @@ def forward_backward(scores: np.ndarray, move: np.ndarray, valid: np.ndarray):
     return share, ahead, back, local, step
 
 
+def _drawn(words: Words, draws: np.ndarray, limit: int) -> np.ndarray:
+    """Words to learn from: all of a text of at most `limit` words, else so many
+    in runs of `RUN` drawn from the whole text by its own seed."""
+    keep = np.ones(len(words), bool)
+    for t in np.flatnonzero(words.counts() > limit):
+        i, n = int(words.first[t]), int(words.counts()[t])
+        mine, left = np.zeros(n, bool), limit
+        for r in np.random.default_rng(int(draws[t]) & 0x7FFFFFFF).permutation(-(-n // RUN)):
+            if not left:
+                break
+            size = min(RUN, n - int(r) * RUN, left)
+            mine[int(r) * RUN : int(r) * RUN + size] = True
+            left -= size
+        keep[i : i + n] = mine
+    return keep
+
+
+def _draw_words(limit):
+    def run(batches):
+        for batch in batches:
+            column, draws = batch.column("text"), batch.column("draw").to_numpy(zero_copy_only=False)
+            for start, stop in slices(column):
+                words = Words(column.slice(start, stop - start), NON_SPACE)
+                ends, data = kept_texts(words, _drawn(words, draws[start:stop], limit))
+                texts = [data[i : max(i, j - 1)].decode("utf-8", "replace") for i, j in zip([0, *ends[:-1].tolist()], ends.tolist())]
+                part = batch.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(texts, pa.string()), part.column("label"), part.column("draw")], ["text", "label", "draw"])
+
+    return run
+
+
 def _train_sequences(ids, words, labels, n_labels):
     """Runs of words of different texts strung together: word numbers and labels
     (sequences x SEQUENCE; -1 where there is none)."""
     rng = np.random.default_rng(int(ids.sum() & 0x7FFFFFFF))
     runs = []
     for t, (i, j) in enumerate(zip(words.first[:-1], words.first[1:])):
-        j = min(j, i + WORDS_PER_ROW)
         while i < j:
             size = int(rng.integers(4, SEQUENCE))
             runs.append((i, min(i + size, j), labels[t]))
@@ -241,7 +275,7 @@ def _predict(sent):
 
 
 def identify(docs: DataFrame, held_out, id: str = "doc_id", text: str = "text", lang: str = "lang",
-             rows_per_language: int = ROWS_PER_LANGUAGE, rounds: int = ROUNDS) -> DataFrame:
+             rows_per_language: int = ROWS_PER_LANGUAGE, rounds: int = ROUNDS, words_per_row: int = WORDS_PER_ROW) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document. It learns from
     rows with a text and a language for which `held_out` is false."""
     spark = docs.sparkSession
@@ -258,10 +292,10 @@ def identify(docs: DataFrame, held_out, id: str = "doc_id", text: str = "text",
             part = min(1.0, rows_per_language / counts[name])
             pick = pick | ((F.col("lang") == name) & (F.pmod("draw", F.lit(1 << 30)) < int(part * (1 << 30))))
         number = F.array_position(F.array(*map(F.lit, names)), F.col("lang")) - 1
-        # Only so many words of a sampled text are learned from; longer texts needn't travel.
-        text_part = F.substring_index("text", " ", WORDS_PER_ROW)
-        sample, path = store(known.where(pick).select(text_part.alias("text"), number.cast("bigint").alias("label"), "draw")
-                             .repartition(SAMPLE_TASKS), "sample")
+        # Only the words that are learned from travel.
+        rows = known.where(pick).select("text", number.cast("bigint").alias("label"), "draw").mapInArrow(
+            _draw_words(words_per_row), "text string, label bigint, draw bigint")
+        sample, path = store(rows.repartition(SAMPLE_TASKS), "sample")
         model = (names, *train(sample, len(names), rounds))
         drop_stored(spark, path)
     sent = spark.sparkContext.broadcast(model)

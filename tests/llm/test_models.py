@@ -42,6 +42,28 @@ def test_code_switched_words(texts, spark):
     assert 0.4 < score < 0.65
 
 
+def test_languages_are_learned_from_whole_texts(spark):
+    """Long texts that begin alike, or with spaces, whatever their language."""
+    rng = random.Random(4)
+    menu = " ".join(rng.choice(["home", "menu", "login"]) for _ in range(400))
+    rows = []
+    for i in range(240):
+        name = ("bb", "cc")[i % 2]
+        begin = "" if i % 3 == 1 else (menu + " ", " " * 400)[i % 5 == 0]
+        rows.append((i, begin + invented(rng, TWO[name], 30 if i % 3 == 1 else 1200), name))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = languages.identify(docs, F.col("doc_id") % 3 == 1, words_per_row=200, rounds=4)
+    got = got.join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(got) == 80 and np.mean([r.lang_pred == r.lang for r in got]) > 0.95
+
+
+def test_drawn_words_are_as_many_as_asked_for():
+    words = languages.Words(pa.array(["a " * 1000, "b " * 7, "", "c " * 35]))
+    keep = languages._drawn(words, np.array([5, 6, 7, 8]), 33)
+    assert [int(keep[i:j].sum()) for i, j in zip(words.first[:-1], words.first[1:])] == [33, 7, 0, 33]
+    assert keep[500:1000].any() and keep[:500].any()
+
+
 def test_language_of_odd_rows(odd, empty):
     got = languages.language_report(odd).collect()
     assert len(got) == len(odd_rows())
