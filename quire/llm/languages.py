@@ -18,8 +18,11 @@ cut into lanes that overlap by `LAP` words on each side, enough for the chain
 to forget what lies further off; features are looked up once for each distinct
 word of a slice.
 
-Defined cases: a null text, or one without a letter, is `und` with score 0;
-without training rows every text is; repeated rows are predicted alike; a
+`language_runs` gives the runs of words of one language, from the same word
+probabilities as the text's language and score.
+
+Defined cases: a null text, or one without a letter, is `und` with score 0 and
+has no runs; without training rows every text is; repeated rows are predicted alike; a
 single learned language wins every text that has a letter.
 """
 
@@ -224,11 +227,12 @@ def train(sample: DataFrame, n_labels: int, rounds: int = ROUNDS):
 
 
 def text_shares(words: Words, weights, move):
-    """Mean label probabilities of each text's words."""
+    """Mean label probabilities of each text's words; each word's likeliest
+    label and its probability."""
     n, k = len(words.first) - 1, move.shape[0]
-    total = np.zeros((n, k))
+    total, best, sure = np.zeros((n, k)), np.zeros(len(words), np.int64), np.zeros(len(words))
     if not len(words):
-        return total
+        return total, best, sure
     scores = emissions(words, weights)
     count = words.counts()
     lanes = -(-count // LANE)
@@ -243,33 +247,65 @@ def text_shares(words: Words, weights, move):
         valid = at < high[some][:, None]
         share = forward_backward(scores[np.minimum(at, len(scores) - 1)], move, valid)[0]
         own = (at >= begin[some][:, None]) & (at < end[some][:, None])
+        best[at[own]], sure[at[own]] = share[own].argmax(1), share[own].max(1)
         share[~own] = 0
         np.add.at(total, text[some], share.sum(1))
-    return total / np.maximum(count, 1)[:, None]
+    return total / np.maximum(count, 1)[:, None], best, sure
+
+
+def _runs(words: Words, best, sure, lettered, names):
+    """For each text the runs of words of one label, with their mean
+    probability; none for texts that have no letter."""
+    owner = words.owners()
+    new = np.ones(len(best), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (best[1:] != best[:-1])
+    head = np.flatnonzero(new)
+    size = np.diff(np.append(head, len(best)))
+    mean = np.add.reduceat(sure, head) / size if len(head) else np.zeros(0)
+    some = lettered[owner[head]]
+    head, size, mean = head[some], size[some], mean[some]
+    start = head - words.first[owner[head]]
+    ends = np.searchsorted(owner[head], np.arange(len(words.first)))
+    fields = [pa.array(start, pa.int64()), pa.array(start + size, pa.int64()),
+              pa.array(names[best[head]], pa.string()), pa.array(np.clip(mean, 0, 1))]
+    return pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["start", "end", "language", "probability"]))
+
 
+_PREDICTED = "doc_id bigint, held_out boolean, lang_pred string, score double"
+_RUNS = "array<struct<start: bigint, end: bigint, language: string, probability: double>>"
 
-def _predict(sent):
+
+def _predict(sent, with_runs):
     def run(batches):
         names, weights, move = sent.value
         for batch in batches:
             column = batch.column("text")
             lettered = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-            best, score = [], []
+            best, score, runs = [], [], []
+            names_of = np.array([*names, UNKNOWN], object)
             for start, stop in slices(column):
                 if not names:
                     best.append(np.zeros(stop - start, np.int64))
                     score.append(np.zeros(stop - start))
                     continue
-                share = text_shares(Words(column.slice(start, stop - start), NON_SPACE, lower=True), weights, move)
+                words = Words(column.slice(start, stop - start), NON_SPACE, lower=True)
+                share, *of_words = text_shares(words, weights, move)
+                if with_runs:
+                    runs.append(_runs(words, *of_words, lettered[start:stop], names_of))
                 best.append(share.argmax(1))
                 score.append(share.max(1))
             best, score = (np.concatenate(x) if x else np.zeros(0) for x in (best, score))
             some = lettered if names else np.zeros(len(lettered), bool)
-            names_of = np.array([*names, UNKNOWN], object)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("held_out"),
-                pa.array(names_of[np.where(some, best, len(names)).astype(np.int64)], pa.string()),
-                pa.array(np.where(some, np.clip(score, 0, 1), 0.0))], ["doc_id", "held_out", "lang_pred", "score"])
+            out = [batch.column("doc_id"), batch.column("held_out"),
+                   pa.array(names_of[np.where(some, best, len(names)).astype(np.int64)], pa.string()),
+                   pa.array(np.where(some, np.clip(score, 0, 1), 0.0))]
+            if with_runs:
+                if not runs:
+                    none = Words(pa.array([""] * len(lettered), pa.string()))
+                    runs = [_runs(none, np.zeros(0, np.int64), np.zeros(0), lettered, names_of)]
+                out.append(pa.concat_arrays(runs))
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "held_out", "lang_pred", "score", "runs"][: len(out)])
 
     return run
 
@@ -278,6 +314,23 @@ def identify(docs: DataFrame, held_out, id: str = "doc_id", text: str = "text",
              rows_per_language: int = ROWS_PER_LANGUAGE, rounds: int = ROUNDS, words_per_row: int = WORDS_PER_ROW) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document. It learns from
     rows with a text and a language for which `held_out` is false."""
+    model = _learned(docs, held_out, id, text, lang, rows_per_language, rounds, words_per_row)
+    return _predicted(docs, held_out, id, text, model, False)
+
+
+def language_runs(docs: DataFrame, held_out, id: str = "doc_id", text: str = "text", lang: str = "lang",
+                  rows_per_language: int = ROWS_PER_LANGUAGE, rounds: int = ROUNDS, words_per_row: int = WORDS_PER_ROW) -> DataFrame:
+    """doc_id, start, end, language and probability: runs of words of one
+    language, as whitespace cuts the text, from word `start` (the first is 0)
+    to before word `end`, and the words' mean probability. Learned as by
+    `identify`."""
+    model = _learned(docs, held_out, id, text, lang, rows_per_language, rounds, words_per_row)
+    rows = _predicted(docs, held_out, id, text, model, True)
+    return rows.select("doc_id", F.explode("runs").alias("run")).select("doc_id", "run.*")
+
+
+def _learned(docs, held_out, id, text, lang, rows_per_language, rounds, words_per_row):
+    """Languages, weights and transitions."""
     spark = docs.sparkSession
     known = docs.where(~held_out & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(id), F.col(text)).alias("draw"))
@@ -298,9 +351,13 @@ def identify(docs: DataFrame, held_out, id: str = "doc_id", text: str = "text",
         sample, path = store(rows.repartition(SAMPLE_TASKS), "sample")
         model = (names, *train(sample, len(names), rounds))
         drop_stored(spark, path)
-    sent = spark.sparkContext.broadcast(model)
+    return model
+
+
+def _predicted(docs, held_out, id, text, model, with_runs):
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), held_out.alias("held_out"))
-    return rows.mapInArrow(_predict(sent), "doc_id bigint, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(_predict(sent, with_runs), _PREDICTED + (f", runs {_RUNS}" if with_runs else ""))
 
 
 def language_report(docs: DataFrame) -> DataFrame:

@@ -42,6 +42,21 @@ def test_code_switched_words(texts, spark):
     assert 0.4 < score < 0.65
 
 
+def test_each_word_of_a_mixed_text_has_its_language(texts, spark):
+    rng = random.Random(6)
+    order = ["aa", "cc", "bb", "aa"]
+    mixed = [(-1, " ".join(invented(rng, TWO[n], 150) for n in order), None), (-2, " 12 34 ", None), (-3, None, None)]
+    rows = texts.union(spark.createDataFrame(mixed, texts.schema))
+    got = languages.language_runs(rows, F.lit(False)).where("doc_id < 0").orderBy("start").collect()
+    assert {r.doc_id for r in got} == {-1}
+    assert [r.start for r in got] == [0, *(r.end for r in got[:-1])] and got[-1].end == 600
+    assert all(a.language != b.language for a, b in zip(got, got[1:])) and all(0 < r.probability <= 1 for r in got)
+    of_words = [r.language for r in got for _ in range(r.start, r.end)]
+    assert np.mean([w == order[i // 150] for i, w in enumerate(of_words)]) > 0.95
+    none = languages.language_runs(rows.withColumn("lang", F.lit(None).cast("string")), F.lit(False))
+    assert none.collect() == []
+
+
 def test_languages_are_learned_from_whole_texts(spark):
     """Long texts that begin alike, or with spaces, whatever their language."""
     rng = random.Random(4)
