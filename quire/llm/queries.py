@@ -2,7 +2,7 @@
 
 from . import (
     decontamination, importance, language_model, languages, licences, mixing, near_duplicates,
-    quality_rules, substrings, toxicity,
+    quality_rules, substrings, toxicity, warc,
 )
 
 QUERIES, SQL = {}, {}
@@ -145,3 +145,18 @@ def op3_licences(spark, sf_dir):
 @query()
 def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: The base32 letters of a hexadecimal SHA-1, five digits (four letters) at a time.
+BASE32 = "array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr({h}, 1 + 5 * (i // 4), 5))::BIGINT // [32768, 1024, 32, 1][i % 4 + 1] % 32 + 1)::INT, 1) FOR i IN range(32)], '')"
+
+
+@query(f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS first FROM p GROUP BY html)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, {BASE32.format(h='sha1(html)')} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM p JOIN g USING (html)""")
+def op11_warc(spark, sf_dir):
+    report = warc.archive_report(table(spark, sf_dir, "pages"))
+    return report.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
