@@ -1,7 +1,7 @@
 """One query for each operator, over its whole table."""
 
 from . import (
-    decontamination, importance, language_model, languages, licences, mixing, near_duplicates,
+    alignment, decontamination, importance, language_model, languages, licences, mixing, near_duplicates,
     quality_rules, substrings, toxicity, warc,
 )
 
@@ -20,6 +20,10 @@ def query(sql=None):
     return keep
 
 
+#: Where the vocabulary files of the public tokenizers lie.
+TOKENIZERS = "/opt/tokenizers"
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -160,3 +164,8 @@ FROM p JOIN g USING (html)""")
 def op11_warc(spark, sf_dir):
     report = warc.archive_report(table(spark, sf_dir, "pages"))
     return report.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op12_token_alignment(spark, sf_dir):
+    return alignment.alignment_report(table(spark, sf_dir, "documents"), TOKENIZERS)
