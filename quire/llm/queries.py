@@ -1,7 +1,7 @@
 """One query for each operator, over its whole table."""
 
 from . import (
-    alignment, decontamination, importance, language_model, languages, licences, mixing, near_duplicates,
+    alignment, collocations, decontamination, importance, language_model, languages, licences, mixing, near_duplicates,
     quality_rules, substrings, toxicity, warc,
 )
 
@@ -169,3 +169,24 @@ def op11_warc(spark, sf_dir):
 @query()
 def op12_token_alignment(spark, sf_dir):
     return alignment.alignment_report(table(spark, sf_dir, "documents"), TOKENIZERS)
+
+
+@query(f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+  unnest(regexp_split_to_array(coalesce({LOWERED}, ''), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM (
+  SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE m > 1 AND f >= 100),
+cuts AS (SELECT lang, phrase, f, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM (SELECT lang, phrase, f, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM c)),
+s AS (SELECT cuts.*, l.f AS l, r.f AS r, n, (1000::HUGEINT * cuts.f * n) // (l.f::HUGEINT * r.f) AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = lp JOIN f r ON r.lang = cuts.lang AND r.phrase = rp JOIN t ON t.lang = cuts.lang),
+lowest AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM lowest x WHERE NOT EXISTS (SELECT 1 FROM c d WHERE d.lang = x.lang AND 100 * d.f >= 100 * x.f
+  AND len(d.phrase) > len(x.phrase) AND contains(' ' || d.phrase || ' ', ' ' || x.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase)::BIGINT AS rank, phrase,
+  f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM kept QUALIFY rank <= 2000""")
+def op13_collocations(spark, sf_dir):
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
