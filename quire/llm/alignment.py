@@ -56,8 +56,10 @@ MOST_BYTES = 64 << 20
 GROUP_PAIRS = 1 << 20
 #: Bytes of text whose pairs meet in one bucket.
 PER_BUCKET = 32 << 20
-#: Pieces that a task keeps coded, beyond which it begins anew.
-KNOWN_PIECES = 400_000
+#: Pieces that a task keeps coded, beyond which it begins anew, and pieces coded at once.
+KNOWN_PIECES, AT_ONCE = 250_000, 8192
+#: Bytes of text that a task turns into arrays at once.
+SLICE_BYTES = 2 << 20
 #: Neighbouring ends that one lane looks up.
 LANE = 64
 
@@ -117,9 +119,12 @@ class Tokenizers:
     def encode(self, pieces: pa.Array):
         """For each side (ids end to end, ids per piece), and whether the bytes
         of both come back; every piece begins with a space."""
-        texts = [p.decode("utf-8", "replace") for p in pieces.to_pylist()]
-        ids_a = _flat([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
-        ids_b = _flat(self.b.encode([t[1:] for t in texts], num_threads=1))
+        runs = []
+        for start in range(0, len(pieces), AT_ONCE):
+            texts = [p.decode("utf-8", "replace") for p in pieces[start : start + AT_ONCE].to_pylist()]
+            runs.append((_flat([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]),
+                         _flat(self.b.encode([t[1:] for t in texts], num_threads=1))))
+        ids_a, ids_b = (tuple(np.concatenate(c) for c in zip(*side)) for side in zip(*runs))
         good = self._back(pieces, *ids_a, self.table_a) & self._back(pieces, *ids_b, self.table_b)
         return ids_a, ids_b, good
 
@@ -188,7 +193,7 @@ def _pieces(parts: list[bytes], cut: bool):
 
 def _flat(lists):
     sizes = np.fromiter((len(x) for x in lists), np.int64, len(lists))
-    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(sizes.sum())), sizes
 
 
 def _gather(values, sizes, index):
@@ -260,7 +265,7 @@ class Coded:
             todo = [x for x, f in zip(todo, fine) if not f]
         self.rows = np.array(rows, np.int64)
         empty = np.zeros(0, np.int64)
-        join = lambda side, k: np.concatenate([empty, *(r[side][k] for r in runs)])
+        join = lambda side, k: np.concatenate([empty, *(r[side][k] for r in runs)])  # as 64 bits
         self.a, self.b = join(0, 0), join(1, 0)
         self.first_a, self.first_b = (np.concatenate([[0], np.cumsum(join(s, 1))]) for s in (0, 1))
         self.ends_a, self.ends_b = np.cumsum(tools.length_a[self.a]), np.cumsum(tools.length_b[self.b])
@@ -352,7 +357,7 @@ def _texts(batches):
     """(ids, texts) of slices of bounded size."""
     for batch in batches:
         column = batch.column(1)
-        for start, stop in slices(column):
+        for start, stop in slices(column, SLICE_BYTES):
             part = slice(start, stop)
             yield batch.column(0)[part], column[part].to_pylist()
 

@@ -107,7 +107,7 @@ def test_report_equals_walk_over_bytes(spark, both):
 def test_small_groups_and_slices_change_nothing(spark, both, monkeypatch):
     rows = rows_of()
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
-    monkeypatch.setattr(al, "slices", lambda column: ((i, min(i + 3, len(column))) for i in range(0, len(column), 3)))
+    monkeypatch.setattr(al, "slices", lambda column, limit: ((i, min(i + 3, len(column))) for i in range(0, len(column), 3)))
     tasks = al._encode(type("Sent", (), {"value": [open(f"{TOKENIZERS}/{n}", "rb").read() for n in (al.FILE_A, al.FILE_B)]}), 7)
     batches = [b for b in df.toArrow().to_batches()]
     monkeypatch.setattr(al, "GROUP_PAIRS", 40)
