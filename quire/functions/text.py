@@ -28,14 +28,24 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(WHITESPACE))
 
 
+# What the usual trainer does to characters before NFKC. Control
+# characters go, zero-width and odd ones become spaces, the wide tilde stays.
+DROPPED = "".join(map(chr, [*range(0x01, 0x09), 0x0B, *range(0x0E, 0x20), 0x7F, 0x8F, 0x9F]))
+SPACED = "".join(map(chr, [
+    0x09, 0x0A, 0x0C, 0x0D, 0x1680, 0x200B, 0x200C, 0x200E, 0x200F, 0x2028, 0x2029, 0x2581, 0xFEFF, 0xFFFD]))
+WIDE_TILDE, KEPT_TILDE = "\uff5e", "\U0010fffe"  # the second is no character
+
+
 def compatible(text: Column) -> Column:
     """Full-width and other compatibility forms as plain ones (NFKC), a batch at
-    a time, and runs of white space as one space."""
+    a time, and runs of white space as one space; before that the rules of
+    `DROPPED`, `SPACED` and the wide tilde."""
+    ruled = F.translate(text, SPACED + WIDE_TILDE + DROPPED, " " * len(SPACED) + KEPT_TILDE)
 
     def normalized(texts: pa.Array) -> pa.Array:
-        return pc.utf8_normalize(texts, form="NFKC")
+        return pc.replace_substring(pc.utf8_normalize(texts, form="NFKC"), KEPT_TILDE, WIDE_TILDE)
 
-    plain = F.arrow_udf(normalized, "string")(text)
+    plain = F.arrow_udf(normalized, "string")(ruled)
     return strip(F.regexp_replace(plain, char_class(WHITESPACE) + "+", " "))
 
 

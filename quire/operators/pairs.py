@@ -21,8 +21,11 @@ from .vocab import (
 
 # Fixed value: the longest piece learned.
 MAX_PIECE_CHARS = 16
-CHECKPOINT_MERGES = 64
+CHECKPOINT_MERGES = 512
 WATCHED_PAIRS = 20_000
+# Symbols of the words that a round brings, and of how many pairs it asks for words.
+MOST_SYMBOLS = 1 << 21
+FIRST_REACH, MOST_REACH = 64, 4096
 # How many reserved pieces come before the learned ones.
 LAYOUTS = {"none": 0, "special": len(SPECIAL_PIECES), "bytes": FIRST_WORD_ID}
 FIRST_MADE = 0x110000  # numbers below are code points, from here on made pieces
@@ -176,6 +179,118 @@ def join_symbols(words: DataFrame, merges: list) -> DataFrame:
     return words.select("symbols", "count").mapInArrow(run, "symbols array<int>, count bigint")
 
 
+def held_words(table: DataFrame, pending: list, wanted: np.ndarray, most: int) -> list | None:
+    """The words that hold one of the `wanted` pairs (left * 2^32 + right,
+    sorted) after the pending merges, as (flat symbols, counts) of each part of
+    the table; None if they have more than `most` symbols.
+
+    The whole table is opened where it lies; what leaves a task is the wanted
+    words, and no more of them than its share of the bound allows."""
+    share = -(-most // max(1, table.rdd.getNumPartitions()))
+
+    def run(batches):
+        room = 4 * share  # parts may be uneven
+        for batch in batches:
+            flat = _join(_flat(batch.column(0)), pending)
+            counts = batch.column(1).to_numpy(zero_copy_only=False)
+            keys = (flat[:-1].astype(np.int64) << 32) | flat[1:]
+            at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
+            found = (wanted[at] == keys) & (flat[:-1] >= 0) & (flat[1:] >= 0)
+            sizes = _sizes(flat)
+            word = np.repeat(np.arange(len(sizes)), sizes + 1)
+            hit = np.zeros(len(sizes), bool)
+            hit[word[:-1][found]] = True
+            kept = flat[np.repeat(hit, sizes + 1)]
+            room -= len(kept)
+            if room < 0:
+                yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([None], pa.binary())], ["symbols", "counts"])
+                return
+            if len(kept):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kept.astype("<i4").tobytes()]), pa.array([counts[hit].astype("<i8").tobytes()])], ["symbols", "counts"])
+
+    parts, size = [], 0
+    for row in table.select("symbols", "count").mapInArrow(run, "symbols binary, counts binary").collect():
+        if row.symbols is None:
+            return None
+        parts.append((np.frombuffer(row.symbols, "<i4"), np.frombuffer(row["counts"], "<i8")))
+        size += len(parts[-1][0])
+    return parts if size <= most else None
+
+
+class _Replay:
+    """Merges among the words that hold one of the wanted pairs.
+
+    All words with a wanted pair, or with a pair made here, are at hand, so
+    their counts stay exact, and so do those of other pairs that these words
+    hold. Only when another pair turns out best must more words be opened.
+    """
+
+    def __init__(self, parts, wanted: set, counts: dict, floor: int, names: dict, made: set, longest: int):
+        self.counts, self.floor, self.names, self.made, self.longest = counts, floor, names, made, longest
+        self.wanted, self.words, self.weight, self.holders = wanted, [], [], {}
+        for flat, weights in parts:
+            for word in np.split(flat, np.flatnonzero(flat == -1) + 1)[:-1]:
+                self.words.append(word[:-1].tolist())
+            self.weight += weights.tolist()
+        for at, word in enumerate(self.words):
+            for pair in set(zip(word, word[1:])) & wanted:
+                self.holders.setdefault(pair, set()).add(at)
+        self.heap = [(*self._order(p), p) for p, n in counts.items() if n > floor]
+        heapq.heapify(self.heap)
+
+    def _order(self, pair):
+        """Best first: count, then shorter piece, then its text, then shorter left."""
+        left, right = self.names[pair[0]], self.names[pair[1]]
+        return -self.counts[pair], len(left + right), left + right, len(left)
+
+    def best(self):
+        """The best pair whose piece is new; None if it lies elsewhere or none is left."""
+        while self.heap:
+            count, _, piece, _, pair = self.heap[0]
+            if self.counts.get(pair) != -count or -count <= self.floor or piece in self.made:
+                heapq.heappop(self.heap)
+                continue
+            return pair if pair in self.wanted else None
+        return None
+
+    def merge(self, pair, symbol: int) -> None:
+        """Join `pair` to `symbol` in its words; all counts follow."""
+        change, touched = {}, {}
+        for at in self.holders.pop(pair, ()):
+            old, weight = self.words[at], self.weight[at]
+            new, i = [], 0
+            while i < len(old):
+                if i + 1 < len(old) and (old[i], old[i + 1]) == pair:
+                    new.append(symbol)
+                    i += 2
+                else:
+                    new.append(old[i])
+                    i += 1
+            if len(new) == len(old):
+                continue
+            for p in zip(old, old[1:]):
+                change[p] = change.get(p, 0) - weight
+            for p in zip(new, new[1:]):
+                change[p] = change.get(p, 0) + weight
+                if symbol in p:
+                    touched.setdefault(p, set()).add(at)
+            self.words[at] = new
+        for p, n in change.items():
+            if not n:
+                continue
+            if p in self.counts:
+                self.counts[p] += n
+            elif n > self.floor and symbol in p and len(self.names[p[0]] + self.names[p[1]]) <= self.longest:
+                self.counts[p] = n
+                self.wanted.add(p)
+                self.holders[p] = touched[p]
+            else:
+                continue
+            if self.counts[p] > self.floor:
+                heapq.heappush(self.heap, (*self._order(p), p))
+
+
 def _order(pair):
     """Best pair first: count, then shorter piece, then its text, then shorter left."""
     (left, right), count = pair
@@ -238,15 +353,22 @@ def learn_merges(
     max_piece_chars: int = MAX_PIECE_CHARS,
     per_round: int = 64,
     watched: int = WATCHED_PAIRS,
+    most_symbols: int = MOST_SYMBOLS,
 ) -> list[tuple[tuple[str, str], int]]:
     """Up to `merges` of ((left, right), count), in the order they are learned.
 
     Takes (symbols, count) with single characters as symbols. The driver watches
-    the commonest pairs only. A pair's count never grows after the round that
+    the commonest pairs only. A pair's count never grows after the merge that
     creates it, so pairs outside the watched ones stay at or below `floor`, and
-    watching is exact until the best one sinks to it. Each round is one job over
-    the word table that returns the changes of watched and new pairs. The word table is stored in the shared folder every `CHECKPOINT_MERGES`
-    merges.
+    watching is exact until the best one sinks to it.
+
+    Each round is one job over the word table. Where the words that hold the
+    best `reach` pairs are few (`MOST_SYMBOLS`), the round brings them and makes
+    merges until the best pair is one whose words aren't there: hundreds of
+    merges, each exactly the next one. Where they are many, a round takes the
+    merges that don't touch one another and brings the changes of counts only.
+    `reach` follows the size of what came. The word table is stored in the
+    shared folder every `CHECKPOINT_MERGES` merges.
     """
     spark = words.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -258,7 +380,7 @@ def learn_merges(
     names = {r.n: chr(r.n) for r in letters}
     number = {piece: n for n, piece in names.items()}
     made, learned, pending, counts, floor = set(made) | set(number), [], [], {}, 0
-    rounds = 0
+    rounds, reach = 0, FIRST_REACH
 
     def all_pairs():
         known = spark.createDataFrame(list(names.items()), "n int, piece string")
@@ -270,37 +392,64 @@ def learn_merges(
             F.col("left_piece").alias("left"), F.col("right_piece").alias("right"), "pair_count"
         )
 
+    def note(pair, count):
+        """A pair of numbers is taken; its piece gets the next number."""
+        piece = names[pair[0]] + names[pair[1]]
+        number[piece] = FIRST_MADE + len(learned)
+        names[number[piece]] = piece
+        learned.append(((names[pair[0]], names[pair[1]]), count))
+        made.add(piece)
+        pending.append((*pair, number[piece]))
+        return number[piece]
+
     while len(learned) < merges:
         room = min(per_round, merges - len(learned))
-        above = [p for p in counts.items() if p[1] > floor]
-        fresh = safe_merges(heapq.nsmallest(per_round * 4, above, key=_order), made, room)
-        if not fresh:
+        above = [((names[a], names[b]), n) for (a, b), n in counts.items() if n > floor and names[a] + names[b] not in made]
+        best = heapq.nsmallest(max(reach, per_round * 4), above, key=_order)
+        if not best:
             (table, path), pending = _keep(join_symbols(table, pending), table, path), []
-            best = ranked(all_pairs(), watched, max_piece_chars)
-            counts, floor = dict(best), best[-1][1] if len(best) == watched else 0
-            fresh = safe_merges(best[: per_round * 4], made, room)
-        if not fresh:  # everything watched is a piece already
-            fresh = ranked(_without(all_pairs(), made), 1, max_piece_chars)
-        if not fresh:
+            above = ranked(all_pairs(), watched, max_piece_chars)
+            counts = {(number[a], number[b]): n for (a, b), n in above}
+            floor = above[-1][1] if len(above) == watched else 0
+            best = [p for p in above if p[0][0] + p[0][1] not in made and p[1] > floor]
+        if not best:  # everything watched is a piece already, or as common as what isn't watched
+            best = ranked(_without(all_pairs(), made), 1, max_piece_chars)
+            counts |= {(number[a], number[b]): n for (a, b), n in best}
+        if not best:
             break
-        chosen = []
-        for (left, right), _ in fresh:
-            piece = left + right
-            number[piece] = FIRST_MADE + len(learned) + len(chosen)
-            names[number[piece]] = piece
-            chosen.append((number[left], number[right], number[piece]))
-        learned += fresh
-        made.update(left + right for (left, right), _ in fresh)
         rounds += 1
-        asked = np.sort(np.array([(number[a] << 32) | number[b] for a, b in counts], np.int64))
-        # Watched pairs and new ones above the floor: some WATCHED_PAIRS rows.
-        for r in pair_changes(table, pending, chosen, floor, asked).collect():
-            pair = names[r.left], names[r.right]
-            if r.pair_count > 0 and len(pair[0] + pair[1]) <= max_piece_chars:
-                counts[pair] = r.pair_count
-            elif pair in counts:
-                counts[pair] += r.pair_count
-        pending += chosen
+        wanted = {(number[a], number[b]) for (a, b), _ in best[:reach]}
+        keys = np.sort(np.array([(a << 32) | b for a, b in wanted], np.int64))
+        parts = held_words(table, pending, keys, most_symbols)
+        if parts is not None:
+            came = sum(len(flat) for flat, _ in parts)
+            # A best pair at the floor stands alone: it is one merge.
+            replay = _Replay(parts, wanted, counts, min(floor, best[0][1] - 1), names, made, max_piece_chars)
+            while len(learned) < merges:
+                pair = replay.best()
+                if pair is None:
+                    break
+                replay.merge(pair, note(pair, counts[pair]))
+                if counts[pair] > 0:  # overlapping ones are left
+                    counts[pair] = 0
+                if replay.floor < floor:
+                    break
+            reach = max(1, min(MOST_REACH, 2 * reach, reach * most_symbols // (2 * max(came, 1))))
+        else:
+            reach = max(1, reach // 4)
+            every = [((names[a], names[b]), n) for (a, b), n in counts.items() if n > floor]
+            fresh = safe_merges(heapq.nsmallest(per_round * 4, every, key=_order), made, room) or best[:1]
+            asked = np.sort(np.array([(a << 32) | b for a, b in counts], np.int64))
+            before = list(pending)
+            chosen = [(number[a], number[b], note((number[a], number[b]), n)) for (a, b), n in fresh]
+            # Watched pairs and new ones above the floor: some WATCHED_PAIRS rows.
+            for r in pair_changes(table, before, chosen, floor, asked).collect():
+                pair = r.left, r.right
+                if pair in counts:
+                    counts[pair] += r.pair_count
+                elif r.pair_count > 0 and len(names[r.left] + names[r.right]) <= max_piece_chars:
+                    counts[pair] = r.pair_count
+        counts = {p: n for p, n in counts.items() if n > 0}
         if len(pending) >= CHECKPOINT_MERGES:
             (table, path), pending = _keep(join_symbols(table, pending), table, path), []
     table.unpersist()

@@ -246,6 +246,11 @@ def tokenize_with(
     return result.withColumn("attention_mask", ar.ones_mask(F.col(out))) if mask else result
 
 
+#: Bytes of a unit that may be sent to all tasks, long units that are spread
+#: (their 16-byte keys are sent), and over how many keys.
+SHORT_BYTES, LONG_UNITS, SALTS = 64, 1000, 32
+
+
 def tokenize_by_join(
     df: DataFrame,
     vocab: DataFrame,
@@ -259,15 +264,17 @@ def tokenize_by_join(
 ) -> DataFrame:
     """`char` and `whitespace` tokenizing against a vocabulary of any size.
 
-    Distinct units are counted and coded once. The commonest `hot_units` are
-    sent to all tasks and the rest are joined by shuffle, so no short unit is
-    hot there. A unit's positions in one text travel as one row. `key` must be
-    unique.
+    Distinct units are counted and coded once. What travels for a unit's places
+    in a text is one row with 128 bits of the unit, not its text. The commonest
+    short units are sent to all tasks; of the long ones the commonest are spread
+    over `SALTS` keys, and the rest are joined by shuffle. So no unit is hot
+    there, however long it is. `key` must be unique.
     """
     if mode == "bpe":
         raise ValueError("bpe merging needs the vocabulary in memory")
+    unit_key = F.unhex(F.md5("unit"))
     cut = df.select(*key, F.posexplode(units(tx.as_text(col), mode)).alias("_pos", "unit"))
-    per_row = cut.groupBy(*key, "unit").agg(F.collect_list("_pos").alias("_at"))
+    per_row = cut.select(*key, "_pos", unit_key.alias("_unit")).groupBy(*key, "_unit").agg(F.collect_list("_pos").alias("_at"))
     ids = vocab.select(F.col("piece").alias("unit"), "id")
     seen = cut_lineage(cut.groupBy("unit").agg(F.count("*").alias("_n")))
     code = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(
@@ -276,12 +283,18 @@ def tokenize_by_join(
             lambda h: F.conv(h, 16, 10).cast("int") + FIRST_BYTE_ID,
         )
     )
-    coded = seen.join(ids, "unit", "left").select("unit", "_n", code.alias("_ids"))
-    short = coded.where(F.octet_length("unit") <= 64)
-    hot = most_common(short, hot_units, "_n", "unit").select("unit", F.col("_ids").alias("_hot"))
-    first = per_row.join(F.broadcast(hot), "unit", "left")  # hot_units short rows
+    coded = seen.join(ids, "unit", "left").select("unit", "_n", code.alias("_ids"), unit_key.alias("_unit"))
+    is_short = F.octet_length("unit") <= SHORT_BYTES
+    hot = most_common(coded.where(is_short), hot_units, "_n", "unit").select("_unit", F.col("_ids").alias("_hot"))
+    long_ = most_common(coded.where(~is_short), LONG_UNITS, "_n", "unit").select("_unit", F.lit(True).alias("_long"))
+    first = per_row.join(F.broadcast(hot), "_unit", "left")  # hot_units short rows
     common = first.where(F.col("_hot").isNotNull()).withColumnRenamed("_hot", "_ids")
-    rare = first.where(F.col("_hot").isNull()).drop("_hot").join(coded.drop("_n"), "unit")
+    salt = F.when(F.col("_long"), F.pmod(F.xxhash64(*key), F.lit(SALTS))).otherwise(0).cast("int")
+    left = first.where(F.col("_hot").isNull()).drop("_hot").join(F.broadcast(long_), "_unit", "left")  # LONG_UNITS keys
+    right = coded.select("_unit", "_ids").join(F.broadcast(long_), "_unit", "left")
+    salts = F.when(F.col("_long"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = right.select("_unit", "_ids", F.explode(salts).alias("_salt"))
+    rare = left.withColumn("_salt", salt).drop("_long").join(right, ["_unit", "_salt"]).drop("_salt")
     parts = common.unionByName(rare).groupBy(*key).agg(
         F.flatten(
             F.transform(

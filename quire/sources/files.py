@@ -28,8 +28,9 @@ SPLIT_NAMES = {
     "validation": ("validation", "valid", "val", "dev", "eval"),
     "test": ("test",),
 }
-#: Where a row stands in its files: the key of file order.
-FILE_ORDER = ("file", "block", "line")
+#: Where a row stands in its files: the key of file order. `entry` is the
+#: place of its path in the list that was given.
+FILE_ORDER = ("entry", "file", "block", "line")
 
 
 def read_splits(
@@ -41,8 +42,9 @@ def read_splits(
     Give a `schema` for large inputs: without one, json and csv are read twice.
     csv values that hold line breaks need `multi_line=True`; each such file is
     then read by one task, while others are cut up. With `file_order` rows also
-    get the columns of `FILE_ORDER`, which sort them as they stand in the files;
-    `with_row_ids` numbers them.
+    get the columns of `FILE_ORDER`, which sort them as they stand in the files:
+    a list of paths in the order given, files of one path by name. `with_row_ids`
+    numbers them.
     """
     if fmt not in FORMATS:
         raise ValueError(f"file type must be one of {sorted(FORMATS)}")
@@ -66,10 +68,29 @@ def _read(spark, path, source, schema, multi_line, file_order):
     # A task reads its blocks one after the other, so the running number is in
     # order inside each block.
     place = F.monotonically_increasing_id()
-    return rows.select(
+    placed = rows.select(
         "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         place.alias("line"),
     )
+    given = [path] if isinstance(path, str) else list(path)
+    if len(given) == 1:
+        return placed.withColumn("entry", F.lit(0))
+    # The reader lists these files too; their names are all that is sent.
+    entries: dict = {}
+    for number, one in enumerate(given):
+        for name, _, _ in file_state(spark, [one]):
+            uri = spark._jvm.org.apache.hadoop.fs.Path(name).toUri().toString()
+            entries.setdefault(_bare(uri), number)
+    known = spark.createDataFrame(list(entries.items()), "_bare string, _entry int")
+    bare = F.regexp_replace("file", r"^(\w+):/+", "$1:/")
+    unknown = F.raise_error(F.concat(F.lit("a file that was not listed: "), "file")).cast("int")
+    found = placed.withColumn("_bare", bare).join(F.broadcast(known), "_bare", "left")
+    return found.withColumn("entry", F.coalesce("_entry", unknown)).drop("_bare", "_entry")
+
+
+def _bare(path: str) -> str:
+    """A path with one slash behind its scheme, however it is written."""
+    return re.sub(r"^(\w+):/+", r"\1:/", path)
 
 
 def with_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:

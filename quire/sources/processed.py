@@ -2,10 +2,12 @@
 
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .files import _exists, file_state
+from ..session import drop_stored
+from .files import _exists, _file_system, file_state
 
 FINGERPRINT = "quire.fingerprint"
 
@@ -36,11 +38,52 @@ def reuse_or_compute(
 
     `inputs` names the files and folders that `compute` reads: their names,
     sizes and times of change count as parameters, so changed input is computed
-    anew. Each set has its own folder. The success marker is written last, so a
-    run that died half way is computed again.
+    anew. Each run writes a folder of its own and publishes it by a small
+    manifest, which appears whole or not at all. So a run that died half way, or
+    two that compute at once, never mix their files, and no file is replaced or
+    deleted under a reader; of two runs that finish the one that publishes
+    first is read by all that come later.
     """
     settings = {**parameters, "inputs": file_state(spark, list(inputs))} if inputs else parameters
     folder = f"{path}/{fingerprint(settings)}"
-    if not _exists(spark, f"{folder}/_SUCCESS"):
-        write_processed(compute(), folder, overwrite=True)
-    return read_processed(spark, folder)
+    published = _published(spark, folder)
+    if published is None:
+        run = f"run-{uuid.uuid4().hex}"
+        write_processed(compute(), f"{folder}/{run}")
+        published = _publish(spark, folder, run)
+    return read_processed(spark, f"{folder}/{published}")
+
+
+MANIFEST = "manifest"
+
+
+def _published(spark: SparkSession, folder: str) -> str | None:
+    """The run that the folder's manifest names."""
+    name = f"{folder}/{MANIFEST}"
+    if not _exists(spark, name):
+        return None
+    system, path = _file_system(spark, name)
+    stream = system.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _publish(spark: SparkSession, folder: str, run: str) -> str:
+    """Name `run` in the manifest unless another run is named there by now; the
+    run that is named. A run that comes second leaves: nobody has read it."""
+    draft = f"{folder}/{MANIFEST}-{run}"
+    system, path = _file_system(spark, draft)
+    stream = system.create(path, False)
+    try:
+        stream.write(run.encode())
+    finally:
+        stream.close()
+    _, final = _file_system(spark, f"{folder}/{MANIFEST}")
+    first = not system.exists(final) and system.rename(path, final)
+    if first:
+        return run
+    system.delete(path, False)
+    drop_stored(spark, f"{folder}/{run}")
+    return _published(spark, folder)

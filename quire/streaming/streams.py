@@ -16,11 +16,13 @@ from ..operators.vocab import word_counts
 from ..sources.files import _exists
 
 
-def read_stream(spark: SparkSession, folder: str, schema, fmt="parquet", pattern="*") -> DataFrame:
-    """New files of a folder as a stream."""
-    return (
-        spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", pattern).load(folder)
-    )
+def read_stream(spark: SparkSession, folder: str, schema, fmt="parquet", pattern="*",
+                files_per_trigger: int | None = None) -> DataFrame:
+    """New files of a folder as a stream, oldest first, so many in a micro-batch."""
+    reader = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", pattern)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(folder)
 
 
 def _beside(path: str, checkpoint: str | None) -> str:

@@ -88,3 +88,59 @@ def test_user_functions(spark):
     )
     got = {r.batch_id: (r.hits, r.n) for r in userfn.evaluate(preds, score, ["hits", "n"]).collect()}
     assert got == {0: (3.0, 3.0), 1: (0.0, 0.0)}
+
+
+def test_partial_states_equal_whole_batches(spark):
+    """One state a task and batch, whatever the order and the number of tasks."""
+    rows = [(r, b, [i % 3, 1, (i + b) % 4, r], [0, i % 3, 1, i % 4], 0.0) for r in range(2) for b in range(3) for i in range(40)]
+    rows += [(0, 0, None, None, 0.0), (1, 9, [4], [4], 0.0)]
+    preds = spark.createDataFrame(rows, PRED).repartition(5)
+
+    def score(pred, true):
+        return {"hits": (pred == true).sum(), "n": len(true)}
+
+    update = lambda s, pred, true: [s[0] + (pred == true).sum(), s[1] + len(true)]
+    merge = lambda a, b: [x + y for x, y in zip(a, b)]
+    finish = lambda s: {"hits": s[0], "n": s[1], "other": 1.0}
+    whole = userfn.evaluate(preds.where("y_pred is not null"), score, ["hits", "n"])
+    want = sorted(map(tuple, whole.collect()))
+    for most in (10_000, 2):
+        parts = userfn.evaluate_partial(preds, lambda: [0.0, 0.0], update, merge, finish, ["hits", "n"], most_keys=most)
+        assert sorted(map(tuple, parts.collect())) == want
+
+
+class Runs:
+    """Cuts a row's text into words, and tells at the end how many there were."""
+
+    def __init__(self):
+        self.n, self.last = 0, None
+
+    def take(self, row):
+        self.last = (row["k"],)
+        for word in (row["text"] or "").split():
+            self.n += 1
+            yield self.n, word
+
+    def finish(self):
+        if self.last:
+            yield self.last, (-self.n, "end")
+
+
+class Words:
+    def take(self, row):
+        return enumerate((row["text"] or "").split())
+
+
+def test_table_function_cuts_rows(spark):
+    rows = [(k, i, "a b" if i % 2 else ("c" if i else None)) for k in "xyz" for i in range(4)]
+    df = spark.createDataFrame(rows, "k string, i int, text string").repartition(3)
+    out = userfn.cut_table(df, Runs, "n int, word string", ["k"], partition_by=["k"], order_by=["i"])
+    assert out.schema.simpleString() == "struct<k:string,n:int,word:string>"
+    want = [(k, n, w) for k in "xyz" for n, w in [(1, "a"), (2, "b"), (3, "c"), (4, "a"), (5, "b"), (-5, "end")]]
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+    whole = userfn.cut_table(df, Words, "n int, word string", ["k", "i"])
+    assert "Exchange hashpartitioning(k" not in whole._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.k, r.i, r.word) for r in whole.collect()) == sorted(
+        (k, i, w) for k, i, t in rows for w in (t or "").split())
+    with pytest.raises(Exception, match="no columns"):
+        userfn.cut_table(df, Runs, "n int, word string", ["missing"]).collect()

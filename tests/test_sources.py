@@ -147,3 +147,45 @@ def test_changed_input_is_computed_again(spark):
     assert count() == 10
     df(5).write.mode("append").parquet(source)
     assert count() == 15 == count()
+
+
+def test_listed_files_keep_the_order_given(spark):
+    folder, texts = new_path(spark, "t"), {}
+    for name in ("c", "a", "b b"):
+        texts[name] = [f"{name}{i}" for i in range(4)]
+        write_lines_of(spark, f"{folder}/{name}", texts[name])
+    given = [f"{folder}/{n}" for n in ("c", "a", "b b")]
+    rows = files.read_splits(spark, {"train": given, "validation": given[:0:-1]}, "json", "text string", file_order=True)
+    got = [r.text for r in files.with_row_ids(rows).orderBy("row_id").collect()]
+    assert got == texts["c"] + texts["a"] + texts["b b"] + texts["b b"] + texts["a"]
+    # A folder or pattern in the list stands for its files by name.
+    mixed = [f"{folder}/c", f"{folder}/[ab]*"]
+    rows = files.read_splits(spark, {"train": mixed}, "json", "text string", file_order=True)
+    assert [r.text for r in files.with_row_ids(rows).orderBy("row_id").collect()] == texts["c"] + texts["a"] + texts["b b"]
+
+
+def numbered(spark, *values):
+    return spark.createDataFrame([("train", v) for v in values], "split string, n int")
+
+
+def test_two_writers_never_mix(spark):
+    """The second one publishes while the first is still computing."""
+    path, seen = new_path(spark, "t"), {}
+
+    def slow():
+        seen["inner"] = processed.reuse_or_compute(spark, path, {}, lambda: numbered(spark, 1, 2))
+        return numbered(spark, 7, 8, 9)
+
+    seen["outer"] = processed.reuse_or_compute(spark, path, {}, slow)
+    seen["later"] = processed.reuse_or_compute(spark, path, {}, lambda: 1 / 0)
+    for table in seen.values():
+        assert sorted(r.n for r in table.collect()) == [1, 2]
+
+
+def test_a_dead_run_leaves_nothing_behind_that_is_read(spark):
+    path = new_path(spark, "t")
+    half = numbered(spark, 1, 2).selectExpr("split", "n + int(assert_true(n < 2)) as n")
+    with pytest.raises(Exception):
+        processed.reuse_or_compute(spark, path, {}, lambda: half)
+    table = processed.reuse_or_compute(spark, path, {}, lambda: numbered(spark, 5))
+    assert [r.n for r in table.collect()] == [5]

@@ -75,3 +75,17 @@ def test_length_clamp():
     for requested, most in ((None, 1e30), (0, 10)):
         with pytest.raises(ValueError):
             ar.clamp_length(requested, most)
+
+
+def test_compatible_forms_follow_the_trainers_rules(spark):
+    cases = {
+        "a\x01b\x0bc\x1fd\x7fe\x8ff\x9fg": "abcdefg",
+        "a\u200bb\u200cc\u200ed\u200fe\ufefff\ufffdg": "a b c d e f g",
+        "a\tb\nc\x0cd\re\u1680f\u2028g\u2029h▁i": "a b c d e f g h i",
+        "a\u200db": "a\u200db",  # the joiner stays
+        "ＡＢ１～ﬁ①": "AB1～fi1",
+        "\u200b \ufeff": "", "": "", None: None,
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, t string")
+    got = {r.t: r.c for r in df.select("t", tx.compatible(F.col("t")).alias("c")).collect()}
+    assert got == cases

@@ -165,3 +165,18 @@ def test_char_mode_codes_any_character(spark):
     byte = lambda c: [3 + b for b in c.encode()]
     assert got[1] == [259] + byte("b") + byte("\U0001f600") + [260] + byte(" ") + byte("b")
     assert got[2] == []
+
+
+@pytest.mark.parametrize("mode", ["whitespace"])
+def test_join_with_one_long_unit_in_every_row(spark, mode, monkeypatch):
+    """A unit of 10 KB is joined by its key, spread over salts, and its text doesn't travel with each row."""
+    vocab = make(spark, ["a", "b"])
+    long_ = "é" * 5000
+    rows = [(i, f"a {long_} b {'x' * (70 + i % 3)}") for i in range(60)] + [(60, None), (61, long_)]
+    df = spark.createDataFrame(rows, "i int, text string").repartition(4)
+    want = {r.i: r.input_ids for r in tk.tokenize(df, vocab, mode=mode).collect()}
+    monkeypatch.setattr(tk, "LONG_UNITS", 2)
+    joined = tk.tokenize_by_join(df, vocab, ["i"], mode=mode, hot_units=1)
+    assert {r.i: r.input_ids for r in joined.collect()} == want
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan

@@ -95,20 +95,36 @@ def symbol_table(spark, words):
     return spark.createDataFrame(rows, "symbols array<string>, count long").repartition(3)
 
 
+@pytest.mark.parametrize("most_symbols", [1 << 21, 40, 0])
 @pytest.mark.parametrize(
     "seed,watched,longest,merges", [(0, 20000, 16, 25), (1, 12, 16, 20), (2, 3, 4, 8), (3, 1, 16, 6)]
 )
-def test_rounds_equal_one_merge_at_a_time(spark, seed, watched, longest, merges):
+def test_rounds_equal_one_merge_at_a_time(spark, seed, watched, longest, merges, most_symbols):
     """Few letters make ties, repeats and equal pieces from different pairs."""
     rng = random.Random(seed)
     words = Counter()
     for _ in range(60):
         words["".join(rng.choice("abc") for _ in range(rng.randint(2, 9)))] += rng.randint(1, 4)
     want = plain_merges({tuple(w): n for w, n in words.items()}, merges, "abc", longest)
-    got = pairs.learn_merges(symbol_table(spark, words), merges, set("abc"), longest, watched=watched)
+    got = pairs.learn_merges(symbol_table(spark, words), merges, set("abc"), longest, watched=watched, most_symbols=most_symbols)
     assert got == want
 
 
+def test_rounds_are_few_where_words_are_few(spark, caplog):
+    """Hundreds of merges a round, and the same ones as one at a time."""
+    rng = random.Random(5)
+    syllables = ["".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(60)]
+    words = Counter()
+    for _ in range(1500):
+        words["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))] += rng.randint(1, 30)
+    letters = set("".join(words))
+    want = plain_merges({tuple(w): n for w, n in words.items() if len(w) > 1}, 400, letters, 16)
+    with caplog.at_level("INFO", logger="quire.operators.pairs"):
+        got = pairs.learn_merges(symbol_table(spark, words), 400, letters, 16)
+    assert got == want
+    assert int(caplog.messages[-1].split()[-2]) < 40
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text("abcd", min_size=2, max_size=8), min_size=1, max_size=25))
 def test_safe_merges_agree_with_single_steps(words):
