@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import cut_lineage, drop_stored, store
 from .substrings import _by, _heads, _planes, _unplanes
 from .tables import buckets_for, text_bytes
-from .words import Words, combine, mix, slices
+from .words import Words, combine, mix, slices, tidy, tidy_group
 
 LEAST, KEEP, LONGEST = 100, 2000, 5
 #: A candidate goes when a longer one occurs this share of its times (percent).
@@ -322,8 +322,8 @@ class _Corpus:
     def __init__(self, docs: DataFrame, least: int):
         self.spark, self.least, self.paths = docs.sparkSession, least, []
         n = buckets_for(self.spark, text_bytes(docs), PER_BUCKET, 1)
-        dealt = docs.mapInArrow(_deal_hashes(n), "bucket bigint, hashes binary, counts binary")
-        often = self.keep(dealt.groupBy("bucket").applyInArrow(_often(least), "n bigint, hashes binary"), "often")
+        dealt = docs.mapInArrow(tidy(_deal_hashes(n)), "bucket bigint, hashes binary, counts binary")
+        often = self.keep(dealt.groupBy("bucket").applyInArrow(tidy_group(_often(least)), "n bigint, hashes binary"), "often")
         size = _filter_size(often.agg(F.sum("n")).first()[0] or 0)
 
         def mixed(batches):
@@ -332,7 +332,7 @@ class _Corpus:
                 yield pa.RecordBatch.from_arrays([pa.array(h, pa.binary())], ["hashes"])
 
         bits = _fold_bits(often.select("hashes").mapInArrow(mixed, "hashes binary"), size)
-        self.runs = self.passed(bits, lambda sent: docs.mapInArrow(_store_runs(sent), _RUNS), "runs")
+        self.runs = self.passed(bits, lambda sent: docs.mapInArrow(tidy(_store_runs(sent)), _RUNS), "runs")
         folded = self.runs.mapInArrow(_word_rows, _COUNTS).groupBy("lang", "phrase", "m").agg(F.sum("n").alias("f"))
         counted = self.keep(folded.where(f"m = 0 or f >= {least}"), "words")
         self.totals = counted.where("m = 0").select("lang", F.col("f").alias("n"))
@@ -357,7 +357,7 @@ class _Corpus:
         asked = self.keep(asked.select("lang", "phrase", F.col("kind").cast("int").alias("kind")).distinct(), "asked")
         size = _filter_size(asked.count())
         bits = _fold_bits(asked.mapInArrow(_phrase_hashes, "hashes binary"), size)
-        make = lambda sent: self.runs.mapInArrow(_count(sent, lengths), _COUNTS).groupBy("lang", "phrase", "m").agg(
+        make = lambda sent: self.runs.mapInArrow(tidy(_count(sent, lengths)), _COUNTS).groupBy("lang", "phrase", "m").agg(
             F.sum("n").alias("f")).where(F.col("f") >= self.least)
         self.counted.append(self.passed(bits, make, "counted"))
         return self.counted[-1]

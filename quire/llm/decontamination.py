@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .tables import fresh, text_bytes
-from .words import ALNUM, Words, combine, slices
+from .words import ALNUM, Words, combine, slices, tidy
 
 WINDOW = 10
 #: Benchmark text that one pass sends to the tasks.
@@ -177,7 +177,7 @@ def _search_pass(docs, sent, text, out, again):
                 [found if i == at else c for i, c in enumerate(batch.columns)],
                 [f.name for f in batch.schema])
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -10,21 +10,29 @@
 3. Stars. A bucket links its members to one hub only. Each task settles the
    buckets among the documents that it holds and sends on one hub for each,
    so a bucket never receives more than one row from a task.
-4. Confirm. A star's link counts if the full sets agree.
+4. Span. A member keeps the link to the hub that it shares most buckets with,
+   if the full sets agree; what that joins is one node from then on, and of the
+   links that are left each node again keeps its best few (`PER_NODE`), twice.
+   So links are as many as documents, however many buckets they share.
 5. Rest. Where a bucket's members still lie in different components, those
-   outside its largest component are compared with all members of other
-   components by their signatures; likely pairs are confirmed on full sets,
-   in blocks that get each set once; of the bands that a pair shares only the
-   first one looks at it. So no pair that shares a bucket is left
-   unjudged, however large the bucket, and pairs never become rows.
+   outside its largest component meet all members of other components in tiles
+   of bounded size, dealt over the tasks; of the bands that a pair shares only
+   the first one looks at it. Pairs with like signatures stay packed in their
+   tile and are confirmed there on full sets, skipping those that the tile has
+   joined by then; a tile sends on the links of a forest. So no pair that shares
+   a bucket is left unjudged, however large the bucket, and pairs never become rows.
 
 With 51 bands of 5 bins a pair at similarity 0.8 shares no bucket with a chance
-of 2e-9. The signature test in step 5 (and 4) drops a pair at 0.8 with a chance
+of 2e-9. The signature test in steps 4 and 5 drops a pair at 0.8 with a chance
 of 1e-6.
 
 Defined cases: a null text, an empty one, or one of whitespace has an empty set
 and is linked with nothing; texts of fewer words than a shingle are one
-shingle; equal rows are linked; rows without doc_id get no component and stay.
+shingle; equal rows are linked; rows of one doc_id with different texts are one
+node, linked by whichever of their sets agrees; rows without doc_id get no
+component and stay; very long texts are one set of their own in a task; an empty
+table gives an empty result; other columns are not read, and stay in
+`drop_near_duplicates`, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,22 +45,24 @@ from ..session import cut_lineage, drop_stored, store
 from .components import components
 from .substrings import _by, _heads, _planes, _unplanes
 from .tables import buckets_for, fresh
-from .words import NON_SPACE, Words, combine, mix, slices, windows
+from .words import NON_SPACE, Words, combine, mix, slices, tidy, tidy_group, windows
 
 BINS, BANDS, ROWS = 256, 51, 5
 #: Share of equal bins below which a pair is not confirmed: 5 deviations
 #: below a similarity of 0.8.
 LIKELY = 0.675
 #: Bucket rows that a task holds before it settles and sends them.
-HELD = 1 << 21
+HELD = 1 << 20
 #: Rows (documents times bands) that meet in one task.
 PER_BUCKET = 1 << 20
 #: Ids that may travel to every task; more are joined by a shuffle.
 SENT_IDS = 500_000
 #: Bytes of sets or signatures that may travel to every task.
 SENT_BYTES = 16 << 20
-#: Members of a bucket beyond which its pairs are confirmed in several blocks.
-BLOCK_DOCS = 2000
+#: Links that a node keeps for confirmation: the best of each class of other nodes.
+PER_NODE = 4
+#: Members on one side of a tile, and rows of tiles that meet in one task.
+TILE_DOCS, TILE_ROWS = 1024, 4096
 #: Signature bytes compared at once.
 AT_ONCE = 64 << 20
 
@@ -210,12 +220,13 @@ def _meet(key, dealt):
 
 
 def _to_reps(links, classes):
-    """Links between classes as links between the classes' least documents."""
+    """Links between classes, and how many buckets each stands for, as links
+    between the classes' least documents."""
     reps = classes.select("s1", "rep")
     a = reps.select(F.col("s1").alias("hub"), F.col("rep").alias("x"))
     b = reps.select(F.col("s1").alias("member"), F.col("rep").alias("y"))
     both = links.join(a, "hub").join(b, "member").where(F.col("x") != F.col("y"))
-    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return both.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("n").alias("n"))
 
 
 def _marks(column):
@@ -262,7 +273,7 @@ def _confirm(pairs, sets, percent):
     y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"), F.col("n").alias("ny"))
     close = F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent
     rows = pairs.join(x, "a").join(y, "b").where(close).select("a", "b", "x", "y")
-    return rows.mapInArrow(_alike(percent), "a bigint, b bigint")
+    return rows.mapInArrow(tidy(_alike(percent)), "a bigint, b bigint")
 
 
 def _set_rows(size):
@@ -279,92 +290,181 @@ def _set_rows(size):
     return run
 
 
-def _likely_rest(key, rows):
-    """Pairs of a bucket that lie in different components and have like
-    signatures: each member outside its band key's largest component against
-    all others. Packed in rows by the block that is going to confirm them: one
-    for each largest component, several where it is large."""
-    order = np.lexsort((rows.column("component").to_numpy(), rows.column("key").to_numpy()))
+def _mixed_keys(members: DataFrame) -> DataFrame:
+    """Buckets with two or more components, the largest of them, and in how many
+    blocks the members outside it (`n_x`) and all members (`n_y`) are cut."""
+    parts = members.groupBy("key", "component").count()
+    keys = parts.groupBy("key").agg(
+        F.max_by("component", F.struct("count", "component")).alias("largest"), F.max("count").alias("inside"),
+        F.sum("count").alias("all"), F.count("*").alias("parts")).where("parts > 1")
+    blocks = lambda n: F.ceil(n / F.lit(TILE_DOCS)).cast("int")
+    keys = keys.withColumn("n_x", blocks(F.col("all") - F.col("inside"))).withColumn("n_y", blocks(F.col("all")))
+    return keys.select("key", "largest", "n_x", "n_y", ((F.col("all") - F.col("inside")) * F.col("n_y") + F.col("all") * F.col("n_x")).alias("rows"))
+
+
+def _tiles(members: DataFrame, keys: DataFrame, signs: DataFrame) -> DataFrame:
+    """Rows of tiles. Those of side 0 are the members (key, doc_id, component)
+    outside the largest component, those of side 1 all members; each block of
+    one side meets each block of the other."""
+    rows = members.join(keys.drop("rows"), "key")
+    own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    x = rows.where("component <> largest").withColumn("i", own("n_x")).withColumn("j", each("n_y")).withColumn("side", F.lit(0))
+    y = rows.withColumn("j", own("n_y")).withColumn("i", each("n_x")).withColumn("side", F.lit(1))
+    names = ["key", "i", "j", "side", "doc_id", "component", "largest"]
+    return x.select(*names).union(y.select(*names)).join(signs, "doc_id")
+
+
+def _likely_tiles(key, rows):
+    """Pairs of the tiles of one bucket that lie in different components and
+    have like signatures: their documents and components, and the pairs as
+    numbers into them. A pair of two outside the largest component is looked at
+    from its smaller side; the first band that a pair shares speaks for it."""
+    names = ("key", "i", "j", "side", "doc_id")
+    columns = {n: rows.column(n).to_numpy() for n in names}
+    order = np.lexsort([columns[n] for n in reversed(names)])
     rows = rows.take(pa.array(order))
-    keys, parts, docs = (rows.column(c).to_numpy() for c in ("key", "component", "doc_id"))
+    keys, tile_i, tile_j, side, docs, parts, largest = (
+        rows.column(c).to_numpy() for c in ("key", "i", "j", "side", "doc_id", "component", "largest"))
     signs, bands = _marks(rows.column("signature"))
-    found = {}
-    head = _heads(keys)
-    for i, j in zip(head.tolist(), [*head[1:].tolist(), len(keys)]):
-        part = parts[i:j]
-        runs = _heads(part)
-        if len(runs) < 2:
+    found = []
+    head = _heads(keys, tile_i, tile_j).tolist()
+    for i, j in zip(head, [*head[1:], len(keys)]):
+        k = i + int(np.searchsorted(side[i:j], 1))
+        if k in (i, j):
             continue
-        largest = part[runs[np.argmax(np.diff(np.append(runs, j - i)))]]
-        out = np.flatnonzero(part != largest)
         this = int(np.flatnonzero(bands[i] == np.uint32(int(keys[i]) & 0xFFFFFFFF))[0])
-        blocks = 1 + (j - i) // BLOCK_DOCS
-        step = max(1, AT_ONCE // (BINS * (j - i)))
-        for k in range(0, len(out), step):
-            mine = out[k : k + step]
-            same = (signs[i + mine][:, None, :] == signs[None, i:j, :]).sum(2) >= LIKELY * BINS
-            x, y = np.nonzero(same & (part[mine][:, None] != part[None, :]))
-            x, y = i + mine[x], i + y
-            # The first band that a pair shares speaks for it, the others don't.
-            own = bands[x, this] == bands[y, this]
+        step = max(1, AT_ONCE // (BINS * (j - k)))
+        for start in range(i, k, step):
+            mine = np.arange(start, min(k, start + step))
+            y = np.arange(k, j)
+            ask = parts[mine][:, None] != parts[None, y]
+            ask &= (parts[None, y] == largest[i]) | (docs[mine][:, None] < docs[None, y])
+            ask &= (signs[mine][:, None, :] == signs[None, y, :]).sum(2) >= LIKELY * BINS
+            a, b = np.nonzero(ask)
+            a, b = mine[a], y[b]
+            own = bands[a, this] == bands[b, this]
             for earlier in range(this):
-                own &= bands[x, earlier] != bands[y, earlier]
-            x, y = docs[x[own]], docs[y[own]]
-            for number, at in _by((mix(x.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)):
-                found.setdefault((int(largest), blocks, number), []).append(np.stack([x[at], y[at]], 1))
-    out = []
-    for name, pairs in found.items():
-        pairs = np.unique(np.concatenate(pairs), axis=0)
-        label = mix(np.array([name[0]], np.int64).view(np.uint64) + np.uint64(name[1] << 20) + np.uint64(name[2]))
-        out.append((int(label.view(np.int64)[0]), pairs.astype("<i8").tobytes()))
-    return pa.table({"block": pa.array([b for b, _ in out], pa.int64()), "pairs": pa.array([p for _, p in out], pa.binary())})
-
-
-def _block_docs(batches):
-    """The documents that each block's pairs name."""
+                own &= bands[a, earlier] != bands[b, earlier]
+            found.append(np.stack([a[own], b[own]]))
+    pairs = np.concatenate([np.zeros((2, 0), np.int64), *found], 1)
+    used, first = np.unique(docs[pairs], return_index=True)
+    if not len(used):
+        return pa.table({n: pa.array([], t) for n, t in _TILE})
+    numbers = np.searchsorted(used, docs[pairs])
+    of = parts[pairs.reshape(-1)[first]]
+    blob = (used.astype("<i8").tobytes(), of.astype("<i8").tobytes(), np.unique(numbers, axis=1).astype("<u4").tobytes())
+    return pa.table({n: pa.array([v], t) for (n, t), v in zip(_TILE, (key[0].as_py(), *blob))})
+
+
+_TILE = [("bucket", pa.int64()), ("docs", pa.binary()), ("parts", pa.binary()), ("pairs", pa.binary())]
+
+
+def _tile_docs(batches):
+    """The documents that each bucket's pairs name."""
     for batch in batches:
-        blocks, docs = [], []
-        for block, pairs in zip(batch.column("block").to_pylist(), batch.column("pairs").to_pylist()):
-            names = np.unique(np.frombuffer(pairs, "<i8"))
-            blocks.append(np.full(len(names), block))
-            docs.append(names)
-        if docs:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (blocks, docs)], ["block", "doc_id"])
-
-
-def _confirm_block(percent):
-    """The pairs of a block whose full sets reach the similarity."""
-
-    def run(key, rows, sets):
-        pairs = np.unique(np.frombuffer(b"".join(rows.column("pairs").to_pylist()), "<i8").reshape(-1, 2), axis=0)
-        full = {d: np.frombuffer(s, np.uint64) for d, s in zip(sets.column("doc_id").to_pylist(), sets.column("shingles").to_pylist())}
-        links = [(a, b) for a, b in pairs.tolist() if _reach(full[a], full[b], percent)]
+        for bucket, docs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            docs = np.frombuffer(docs, "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(docs), bucket)), pa.array(docs)], ["bucket", "doc_id"])
+
+
+def _join_tiles(percent):
+    """Links of a forest that joins the components of a bucket's pairs whose
+    full sets reach the similarity."""
+
+    def run(key, tiles, sets):
+        if not tiles.num_rows:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        docs, parts = (np.frombuffer(tiles.column(c)[0].as_py(), "<i8") for c in ("docs", "parts"))
+        x, y = np.frombuffer(tiles.column("pairs")[0].as_py(), "<u4").reshape(2, -1).astype(np.int64)
+        # Rows of one doc_id may hold several sets; each of them may agree.
+        at = np.searchsorted(docs, sets.column("doc_id").to_numpy())
+        blobs = sets.column("shingles").to_pylist()
+        order = np.argsort(at, kind="stable")
+        blobs, at = [blobs[k] for k in order], at[order]
+        sizes = np.array([len(b) // 8 for b in blobs], np.int64)
+        begin = np.cumsum(sizes) - sizes
+        first = np.searchsorted(at, np.arange(len(docs) + 1))
+        values, number = np.unique(np.frombuffer(b"".join(blobs), np.uint64), return_inverse=True)
+        marked = np.zeros(len(values), bool)
+        _, part = np.unique(parts, return_inverse=True)
+        links = []
+        head = _heads(x).tolist()
+        for i, j in zip(head, [*head[1:], len(x)]):
+            one = int(x[i])
+            others = y[i:j][part[y[i:j]] != part[one]]
+            for mine in range(first[one], first[one + 1]):
+                if not len(others):
+                    break
+                n_sets = np.diff(first)[others]
+                theirs = np.repeat(first[others] - (np.cumsum(n_sets) - n_sets), n_sets) + np.arange(n_sets.sum())
+                owner = np.repeat(others, n_sets)
+                near = 100 * np.minimum(sizes[theirs], sizes[mine]) >= percent * np.maximum(sizes[theirs], sizes[mine])
+                theirs, owner = theirs[near], owner[near]
+                if not len(theirs):
+                    continue
+                own = number[begin[mine] : begin[mine] + sizes[mine]]
+                marked[own] = True
+                n = sizes[theirs]
+                starts = np.cumsum(n) - n
+                common = np.add.reduceat(marked[number[np.repeat(begin[theirs] - starts, n) + np.arange(n.sum())]].astype(np.int64), starts)
+                marked[own] = False
+                for other in owner[100 * common >= percent * (sizes[mine] + n - common)].tolist():
+                    if part[other] != part[one]:
+                        links.append((docs[one], docs[other]))
+                        part[part == part[other]] = part[one]
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     return run
 
 
+def _joined(labels: DataFrame, links: DataFrame, keep) -> DataFrame:
+    """Labels (node, component) after the links between nodes; what is one
+    component already counts as one node."""
+    a = labels.select(F.col("node").alias("a"), F.col("component").alias("x"))
+    b = labels.select(F.col("node").alias("b"), F.col("component").alias("y"))
+    over = links.join(a, "a").join(b, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    found, path = components(over)
+    further = found.select(F.col("node").alias("component"), F.col("component").alias("further"))
+    new = keep(labels.join(further, "component", "left").select("node", F.coalesce("further", "component").alias("component")), "labels")
+    drop_stored(labels.sparkSession, path)
+    return new
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """One row for each row of `docs`: doc_id, n_shingles (set size),
     component_id (the least doc_id reachable over links, itself included) and
     kept. Two documents are linked when 100 * intersection >= percent * union
     of their sets of word shingles."""
+    spark, paths = docs.sparkSession, []
+
+    def keep(df, name):
+        stored, path = store(df, name)
+        paths.append(path)
+        return stored
+
+    try:
+        return _components_of(docs, id, text, shingle, percent, keep)
+    finally:
+        for path in paths:
+            drop_stored(spark, path)
+
+
+def _components_of(docs, id, text, shingle, percent, keep) -> DataFrame:
     spark = docs.sparkSession
     slim = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    signed, signed_path = store(slim.mapInArrow(_sign(shingle), _SIGNED), "signed")
+    signed = keep(slim.mapInArrow(tidy(_sign(shingle)), _SIGNED), "signed")
     full = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes, classes_path = store(full.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = keep(full.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
     n = buckets_for(spark, classes.count() * BANDS, PER_BUCKET)
-    stars, stars_path = store(
-        full.select("s1", "keys").mapInArrow(_deal(n), _DEALT).groupBy("bucket").applyInArrow(_meet, _STARS), "stars")
+    stars = keep(full.select("s1", "keys").mapInArrow(tidy(_deal(n)), _DEALT).groupBy("bucket").applyInArrow(tidy_group(_meet), _STARS), "stars")
 
-    involved, involved_path = store(
-        stars.select(F.col("member").alias("s1")).distinct().join(classes, "s1").select(F.col("rep").alias("doc_id")), "involved")
+    involved = keep(stars.select(F.col("member").alias("s1")).distinct().join(classes, "s1").select(
+        F.col("rep").alias("doc_id")).distinct(), "involved")
     n_involved = involved.count()
     chosen = F.broadcast(involved) if n_involved <= SENT_IDS else involved
-    sets, sets_path = store(
-        slim.join(chosen, "doc_id", "left_semi").mapInArrow(_set_rows(shingle), "doc_id bigint, n bigint, shingles binary"), "sets")
+    sets = keep(slim.join(chosen, "doc_id", "left_semi").mapInArrow(tidy(_set_rows(shingle)), "doc_id bigint, n bigint, shingles binary"), "sets")
     sets = sets.dropDuplicates(["doc_id", "shingles"])
     signs = full.join(chosen, "doc_id", "left_semi").select("doc_id", "signature").dropDuplicates()
     # Both go to every task where they are measured small; else they are shuffled.
@@ -373,32 +473,41 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     if n_involved * (BINS + 4 * BANDS) <= SENT_BYTES:
         signs = F.broadcast(signs)
 
-    edges = _to_reps(stars.where("hub <> member").select("hub", "member").distinct(), classes)
-    signed_edges = edges.join(signs.select(F.col("doc_id").alias("a"), F.col("signature").alias("x")), "a").join(
-        signs.select(F.col("doc_id").alias("b"), F.col("signature").alias("y")), "b")
-    likely = signed_edges.select("a", "b", "x", "y").mapInArrow(_likely("x", "y"), "a bigint, b bigint")
-    links, links_path = store(_confirm(likely, sets, percent), "links")
-    found, found_path = components(links)
+    def confirmed(edges):
+        signed_edges = edges.join(signs.select(F.col("doc_id").alias("a"), F.col("signature").alias("x")), "a").join(
+            signs.select(F.col("doc_id").alias("b"), F.col("signature").alias("y")), "b")
+        likely = signed_edges.select("a", "b", "x", "y").mapInArrow(tidy(_likely("x", "y")), "a bigint, b bigint")
+        return _confirm(likely, sets, percent)
+
+    # Each member's best hub, then twice the best links of each node that that has made.
+    edges = keep(stars.where("hub <> member").groupBy("hub", "member").agg(F.count("*").alias("n")), "edges")
+    nearest = edges.groupBy("member").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"), F.max("n").alias("n"))
+    labels = involved.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component"))
+    labels = _joined(labels, confirmed(_to_reps(nearest, classes).select("a", "b")), keep)
+    between = keep(_to_reps(edges, classes), "between")
+    for _ in range(2):
+        a, b = (labels.select(F.col("node").alias(n), F.col("component").alias(c)) for n, c in (("a", "x"), ("b", "y")))
+        left = between.join(a, "a").join(b, "b").where("x <> y")
+        ways = left.select("x", "y", "a", "b", "n").union(left.select(F.col("y").alias("x"), F.col("x").alias("y"), "a", "b", "n"))
+        best = ways.groupBy("x", F.pmod(F.xxhash64("y"), F.lit(PER_NODE))).agg(
+            F.max_by(F.struct("a", "b"), F.struct("n", "a", "b")).alias("e")).select("e.a", "e.b").distinct()
+        labels = _joined(labels, confirmed(best), keep)
 
     members = stars.select("key", F.col("member").alias("s1")).distinct().join(classes.select("s1", F.col("rep").alias("doc_id")), "s1")
-    members = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    rest = members.join(mixed, "key").join(signs, "doc_id").withColumn("bucket", F.pmod("key", F.lit(n)))
-    pairs, pairs_path = store(rest.groupBy("bucket").applyInArrow(_likely_rest, "block bigint, pairs binary"), "pairs")
-    needed = pairs.mapInArrow(_block_docs, "block bigint, doc_id bigint").distinct().join(sets.drop("n"), "doc_id")
-    more = pairs.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(_confirm_block(percent), "a bigint, b bigint")
-    all_links, all_path = store(links.union(more), "links")
-    final, final_path = components(all_links)
+    members = keep(members.select("key", "doc_id").distinct().join(labels.withColumnRenamed("node", "doc_id"), "doc_id"), "members")
+    mixed = keep(_mixed_keys(members), "mixed")
+    n_tiles = buckets_for(spark, mixed.agg(F.sum("rows")).first()[0] or 0, TILE_ROWS, 1)
+    dealt = _tiles(members, mixed, signs).withColumn("bucket", F.pmod(F.xxhash64("key", "i", "j"), F.lit(n_tiles)))
+    pairs = keep(dealt.groupBy("bucket").applyInArrow(tidy_group(_likely_tiles), "bucket bigint, docs binary, parts binary, pairs binary"), "pairs")
+    needed = pairs.select("bucket", "docs").mapInArrow(_tile_docs, "bucket bigint, doc_id bigint").join(sets.drop("n"), "doc_id")
+    links = pairs.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInArrow(tidy_group(_join_tiles(percent)), "a bigint, b bigint")
+    labels = _joined(labels, keep(links, "links"), keep)
+
     rows = signed.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2"], "left")
-    rows = rows.join(final.withColumnRenamed("node", "rep"), "rep", "left")
+    rows = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
-    result = cut_lineage(rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return cut_lineage(rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
-    for path in (signed_path, classes_path, stars_path, involved_path, sets_path, links_path, found_path, pairs_path, all_path,
-                 final_path):
-        drop_stored(spark, path)
-    return result
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:

@@ -40,7 +40,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from .tables import buckets_for, fresh, text_bytes
-from .words import Words, combine, mix, slices, windows
+from .words import Words, combine, mix, slices, tidy, tidy_group, windows
 
 WIDTH = 13
 #: Text bytes whose anchors share a bucket; some 1.3 million anchors.
@@ -358,15 +358,15 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", wi
     parts = buckets_for(spark, text_size, BUCKET_BYTES, 1)
     size = max(64, filter_bits // n // 8 * 8)
     slim = docs.select(F.col(id).cast("bigint").alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
-    anchors = slim.drop("text_key").mapInArrow(_deal_anchors(scheme, n, "doc_id", "text"), _ANCHORS)
+    anchors = slim.drop("text_key").mapInArrow(tidy(_deal_anchors(scheme, n, "doc_id", "text")), _ANCHORS)
     shared = np.zeros(n * size // 8, np.uint8)
-    for row in anchors.groupBy("bucket").applyInArrow(_note_shared(size), "bucket bigint, bits binary").collect():
+    for row in anchors.groupBy("bucket").applyInArrow(tidy_group(_note_shared(size)), "bucket bigint, bits binary").collect():
         at = row["bucket"] * size // 8
         shared[at : at + size // 8] = np.frombuffer(row["bits"], np.uint8)
     sent = spark.sparkContext.broadcast(shared)
-    found = slim.mapInArrow(_deal_windows(scheme, n, sent, size, "doc_id", "text_key", "text"), _WINDOWS)
-    found = found.groupBy("bucket").applyInArrow(_name_repeats(parts), _FOUND)
-    return found.groupBy("part").applyInArrow(_by_document, _HITS)
+    found = slim.mapInArrow(tidy(_deal_windows(scheme, n, sent, size, "doc_id", "text_key", "text")), _WINDOWS)
+    found = found.groupBy("bucket").applyInArrow(tidy_group(_name_repeats(parts)), _FOUND)
+    return found.groupBy("part").applyInArrow(tidy_group(_by_document), _HITS)
 
 
 def _removed(words: Words, starts: list, width: int) -> np.ndarray:
@@ -431,7 +431,7 @@ def substring_report(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     rows = _with_starts(slim, "doc_id", "text", width, "starts")
-    return rows.mapInArrow(_apply("text", "starts", width, finish), schema)
+    return rows.mapInArrow(tidy(_apply("text", "starts", width, finish)), schema)
 
 
 def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -448,4 +448,4 @@ def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
             [new if f.name == text else part.column(i) for i, f in enumerate(part.schema) if f.name != name],
             [f.name for f in part.schema if f.name != name])
 
-    return rows.mapInArrow(_apply(text, name, width, finish), docs.schema)
+    return rows.mapInArrow(tidy(_apply(text, name, width, finish)), docs.schema)

@@ -45,6 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage, drop_stored, new_path, store
+from .words import tidy
 
 #: Bytes of records in a frame, and of frames and waiting records in an archive.
 FRAME_BYTES, ARCHIVE_BYTES = 1 << 20, 32 << 20
@@ -194,7 +195,7 @@ def write_archives(pages: DataFrame, path: str, id: str = "page_id", url: str =
         joined = rows.join(F.broadcast(repeats) if few else repeats, "key", "left").select(
             "page_id", "url", "payload", F.coalesce("first", "page_id").alias("first"),
             F.col("first").isNull().alias("alone"), F.monotonically_increasing_id().alias("row"))
-        archives = joined.mapInArrow(_bundle(date, frame_bytes, archive_bytes), "archive binary")
+        archives = joined.mapInArrow(tidy(_bundle(date, frame_bytes, archive_bytes)), "archive binary")
         # The text writer puts bytes down as they are and ends each row with
         # the separator. One row is one file.
         archives.select(F.col("archive").cast("string")).write.option("maxRecordsPerFile", 1).option(

@@ -8,6 +8,9 @@ size of its Arrow batches.
 
 from __future__ import annotations
 
+import ctypes
+import inspect
+
 import numpy as np
 import pyarrow as pa
 
@@ -42,6 +45,46 @@ def combine(h: np.ndarray, more: np.ndarray) -> np.ndarray:
     return mix((h * _M1) ^ more)
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system. Workers are kept from
+    stage to stage, and so is memory that their allocators hold on to."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run):
+    """`run` over batches, giving memory back at the task's end."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
+def tidy_group(run):
+    """`run` over a group (key, rows) or two (key, left, right), giving memory
+    back behind it."""
+
+    def one(key, rows):
+        try:
+            return run(key, rows)
+        finally:
+            give_back()
+
+    def two(key, left, right):
+        try:
+            return run(key, left, right)
+        finally:
+            give_back()
+
+    return two if len(inspect.signature(run).parameters) == 3 else one
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES):
     """(start, stop) row ranges of at most `limit` bytes of text, or one row."""
     ends = np.cumsum(byte_lengths(column))

@@ -64,6 +64,70 @@ def test_the_rest_pass_finds_links_that_stars_miss(spark):
     assert got == plain_components(rows, 2)
 
 
+def near_copies(n, changed, seed, words=200):
+    """Copies of one text with `changed` of its words replaced."""
+    rng = random.Random(seed)
+    some = vocabulary(100_000)
+    base, rows = [rng.choice(some) for _ in range(words)], []
+    for i in range(n):
+        copy = list(base)
+        for at in rng.sample(range(words), changed):
+            copy[at] = rng.choice(some)
+        rows.append((i * 7919 % 104729, " ".join(copy)))
+    return rows
+
+
+def fast_components(rows, size):
+    """As the plain version, by set intersections of numbers."""
+    sets = [(i, np.array(sorted(hash(s) for s in shingles(t, size)), np.int64)) for i, t in rows]
+    values = np.unique(np.concatenate([s for _, s in sets]))
+    first = np.cumsum([0, *(len(s) for _, s in sets)])
+    flat = np.searchsorted(values, np.concatenate([s for _, s in sets]))
+    n, least = np.diff(first), np.array([i for i, _ in sets])
+    links = []
+    for k in range(len(sets)):
+        marked = np.zeros(len(values), bool)
+        marked[flat[first[k] : first[k + 1]]] = True
+        common = np.add.reduceat(marked[flat], first[:-1])
+        links.append(np.flatnonzero(100 * common >= 80 * (n[k] + n - common)))
+    changed = True
+    while changed:
+        new = np.array([least[x].min() for x in links])
+        changed = bool((new != least).any())
+        least = new
+    return {i: int(c) for (i, _), c in zip(sets, least)}
+
+
+@pytest.mark.parametrize("changed", [4, 6, 7])
+def test_many_near_copies_make_few_links(spark, monkeypatch, changed):
+    """5,000 copies that are almost, just and hardly alike (0.85, 0.78, 0.75 and
+    so on): the same components as all pairs, and few links."""
+    rows, seen = near_copies(5000, changed, changed), []
+    joined = nd._joined
+    monkeypatch.setattr(nd, "_joined", lambda labels, links, keep: seen.append(links.count()) or joined(labels, links, keep))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    got = {r.doc_id: r.component_id for r in report(df, shingle=2)}
+    assert got == fast_components(rows, 2)
+    assert sum(seen) <= 3 * len(rows)
+
+
+def test_small_tiles_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(nd, "TILE_DOCS", 7)
+    monkeypatch.setattr(nd, "TILE_ROWS", 30)
+    monkeypatch.setattr(nd, "AT_ONCE", 2000)
+    rows = near_copies(300, 11, 1, 150) + [(200_000 + i, t) for i, t in near_copies(200, 13, 2, 150)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert {r.doc_id: r.component_id for r in report(df, shingle=2)} == fast_components(rows, 2)
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    rng = random.Random(2)
+    one, two = (" ".join(f"{p}{rng.randrange(900)}" for _ in range(80)) for p in "xy")
+    rows = [(1, one), (1, two), (5, one + " more"), (9, two + " more"), (3, "apart " + one[:100])]
+    got = sorted((r.doc_id, r.component_id) for r in report(spark.createDataFrame(rows, "doc_id bigint, text string"), shingle=2))
+    assert got == [(1, 1), (1, 1), (3, 3), (5, 1), (9, 1)]
+
+
 def test_signature_agreement_estimates_the_similarity():
     rng = np.random.default_rng(1)
     for n, common in ((400, 320), (20, 16), (5, 4)):
