@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import pairs, sentences as sn, subsets, vocab as vb
 from ..operators.ordering import with_global_index
-from ..session import cut_lineage, new_path
+from ..session import cut_lineage, drop_stored, new_path
 from ..sources import files, processed, vocab_file
 from . import preparation, sql_parts as q
 from .fixtures import documents, stored_vocabulary, table, texts, word_vocabulary
@@ -21,6 +21,14 @@ _STATS = lambda: [
 ]
 
 
+def _aggregated(df, *paths):
+    """A small result kept apart from the files that it reads, which then go."""
+    kept = cut_lineage(df)
+    for path in paths:
+        drop_stored(kept.sparkSession, path)
+    return kept
+
+
 def _split_files(spark, sf_dir, fmt, folder=None):
     """The documents written as one folder per split; returns their paths."""
     folder = folder or new_path(spark, "files")
@@ -44,7 +52,7 @@ READ_BACK = f"WITH {q.DOCS} SELECT split, {TEXT_STATS} FROM docs GROUP BY split"
 def read_splits_json(spark, sf_dir):
     paths = _split_files(spark, sf_dir, "json")
     table = files.read_splits(spark, paths, "json", "doc_id bigint, text string")
-    return table.groupBy("split").agg(*_STATS())
+    return _aggregated(table.groupBy("split").agg(*_STATS()), *paths.values())
 
 
 @query(READ_BACK)
@@ -52,15 +60,15 @@ def read_splits_csv(spark, sf_dir):
     paths = _split_files(spark, sf_dir, "csv")
     # Texts hold line breaks.
     table = files.read_splits(spark, paths, "csv", "doc_id bigint, text string", multi_line=True)
-    return table.groupBy("split").agg(*_STATS())
+    return _aggregated(table.groupBy("split").agg(*_STATS()), *paths.values())
 
 
 @query(f"""WITH {q.DOCS}, lines AS (
   SELECT split, unnest(string_split(text, chr(10))) AS text FROM docs)
 SELECT split, {TEXT_STATS} FROM lines GROUP BY split""")
 def read_splits_text(spark, sf_dir):
-    table = files.read_splits(spark, _split_files(spark, sf_dir, "txt"), "txt")
-    return table.groupBy("split").agg(*_STATS())
+    paths = _split_files(spark, sf_dir, "txt")
+    return _aggregated(files.read_splits(spark, paths, "txt").groupBy("split").agg(*_STATS()), *paths.values())
 
 
 @query(READ_BACK)
@@ -70,14 +78,14 @@ def read_named_dataset(spark, sf_dir):
     table = files.load_source(
         spark, dataset_dir=root, subset="pretrain", schema="doc_id bigint, text string"
     )
-    return table.groupBy("split").agg(*_STATS())
+    return _aggregated(table.groupBy("split").agg(*_STATS()), root)
 
 
 @query(READ_BACK)
 def processed_round_trip(spark, sf_dir):
     path = new_path(spark, "processed")
     processed.write_processed(documents(spark, sf_dir), path, overwrite=True)
-    return processed.read_processed(spark, path).groupBy("split").agg(*_STATS())
+    return _aggregated(processed.read_processed(spark, path).groupBy("split").agg(*_STATS()), path)
 
 
 @query(f"""WITH {q.DOCS} SELECT split, {TEXT_STATS} FROM docs WHERE split = 'validation'
@@ -94,7 +102,7 @@ def processed_reuse(spark, sf_dir):
 
     processed.reuse_or_compute(spark, path, settings, compute)
     stored = processed.reuse_or_compute(spark, path, settings, fail)
-    return stored.where(F.col("split") == "validation").groupBy("split").agg(*_STATS())
+    return _aggregated(stored.where(F.col("split") == "validation").groupBy("split").agg(*_STATS()), path)
 
 
 @query(f"""WITH {q.word_counts()}, {q.vocab()}
@@ -104,7 +112,7 @@ UNION ALL SELECT (3 + b)::INT, printf('<0x%02X>', b), 0.0::DOUBLE FROM range(256
 def vocab_round_trip(spark, sf_dir):
     path = new_path(spark, "vocab")
     vocab_file.write_vocab(word_vocabulary(spark, sf_dir), path)
-    return vocab_file.read_vocab(spark, path).select("id", "piece", "score")
+    return _aggregated(vocab_file.read_vocab(spark, path).select("id", "piece", "score"), path)
 
 
 @query(f"""WITH {q.DOCS}, {q.sentences()}
@@ -113,7 +121,7 @@ SELECT line, count(*) AS n FROM (
 def write_sentence_lines(spark, sf_dir):
     path = new_path(spark, "lines")
     files.write_lines(sn.split_sentences(documents(spark, sf_dir), delimiters=MARKS), path)
-    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+    return _aggregated(spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n")), path)
 
 
 def _sentence_sql(marks):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as ar, text as tx
 from ..operators import batches as bt, metrics as mt, packing as pk, userfn
 from ..operators.tokenize import tokenize
-from ..session import new_path
+from ..session import cut_lineage, drop_stored, new_path
 from ..sources import processed
 from ..streaming import streams
 from . import preparation, sql_parts as q
@@ -276,6 +276,14 @@ def _stream(spark, sf_dir):
     return streams.read_stream(spark, sf_dir, schema, pattern="documents.parquet")
 
 
+def _taken(df, path):
+    """A stream's output kept apart from its files and its checkpoint, which then go."""
+    kept = cut_lineage(df)
+    for stored in (path, f"{path}.checkpoint"):
+        drop_stored(kept.sparkSession, stored)
+    return kept
+
+
 STREAMED = f"WITH {q.DOCS}, {q.sentences(keys='doc_id')}"
 
 
@@ -284,14 +292,14 @@ def stream_sentences(spark, sf_dir):
     path = new_path(spark, "stream-sentences")
     stream = _stream(spark, sf_dir).select("doc_id", "text")
     streams.stream_sentences(stream, path, delimiters=tx.DELIMITERS + ".").awaitTermination()
-    return spark.read.parquet(path)
+    return _taken(spark.read.parquet(path), path)
 
 
 @query(f"WITH {q.word_counts()} SELECT word, cnt AS count FROM wc")
 def stream_word_counts(spark, sf_dir):
     path = new_path(spark, "stream-words")
     streams.stream_word_counts(_stream(spark, sf_dir), path, "text").awaitTermination()
-    return spark.read.parquet(path)
+    return _taken(spark.read.parquet(path), path)
 
 
 @query(f"""WITH {TOKENS}, {q.batches(rows=100)}, {q.packed(256)}
@@ -304,6 +312,6 @@ def stream_blocks(spark, sf_dir):
     path = new_path(spark, "stream-blocks")
     streams.stream_blocks(tokens, path, ["doc_id"], 256, batch_rows=100).awaitTermination()
     blocks = spark.read.parquet(path)
-    return blocks.select(
+    return _taken(blocks.select(
         "split", "shard", "batch", "block", ar.joined(F.col("input_ids")).alias("ids")
-    )
+    ), path)
