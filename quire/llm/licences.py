@@ -1,19 +1,25 @@
 """Licence notices in documents, by likeness to templates.
 
-A text's lines, its paragraphs and the whole of it are normalised (lower case,
-runs of anything but a-z and 0-9 as one space) and compared with licence
-templates by the Dice coefficient of their sets of word pairs:
-2 * common / (pairs of one + pairs of the other). Two sets can reach `least`
-only if the smaller has at least least / (2 - least) of the larger's pairs, so
-a segment is compared with the templates in its range of sizes and with no
-others; most segments fit none.
+A text is normalised (lower case, runs of anything but a-z and 0-9 as one
+space), and runs of its words of any length are compared with licence templates
+by the Dice coefficient of their sets of word pairs:
+2 * common / (pairs of one + pairs of the other). A notice is found wherever it
+stands: on lines of its own, over several of them, or inside a longer sentence.
+
+Two sets can reach `least` only if the smaller has at least least / (2 - least)
+of the larger's pairs, so runs are as long as the template's range of sizes
+allows and no longer. A run does best when it begins and ends with a pair of
+the template: others need not be looked at. And where the whole text shares too
+few pairs with a template, none of its runs is; most texts end there.
 
 Everything is column expressions inside one row: nothing is exploded, moved or
 broadcast but the templates, which are literals.
 
 Defined cases: a null or empty text, and one of fewer than two words, has no
 pairs and matches nothing; repeated rows are judged alike; of equally good
-templates all are named.
+templates all are named; very long texts are compared whole, in the memory of
+one row; rows without doc_id are judged like any other; an empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,6 +31,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .native import let
 
 LEAST = 0.8
+#: Pairs of a run, repeats included, as a multiple of the template's.
+LONGEST = 3
 
 #: Licence notices by name. Fixed values.
 TEMPLATES = {
@@ -67,43 +75,54 @@ def size_range(n: int, least: float) -> tuple[float, float]:
     return n * least / (2 - least), n * (2 - least) / least
 
 
-def _pairs(segment: Column) -> Column:
-    spaced = F.trim(F.regexp_replace(F.lower(segment), "[^a-z0-9]+", " "))
-    return let(F.split(spaced, " "), lambda w: F.array_distinct(F.when(F.size(w) > 1, F.transform(
-        F.slice(w, 1, F.size(w) - 1), lambda word, i: F.concat(word, F.lit(" "), F.get(w, i + 1)))).otherwise(F.array().cast("array<string>"))))
+def _pairs(text: Column) -> Column:
+    """A text's word pairs in order, repeats included."""
+    spaced = F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
+    return let(F.split(spaced, " "), lambda w: F.when(F.size(w) > 1, F.transform(
+        F.slice(w, 1, F.size(w) - 1), lambda word, i: F.concat(word, F.lit(" "), F.get(w, i + 1)))).otherwise(
+            F.array().cast("array<string>")))
 
 
-def _best(pairs: Column, templates, least) -> Column:
-    """Structs of the templates that reach `least`."""
+def _best_run(pairs: Column, mine: list[str], least: float) -> Column:
+    """The best coefficient of any run of pairs with a template's pairs `mine`."""
+    template, n = F.array(*map(F.lit, mine)), len(mine)
+    most = int(size_range(n, least)[1] + 1e-9)
+    hits = F.filter(F.transform(pairs, lambda p, i: F.when(F.array_contains(template, p), i)), lambda i: i.isNotNull())
 
-    def match(name, mine):
-        low, high = size_range(len(mine), least)
-        dice = 2.0 * F.size(F.array_intersect(pairs, F.array(*map(F.lit, mine)))) / (F.size(pairs) + len(mine))
-        fits = (F.size(pairs) >= low) & (F.size(pairs) <= high)
-        return F.struct(F.lit(name).alias("licence"), F.when(fits, dice).otherwise(0.0).alias("dice"))
+    def from_hit(at):
+        # Runs may repeat pairs, so their length isn't bound by the range; but
+        # only that of their distinct pairs. A run that has grown past it stays so.
+        def longer(i, k):
+            ends = F.filter(F.slice(at, k + 1, F.size(at)), lambda j: j < i + LONGEST * n)
+            return F.array_max(F.transform(ends, lambda j: let(
+                F.array_distinct(F.slice(pairs, (i + 1).cast("int"), (j - i + 1).cast("int"))), lambda run: F.when(
+                    F.size(run) <= most, 2.0 * F.size(F.array_intersect(run, template)) / (F.size(run) + n)).otherwise(0.0))))
 
-    return F.filter(F.array(*(match(k, v) for k, v in templates.items())), lambda m: m["dice"] >= least)
+        return F.coalesce(F.array_max(F.transform(at, longer)), F.lit(0.0))
+
+    return let(hits, from_hit)
 
 
 def matches(text: Column, least: float = LEAST, templates: dict[str, str] | None = None) -> Column:
-    """An array of (licence, dice) structs: each template that a segment of the
-    text reaches, with its best coefficient."""
-    known = {k: template_pairs(v) for k, v in (templates or TEMPLATES).items()}
-    ranges = [size_range(len(v), least) for v in known.values()]
-    # A segment of k words has at most k - 1 pairs, and at least one for each
-    # of its 2 * pairs characters; the rest is settled without cutting it up.
-    fewest = min(low for low, _ in ranges)
+    """An array of (licence, dice) structs: each template that a run of the
+    text's words reaches, with its best coefficient, by name."""
+    known = {k: template_pairs(v) for k, v in sorted((templates or TEMPLATES).items())}
+    fewest = min(size_range(len(v), least)[0] for v in known.values())
+    every = sorted({p for v in known.values() for p in v})
     text = F.coalesce(text, F.lit(""))
-    segments = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[\x20\x09-\x0D]*\n"), F.array(text)))
-    long_enough = F.filter(segments, lambda s: F.length(s) >= 2 * fewest)
-    found = F.flatten(F.transform(long_enough, lambda s: let(_pairs(s), lambda p: _best(p, known, least))))
 
-    def best_of(all_found):
-        names = F.array_sort(F.array_distinct(F.transform(all_found, lambda m: m["licence"])))
-        return F.transform(names, lambda name: F.struct(
-            name.alias("licence"), F.array_max(F.transform(F.filter(all_found, lambda m: m["licence"] == name), lambda m: m["dice"])).alias("dice")))
+    def of(pairs):
+        def match(name, mine, seen):
+            # What a run needs to have in common with the template.
+            needs = least * (size_range(len(mine), least)[0] + len(mine)) / 2 - 1e-9
+            enough = F.size(F.array_intersect(seen, F.array(*map(F.lit, mine)))) >= needs
+            return F.struct(F.lit(name).alias("licence"), F.when(enough, _best_run(pairs, mine, least)).otherwise(0.0).alias("dice"))
+
+        return let(F.array_intersect(pairs, F.array(*map(F.lit, every))), lambda seen: F.filter(
+            F.array(*(match(k, v, seen) for k, v in known.items())), lambda m: m["dice"] >= least))
 
-    return let(found, best_of)
+    none = F.array().cast("array<struct<licence:string,dice:double>>")
+    return F.when(F.length(text) >= 2 * fewest, let(_pairs(text), of)).otherwise(none)
 
 
 def licence_report(docs: DataFrame, least: float = LEAST) -> DataFrame:

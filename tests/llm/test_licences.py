@@ -9,14 +9,18 @@ from .plain import odd_rows
 
 
 def plain(text, least=li.LEAST):
-    known = {k: set(li.template_pairs(v)) for k, v in li.TEMPLATES.items()}
+    """Every run of word pairs against every template."""
+    words = re.sub("[^a-z0-9]+", " ", (text or "").lower()).split()
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
     best = {}
-    for segment in [*(text or "").split("\n"), *re.split(r"\n[\x20\x09-\x0d]*\n", text or ""), text or ""]:
-        mine = set(li.template_pairs(segment))
-        for name, pairs in known.items():
-            dice = 2 * len(mine & pairs) / (len(mine) + len(pairs))
-            if dice >= least:
-                best[name] = max(best.get(name, 0), dice)
+    for name, mine in ((k, set(li.template_pairs(v))) for k, v in li.TEMPLATES.items()):
+        for i in range(len(pairs)):
+            run = set()
+            for j in range(i, min(len(pairs), i + li.LONGEST * len(mine))):
+                run.add(pairs[j])
+                dice = 2 * len(run & mine) / (len(run) + len(mine))
+                if dice >= least:
+                    best[name] = max(best.get(name, 0), dice)
     return sorted(best.items())
 
 
@@ -29,6 +33,11 @@ TEXTS = [
     "Intro\n\n" + li.TEMPLATES["GPL-3.0 header"].replace(" Public", "\nPublic") + "\n \nOutro",
     "Licensed under CC BY-NC 4.0.\nLicensed under CC BY 4.0.",
     "under the the the",
+    "Copyright 2020 X. Released under the MIT License. See LICENSE.",
+    "This file is licensed under CC BY 4.0. Please attribute.",
+    "x = 1  # " + li.TEMPLATES["Apache-2.0 header"] + " y = 2",
+    "released under the released under the mit mit license",
+    "Licensed\nunder\nCC BY 4.0 or\n\nlicensed under CC BY-NC 4.0",
 ]
 
 
@@ -38,6 +47,11 @@ def test_matches_equal_a_plain_comparison(spark):
         assert [(m.licence, pytest.approx(m.dice)) for m in r.m] == plain(TEXTS[r.doc_id])
 
 
+def test_notices_inside_longer_lines_are_found(spark):
+    found = {i: [name for name, _ in plain(t)] for i, t in enumerate(TEXTS)}
+    assert "MIT" in found[8] and "CC-BY-4.0" in found[9] and "Apache-2.0 header" in found[10]
+
+
 def test_odd_rows(odd, empty):
     got = li.licence_report(odd).collect()
     assert len(got) == len(odd_rows()) and all(r.n_licences == 0 and r.dice == 0 for r in got)
