@@ -19,9 +19,11 @@ documents themselves never move: each compares its place with its source's
 point.
 
 Defined cases: a null or empty text has size 0 and takes 0; a null source is a
-source of its own, last in order; rows without doc_id are ordered by their
-text; repeated rows of one doc_id are taken alike; an empty table gives an
-empty mix; a source without words takes nothing.
+source of its own, last in order; rows of one doc_id with different texts have
+places of their own, and so do rows without doc_id; rows equal in both are taken
+alike, so a source misses its target by half of what such a group holds; a very
+long text is one document; an empty table gives an empty mix; a source without
+words takes nothing; other columns stay.
 """
 
 from __future__ import annotations
@@ -67,8 +69,8 @@ def targets(sizes: DataFrame, weight: Column, share: float, most_epochs: float)
 
 
 def _place(id: str, text: str, seed: int) -> Column:
-    name = F.coalesce(F.col(id).cast("string"), F.concat(F.lit("text "), F.coalesce(F.col(text), F.lit(""))))
-    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed} "), name)), 1, 15), 16, 10).cast("bigint")
+    name = F.concat_ws(" ", F.lit(str(seed)), F.coalesce(F.col(id).cast("string"), F.lit("text")), F.coalesce(F.col(text), F.lit("")))
+    return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint")
 
 
 def _plan(docs, id, text, source, weight, share, most_epochs, seed):

@@ -71,3 +71,13 @@ def test_own_weights(spark):
     weight = F.when(F.col("source") == "x", 3.0).otherwise(1.0)
     got = mixing.mix(df, "m", weight=weight, share=0.5, most_epochs=4.0).select("source", "m.target").distinct().collect()
     assert {r.source: r.target for r in got} == {"x": 150.0, "y": 50.0}
+
+
+def test_texts_of_one_doc_id_are_taken_apart(spark):
+    """A doc_id that holds most of a source's words doesn't move its target."""
+    rows = [(7, " ".join([f"w{i}"] * 20), "a") for i in range(300)] + [(1000 + i, "x y z v " * 5, "a") for i in range(200)]
+    rows += [(5000 + i, "b " * 10, "b") for i in range(100)]
+    got = result(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    for size in (10_000, 1000):
+        mine = [r for r in got if r.source_size == size]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 20
