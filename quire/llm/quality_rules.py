@@ -14,10 +14,12 @@ that table; parameters travel as literals.
 
 Repeated windows are found by sorting one long for each window: the upper bits
 of its hash, with its place in the lower bits, as many as the text needs.
+Windows whose bits occur twice are then compared word by word.
 
 Defined cases: a null or empty text has no words, fails the base limits and is
-not kept; repeated rows vote each on their own; an empty table gives an empty
-result.
+not kept; repeated rows vote each on their own; rows without doc_id are judged
+like any other; very long texts are counted whole, in the memory of one row; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -73,11 +75,19 @@ def _repeat_words(found: Column) -> Column:
         low = F.call_function("shiftleft", mask, b) - 1
         return F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(low)))
 
+    def equal(at):
+        """Of places whose windows' bits occur twice, those whose words do."""
+        windows = F.sort_array(F.transform(at, lambda p: F.struct(
+            F.concat_ws(" ", *(F.get(w, (p + k).cast("int")) for k in range(WINDOW))).alias("s"), p.alias("p"))))
+        same = lambda all_, x, i: F.coalesce(x["s"] == F.get(all_, i)["s"], F.lit(False))
+        return let(windows, lambda all_: F.sort_array(F.transform(
+            F.filter(all_, lambda x, i: same(all_, x, i - 1) | same(all_, x, i + 1)), lambda x: x["p"])))
+
     def covered(at):
         reach = F.transform(at, lambda p, i: F.least(F.lit(WINDOW).cast("bigint"), F.coalesce(F.get(at, i + 1) - p, F.lit(WINDOW).cast("bigint"))))
         return F.aggregate(reach, F.lit(0).cast("bigint"), lambda total, x: total + x)
 
-    return let(F.sort_array(hashed), lambda keys: let(repeated(keys), covered))
+    return let(F.sort_array(hashed), lambda keys: let(let(repeated(keys), equal), covered))
 
 
 def counts(text: Column) -> Column:

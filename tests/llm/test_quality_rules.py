@@ -92,3 +92,14 @@ def test_empty_table_and_columns(empty, odd):
 def test_no_python_on_the_executors(odd):
     plan = qr.keep_good(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_windows_with_equal_bits_are_compared_by_words(spark, monkeypatch):
+    """However bad the hash, only windows of the same words repeat."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(vocabulary(n)) for _ in range(80)) for n in (3, 6, 12, 40, 500) for _ in range(4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    hashed = F.xxhash64
+    monkeypatch.setattr(qr.F, "xxhash64", lambda *c: F.pmod(hashed(*c), F.lit(3)))
+    for r in counted(df):
+        assert tuple(r[n] for n in NAMES) == quality_counts(r.text)
