@@ -187,9 +187,9 @@ def _gradient(sent, n_labels):
                 rest[valid, label[valid]] += 1
                 both = valid[:, 1:]
                 for t in range(1, SEQUENCE):
-                    pair = ahead[:, t - 1, :, None] * step[None] * (local[:, t] * back[:, t])[:, None, :]
-                    pair /= pair.sum((1, 2), keepdims=True)
-                    lean_move -= pair[both[:, t - 1]].sum(0)
+                    before, after = ahead[both[:, t - 1], t - 1], (local[:, t] * back[:, t])[both[:, t - 1]]
+                    norm = ((before @ step) * after).sum(1, keepdims=True)
+                    lean_move -= step * (before.T @ (after / norm))
                     np.add.at(lean_move, (label[both[:, t - 1], t - 1], label[both[:, t - 1], t]), 1)
                 rows = np.unique(at[valid])
                 slot, owner, weight = word_features(words, rows)
