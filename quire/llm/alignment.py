@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import cut_lineage, drop_stored, store
 from .substrings import _by, _heads, _planes, _unplanes
 from .tables import buckets_for, text_bytes
-from .words import mix, slices, tidy, tidy_group
+from .words import mix, slices
 
 #: Names of the vocabulary files in their folder.
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -503,17 +503,17 @@ def alignment_report(docs: DataFrame, folder: str, id: str = "doc_id", text: str
     n = buckets_for(spark, text_bytes(slim), PER_BUCKET, 1)
     sent, paths = send_files(spark, folder), []
     try:
-        stored, path = store(slim.mapInArrow(tidy(_encode(sent, n)), _STORED), "aligned")
+        stored, path = store(slim.mapInArrow(_encode(sent, n), _STORED), "aligned")
         paths.append(path)
         answers = stored.where("bucket is not null").select("group", "bucket", "pairs", "places", "numbers").groupBy(
-            "bucket").applyInArrow(tidy_group(_answer), _ANSWERS)
+            "bucket").applyInArrow(_answer, _ANSWERS)
         empty = lambda names, kind: [F.lit(None).cast(kind).alias(x) for x in names.split()]
         told = answers.select("group", F.lit(0).alias("kind"), "counts", "best", "places", *empty("docs", "array<bigint>"),
                               *empty("cuts", "array<string>"), *empty("stats links numbers", "binary"))
         parts = stored.where("bucket is null").select("group", F.lit(1).alias("kind"), *empty("counts best places", "binary"),
                                                       "docs", "cuts", "stats", "links", "numbers")
         met = told.unionByName(parts).repartition("group").sortWithinPartitions("group", "kind")
-        return cut_lineage(met.mapInArrow(tidy(_finish), _REPORT))
+        return cut_lineage(met.mapInArrow(_finish, _REPORT))
     finally:
         for path in paths:
             drop_stored(spark, path)

@@ -86,7 +86,7 @@ def op1_near_duplicates(spark, sf_dir):
 
 
 @query(f"""WITH d AS (SELECT doc_id, source, len(coalesce({SPACED.format(text='text')}, []))::BIGINT AS size,
-  ('0x' || substr(md5('17 ' || coalesce(doc_id::VARCHAR, 'text ' || coalesce(text, ''))), 1, 15))::BIGINT AS place FROM documents),
+  ('0x' || substr(md5('17 ' || coalesce(doc_id::VARCHAR, 'text') || ' ' || coalesce(text, '')), 1, 15))::BIGINT AS place FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 k AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight,
   source_size * 2.0::DOUBLE AS cap, sum(source_size) OVER () * 1.5::DOUBLE AS total FROM s),
@@ -133,12 +133,16 @@ def _template_rows():
 
 
 @query(f"""WITH t(licence, p) AS (VALUES {_template_rows()}),
-seg AS (SELECT DISTINCT doc_id, unnest(list_concat(string_split(text, chr(10)),
-  regexp_split_to_array(text, '\\n[\\x20\\x09-\\x0D]*\\n'), [text])) AS s FROM documents),
-w AS (SELECT doc_id, string_split(trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM seg),
-g AS (SELECT doc_id, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM w WHERE len(w) > 1),
-m AS (SELECT doc_id, licence, max(2.0::DOUBLE * len(list_intersect(g, p)) / (len(g) + len(p))) AS dice FROM g, t
-  WHERE 10 * len(g) >= 6 * len(p) AND 10 * len(p) >= 6 * len(g) GROUP BY ALL),
+w AS (SELECT doc_id, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents),
+g AS (SELECT doc_id, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] AS g FROM w),
+e AS (SELECT doc_id, unnest(g) AS pair, unnest(range(1, len(g) + 1)) AS i FROM g),
+h AS (SELECT doc_id, licence, k, i, pair FROM e JOIN (SELECT licence, len(p) AS k, unnest(p) AS pair FROM t) USING (pair)),
+many AS (SELECT doc_id, licence FROM h GROUP BY doc_id, licence, k HAVING 3 * count(DISTINCT pair) >= 2 * k),
+runs AS (SELECT a.doc_id, a.licence, a.i, b.i AS j FROM many JOIN h a USING (doc_id, licence)
+  JOIN h b ON b.doc_id = a.doc_id AND b.licence = a.licence AND b.i >= a.i AND b.i < a.i + 3 * a.k),
+d AS (SELECT doc_id, licence, p, list_distinct(g[i:j]) AS d FROM runs JOIN g USING (doc_id) JOIN t USING (licence)),
+m AS (SELECT doc_id, licence, max(2.0::DOUBLE * len(list_intersect(d, p)) / (len(d) + len(p))) AS dice FROM d
+  WHERE 2 * len(d) <= 3 * len(p) GROUP BY ALL),
 r AS (SELECT doc_id, count(*) AS n, string_agg(licence, ',' ORDER BY licence) AS l, max(dice) AS dice FROM m WHERE dice >= 0.8 GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_licences, coalesce(l, '') AS licences, coalesce(dice, 0.0)::DOUBLE AS dice
 FROM documents LEFT JOIN r USING (doc_id)""")
