@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage, drop_stored, store
-from .components import components
+from .components import PER_TASK, components
 from .substrings import _by, _heads, _planes, _unplanes
 from .tables import buckets_for, fresh
 from .words import NON_SPACE, Words, combine, mix, slices, tidy, tidy_group, windows
@@ -418,15 +418,18 @@ def _join_tiles(percent):
     return run
 
 
-def _joined(labels: DataFrame, links: DataFrame, keep) -> DataFrame:
+def _joined(labels: DataFrame, links: DataFrame, keep, tasks: int = 1) -> DataFrame:
     """Labels (node, component) after the links between nodes; what is one
-    component already counts as one node."""
+    component already counts as one node. `labels` itself if nothing joins."""
     a = labels.select(F.col("node").alias("a"), F.col("component").alias("x"))
     b = labels.select(F.col("node").alias("b"), F.col("component").alias("y"))
     over = links.join(a, "a").join(b, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    over = keep(over, "over")
+    if not over.limit(1).count():
+        return labels
     found, path = components(over)
     further = found.select(F.col("node").alias("component"), F.col("component").alias("further"))
-    new = keep(labels.join(further, "component", "left").select("node", F.coalesce("further", "component").alias("component")), "labels")
+    new = keep(labels.join(further, "component", "left").select("node", F.coalesce("further", "component").alias("component")).coalesce(tasks), "labels")
     drop_stored(labels.sparkSession, path)
     return new
 
@@ -483,7 +486,8 @@ def _components_of(docs, id, text, shingle, percent, keep) -> DataFrame:
     edges = keep(stars.where("hub <> member").groupBy("hub", "member").agg(F.count("*").alias("n")), "edges")
     nearest = edges.groupBy("member").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"), F.max("n").alias("n"))
     labels = involved.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component"))
-    labels = _joined(labels, confirmed(_to_reps(nearest, classes).select("a", "b")), keep)
+    tasks = 1 + n_involved // PER_TASK
+    labels = _joined(labels, confirmed(_to_reps(nearest, classes).select("a", "b")), keep, tasks)
     between = keep(_to_reps(edges, classes), "between")
     for _ in range(2):
         a, b = (labels.select(F.col("node").alias(n), F.col("component").alias(c)) for n, c in (("a", "x"), ("b", "y")))
@@ -491,7 +495,9 @@ def _components_of(docs, id, text, shingle, percent, keep) -> DataFrame:
         ways = left.select("x", "y", "a", "b", "n").union(left.select(F.col("y").alias("x"), F.col("x").alias("y"), "a", "b", "n"))
         best = ways.groupBy("x", F.pmod(F.xxhash64("y"), F.lit(PER_NODE))).agg(
             F.max_by(F.struct("a", "b"), F.struct("n", "a", "b")).alias("e")).select("e.a", "e.b").distinct()
-        labels = _joined(labels, confirmed(best), keep)
+        before, labels = labels, _joined(labels, confirmed(best), keep, tasks)
+        if labels is before:
+            break
 
     members = stars.select("key", F.col("member").alias("s1")).distinct().join(classes.select("s1", F.col("rep").alias("doc_id")), "s1")
     members = keep(members.select("key", "doc_id").distinct().join(labels.withColumnRenamed("node", "doc_id"), "doc_id"), "members")
@@ -501,7 +507,7 @@ def _components_of(docs, id, text, shingle, percent, keep) -> DataFrame:
     pairs = keep(dealt.groupBy("bucket").applyInArrow(tidy_group(_likely_tiles), "bucket bigint, docs binary, parts binary, pairs binary"), "pairs")
     needed = pairs.select("bucket", "docs").mapInArrow(_tile_docs, "bucket bigint, doc_id bigint").join(sets.drop("n"), "doc_id")
     links = pairs.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInArrow(tidy_group(_join_tiles(percent)), "a bigint, b bigint")
-    labels = _joined(labels, keep(links, "links"), keep)
+    labels = _joined(labels, keep(links, "links"), keep, tasks)
 
     rows = signed.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2"], "left")
     rows = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")

@@ -104,7 +104,7 @@ def test_many_near_copies_make_few_links(spark, monkeypatch, changed):
     so on): the same components as all pairs, and few links."""
     rows, seen = near_copies(5000, changed, changed), []
     joined = nd._joined
-    monkeypatch.setattr(nd, "_joined", lambda labels, links, keep: seen.append(links.count()) or joined(labels, links, keep))
+    monkeypatch.setattr(nd, "_joined", lambda labels, links, *more: seen.append(links.count()) or joined(labels, links, *more))
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
     got = {r.doc_id: r.component_id for r in report(df, shingle=2)}
     assert got == fast_components(rows, 2)
