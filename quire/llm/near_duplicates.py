@@ -369,8 +369,8 @@ def _tile_docs(batches):
 
 
 def _join_tiles(percent):
-    """Links of a forest that joins the components of a bucket's pairs whose
-    full sets reach the similarity."""
+    """A forest over the components of a bucket: those that a pair whose full
+    sets reach the similarity joins."""
 
     def run(key, tiles, sets):
         if not tiles.num_rows:
@@ -411,7 +411,7 @@ def _join_tiles(percent):
                 marked[own] = False
                 for other in owner[100 * common >= percent * (sizes[mine] + n - common)].tolist():
                     if part[other] != part[one]:
-                        links.append((docs[one], docs[other]))
+                        links.append((parts[one], parts[other]))
                         part[part == part[other]] = part[one]
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
@@ -507,7 +507,7 @@ def _components_of(docs, id, text, shingle, percent, keep) -> DataFrame:
     pairs = keep(dealt.groupBy("bucket").applyInArrow(tidy_group(_likely_tiles), "bucket bigint, docs binary, parts binary, pairs binary"), "pairs")
     needed = pairs.select("bucket", "docs").mapInArrow(_tile_docs, "bucket bigint, doc_id bigint").join(sets.drop("n"), "doc_id")
     links = pairs.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInArrow(tidy_group(_join_tiles(percent)), "a bigint, b bigint")
-    labels = _joined(labels, keep(links, "links"), keep, tasks)
+    labels = _joined(labels, keep(links.distinct(), "links"), keep, tasks)
 
     rows = signed.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2"], "left")
     rows = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")

@@ -98,10 +98,10 @@ def fast_components(rows, size):
     return {i: int(c) for (i, _), c in zip(sets, least)}
 
 
-@pytest.mark.parametrize("changed", [4, 6, 7])
+@pytest.mark.parametrize("changed", [4, 6])
 def test_many_near_copies_make_few_links(spark, monkeypatch, changed):
-    """5,000 copies that are almost, just and hardly alike (0.85, 0.78, 0.75 and
-    so on): the same components as all pairs, and few links."""
+    """5,000 copies of 0.85 and of 0.78 likeness (those have pairs above and below
+    the limit): the same components as all pairs, and few links."""
     rows, seen = near_copies(5000, changed, changed), []
     joined = nd._joined
     monkeypatch.setattr(nd, "_joined", lambda labels, links, *more: seen.append(links.count()) or joined(labels, links, *more))
