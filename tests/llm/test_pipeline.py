@@ -1,6 +1,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -14,7 +15,7 @@ needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables not
 
 def rows(frame):
     frame = frame[sorted(frame.columns)]
-    plain = lambda v: None if v is None or v != v else round(v, 9) if isinstance(v, float) else v
+    plain = lambda v: None if v is None or v is pd.NA or v != v else round(v, 9) if isinstance(v, float) else v
     return sorted((tuple(map(plain, r)) for r in frame.itertuples(index=False, name=None)), key=repr)
 
 
