@@ -15,7 +15,8 @@ no driver holds them in order.
 Defined cases: a null or empty text has no features and weight 0; repeated rows
 of one id draw the same noise, and rows level with the last place are all
 taken; rows without doc_id draw from their text; without good labels the ratio
-is 1 everywhere; an empty table selects nothing.
+is 1 everywhere; an empty table selects nothing; very long texts are a slice of
+their own in a task; other columns are not read.
 """
 
 from __future__ import annotations

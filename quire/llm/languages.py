@@ -23,7 +23,9 @@ probabilities as the text's language and score.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0 and
 has no runs; without training rows every text is; repeated rows are predicted alike; a
-single learned language wins every text that has a letter.
+single learned language wins every text that has a letter; of equally probable
+languages the first by name wins; very long texts are read in sequences of
+bounded length; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -25,7 +25,9 @@ whole; rows of one doc_id never repeat each other and each lose what earlier
 documents hold; rows without doc_id stay whole and no document counts them as
 earlier. Windows are judged on the input, not on what is left. Places belong to
 a doc_id and a hash of the text, so rows that share an id but not a text keep
-theirs apart; which document is earlier is told by doc_id alone.
+theirs apart; which document is earlier is told by doc_id alone. Very long texts
+are a slice of their own in a task; an empty table gives an empty result; other
+columns stay in `drop_repeats`, whatever their names.
 """
 
 from __future__ import annotations

@@ -22,7 +22,9 @@ Scoring is a map over all texts and moves nothing.
 Defined cases: a null or empty text has the probabilities of a text without
 features and isn't toxic; repeated rows are scored alike; labelled rows without
 a document don't count; without labelled rows, or where a category never
-occurs, its probability is 0.
+occurs, its probability is 0; a probability of just one half is not toxic; very
+long texts are a slice of their own in a task; an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
