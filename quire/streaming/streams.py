@@ -13,12 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.packing import assign_batches, pack_blocks
 from ..operators.sentences import split_sentences
 from ..operators.vocab import word_counts
-from ..sources.files import _exists
+from ..sources.files import _exists, _file_system
 
 
 def read_stream(spark: SparkSession, folder: str, schema, fmt="parquet", pattern="*",
                 files_per_trigger: int | None = None) -> DataFrame:
-    """New files of a folder as a stream, oldest first, so many in a micro-batch."""
+    """New files of a folder as a stream, oldest first, so many in a micro-batch.
+
+    A path that names one file streams that file of its folder.
+    """
+    system, path = _file_system(spark, folder)
+    if system.exists(path) and not system.getFileStatus(path).isDirectory():
+        folder, pattern = folder.rstrip("/").rsplit("/", 1)
     reader = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)

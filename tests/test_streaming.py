@@ -78,3 +78,18 @@ def test_blocks_of_another_run_are_not_overwritten(spark):
     tokens = tk.tokenize(stream, make(spark, ["x"]), mode="whitespace").select("split", "k", "input_ids")
     with pytest.raises(ValueError, match="not written under"):
         streams.stream_blocks(tokens, path, ["k"], 4)
+
+
+def test_streamed_documents_may_be_a_file_or_a_folder_of_files(spark, tmp_path):
+    from quire.plans import queries_training as queries
+
+    rows = [(i, f"One {i}. Two words.") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs.repartition(3).write.parquet(f"{tmp_path}/many/documents.parquet")
+    (tmp_path / "one").mkdir()
+    docs.toPandas().to_parquet(tmp_path / "one" / "documents.parquet", index=False)
+    for name in ("many", "one"):
+        folder = f"{tmp_path}/{name}"
+        assert queries.stream_sentences(spark, folder).count() == 40
+        assert {r.word: r["count"] for r in queries.stream_word_counts(spark, folder).collect()}["words."] == 20
+        assert {r.split for r in queries.stream_blocks(spark, folder).collect()} == {"train", "validation", "test"}
