@@ -206,3 +206,32 @@ def test_a_trained_vocabulary_appended_to_a_base(spark):
     extra = pairs.train_bpe(spark.createDataFrame([("two three four",)], "sentence string"), 30, coverage=1.0)
     both = base.join(extra.select("piece"), "piece").count()
     assert vb.merge_vocab(base, extra).count() == base.count() + extra.count() - both
+
+
+def test_merges_in_order_are_made_by_rank():
+    import numpy as np
+    from quire.operators.pairs import _join
+
+    flat = np.array([-1, 1, 1, 1, 2, -1, 2, 1, 1, 2, 1, -1, 3, -1], np.int32)
+    assert _join(flat, [(1, 1, 10), (10, 1, 11), (11, 2, 12), (1, 2, 13)]).tolist() == [-1, 12, -1, 2, 10, 2, 1, -1, 3, -1]
+    assert _join(flat, []).tolist() == flat.tolist() and _join(flat[:0], [(1, 1, 10)]).size == 0
+
+
+def test_what_training_sends_to_the_driver_is_bounded(spark, monkeypatch):
+    """Where many words hold the best pairs, rounds bring changes of counts, not words."""
+    from quire.operators import pairs
+
+    rows = [([chr(97 + i % 7), chr(97 + i % 11), chr(97 + i % 5), chr(97 + i % 13)], 1 + i % 9) for i in range(400)]
+    words = spark.createDataFrame(rows, "symbols array<string>, count bigint")
+    want = pairs.learn_merges(words, 30)
+    asked, held = [], pairs.held_words
+
+    def watch(*a):
+        asked.append(held(*a))
+        return asked[-1]
+
+    monkeypatch.setattr(pairs, "held_words", watch)
+    assert pairs.MOST_SYMBOLS <= 1 << 18
+    assert pairs.learn_merges(words, 30, most_symbols=1) == want
+    vain = len(asked)
+    assert not any(asked) and vain < 10  # words aren't asked for in every round
