@@ -7,17 +7,23 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, OrderingColumn, PartitioningColumn
 
 
+#: Bytes of a frame that a caller's function is given at once.
+FRAME_BYTES = 4 << 20
+
+
 def map_batches(df: DataFrame, fn, schema, drop: list[str] = (), batch_rows: int | None = None):
     """Apply `fn(pandas frame) -> pandas frame` batch by batch; rows may change.
 
     `drop` names input columns that `fn`'s result must not carry on. Batches
-    follow the session's Arrow batch size; pass `batch_rows` for smaller ones.
+    follow the session's Arrow batch size, in parts of some `FRAME_BYTES` where
+    rows are large; pass `batch_rows` for parts of so many rows.
     """
     dropped = list(drop)
 
     def run(frames):
         for frame in frames:
-            step = batch_rows or max(len(frame), 1)
+            parts = -(-int(frame.memory_usage(deep=True).sum()) // FRAME_BYTES)
+            step = batch_rows or max(1, -(-len(frame) // max(1, parts)))
             for start in range(0, len(frame), step):
                 out = fn(frame.iloc[start : start + step].reset_index(drop=True))
                 yield out.drop(columns=[c for c in dropped if c in out.columns])

@@ -180,3 +180,39 @@ def test_join_with_one_long_unit_in_every_row(spark, mode, monkeypatch):
     assert {r.i: r.input_ids for r in joined.collect()} == want
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan
+
+
+def test_large_batches_are_coded_in_parts(spark, monkeypatch):
+    """Rows of many units are spread a few at a time, with the same ids."""
+    rows = [(i, " ".join(["ab", "x", "zz"][(i + k) % 3] for k in range(i % 5 * 10)) if i % 7 else None) for i in range(40)]
+    rows = spark.createDataFrame(rows, "k int, text string").coalesce(1)
+    vocab = make(spark, ["ab", "x"])
+    get = lambda mode: {r.k: r.input_ids for r in tk.tokenize(rows, vocab, mode=mode).collect()}
+    want = {mode: get(mode) for mode in ("whitespace", "char")}
+    found, sizes = tk._spread, []
+    import pyarrow as pa
+
+    texts = pa.array(["ab x"] * 100 + [None, ""])
+    monkeypatch.setattr(tk, "SLICE_UNITS", 8)
+    monkeypatch.setattr(tk, "_spread", lambda *a: sizes.append(len(a[3])) or found(*a))
+    monkeypatch.setattr(tk.F, "arrow_udf", lambda run, kind: run)
+    sent = type("Sent", (), {"value": tk.load_vocabulary(vocab)})
+    parts = list(tk.char_encoder(sent)(iter([texts])))
+    listed = pa.array([t.split() if t is not None else None for t in texts.to_pylist()])
+    words = list(tk.encoder(sent, "whitespace")(iter([listed])))
+    assert max(sizes) <= 8 and len(parts) > 10 and len(words) > 10
+    assert pa.concat_arrays(parts).to_pylist()[0] == want_ids(sent.value, "ab x") and len(pa.concat_arrays(parts)) == 102
+    assert pa.concat_arrays(words).to_pylist() == [sent.value.lookup("ab") + sent.value.lookup("x")] * 100 + [None, []]
+    assert want["whitespace"][0] == want["char"][0]
+
+
+def want_ids(vocab, text):
+    return [t for c in text for t in vocab.lookup(c)]
+
+
+def test_callers_frames_are_of_bounded_size(spark):
+    from quire.operators import userfn
+
+    rows = spark.createDataFrame([(i, "word " * 20_000) for i in range(100)], "k int, text string").coalesce(1)
+    sizes = userfn.map_batches(rows, lambda f: f.assign(n=int(f["text"].str.len().sum()))[["k", "n"]], "k int, n bigint")
+    assert sizes.count() == 100 and max(r.n for r in sizes.collect()) <= userfn.FRAME_BYTES
