@@ -246,11 +246,35 @@ def _rows(lang, phrases, m, counts):
 
 
 def _word_rows(batches):
-    """Counts of frequent words, and of all words under the empty phrase."""
+    """Counts of frequent words, and of all words under the empty phrase, folded
+    in the task: a word is one row for each task that holds it (or `HELD` words)."""
+    held, totals, size = {}, {}, 0
+
+    def send():
+        for lang, parts in held.items():
+            folded = pa.table({"phrase": pa.concat_arrays([w for w, _ in parts]), "n": pa.concat_arrays([n for _, n in parts])})
+            folded = folded.group_by("phrase").aggregate([("n", "sum")]).combine_chunks()
+            held[lang] = [(pa.array(folded["phrase"].to_pylist(), pa.string()), pa.array(folded["n_sum"].to_numpy()))]
+
+    def rows():
+        for lang, [(words, counts)] in held.items():
+            yield _rows(lang, words, 1, counts.to_numpy())
+
     for lang, total, words, counts, _ in _unpacked(batches):
-        yield _rows(lang, pa.array([""]), 0, np.array([total]))
+        totals[lang] = totals.get(lang, 0) + total
         if words:
-            yield _rows(lang, pa.array(words, pa.string()), 1, counts)
+            held.setdefault(lang, []).append((pa.array(words, pa.string()), pa.array(counts.astype(np.int64))))
+            size += len(words)
+        if size >= HELD:
+            send()
+            size = sum(len(parts[0][0]) for parts in held.values())
+            if size >= HELD // 2:
+                yield from rows()
+                held, size = {}, 0
+    send()
+    yield from rows()
+    for lang, total in totals.items():
+        yield _rows(lang, pa.array([""]), 0, np.array([total]))
 
 
 def _distinct(columns: list[np.ndarray]):

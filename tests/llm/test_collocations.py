@@ -108,3 +108,21 @@ def test_scores_pass_64_bits(spark):
     big = [(3_000_000_000_017, 9_000_000_000_000_011, 3_000_000_000_019, 4_000_000_000_037), (100, 10**15, 100, 100), (100, 700, 100, 107)]
     df = spark.createDataFrame(big, "f bigint, n bigint, l bigint, r bigint").withColumn("score", F.expr(co.SCORE))
     assert [r.score for r in df.collect()] == [1000 * a * n // (l * r) for a, n, l, r in big]
+
+
+def test_word_counts_are_folded_in_the_task(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    slices = [("en", 5, ["a", "b"], np.array([2, 3]), None), ("de", 4, ["a"], np.array([4]), None), ("en", 9, [], np.array([]), None),
+              ("en", 3, ["b", "c"], np.array([1, 2]), None)]
+    monkeypatch.setattr(co, "_unpacked", lambda batches: iter(slices * 50))
+    for held in (co.HELD, 4, 1):
+        monkeypatch.setattr(co, "HELD", held)
+        rows = pa.Table.from_batches(list(co._word_rows(None))).to_pylist()
+        total = Counter()
+        for r in rows:
+            total[r["lang"], r["phrase"], r["m"]] += r["n"]
+        assert total == {("en", "a", 1): 100, ("en", "b", 1): 200, ("en", "c", 1): 100, ("de", "a", 1): 200,
+                         ("en", "", 0): 850, ("de", "", 0): 200}
+        assert held < 10 or len(rows) == 6
