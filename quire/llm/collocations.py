@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import cut_lineage, drop_stored, store
 from .substrings import _by, _heads, _planes, _unplanes
 from .tables import buckets_for, text_bytes
-from .words import Words, combine, mix, slices
+from .words import Words, combine, mix, slices, tidy
 
 LEAST, KEEP, LONGEST = 100, 2000, 5
 #: A candidate goes when a longer one occurs this share of its times (percent).
@@ -222,21 +222,34 @@ def _store_runs(sent):
             out[np.arange(len(at)) + np.cumsum(begin)] = code[at]
             picked = often[first]
             listed = b"\n".join(words.data[i:j].tobytes() for i, j in zip(words.starts[picked], words.ends[picked]))
+            packed = (listed, _planes(np.bincount(place, minlength=len(first)).astype(np.uint64), 4), _planes(out, 4))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang]), pa.array([len(words)], pa.int64()), pa.array([listed], pa.binary()),
-                 pa.array([_planes(np.bincount(place, minlength=len(first)).astype(np.uint64), 4)], pa.binary()),
-                 pa.array([_planes(out, 4)], pa.binary())],
+                [pa.array([lang]), pa.array([len(words)], pa.int64()), *(pa.array([_squeezed(x)], pa.binary()) for x in packed)],
                 ["lang", "total", "words", "counts", "codes"])
 
     return run
 
 
+def _squeezed(data: bytes) -> bytes:
+    """Compressed, behind its length. An Arrow batch holds all slices of a task,
+    so they come and stay compressed until their turn."""
+    return len(data).to_bytes(8, "little") + (pa.compress(data, "zstd", asbytes=True) if data else b"")
+
+
+def _unsqueezed(value: pa.Scalar) -> bytes:
+    data = memoryview(value.as_buffer())
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b""
+
+
 def _unpacked(batches):
     """(language, all words, list of frequent words, their counts, codes) of each stored slice."""
     for batch in batches:
-        for lang, total, words, counts, codes in zip(*(batch.column(c).to_pylist() for c in ("lang", "total", "words", "counts", "codes"))):
-            counts = _unplanes(counts, 4)
-            yield lang, total, (words.decode("utf-8", "replace").split("\n") if len(counts) else []), counts, _unplanes(codes, 4).astype(np.int64)
+        for i in range(batch.num_rows):
+            words, counts, codes = (_unsqueezed(batch.column(c)[i]) for c in ("words", "counts", "codes"))
+            counts, codes = _unplanes(counts, 4), _unplanes(codes, 4).astype(np.int64)
+            yield (batch.column("lang")[i].as_py(), batch.column("total")[i].as_py(),
+                   words.decode("utf-8", "replace").split("\n") if len(counts) else [], counts, codes)
 
 
 def _rows(lang, phrases, m, counts):
@@ -346,7 +359,7 @@ class _Corpus:
     def __init__(self, docs: DataFrame, least: int):
         self.spark, self.least, self.paths = docs.sparkSession, least, []
         n = buckets_for(self.spark, text_bytes(docs), PER_BUCKET, 1)
-        dealt = docs.mapInArrow(_deal_hashes(n), "bucket bigint, hashes binary, counts binary")
+        dealt = docs.mapInArrow(tidy(_deal_hashes(n)), "bucket bigint, hashes binary, counts binary")
         often = self.keep(dealt.groupBy("bucket").applyInArrow(_often(least), "n bigint, hashes binary"), "often")
         size = _filter_size(often.agg(F.sum("n")).first()[0] or 0)
 
@@ -356,8 +369,8 @@ class _Corpus:
                 yield pa.RecordBatch.from_arrays([pa.array(h, pa.binary())], ["hashes"])
 
         bits = _fold_bits(often.select("hashes").mapInArrow(mixed, "hashes binary"), size)
-        self.runs = self.passed(bits, lambda sent: docs.mapInArrow(_store_runs(sent), _RUNS), "runs")
-        folded = self.runs.mapInArrow(_word_rows, _COUNTS).groupBy("lang", "phrase", "m").agg(F.sum("n").alias("f"))
+        self.runs = self.passed(bits, lambda sent: docs.mapInArrow(tidy(_store_runs(sent)), _RUNS), "runs")
+        folded = self.runs.mapInArrow(tidy(_word_rows), _COUNTS).groupBy("lang", "phrase", "m").agg(F.sum("n").alias("f"))
         counted = self.keep(folded.where(f"m = 0 or f >= {least}"), "words")
         self.totals = counted.where("m = 0").select("lang", F.col("f").alias("n"))
         self.words = counted.where("m = 1")
@@ -380,8 +393,8 @@ class _Corpus:
         these lengths; kept for `known`."""
         asked = self.keep(asked.select("lang", "phrase", F.col("kind").cast("int").alias("kind")).distinct(), "asked")
         size = _filter_size(asked.count())
-        bits = _fold_bits(asked.mapInArrow(_phrase_hashes, "hashes binary"), size)
-        make = lambda sent: self.runs.mapInArrow(_count(sent, lengths), _COUNTS).groupBy("lang", "phrase", "m").agg(
+        bits = _fold_bits(asked.mapInArrow(tidy(_phrase_hashes), "hashes binary"), size)
+        make = lambda sent: self.runs.mapInArrow(tidy(_count(sent, lengths)), _COUNTS).groupBy("lang", "phrase", "m").agg(
             F.sum("n").alias("f")).where(F.col("f") >= self.least)
         self.counted.append(self.passed(bits, make, "counted"))
         return self.counted[-1]

@@ -126,3 +126,21 @@ def test_word_counts_are_folded_in_the_task(monkeypatch):
         assert total == {("en", "a", 1): 100, ("en", "b", 1): 200, ("en", "c", 1): 100, ("de", "a", 1): 200,
                          ("en", "", 0): 850, ("de", "", 0): 200}
         assert held < 10 or len(rows) == 6
+
+
+def test_slices_stay_compressed_until_their_turn():
+    """An Arrow batch holds all of a task's slices: the codes of a text of few
+    words take less than their 4 bytes each, and come back unchanged."""
+    import pyarrow as pa
+
+    class All:
+        value = co.np.full(1 << 13, 255, co.np.uint8)
+
+    texts = pa.RecordBatch.from_arrays([pa.array(["en", "de", "en"]), pa.array(["a b c " * 2000 + ". d", "x", None])], ["lang", "text"])
+    [rows] = [pa.Table.from_batches(list(co._store_runs(All)([texts])))]
+    seen = {lang: (total, words, counts.tolist(), codes) for lang, total, words, counts, codes in co._unpacked(rows.to_batches())}
+    total, words, counts, codes = seen["en"]
+    assert (total, dict(zip(words, counts))) == (6001, {"a": 2000, "b": 2000, "c": 2000, "d": 1})
+    assert [words[c - 1] for c in codes[1:]] == ["a", "b", "c"] * 2000 and codes[0] == 0
+    assert seen["de"][:3] == (1, ["x"], [1]) and not len(seen["de"][3])
+    assert rows.column("codes").nbytes < 4 * len(codes) / 10
