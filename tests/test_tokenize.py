@@ -216,3 +216,26 @@ def test_callers_frames_are_of_bounded_size(spark):
     rows = spark.createDataFrame([(i, "word " * 20_000) for i in range(100)], "k int, text string").coalesce(1)
     sizes = userfn.map_batches(rows, lambda f: f.assign(n=int(f["text"].str.len().sum()))[["k", "n"]], "k int, n bigint")
     assert sizes.count() == 100 and max(r.n for r in sizes.collect()) <= userfn.FRAME_BYTES
+
+
+def test_join_moves_no_places_of_units(spark, monkeypatch):
+    """A group of rows asks for a unit once; rows that share a key, and those of
+    a null key, come out as before."""
+    vocab = make(spark, ["hot", "a"])
+    monkeypatch.setattr(tk, "GROUP_BYTES", 200)
+    rows = [(i, "k", "hot a z " * (i % 9)) for i in range(80)] + [(5, "k", "z hot"), (None, "k", "a"), (90, None, "a")]
+    df = spark.createDataFrame(rows, "i int, j string, text string").repartition(3)
+    joined = tk.tokenize_by_join(df, vocab, ["i", "j"], hot_units=1, bos=False)
+    code = {"hot": [259], "a": [260], "z": [3 + ord("z")]}
+    got = {}
+    for r in joined.collect():
+        got.setdefault((r.i, r.j), []).append(r.input_ids)
+    for i in range(80):
+        if i != 5:
+            assert got[i, "k"] == [[t for w in "hot a z".split() * (i % 9) for t in code[w]]]
+    first, second = "hot a z".split() * 5, ["z", "hot"]
+    both = sorted((p, code[w]) for words in (first, second) for p, w in enumerate(words))
+    assert got[5, "k"] == [[t for _, ids in both for t in ids]] * 2
+    assert got[None, "k"] == [[]] and got[90, None] == [[]]
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "posexplode" not in plan
