@@ -116,11 +116,17 @@ def _votes(c: Column) -> list[Column]:
 
 
 def _log_odds(votes: list[Column], model) -> Column:
+    """The model's numbers are looked up in arrays by vote. As literals inside the
+    expression they would stand in the code that Spark generates, and the driver
+    would compile and keep that anew for each round and each table."""
     prior, shares = model
-    odds = F.lit(math.log(prior / (1 - prior)))
+    odds = math.log(prior / (1 - prior))
     for vote, share in zip(votes, shares):
         step = [math.log(share["good"][v] / share["bad"][v]) for v in (-1, 0, 1)]
-        odds = odds + F.when(vote == -1, step[0]).when(vote == 0, step[1]).otherwise(step[2])
+        if not isinstance(odds, Column):
+            odds = F.get(F.array(*(F.lit(odds + s) for s in step)), vote + 1)
+        else:
+            odds = odds + F.get(F.array(*map(F.lit, step)), vote + 1)
     return odds
 
 

@@ -103,3 +103,17 @@ def test_windows_with_equal_bits_are_compared_by_words(spark, monkeypatch):
     monkeypatch.setattr(qr.F, "xxhash64", lambda *c: F.pmod(hashed(*c), F.lit(3)))
     for r in counted(df):
         assert tuple(r[n] for n in NAMES) == quality_counts(r.text)
+
+
+def test_every_model_runs_the_same_code(spark):
+    """Spark keeps the code that it generates by its text; a model's numbers in
+    it would make it compile anew for each round of EM and each table."""
+    names = list(qr.RULES)
+    shares = lambda x: [{c: {-1: x, 0: 0.5 - x / 2, 1: 0.5 - x / 2} for c in ("good", "bad")} for _ in names]
+    df, texts = spark.range(9).select(*(F.pmod(F.col("id") + i, F.lit(3)).cast("int").alias(n) for i, n in enumerate(names))), []
+    for prior, share in ((0.9, 0.001), (0.7, 0.2)):
+        p = 1 / (1 + F.exp(-qr._log_odds([F.col(n) - 1 for n in names], (prior, shares(share)))))
+        plan = df.select(p.alias("p"))._jdf.queryExecution().executedPlan()
+        found = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+        texts.append([found.apply(i)._2() for i in range(found.size())])
+    assert texts[0] and texts[0] == texts[1]
