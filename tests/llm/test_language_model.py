@@ -63,3 +63,44 @@ def test_held_out_texts_are_likelier_than_under_the_base(spark):
     got = lm.score_texts(spark.createDataFrame(rows, "doc_id bigint, text string")).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got) * 0.97
     assert np.mean([r.score > r.base_score for r in got]) > 0.9
+
+
+def test_slots_grow_with_the_text():
+    sizes = [0, 1 << 20, 100 << 20, 10 << 30]
+    slots = [lm.slots_for(s) for s in sizes]
+    assert slots[0] == lm.NEAR and all(n & (n - 1) == 0 for n in slots)
+    assert all(n * lm.NEAR_BYTES >= s for n, s in zip(slots, sizes)) and slots[-1] > 256 * lm.NEAR
+
+
+def test_shares_of_a_bucket_add_up_and_are_told_in_order():
+    """All classes of two histories are asked for by two groups, by hand."""
+    n_slots, n_parts = 2 * lm.NEAR, 16
+    classes = np.arange(lm.CLASSES)
+    asked = [np.sort(np.concatenate([(slot * lm.FAR + far) * lm.CLASSES + classes for slot, far in pairs]))
+             for pairs in ([(0, 1), (3, 0)], [(3, 0), (90, 2)])]
+    rows = lm._table(lm._ASKED, [(-6, g, lm._deltas(a), None, lm._planes((a % 3).astype(np.uint64), 4)) for g, a in enumerate(asked)])
+
+    class Sent:
+        value = lm.Weights(np.ones(lm.CLASSES))
+
+    got = lm._shares(Sent, n_slots, n_parts, 3)((lm.pa.scalar(-6),), rows).to_pylist()
+    for told, a in zip(got, asked):
+        share = np.frombuffer(told["uses"], "<f4")
+        assert np.frombuffer(told["words"], np.int64).tolist() == [5] and len(share) == len(a)
+        assert np.allclose((10.0 ** share).reshape(2, -1).sum(1), 1, atol=1e-4)
+    one, two = (np.frombuffer(t["uses"], "<f4") for t in got)
+    assert (one[lm.CLASSES:] == two[: lm.CLASSES]).all() and not np.allclose(one[: lm.CLASSES], one[lm.CLASSES:])
+
+
+def test_second_word_before_tells_words_apart(spark):
+    """The word after `x` follows the word before it, one of 24: eight slots
+    for it would put three of them together."""
+    rng = random.Random(4)
+    heads, tails = vocabulary(24, "h"), [f"t{i}" + a + b for i, (a, b) in enumerate((a, b) for a in "abcdef" for b in "wxyz")]
+    rows = []
+    for i in range(400):
+        picks = [rng.randrange(24) for _ in range(60)]
+        rows.append((i, " ".join(f"{heads[p]} x {tails[p]}" for p in picks)))
+    got = lm.score_texts(spark.createDataFrame(rows, "doc_id bigint, text string")).where("held_out").collect()
+    gain = sum(r.score - r.base_score for r in got) / sum(r.n_tokens for r in got)
+    assert gain > 0.5
