@@ -234,3 +234,17 @@ def test_what_training_sends_to_the_driver_is_bounded(spark, monkeypatch):
     assert pairs.learn_merges(words, 30, most_symbols=1) == want
     vain = len(asked)
     assert not any(asked) and vain < 10  # words aren't asked for in every round
+
+
+def test_words_with_many_symbols_merge_by_segments(spark, caplog):
+    """Too many symbols to bring the words, few once cut at rare pairs: the
+    merges are those of a run that brings all words, in few rounds."""
+    rng = random.Random(5)
+    syllables = ["ka", "lo", "mi", "tu", "ne", "sar", "aaa"]
+    rows = [("".join(rng.choice(syllables) + rng.choice("qxzvwyj") for _ in range(4)), rng.randrange(1, 9)) for _ in range(3000)]
+    words = pairs.start_symbols(spark.createDataFrame(rows, "word string, count bigint"))
+    whole = pairs.learn_merges(words, 9)
+    with caplog.at_level("INFO", pairs.__name__):
+        assert pairs.learn_merges(words, 9, most_symbols=9000) == whole
+    rounds = int(caplog.messages[-1].split(" in ")[1].split()[0])
+    assert len(whole) == 9 and rounds <= 4
