@@ -29,12 +29,13 @@ def causal_counts(pred: Column, true: Column, ignore_index: int | None = None):
 
 
 def causal_accuracy(df: DataFrame, by=(), ignore_index=None, pred="y_pred", true="y_true"):
-    """Shifted accuracy over all rows of each group, without expanding tokens."""
+    """Shifted accuracy over all rows of each group, without expanding tokens;
+    null where a group has no place to compare."""
     hits, places = causal_counts(F.col(pred), F.col(true), ignore_index)
     return (
         df.select(*by, hits.alias("h"), places.alias("n"))
         .groupBy(*by)
-        .agg((F.sum("h") / F.sum("n")).alias("accuracy"))
+        .agg(F.try_divide(F.sum("h"), F.sum("n")).alias("accuracy"))
     )
 
 

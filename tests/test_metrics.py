@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import metrics as mt, userfn
+from quire.plans import queries_training
 
 PRED = "rank int, batch_id int, y_pred array<int>, y_true array<int>, loss double"
 
@@ -24,6 +25,16 @@ def test_shift_and_ignored_labels(spark):
     assert mt.causal_accuracy(masked, ignore_index=-100).first().accuracy == 1.0
 
 
+def test_groups_without_a_place_to_compare(spark, tmp_path):
+    """Texts of at most one character have no pair: they end no run and give no row."""
+    rows = [(1, "x"), (2, ""), (3, None), (4, "aab"), (5, "é")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries_training.causal_accuracy(spark, str(tmp_path)).collect()
+    assert [(r.doc_id, r.accuracy) for r in got] == [(4, 1.0)]
+    short = spark.createDataFrame([(0, 0, [5], [5], 0.0), (0, 0, None, None, 0.0), (1, 0, [1, 2], [3, 4], 0.0)], PRED)
+    assert {r["rank"]: r.accuracy for r in mt.causal_accuracy(short, ["rank"]).collect()} == {0: None, 1: 0.0}
+
+
 def test_mean_of_means(spark):
     rows = [
         (0, 0, [1, 1, 0], [0, 1, 1], 1.0), (0, 0, [5, 0], [0, 5], 1.0),
