@@ -3,13 +3,13 @@ functions, partial metrics, and vocabularies of full size."""
 
 from pyspark.sql import functions as F
 
-from ..operators import pairs, sentences as sn, tokenize as tk, userfn, vocab as vb
+from ..operators import tokenize as tk, userfn, vocab as vb
 from ..session import cut_lineage, drop_stored, new_path
 from ..sources import files
 from ..streaming import states, streams
 from . import preparation, sql_parts as q
-from .fixtures import batch_losses, documents, predictions, stored_vocabulary, table, texts, word_vocabulary
-from .queries_text import MARKS, sentence_vocabulary
+from .fixtures import batch_losses, documents, predictions, table, texts, word_vocabulary
+from .queries_text import FULL_SIZE, sentence_vocabulary
 from .queries_tokens import BLOCKS, _blocks
 from .queries_training import LOSSES, PREDICTIONS
 from .registry import query
@@ -146,19 +146,10 @@ def evaluate_partial(spark, sf_dir):
         ["accuracy", "places"]).where("places > 0")
 
 
-#: The size of a real training run.
-FULL_SIZE = 30_000
-
-
 def full_vocabulary(spark, sf_dir):
     """Pieces learned on the sentences of the documents, as many as a real run
     learns (or as many as the texts give)."""
-
-    def compute():
-        cut = sn.split_sentences(documents(spark, sf_dir), delimiters=MARKS)
-        return pairs.train_bpe(cut, FULL_SIZE, layout="bytes", normalize=False)
-
-    return stored_vocabulary(spark, "full", {"sf_dir": sf_dir, "size": FULL_SIZE}, compute)
+    return sentence_vocabulary(spark, sf_dir, FULL_SIZE)
 
 
 @query()

@@ -1,11 +1,14 @@
 import random
 from collections import Counter
 
+import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from quire.operators import pairs, vocab as vb
+from quire.plans import queries_text
+from quire.plans.registry import SQL
 
 SCHEMA = "id int, piece string, score double, origin string"
 
@@ -248,3 +251,64 @@ def test_words_with_many_symbols_merge_by_segments(spark, caplog):
         assert pairs.learn_merges(words, 9, most_symbols=9000) == whole
     rounds = int(caplog.messages[-1].split(" in ")[1].split()[0])
     assert len(whole) == 9 and rounds <= 4
+
+
+def test_words_in_one_task_equal_one_merge_at_a_time():
+    """A task with all words makes the merges by itself, a batch at a time."""
+    import numpy as np
+    import pyarrow as pa
+
+    for seed in range(150):
+        rng, words = random.Random(seed), Counter()
+        letters = rng.choice(["ab", "abc", "abcdefgh"])
+        for _ in range(rng.randint(1, 60)):
+            words["".join(rng.choice(letters) for _ in range(rng.randint(2, 12)))] += rng.choice([1, 1, rng.randint(1, 40)])
+        merges, longest, watched = rng.randint(1, 60), rng.choice([16, 4]), rng.choice([1, 3, 12, 20_000])
+        column = pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())
+        cells = pairs._Cells([[c.slice(0, 7) for c in column], [c.slice(7) for c in column]], merges)
+        watch = pairs._Watch(cells.letters, merges, set(letters), longest, watched)
+        pairs._learn(cells, watch, None)
+        assert [((a, b), n) for a, b, n in watch.learned] == plain_merges({tuple(w): n for w, n in words.items()}, merges, letters, longest)
+
+
+def test_thousands_of_merges_are_one_job(spark, caplog, monkeypatch):
+    """Many words with all kinds of pairs: learned in one task, or by tasks that
+    tell one another, in place of a job for every few merges."""
+    rng = random.Random(9)
+    words = Counter("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(4000))
+    table = symbol_table(spark, words)
+    with caplog.at_level("INFO", logger="quire.operators.pairs"):
+        alone = pairs.learn_merges(table, 2000, most_symbols=100)
+        assert caplog.messages[-1] == "2000 merges by 1 tasks in 1 rounds"
+        monkeypatch.setattr(pairs, "ALONE", 0)
+        assert pairs.learn_merges(table, 8) == alone[:8]
+        assert " by 4 tasks in " in caplog.messages[-1]
+    assert alone[:40] == plain_merges({tuple(w): n for w, n in words.items()}, 40, set())
+
+
+@pytest.mark.parametrize("most_symbols,watched,merges", [(1 << 21, 20000, 25), (40, 20000, 25), (0, 12, 12), (0, 1, 4)])
+def test_words_that_tasks_cannot_hold_merge_by_jobs(spark, most_symbols, watched, merges):
+    rng = random.Random(0)
+    words = Counter("".join(rng.choice("abc") for _ in range(rng.randint(2, 9))) for _ in range(60))
+    got = pairs.learn_merges(symbol_table(spark, words), merges, set("abc"), 16, watched=watched, most_symbols=most_symbols, most_held=0)
+    assert got == plain_merges({tuple(w): n for w, n in words.items()}, merges, "abc", 16)
+
+
+def test_the_query_learns_as_many_pieces_as_a_real_run(spark, tmp_path):
+    """Asked for 30,000 pieces, a small table gives all it has; so does the SQL."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(250)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(40)) + ".") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en")).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries_text.train_bpe(spark, str(tmp_path)).orderBy("id").collect()
+    counts = Counter(w for _, text in rows for w in text.split())
+    parts = Counter()
+    for w, n in counts.items():  # the stop is no letter, so a word is cut there
+        for part in ["▁" + w.rstrip("."), *(["."] if w.endswith(".") else [])]:
+            parts[tuple(part)] += n
+    letters = set("▁" + "".join(counts))
+    want = [a + b for (a, b), _ in plain_merges(parts, 30_000, letters)]
+    assert len(want) > 420 and [r.piece for r in got[259 : 259 + len(want)]] == want
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(db.execute(SQL["train_bpe"]).fetchall()) == sorted(tuple(r) for r in got)
