@@ -239,3 +239,28 @@ def test_join_moves_no_places_of_units(spark, monkeypatch):
     assert got[None, "k"] == [[]] and got[90, None] == [[]]
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan and "posexplode" not in plan
+
+
+def test_join_asks_for_pieces_only_and_deals_texts_once(spark, monkeypatch):
+    """Units that are no piece are never asked for, and both steps read one exchange
+    of the texts; a piece that comes twice, or has no id, is coded as before."""
+    monkeypatch.setattr(tk, "GROUP_BYTES", 500)
+    long_ = "p" * 100
+    vocab = make(spark, ["hot", "a", long_, "a"]).union(spark.createDataFrame([(None, "z", 0.0, "x")], "id int, piece string, score double, origin string").select(*make(spark, []).columns))
+    rows = [(i, f"hot a {long_} z x{i} y{i * 7}" if i % 5 else None, [i]) for i in range(120)]
+    df = spark.createDataFrame(rows, "i long, text string, other array<int>").repartition(3)
+    joined = tk.tokenize_by_join(df, vocab, ["i"], hot_units=1, bos=False)
+    byte = lambda u: [3 + b for b in u.encode()]
+    got = joined.collect()
+    assert joined.columns == ["i", "text", "other", "input_ids"] and len(got) == 120
+    for r in got:
+        want = [259, 260, 262, 261, *byte("z"), *byte(f"x{r.i}"), *byte(f"y{r.i * 7}")] if r.i % 5 else []
+        assert r.input_ids == want and r.other == [r.i]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+    import pyarrow as pa
+
+    sent = type("Sent", (), {"value": (tk.piece_filter(vocab.selectExpr("unhex(md5(piece)) AS _unit")), {tk._digest("hot"): [259]})})
+    batch = pa.record_batch([pa.array([1, 1, 2]), pa.array([["hot", "a", "none"], ["a", "z"], ["a"]])], ["_group", "_units"])
+    told = [(g, u) for b in tk._asked(sent)(iter([batch, batch.slice(2)])) for g, u in zip(*(c.to_pylist() for c in b.columns))]
+    assert sorted(told) == sorted([(1, tk._digest("a")), (1, tk._digest("z")), (2, tk._digest("a"))])
