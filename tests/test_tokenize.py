@@ -264,3 +264,38 @@ def test_join_asks_for_pieces_only_and_deals_texts_once(spark, monkeypatch):
     batch = pa.record_batch([pa.array([1, 1, 2]), pa.array([["hot", "a", "none"], ["a", "z"], ["a"]])], ["_group", "_units"])
     told = [(g, u) for b in tk._asked(sent)(iter([batch, batch.slice(2)])) for g, u in zip(*(c.to_pylist() for c in b.columns))]
     assert sorted(told) == sorted([(1, tk._digest("a")), (1, tk._digest("z")), (2, tk._digest("a"))])
+
+
+def test_units_coded_at_once_equal_one_by_one():
+    """Best pair first, leftmost among equal scores, bytes where nothing fits."""
+    import numpy as np
+
+    reserved = [(i, p, 0.0) for i, p in enumerate(vb.SPECIAL_PIECES + [f"<0x{b:02X}>" for b in range(256)])]
+    for seed in range(80):
+        rng = random.Random(seed)
+        letters = rng.choice(["ab", "abc▁", "abcdé卵▁"])
+        pieces = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(0, 25))})
+        scores = [rng.choice([0.0, -float(i), -float(rng.randint(0, 5))]) for i in range(len(pieces))]
+        vocab = tk.Vocabulary(reserved + [(259 + i, p, x) for i, (p, x) in enumerate(zip(pieces, scores))])
+        units = ["".join(rng.choice(letters + "x ") for _ in range(rng.choice([1, 2, 3, 8, 30, 60]))) for _ in range(rng.randint(0, 40))]
+        ids, sizes = vocab.merge_all(units)
+        ends = np.cumsum(sizes)
+        assert [ids[e - n : e].tolist() for e, n in zip(ends, sizes)] == [vocab.merge(u) for u in units]
+
+
+def test_encoding_codes_short_units_together(spark, monkeypatch):
+    """Short units of a batch are one call, with special and long ones beside them."""
+    import pyarrow as pa
+
+    vocab = make(spark, ["ab", "▁ab", "x"])
+    sent = type("Sent", (), {"value": tk.load_vocabulary(vocab)})
+    monkeypatch.setattr(tk.F, "arrow_udf", lambda run, kind: run)
+    asked, found = [], tk.Vocabulary.merge_all
+    monkeypatch.setattr(tk.Vocabulary, "merge_all", lambda self, units: asked.append(len(units)) or found(self, units))
+    units = [" ab", "x", "</s>", "ab" * 50, " abé"]
+    got = pa.concat_arrays(list(tk.encoder(sent, "bpe")(iter([pa.array([units, None, [], units[::-1]])])))).to_pylist()
+    want = [sent.value.merge(u) for u in units]
+    assert got == [[t for x in want for t in x], None, [], [t for x in want[::-1] for t in x]] and asked == [3]
+    monkeypatch.setattr(tk, "TABLE_PIECES", 1)
+    plain = type("Sent", (), {"value": tk.load_vocabulary(vocab)})
+    assert pa.concat_arrays(list(tk.encoder(plain, "bpe")(iter([pa.array([units])])))).to_pylist() == got[:1]
