@@ -35,6 +35,36 @@ def test_groups_without_a_place_to_compare(spark, tmp_path):
     assert {r["rank"]: r.accuracy for r in mt.causal_accuracy(short, ["rank"]).collect()} == {0: None, 1: 0.0}
 
 
+def test_places_are_counted_in_generated_code(spark):
+    """No function on whole arrays is interpreted, and one row a group leaves a task."""
+    df = spark.createDataFrame([(0, 0, [1, 2, 3], [9, 1, 2], 0.0)], PRED)
+    plan = mt.causal_accuracy(df, ["rank"], 2)._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan
+    below = plan[plan.index("Exchange"):]
+    assert "partial_count" in below and "Generate" in below
+
+
+@pytest.mark.parametrize("ignore", [None, 2])
+def test_accuracy_of_odd_rows(spark, ignore):
+    """Null keys, labels and places, labels of other lengths and repeated rows
+    count as the arrays of each row do."""
+    rows = [
+        (None, 0, [1, 2, 3], [9, 1, 2], 0.0), (None, 0, [1, 2, 3], [9, 1, 2], 0.0), (None, 1, None, [1, 2], 0.0),
+        (0, 0, [1, None, 3, 4], [9, None, None, 3], 0.0), (0, 0, [2, 2, 2], [2, 2], 0.0), (0, 0, [7], [7, 7, 7], 0.0),
+        (0, 0, [5, 6], [4, 5, 6, 7], 0.0), (0, 0, [1, 2], None, 0.0),
+        (1, 0, [], [], 0.0), (2, 0, None, None, 0.0), (3, 0, [2, 2], [2, 2], 0.0),
+    ]
+    df = spark.createDataFrame(rows, PRED)
+    hits, places = mt.causal_counts(F.col("y_pred"), F.col("y_true"), ignore)
+    want = df.select("rank", hits.alias("h"), places.alias("n")).groupBy("rank").agg(
+        F.try_divide(F.sum("h"), F.sum("n")).alias("accuracy"))
+    got = mt.causal_accuracy(df, ["rank"], ignore)
+    assert got.schema == want.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {r["rank"]: r.accuracy for r in got.collect()}[1] is None
+    assert mt.causal_accuracy(df.limit(0), (), ignore).first().accuracy is None
+
+
 def test_mean_of_means(spark):
     rows = [
         (0, 0, [1, 1, 0], [0, 1, 1], 1.0), (0, 0, [5, 0], [0, 5], 1.0),
