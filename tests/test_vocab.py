@@ -312,3 +312,43 @@ def test_the_query_learns_as_many_pieces_as_a_real_run(spark, tmp_path):
     db = duckdb.connect()
     db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert sorted(db.execute(SQL["train_bpe"]).fetchall()) == sorted(tuple(r) for r in got)
+
+
+def counted_rows(df):
+    """`df`, and a counter of its rows each time they are read."""
+    read = df.sparkSession.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema), read
+
+
+def test_training_reads_words_for_characters_once_and_sizes_them_unread(spark, monkeypatch):
+    """Words are read for their characters and for their parts; stored parts once, to learn."""
+    rows = [("abab", 5), ("abc", 3), ("zab", 1), ("é", 1), (None, 2)]
+    words, read = counted_rows(spark.createDataFrame(rows, "word string, count bigint"))
+    stored, store = [], pairs.store
+
+    def counting(df, name):
+        kept, path = store(df, name)
+        counted, reads = counted_rows(kept)
+        stored.append((kept.count(), reads))
+        return counted, path
+
+    monkeypatch.setattr(pairs, "store", counting)
+    vocab = pairs.train_bpe(words.limit(0).select(F.col("word").alias("sentence")), 20, coverage=0.9, layout="none", words=words)
+    pieces = [r.piece for r in vocab.orderBy("id").collect()]
+    assert pieces[:2] == ["ab", "▁ab"] and "z" not in pieces and "é" not in pieces
+    assert read.value == 2 * len(rows)
+    assert [(n, reads.value) for n, reads in stored] == [(3, 3)]
+
+
+def test_training_of_no_words(spark):
+    none = spark.createDataFrame([], "symbols array<string>, count bigint")
+    assert pairs.learn_merges(none, 10) == []
+    assert pairs.learn_merges(none, 10, most_held=0) == []
+    text = spark.createDataFrame([("",), (None,)], "sentence string")
+    assert [r.piece for r in pairs.train_bpe(text, 20).orderBy("id").collect()] == ["<unk>", "<s>", "</s>"]
