@@ -300,8 +300,11 @@ def _distinct(columns: list[np.ndarray]):
     return order[head], np.diff(np.append(head, len(key)))
 
 
-def _count(sent, lengths):
-    """Counts of the phrases of these lengths that the filter asks for."""
+def _count(sent, kinds):
+    """Counts of the phrases that the filter asks for: `kinds` has what is asked
+    of each length, and phrases of other lengths are neither looked up nor hashed
+    beyond what longer ones need."""
+    longest = max(kinds, default=0)
 
     def run(batches):
         asked = _Filter(sent.value)
@@ -314,17 +317,28 @@ def _count(sent, lengths):
             one[1:] = _hashes(own, lang)
             each = one[codes]
             part, whole = each, codes > 0
-            for m in range(2, max(lengths) + 1):
+            # What single words are asked for is looked up once for each word.
+            single = {kind: asked.holds(one, kind)[codes] for kind in kinds.get(2, ()) if kind != ITSELF}
+            for m in range(2, longest + 1):
                 n = len(codes) - m + 1
                 if n <= 0:
                     break
                 whole = whole[:n] & (codes[m - 1 :] > 0)
                 at = np.flatnonzero(whole)
-                grown = np.zeros(n, np.uint64)
-                grown[at] = combine(part[at], each[at + m - 1])
-                if m in lengths:
-                    want = asked.holds(part[at], AFTER) | asked.holds(part[at + 1], BEFORE)
-                    at = at[want | asked.holds(grown[at], ITSELF)]
+                looks = kinds.get(m, ())
+                grown = None
+                if m < longest or ITSELF in looks:
+                    grown = np.zeros(n, np.uint64)
+                    grown[at] = combine(part[at], each[at + m - 1])
+                if looks:
+                    want = np.zeros(len(at), bool)
+                    for kind in looks:
+                        begin = at + 1 if kind == BEFORE else at
+                        if kind in single and m == 2:
+                            want |= single[kind][begin]
+                        else:
+                            want |= asked.holds((grown if kind == ITSELF else part)[begin], kind)
+                    at = at[want]
                     if len(at):
                         columns = [codes[at + k] for k in range(m)]
                         rows, counts = _distinct(columns)
@@ -392,9 +406,13 @@ class _Corpus:
         """Counts of what `asked` (lang, phrase, kind) names, among phrases of
         these lengths; kept for `known`."""
         asked = self.keep(asked.select("lang", "phrase", F.col("kind").cast("int").alias("kind")).distinct(), "asked")
-        size = _filter_size(asked.count())
+        # A neighbour of a phrase of m words makes one of m + 1.
+        length = F.size(F.split("phrase", " ")) + F.when(F.col("kind") == ITSELF, 0).otherwise(1)
+        groups = asked.groupBy("kind", length.alias("m")).agg(F.count("*").alias("n")).collect()  # kinds and lengths
+        size = _filter_size(sum(r.n for r in groups))
+        kinds = {m: sorted(r.kind for r in groups if r.m == m) for m in lengths if any(r.m == m for r in groups)}
         bits = _fold_bits(asked.mapInArrow(tidy(_phrase_hashes), "hashes binary"), size)
-        make = lambda sent: self.runs.mapInArrow(tidy(_count(sent, lengths)), _COUNTS).groupBy("lang", "phrase", "m").agg(
+        make = lambda sent: self.runs.mapInArrow(tidy(_count(sent, kinds)), _COUNTS).groupBy("lang", "phrase", "m").agg(
             F.sum("n").alias("f")).where(F.col("f") >= self.least)
         self.counted.append(self.passed(bits, make, "counted"))
         return self.counted[-1]

@@ -144,3 +144,30 @@ def test_slices_stay_compressed_until_their_turn():
     assert [words[c - 1] for c in codes[1:]] == ["a", "b", "c"] * 2000 and codes[0] == 0
     assert seen["de"][:3] == (1, ["x"], [1]) and not len(seen["de"][3])
     assert rows.column("codes").nbytes < 4 * len(codes) / 10
+
+
+def test_only_what_is_asked_of_a_length_is_looked_up(monkeypatch):
+    """Neighbours of single words are looked up once for each word, other phrases
+    where their length and kind are asked for; the rows are those of the filter."""
+    import pyarrow as pa
+
+    class All:
+        value = co.np.full(1 << 13, 255, co.np.uint8)
+
+    texts = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(["a b c d " * 500])], ["lang", "text"])
+    runs = list(co._store_runs(All)([texts]))
+    looked, holds = [], co._Filter.holds
+    monkeypatch.setattr(co._Filter, "holds", lambda self, h, kind: looked.append((kind, len(h))) or holds(self, h, kind))
+
+    def counted(kinds):
+        looked.clear()
+        rows = pa.Table.from_batches(list(co._count(All, kinds)(runs)), co._FRAME).to_pylist()
+        return Counter({r["phrase"]: r["n"] for r in rows})
+
+    words = "a b c d".split() * 500
+    every = lambda m: Counter(" ".join(words[i : i + m]) for i in range(len(words) - m + 1))
+    assert counted({2: [co.AFTER, co.BEFORE]}) == every(2)
+    assert sorted(looked) == [(co.AFTER, 5), (co.BEFORE, 5)]
+    assert counted({2: [co.ITSELF], 4: [co.AFTER]}) == every(2) + every(4)
+    assert looked == [(co.ITSELF, 1999), (co.AFTER, 1997)]
+    assert counted({}) == Counter() and not looked
